@@ -1,7 +1,7 @@
 """The queries of the corpus operators and their DuckDB SQL."""
 
-from . import url_filter
+from . import license_scan, url_filter
 
-_modules = [url_filter]
+_modules = [url_filter, license_scan]
 QUERIES = {k: v for m in _modules for k, v in m.QUERIES.items()}
 ORACLES = {k: v for m in _modules for k, v in m.ORACLES.items()}
