@@ -30,6 +30,12 @@ def shared_dir(spark: SparkSession) -> str:
     return conf.rstrip("/")
 
 
+def small_batches(spark: SparkSession, rows: int = 500) -> None:
+    """Texts can be very long: keep the batches that go to Python small."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    spark.conf.set(key, str(min(rows, int(spark.conf.get(key, "10000")))))
+
+
 class Scratch:
     """Written tables of one operator call in the shared folder. A written table cuts lineage and outlives executors."""
 

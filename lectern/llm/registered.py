@@ -1,7 +1,7 @@
 """The queries of the corpus operators and their DuckDB SQL."""
 
-from . import license_scan, url_filter
+from . import license_scan, pii, url_filter
 
-_modules = [url_filter, license_scan]
+_modules = [url_filter, license_scan, pii]
 QUERIES = {k: v for m in _modules for k, v in m.QUERIES.items()}
 ORACLES = {k: v for m in _modules for k, v in m.ORACLES.items()}
