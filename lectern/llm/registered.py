@@ -1,7 +1,7 @@
 """The queries of the corpus operators and their DuckDB SQL."""
 
-from . import language_id, license_scan, packing, pii, topk_search, url_filter
+from . import language_id, license_scan, line_dedup, packing, pii, topk_search, url_filter
 
-_modules = [url_filter, topk_search, license_scan, language_id, pii, packing]
+_modules = [url_filter, topk_search, line_dedup, license_scan, language_id, pii, packing]
 QUERIES = {k: v for m in _modules for k, v in m.QUERIES.items()}
 ORACLES = {k: v for m in _modules for k, v in m.ORACLES.items()}
