@@ -33,6 +33,9 @@ REMEMBERED = 600_000
 RANKED = 500_000
 
 _PLAIN = re.compile(rb"[a-z][.,]$")
+#: Words of Latin letters only: one token group each, so many of them can be encoded as one text.
+_LETTERS = re.compile("[a-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
+_TOGETHER = 256
 _workers: dict = {}
 
 
@@ -51,10 +54,23 @@ class WordTokenizer:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.ids: dict[bytes, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)  # ids that end a word
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _encode_words(self, words: list[str]) -> Iterator[tuple[bytes, bytes]]:
+        letters = [w for w in words if _LETTERS.fullmatch(w)]
+        groups = [letters[i : i + _TOGETHER] for i in range(0, len(letters), _TOGETHER)]
+        for group, ids in zip(groups, self._encode([" ".join(g) for g in groups]), strict=True):
+            stops = (4 * (np.flatnonzero(self.ends[np.frombuffer(ids, dtype="<u4")]) + 1)).tolist()
+            for word, start, stop in zip(group, [0, *stops], stops, strict=False):
+                yield word.encode(), ids[start:stop]
+        others = [w for w in words if not _LETTERS.fullmatch(w)]
+        yield from zip([w.encode() for w in others], self._encode(others), strict=True)
+
     def encode(self, texts: list[bytes]) -> Iterator[bytes]:
         """Little-endian unsigned 32-bit ids of each UTF-8 text."""
         if len(self.ids) > REMEMBERED:
@@ -69,7 +85,7 @@ class WordTokenizer:
         stopped = [w for w in missing if _PLAIN.search(w[-2:])]
         bare = {w[:-1] for w in stopped} | (set(missing) - set(stopped)) | {b".", b","}
         bare = [w for w in bare if w not in known]
-        known.update(zip(bare, self._encode([w.decode() for w in bare]), strict=True))
+        known.update(self._encode_words([w.decode() for w in bare]))
         for w in stopped:
             known[w] = known[w[:-1]] + known[w[-1:]]
         for text, words in zip(texts, split, strict=True):
