@@ -1,7 +1,7 @@
 """The queries of the corpus operators and their DuckDB SQL."""
 
-from . import language_id, license_scan, line_dedup, near_dup, packing, pii, topk_search, url_filter
+from . import language_id, license_scan, line_dedup, near_dup, packing, pii, suffix_dedup, topk_search, url_filter
 
-_modules = [url_filter, near_dup, topk_search, line_dedup, license_scan, language_id, pii, packing]
+_modules = [url_filter, near_dup, topk_search, line_dedup, license_scan, language_id, pii, packing, suffix_dedup]
 QUERIES = {k: v for m in _modules for k, v in m.QUERIES.items()}
 ORACLES = {k: v for m in _modules for k, v in m.ORACLES.items()}
