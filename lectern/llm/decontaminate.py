@@ -1,11 +1,12 @@
 """Benchmark decontamination: latent semantic retrieval, then longest-common-subsequence and answer checks.
 
 1. One pass over the texts turns words into numbers of the benchmark's vocabulary (other words become -1), written once.
-2. Passages are windows of ``PASSAGE`` words, half overlapping. How many passages hold each word gives its weight; words
-   in more than ``COMMON`` of all passages weigh nothing.
+2. Passages are windows of ``PASSAGE`` words, half overlapping. How often each word stands, to the number of passages, gives
+   its weight; words beyond ``COMMON`` weigh nothing.
 3. Randomised SVD of the passages' TF-IDF matrix: each task sums its share of ``A' A W`` for a random matrix W; the
    sums are combined by Spark, and the leading right singular vectors follow from them (Nystrom).
-4. Passages and benchmark items are projected. Items within ``COSINE`` of a passage are candidates.
+4. Passages and benchmark items are projected. Items within ``COSINE`` of a passage are candidates, unless the cosine
+   of the whole TF-IDF vectors is below ``CLOSE``.
 5. A candidate is verified on the word sequence around its passage: the longest common subsequence with the item in a
    window little longer than the item, and with the item's answer, which is its last words. Paraphrases keep most of
    the words in order; they pass where the answer is there too.
@@ -32,7 +33,7 @@ from pyspark.sql import functions as F
 
 from .common import Scratch, small_batches, table
 
-PASSAGE, COMMON, RANK, OVERSAMPLE, COSINE = 48, 0.05, 96, 16, 0.35
+PASSAGE, COMMON, RANK, OVERSAMPLE, COSINE, CLOSE = 48, 0.01, 64, 16, 0.45, 0.3
 #: Columns of the matrix; a larger vocabulary is hashed to so many.
 FEATURES, MAX_ITEMS = 1 << 14, 1_000_000
 #: Shares of an item's words: enough alone; enough together with this share of its answer; the answer's share of it.
@@ -58,7 +59,7 @@ class Benchmark:
         self.columns = max(1, min(FEATURES, len(self.number)))
         self.lookup = {w + end: i for w, i in self.number.items() for end in (b"", b".", b",", b";", b":", b"!", b"?")}
         self.masks = [{int(w): sum(1 << int(p) for p in np.flatnonzero(item == w)) for w in np.unique(item)} for item in self.items]
-        self.weights = self.vectors = self.basis = None
+        self.weights = self.vectors = self.basis = self.entries = None
 
     def sequence(self, text: bytes) -> np.ndarray:
         words = text.lower().split()
@@ -127,6 +128,21 @@ def verify(bench: Benchmark, i: int, sequence: np.ndarray, start: int) -> tuple[
     return best
 
 
+def close(bench: Benchmark, row: np.ndarray, column: np.ndarray, value: np.ndarray, rows: np.ndarray, items: np.ndarray) -> np.ndarray:
+    """Which pairs (row, item) have whole TF-IDF vectors with a cosine of at least CLOSE."""
+    n = int(row[-1]) + 1
+    first = np.searchsorted(row, np.arange(n + 1))
+    lengths = np.sqrt(np.bincount(row, value.astype(np.float64) ** 2, n))
+    counts = (first[1:] - first[:-1])[rows]
+    pair = np.repeat(np.arange(len(rows)), counts)
+    at = np.arange(len(pair)) - np.repeat(np.cumsum(counts) - counts, counts) + first[rows[pair]]
+    key = items[pair] * np.int64(bench.columns) + column[at]
+    place = np.minimum(np.searchsorted(bench.entries, key), len(bench.entries) - 1)
+    both = np.where(bench.entries[place] == key, value[at] * bench.weights[column[at]], 0.0)
+    own = np.sqrt(np.bincount(bench.entries // bench.columns, bench.weights[bench.entries % bench.columns].astype(np.float64) ** 2, len(bench.items)))
+    return np.bincount(pair, both, len(rows)) >= CLOSE * lengths[rows] * own[items]
+
+
 def read_benchmark(benchmark: DataFrame) -> Benchmark:
     rows = benchmark.select(F.col("item_id").cast("long"), "text").orderBy("item_id").limit(MAX_ITEMS + 1).collect()
     if len(rows) > MAX_ITEMS:
@@ -165,9 +181,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         columns = sent.value.columns
         total, count = 0, np.zeros(columns, dtype=np.int64)
         for batch in batches:
-            p, c, sequences = entries(batch, columns)
-            count += np.bincount(np.unique(p * columns + c) % columns, minlength=columns)
-            total += sum(len(s) // (PASSAGE // 2) + 1 for s in sequences)
+            for w in batch["words"]:
+                sequence = np.frombuffer(w, dtype=np.int32)
+                count += np.bincount(sequence[sequence >= 0] % columns, minlength=columns)
+                total += len(sequence) // (PASSAGE // 2) + 1
         at = np.flatnonzero(count)
         yield pd.DataFrame({"column": np.append(at, -1), "n": np.append(count[at], total)})
 
@@ -226,6 +243,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         names, row, column, value = weighted(np.zeros(len(item), dtype=np.int64), item.astype(np.int64) % bench.columns, weights)
         if len(names):
             vectors[i] = projected(1, row, column, value, bench.basis)[0]
+    bench.entries = np.concatenate([np.unique(i * bench.columns + item.astype(np.int64) % bench.columns) for i, item in enumerate(bench.items)])
     bench.vectors = vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-12)
     ready = spark.sparkContext.broadcast(bench)
 
@@ -243,7 +261,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             doc = np.searchsorted(shift, names, side="right") - 1
             for a in range(0, len(y), 8192):
                 cosines = y[a : a + 8192] @ b.vectors.T
-                for r, i in zip(*np.nonzero(cosines >= COSINE), strict=True):
+                rows, items = np.nonzero(cosines >= COSINE)
+                good = close(b, row, column, value, rows + a, items)
+                for r, i in zip(rows[good], items[good], strict=True):
                     d = doc[a + r]
                     share, answer = verify(b, i, sequences[d], int(names[a + r] - shift[d]) * (PASSAGE // 2))
                     if share >= SURE or share >= LIKELY and answer >= ANSWERED:
