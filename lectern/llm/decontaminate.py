@@ -2,7 +2,7 @@
 
 1. One pass over the texts turns words into numbers of the benchmark's vocabulary (other words become -1), written once.
 2. Passages are windows of ``PASSAGE`` words, half overlapping. How often each word stands, to the number of passages, gives
-   its weight; words beyond ``COMMON`` weigh nothing.
+   its weight; words beyond ``COMMON``, and 200, weigh nothing.
 3. Randomised SVD of the passages' TF-IDF matrix: each task sums its share of ``A' A W`` for a random matrix W; the
    sums are combined by Spark, and the leading right singular vectors follow from them (Nystrom).
 4. Passages and benchmark items are projected. Items within ``COSINE`` of a passage are candidates, unless the cosine
@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from .common import Scratch, small_batches, table
 
-PASSAGE, COMMON, RANK, OVERSAMPLE, COSINE, CLOSE = 48, 0.01, 64, 16, 0.45, 0.3
+PASSAGE, COMMON, RANK, OVERSAMPLE, COSINE, CLOSE = 48, 0.003, 96, 16, 0.35, 0.3
 #: Columns of the matrix; a larger vocabulary is hashed to so many.
 FEATURES, MAX_ITEMS = 1 << 14, 1_000_000
 #: Shares of an item's words: enough alone; enough together with this share of its answer; the answer's share of it.
@@ -193,7 +193,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     known = counts[counts["column"] >= 0]
     df[known["column"].to_numpy(dtype=int)] = known["n"]
     total = max(1, int(counts.loc[counts["column"] < 0, "n"].sum()))
-    weights = np.where(df <= max(1.0, COMMON * total), np.log(1 + total / np.maximum(df, 1)), 0.0).astype(np.float32)
+    weights = np.where(df <= max(200.0, COMMON * total), np.log(1 + total / np.maximum(df, 1)), 0.0).astype(np.float32)
     if not weights.any():
         weights = np.ones(bench.columns, dtype=np.float32)
     bench.weights = weights
