@@ -1,11 +1,57 @@
-"""Corpus cleaning in stages; each takes (spark, docs, sf_dir) and returns the documents that it keeps."""
+"""Corpus cleaning in five stages over the documents table; each works on all that its predecessor kept.
 
-STAGES: list = []
+language_id drops documents without a recognisable language. line_dedup cuts lines that repeat earlier ones, and drops
+a document only if nothing is left of it. near_dedup keeps one document, the smallest id, of each group of near
+duplicates: five-word shingles, similarity 0.8. decontaminate drops documents that hold a benchmark item. packing
+tokenises what is left and packs it into sequences. All but the last return the columns of the documents; n_chars
+follows the text. Rows without an id pass through the stages that need one.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lectern.llm import decontaminate, language_id, line_dedup, near_dup, packing
+from lectern.llm.common import Scratch
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return language_id.identify(docs).where("kept").select(*docs.columns)
+
+
+def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    cut = line_dedup.dedup_lines(docs)
+    something = (F.col("n_removed") == 0) | (F.length(F.trim("text")) > 0)
+    return cut.where(something).withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
+
+
+def dedup_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    later = near_dup.near_duplicates(docs).where("NOT kept").select("doc_id").distinct()
+    return docs.join(later, "doc_id", "left_anti").select(*docs.columns)
+
+
+def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontaminate.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select(*docs.columns)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(docs, packing.tokenizer_path())
+
+
+STAGES = [
+    ("language_id", identify_language),
+    ("line_dedup", dedup_lines),
+    ("near_dedup", dedup_near),
+    ("decontaminate", drop_benchmark),
+    ("packing", pack),
+]
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    scratch = Scratch(spark, "pipeline")
+    for _, stage in STAGES[:-1]:
+        docs = scratch.write(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)
