@@ -5,7 +5,7 @@ the ``LENGTH - GRAM + 1`` of them. So it is enough to look around anchors that o
 
 1. One pass writes each document's anchors. Of documents with equal bytes the first stands for all: the others, and it
    too, repeat throughout.
-2. Around each anchor that occurs again lies a window: all bytes of all strings that hold the gram. Windows with equal
+2. Around each anchor that occurs again lies a window: all bytes of the strings that it is the anchor of. Windows with equal
    bytes repeat throughout; one of them stays as a partner for the others.
 3. Different windows around the same gram go to one block. A block's suffix array gives its Burrows-Wheeler transform.
    Breadth-first backward extension from the empty string derives common-prefix lengths by increasing value, and stops
@@ -38,14 +38,16 @@ LENGTH, GRAM = 200, 64
 #: Anchors are chosen in stretches of so many bytes, so that a position fits beside its hash.
 STRETCH = 1 << 20
 #: Windows that one block holds; different windows of one gram beyond which it is split, and starts in a slice.
-IN_BLOCK, MANY, SLICE = 700, 500, 9
+IN_BLOCK, MANY, SLICE = 250, 500, 9
 
 
-def anchors(buf: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray]:
-    """Positions and hashes of the anchors of all strings of this length; the last of equal least hashes counts."""
+def anchors(buf: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Positions and hashes of the anchors of all strings of this length, and the first and last string that each is
+    chosen for; the last of equal least hashes counts."""
     if len(buf) < length:
-        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint64)
-    found, hashes, window = [], [], length - gram + 1
+        none = np.zeros(0, dtype=np.int64)
+        return none, none.astype(np.uint64), none, none
+    found, hashes, heads, tails, window = [], [], [], [], length - gram + 1
     for start in range(0, len(buf) - length + 1, STRETCH - length):
         part = buf[start : start + STRETCH]
         if len(part) < length:
@@ -62,53 +64,53 @@ def anchors(buf: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np
         ahead = np.minimum.accumulate(chunks, axis=1).ravel()
         back = np.minimum.accumulate(chunks[:, ::-1], axis=1)[:, ::-1].ravel()
         least = np.minimum(back[: n - window + 1], ahead[window - 1 : n])
-        least = least[np.concatenate([[True], least[1:] != least[:-1]])]
+        head = np.flatnonzero(np.concatenate([[True], least[1:] != least[:-1]]))
+        heads.append(head + start)
+        tails.append(np.append(head[1:], len(least)) - 1 + start)
+        least = least[head]
         at = (np.uint64(STRETCH - 1) - (least & np.uint64(STRETCH - 1))).astype(np.int64)
         found.append(at + start)
         hashes.append(h[at])
-    at, first = np.unique(np.concatenate(found), return_index=True)
-    return at, np.concatenate(hashes)[first]
+    at, hashes, heads, tails = map(np.concatenate, (found, hashes, heads, tails))
+    new = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))  # an anchor may go on in the next stretch
+    return at[new], hashes[new], np.minimum.reduceat(heads, new), np.maximum.reduceat(tails, new)
 
 
 def anchored(docs: DataFrame) -> DataFrame:
-    """doc_id, digest, n_bytes, positions, hashes."""
+    """doc_id, digest, n_bytes, and for each anchor its position, hash, and first and last string before it."""
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
             for doc, data in zip(batch.column("doc_id").to_pylist(), batch.column("data").to_pylist(), strict=True):
-                at, h = anchors(np.frombuffer(data, dtype=np.uint8))
-                rows.append((doc, hashlib.md5(data).digest(), len(data), at.astype(np.int32), h.view(np.int64)))
-            names = ["doc_id", "digest", "n_bytes", "positions", "hashes"]
-            kinds = [pa.int64(), pa.binary(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int64())]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows) if rows else [()] * 5, kinds, strict=True)], names)
-
-    return docs.select("doc_id", "data").mapInArrow(made, "doc_id long, digest binary, n_bytes long, positions array<int>, hashes array<long>")
-
+                at, h, head, tail = anchors(np.frombuffer(data, dtype=np.uint8))
+                rows.append((doc, hashlib.md5(data).digest(), len(data), at.astype(np.int32), h.view(np.int64), (at - head).astype(np.int32), (at - tail).astype(np.int32)))
+            names = ["doc_id", "digest", "n_bytes", "positions", "hashes", "heads", "tails"]
+            kinds = [pa.int64(), pa.binary(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int32())]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows) if rows else [()] * 7, kinds, strict=True)], names)
 
-def bounds(position: int, size: int) -> tuple[int, int]:
-    """The window around the gram at this position."""
-    return max(0, position - (LENGTH - GRAM)), min(size, position + LENGTH)
+    columns = "doc_id long, digest binary, n_bytes long, positions array<int>, hashes array<long>, heads array<int>, tails array<int>"
+    return docs.select("doc_id", "data").mapInArrow(made, columns)
 
 
 def windows(placed: DataFrame, with_data: bool) -> DataFrame:
-    """Rows (doc_id, at, h, digest or window) for each of a document's positions; placed has data, positions, hashes."""
+    """Rows (doc_id, at, h, head, window or its digest) for each of a document's anchors."""
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["doc_id", "at", "h", "window"]
-        kinds = [pa.int64(), pa.int32(), pa.int64(), pa.binary()]
+        names = ["doc_id", "at", "h", "head", "window"]
+        kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.binary()]
         for batch in batches:
-            cols = [batch.column(c).to_pylist() for c in ("doc_id", "data", "positions", "hashes")]
+            cols = [batch.column(c).to_pylist() for c in ("doc_id", "data", "x")]
             for k in range(0, len(cols[0]), 20):
                 rows = []
-                for doc, data, positions, hashes in zip(*(c[k : k + 20] for c in cols), strict=True):
-                    for at, h in zip(positions, hashes, strict=True):
-                        a, b = bounds(at, len(data))
-                        part = data[a:b]
-                        rows.append((doc, at, h, part if with_data else hashlib.md5(part + (at - a).to_bytes(2, "little")).digest()))
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [()] * 4, kinds, strict=True)], names)
+                for doc, data, found in zip(*(c[k : k + 20] for c in cols), strict=True):
+                    for x in found:
+                        at, head = x["at"], x["head"]
+                        part = data[at - head : at - x["tail"] + LENGTH]
+                        rows.append((doc, at, x["h"], head, part if with_data else hashlib.md5(part + head.to_bytes(2, "little")).digest()))
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [()] * 5, kinds, strict=True)], names)
 
-    return placed.select("doc_id", "data", "positions", "hashes").mapInArrow(made, "doc_id long, at int, h long, window binary")
+    return placed.select("doc_id", "data", "x").mapInArrow(made, "doc_id long, at int, h long, head int, window binary")
 
 
 def suffix_array(text: np.ndarray) -> np.ndarray:
@@ -119,7 +121,7 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
         key[: n - i] |= text[i:].astype(np.uint64) << np.uint64(9 * (6 - i))
     depth = 7
     while True:
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         ranked = key[order]
         rank = np.zeros(n, dtype=np.uint64)
         rank[order] = np.concatenate([[0], np.cumsum(ranked[1:] != ranked[:-1])]).astype(np.uint64)
@@ -223,7 +225,7 @@ def slices(rows: DataFrame) -> DataFrame:
         for batch in batches:
             out = []
             for r in batch.itertuples():
-                left, last = r.at - bounds(r.at, 1 << 60)[0], len(r.window) - LENGTH
+                left, last = r.head, len(r.window) - LENGTH
                 for k in range(0, LENGTH - GRAM + 1, SLICE):  # starts k to k + SLICE - 1 bytes before the gram
                     low, high = left - k - SLICE + 1, left - k
                     a, b = max(0, low), min(high, last)
@@ -232,7 +234,7 @@ def slices(rows: DataFrame) -> DataFrame:
                         out.append((core.digest(), r.doc_id, r.at - left + a, r.window[a : b + LENGTH], r.copies))
             yield pd.DataFrame(out, columns=["core", "doc_id", "first", "part", "copies"])
 
-    return rows.select("doc_id", "at", "h", "window", "copies").mapInPandas(made, "core binary, doc_id long, first long, part binary, copies long")
+    return rows.select("doc_id", "at", "h", "head", "window", "copies").mapInPandas(made, "core binary, doc_id long, first long, part binary, copies long")
 
 
 def digests(rows: DataFrame) -> DataFrame:
@@ -262,27 +264,27 @@ def repeated_spans(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFr
     texts = base.groupBy("digest").agg(F.min("doc_id").alias("first"), F.count("*").alias("rows"))
     texts = scratch.write(texts)
     firsts = base.join(texts, [base["digest"] == texts["digest"], F.col("doc_id").eqNullSafe(F.col("first"))], "left_semi").dropDuplicates(["digest"])
-    grams = firsts.select("doc_id", F.explode(F.arrays_zip("positions", "hashes")).alias("x")).select("doc_id", F.col("x.positions").alias("at"), F.col("x.hashes").alias("h"))
+    grams = firsts.select("doc_id", F.explode(F.arrays_zip("positions", "hashes", "heads", "tails")).alias("x"))
+    grams = grams.select("doc_id", F.col("x.positions").alias("at"), F.col("x.hashes").alias("h"), F.col("x.heads").alias("head"), F.col("x.tails").alias("tail"))
     twice = grams.groupBy("h").count().where("count > 1").select("h")
     held = scratch.write(grams.join(twice, "h"))
-    placed = held.groupBy("doc_id").agg(F.collect_list(F.struct("at", "h")).alias("x"))  # at most the document's anchors
-    placed = placed.select(F.col("doc_id").alias("d"), F.col("x.at").alias("positions"), F.col("x.h").alias("hashes"))
+    placed = held.groupBy(F.col("doc_id").alias("d")).agg(F.collect_list(F.struct("at", "h", "head", "tail")).alias("x"))  # at most the document's anchors
     seen = scratch.write(windows(docs.join(placed, F.col("doc_id") == F.col("d")).dropDuplicates(["doc_id"]), False))
 
-    kinds = seen.groupBy("h", "window").agg(F.min(F.struct("doc_id", "at")).alias("x"), F.count("*").alias("copies"))
-    kinds = scratch.write(kinds)
+    place = F.struct("doc_id", "at", "head")
+    kinds = scratch.write(seen.groupBy("h", "window").agg(F.min(place).alias("x"), F.count("*").alias("copies")))
     copied = seen.join(kinds.where("copies > 1").select("h", "window"), ["h", "window"], "left_semi")
-    whole = copied.select("doc_id", F.greatest(F.lit(0), F.col("at") - (LENGTH - GRAM)).cast("long").alias("start"), (F.col("at") + LENGTH).cast("long").alias("end"))
+    copied = copied.join(held.select("doc_id", "at", "tail"), ["doc_id", "at"])
+    whole = copied.select("doc_id", (F.col("at") - F.col("head")).cast("long").alias("start"), (F.col("at") - F.col("tail") + LENGTH).cast("long").alias("end"))
 
     different = kinds.groupBy("h").agg(F.count("*").alias("different")).where("different > 1")
-    mixed = kinds.join(different, "h").select("h", "x.doc_id", "x.at", "copies", "different")
-    mixed = mixed.groupBy("doc_id").agg(F.collect_list(F.struct("at", "h", "copies", "different")).alias("x"))
-    mixed = mixed.select(F.col("doc_id").alias("d"), F.col("x.at").alias("positions"), F.col("x.h").alias("hashes"), F.col("x").alias("info"))
-    texts_of = docs.join(mixed, F.col("doc_id") == F.col("d")).dropDuplicates(["doc_id"])
-    info = mixed.select(F.col("d").alias("doc_id"), F.explode("info").alias("i")).select("doc_id", "i.*")
-    rows = scratch.write(windows(texts_of, True).join(info, ["doc_id", "at", "h"]))
+    mixed = scratch.write(kinds.join(different, "h").select("h", "x.doc_id", "x.at", "copies", "different"))
+    wanted = mixed.select("doc_id", "at", "h").join(held, ["doc_id", "at", "h"])
+    wanted = wanted.groupBy(F.col("doc_id").alias("d")).agg(F.collect_list(F.struct("at", "h", "head", "tail")).alias("x"))
+    texts_of = docs.join(wanted, F.col("doc_id") == F.col("d")).dropDuplicates(["doc_id"])
+    rows = scratch.write(windows(texts_of, True).join(mixed, ["doc_id", "at", "h"]))
     total = rows.count()
-    few = rows.where(F.col("different") <= MANY).select("h", "doc_id", F.greatest(F.lit(0), F.col("at") - (LENGTH - GRAM)).cast("long").alias("first"), F.col("window").alias("part"), "copies")
+    few = rows.where(F.col("different") <= MANY).select("h", "doc_id", (F.col("at") - F.col("head")).cast("long").alias("first"), F.col("window").alias("part"), "copies")
     spans = whole.unionByName(judged(few, "h", total))
 
     many = rows.where(F.col("different") > MANY)
