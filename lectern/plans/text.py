@@ -1,2 +1,105 @@
-QUERIES: dict = {}
-ORACLES: dict = {}
+"""Registered queries of scalar functions, ids and masking, and their SQL."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..functions import keys as C
+from ..functions import text as H
+from ..operators import engagement as G
+from ..operators import privacy as P
+from ..operators.video import valid_offset
+from ..sources.adapter import END, events, table, users, with_views
+
+
+def _ids(s, d):
+    c = table(s, d, "customer").select("c_custkey")
+    return c.select("c_custkey", H.restore_id(H.remap_id(F.col("c_custkey"))).alias("restored"), H.remap_id(F.col("c_custkey")).alias("remapped"), H.masked_username(F.col("c_custkey")).alias("username"))
+
+
+def _courses(s, d):
+    e = events(s, d).select("event_id", "course_id")
+    return e.select("event_id", C.org_of_course(F.col("course_id")).alias("org"), C.filename_safe(F.col("course_id")).alias("safe"), C.valid_course_id(F.col("course_id")).alias("valid"), C.valid_course_id(F.concat("course_id", F.lit("\n"))).alias("valid_with_newline"))
+
+
+def _times(s, d):
+    iso = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss")
+    e = events(s, d).select("event_id", "ts", F.concat(iso, F.lit("+00:00")).alias("t"))
+    return e.select(
+        "event_id", H.event_time_string(F.col("t")).alias("time_string"), H.event_time(F.col("t")).alias("time"), H.datestamp(F.col("t")).alias("day"),
+        H.mysql_datetime(H.add_microseconds(F.col("ts"), 2_000_000)).alias("later"), H.mysql_datetime_to_iso(H.mysql_datetime(F.col("ts"))).alias("iso"),
+    )
+
+
+def _numbers(s, d):
+    text = F.when(F.col("k") % 5 == 0, "inf").when(F.col("k") % 5 == 1, "x").when(F.col("k") % 5 == 2, "").otherwise(F.col("k").cast("string"))
+    return events(s, d).select("event_id", H.to_finite_float(text).alias("number"), valid_offset(F.col("k") * 1000 - 5000.0).alias("offset"), H.correctness(F.when(F.col("k") % 2 == 0, "correct").otherwise("unknown")).cast("string").alias("correct"), H.answer_group_key(F.col("kind"), F.when(F.col("k") % 2 == 0, "").otherwise("7")).alias("group_key"), H.hidden_answer(F.concat("kind", F.when(F.col("k") % 3 == 0, "_dynamath").otherwise("_1"))).alias("hidden"))
+
+
+def _escapes(s, d):
+    t = table(s, d, "documents").select("doc_id", "text")
+    code = H.backslash_encode(F.col("text"))
+    return t.select("doc_id", F.sha1(code).alias("encoded"), (H.backslash_decode(code) == F.col("text")).alias("round_trip"), H.needs_decoding(code).alias("needs_decoding"), F.sha1(H.normalize_whitespace(F.col("text"))).alias("plain"), G.clean_profile_text(F.col("text"), 60).alias("short"))
+
+
+def _masked(s, d):
+    t = table(s, d, "documents").select("doc_id", "text")
+    user = F.substring_index(F.trim("text"), " ", 1)
+    user = F.when(user.rlike("^[A-Za-z]{2,30}$"), user)
+    masked = P.mask_text(F.col("text"), user, F.lit(7), F.lit(None).cast("string"))
+    count = lambda k: F.regexp_count("m", F.lit(f"<<{k}>>")).alias(f"n_{k.lower()}")
+    kinds = ("EMAIL", "FACEBOOK", "USERNAME", "USER_ID", "PHONE_NUMBER", "POSSIBLE_PHONE_NUMBER", "EMAIL_CONTEXT", "PHONE_CONTEXT", "NAME_CONTEXT")
+    return t.select("doc_id", masked.alias("m")).select("doc_id", F.length("m").alias("n_chars"), *[count(k) for k in kinds])
+
+
+def _emails(s, d):
+    t = table(s, d, "conversations").unionByName(table(s, d, "documents").select(F.col("doc_id").alias("conv_id"), F.lit(-1).cast("long").alias("turn"), F.lit("document").alias("role"), "text"))
+    return t.select("conv_id", "turn", F.md5(P.mask_emails(F.col("text"))).alias("masked"))
+
+
+def _user_table(s, d):
+    u = table(s, d, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("username"), F.col("c_name").alias("email"), "c_mktsegment", "c_acctbal")
+    return P.mask_user_table(u, 4).drop("c_acctbal")
+
+
+def _enrollment_table(s, d):
+    o = table(s, d, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("user_id"), F.col("o_orderstatus").alias("mode"))
+    return P.mask_table(o, "student_courseenrollment")
+
+
+def _html(s, d):
+    return table(s, d, "pages").select("page_id", F.length(H.strip_html(F.col("html"))).alias("n"), (~H.strip_html(F.col("html")).contains("<script")).alias("clean"))
+
+
+def _weeks(s, d):
+    return events(s, d).select("event_id", G.date_key(F.col("date"), "weekly", END).alias("week_end"))
+
+
+QUERIES = {
+    "remap_ids": _ids, "course_id_parts": _courses, "event_times": _times, "numbers_from_text": _numbers, "text_escapes": _escapes, "mask_text": _masked, "mask_emails": _emails,
+    "mask_user_table": _user_table, "mask_enrollment_table": _enrollment_table, "strip_html": _html, "week_end_key": _weeks,
+}
+
+_BITS = lambda x, places: " | ".join(f"((({x} >> {i}) & 1) << {p})" for i, p in enumerate(places))
+
+
+def _remap(x):
+    return f"CAST({_BITS(f'CAST({x} AS BIGINT)', H.PLACES)} AS BIGINT)"
+
+
+_ENC = r"replace(replace(replace(replace(text, '\', '\\'), chr(13), '\r'), chr(9), '\t'), chr(10), '\n')"
+
+ORACLES = {
+    "remap_ids": f"SELECT c_custkey, c_custkey AS restored, {_remap('c_custkey')} AS remapped, 'username_' || {_remap('c_custkey')} AS username FROM customer",
+    "course_id_parts": with_views() + " SELECT event_id, 'org' || (k % 3) AS org, 'org' || (k % 3) || '_c' || (k % 3) || '_2024' AS safe, true AS valid, false AS valid_with_newline FROM ev",
+    "event_times": "SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S') || '.000000' AS time_string, date_trunc('second', ts) AS time, strftime(ts, '%Y-%m-%d') AS day, strftime(ts + INTERVAL 2 SECOND, '%Y-%m-%d %H:%M:%S') AS later, strftime(ts, '%Y-%m-%dT%H:%M:%S') || '.000000' AS iso FROM events",
+    "numbers_from_text": with_views() + """ SELECT event_id, CASE WHEN k % 5 > 2 THEN CAST(k AS DOUBLE) END AS number, CASE WHEN k * 1000 - 5000 BETWEEN 0 AND 36000 THEN CAST(k * 1000 - 5000 AS DOUBLE) END AS "offset", CASE WHEN k % 2 = 0 THEN 'true' END AS correct,
+ kind || '_' || CASE WHEN k % 2 = 0 THEN '1' ELSE '7' END AS group_key, k % 3 = 0 AS hidden FROM ev""",
+    "text_escapes": f"""SELECT doc_id, sha1({_ENC}) AS encoded, true AS round_trip, contains(text, chr(10)) AS needs_decoding, sha1(trim(regexp_replace(text, '[ \\t\\n\\r\\f\\x0B]+', ' ', 'g'))) AS plain,
+ substr(replace(regexp_replace(text, '[\\t\\n\\r]', ' ', 'g'), '\\', ''), 1, 60) AS short FROM documents""",
+    "mask_emails": r"""SELECT conv_id, turn, md5(regexp_replace(text, '(?i)\b[a-z0-9._%+\-]+@(?:[a-z0-9\-]+\.)+[a-z]{2,}\b', '<<EMAIL>>', 'g')) AS masked FROM (SELECT conv_id, turn, text FROM conversations UNION ALL SELECT doc_id, -1, text FROM documents)""",
+    "mask_user_table": f"SELECT {_remap('c_custkey')} AS id, 'username_' || {_remap('c_custkey')} AS username, '' AS email, c_mktsegment FROM customer",
+    "mask_enrollment_table": f"SELECT o_orderkey AS id, {_remap('o_custkey')} AS user_id, o_orderstatus AS mode FROM orders",
+    "week_end_key": with_views() + f" SELECT event_id, date + CAST((isodow(DATE '{END}' - 1) - isodow(date) + 7) % 7 AS INTEGER) AS week_end FROM ev",
+}
+DATES = {"week_end_key": ["week_end"]}
