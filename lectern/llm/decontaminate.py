@@ -2,7 +2,7 @@
 
 1. One pass over the texts turns words into numbers of the benchmark's vocabulary (other words become -1), written once.
 2. Passages are windows of ``PASSAGE`` words, half overlapping. How often each word stands, to the number of passages, gives
-   its weight; words beyond ``COMMON``, and 200, weigh nothing.
+   its weight; words beyond ``COMMON``, and 200, weigh nothing, but for the rarest few of each item.
 3. Randomised SVD of the passages' TF-IDF matrix: each task sums its share of ``A' A W`` for a random matrix W; the
    sums are combined by Spark, and the leading right singular vectors follow from them (Nystrom).
 4. Passages and benchmark items are projected. Items within ``COSINE`` of a passage are candidates, unless the cosine
@@ -15,7 +15,7 @@ The driver and each task hold the benchmark: its vocabulary, and items times ``R
 ``MAX_ITEMS`` rather than cut. Statistics, decomposition and search cover every passage.
 
 Defined results: null or empty texts, and texts shorter than an item, are judged like others and match nothing they
-don't hold; null or empty items match nothing. Rows that share an id are judged as one. An empty benchmark or table
+don't hold; null or empty items, and items without an id, match nothing. Rows that share an id are judged as one. An empty benchmark or table
 gives no rows. Columns beside the id and the text are ignored.
 """
 
@@ -36,6 +36,8 @@ from .common import Scratch, small_batches, table
 PASSAGE, COMMON, RANK, OVERSAMPLE, COSINE, CLOSE = 48, 0.003, 96, 16, 0.35, 0.3
 #: Columns of the matrix; a larger vocabulary is hashed to so many.
 FEATURES, MAX_ITEMS = 1 << 14, 1_000_000
+#: Words of an item that weigh something, however frequent.
+KEPT = 5
 #: Shares of an item's words: enough alone; enough together with this share of its answer; the answer's share of it.
 SURE, LIKELY, ANSWERED, ANSWER = 0.8, 0.6, 0.5, 0.25
 
@@ -144,7 +146,7 @@ def close(bench: Benchmark, row: np.ndarray, column: np.ndarray, value: np.ndarr
 
 
 def read_benchmark(benchmark: DataFrame) -> Benchmark:
-    rows = benchmark.select(F.col("item_id").cast("long"), "text").orderBy("item_id").limit(MAX_ITEMS + 1).collect()
+    rows = benchmark.where("item_id IS NOT NULL").select(F.col("item_id").cast("long").alias("item_id"), "text").orderBy("item_id").limit(MAX_ITEMS + 1).collect()
     if len(rows) > MAX_ITEMS:
         raise ValueError(f"more than {MAX_ITEMS} benchmark items")
     return Benchmark([tuple(r) for r in rows])
@@ -193,9 +195,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     known = counts[counts["column"] >= 0]
     df[known["column"].to_numpy(dtype=int)] = known["n"]
     total = max(1, int(counts.loc[counts["column"] < 0, "n"].sum()))
-    weights = np.where(df <= max(200.0, COMMON * total), np.log(1 + total / np.maximum(df, 1)), 0.0).astype(np.float32)
-    if not weights.any():
-        weights = np.ones(bench.columns, dtype=np.float32)
+    rare = df <= max(200.0, COMMON * total)
+    for item in bench.items:  # an item of frequent words only keeps its rarest ones
+        own = np.unique(item % bench.columns)
+        if rare[own].sum() < KEPT:
+            rare[own[np.argsort(df[own], kind="stable")[:KEPT]]] = True
+    weights = np.where(rare, np.log(1 + total / np.maximum(df, 1)), 0.0).astype(np.float32)
     bench.weights = weights
 
     width = min(RANK + OVERSAMPLE, bench.columns)

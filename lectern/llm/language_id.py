@@ -77,7 +77,7 @@ def fit(docs: DataFrame, text: str, declared: str, key: str, sample: int = SAMPL
                     sums[lang] = sums[lang] + own if lang in sums else own
         for lang, own in sums.items():
             at = np.flatnonzero(own)
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at)), pa.array(at), pa.array(own[at])], ["lang", "bucket", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at, pa.int64()), pa.array(own[at], pa.int64())], ["lang", "bucket", "n"])
 
     rows = chosen.mapInArrow(count, "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
     seen = np.zeros((1 << BITS, len(languages)))
