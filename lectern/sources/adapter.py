@@ -94,7 +94,7 @@ SQL = {
     "act": """SELECT course_id, user_id, date, ts, CASE kind WHEN 'view' THEN 'browser' WHEN 'click' THEN 'browser' WHEN 'error' THEN 'task' ELSE 'server' END AS source,
  CASE kind WHEN 'view' THEN 'page_view' WHEN 'click' THEN 'play_video' WHEN 'signup' THEN 'edx.course.enrollment.activated' ELSE 'problem_check' END AS type FROM ev""",
     "vid": """SELECT user_id, course_id, 'v' || (k % 3) AS module_id, ts, CASE kind WHEN 'click' THEN 'play_video' WHEN 'view' THEN 'pause_video' WHEN 'error' THEN 'stop_video' ELSE 'seek_video' END AS type,
- CASE WHEN kind = 'purchase' THEN value / 2 ELSE value END AS current_time_, CASE WHEN kind = 'purchase' THEN value END AS old_time, CASE WHEN event_id % 5 = 0 THEN -1.0 ELSE 600.0 END AS duration, event_id
+ CASE WHEN kind = 'purchase' THEN value / 2 ELSE value END AS current_time_, CASE WHEN kind = 'purchase' THEN value END AS old_time, CASE WHEN event_id % 5 = 0 THEN CAST(-1 AS DOUBLE) ELSE CAST(600 AS DOUBLE) END AS duration, event_id
  FROM ev WHERE kind IN ('click', 'view', 'error', 'purchase')""",
     "eng": """SELECT course_id, 'user' || user_id AS username, date, ts, CASE kind WHEN 'purchase' THEN 'problem_check' WHEN 'click' THEN 'play_video' ELSE 'edx.forum.thread.created' END AS type,
  CASE kind WHEN 'purchase' THEN 'p' WHEN 'click' THEN 'v' ELSE 'f' END || (k % 20) AS entity_id, event_id % 2 = 0 AS correct FROM ev WHERE kind IN ('purchase', 'click', 'signup')""",
