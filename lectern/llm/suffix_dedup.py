@@ -100,17 +100,16 @@ def windows(placed: DataFrame, with_data: bool) -> DataFrame:
         names = ["doc_id", "at", "h", "head", "window"]
         kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.binary()]
         for batch in batches:
-            cols = [batch.column(c).to_pylist() for c in ("doc_id", "data", "x")]
+            cols = [batch.column(c).to_pylist() for c in ("doc_id", "data", "at", "h", "head", "tail")]
             for k in range(0, len(cols[0]), 20):
                 rows = []
-                for doc, data, found in zip(*(c[k : k + 20] for c in cols), strict=True):
-                    for x in found:
-                        at, head = x["at"], x["head"]
-                        part = data[at - head : at - x["tail"] + LENGTH]
-                        rows.append((doc, at, x["h"], head, part if with_data else hashlib.md5(part + head.to_bytes(2, "little")).digest()))
+                for doc, data, *found in zip(*(c[k : k + 20] for c in cols), strict=True):
+                    for at, h, head, tail in zip(*found, strict=True):
+                        part = data[at - head : at - tail + LENGTH]
+                        rows.append((doc, at, h, head, part if with_data else hashlib.md5(part + head.to_bytes(2, "little")).digest()))
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [()] * 5, kinds, strict=True)], names)
 
-    return placed.select("doc_id", "data", "x").mapInArrow(made, "doc_id long, at int, h long, head int, window binary")
+    return placed.select("doc_id", "data", *[F.col(f"x.{c}").alias(c) for c in ("at", "h", "head", "tail")]).mapInArrow(made, "doc_id long, at int, h long, head int, window binary")
 
 
 def suffix_array(text: np.ndarray) -> np.ndarray:
@@ -137,30 +136,26 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
 def long_common_prefixes(text: np.ndarray, order: np.ndarray, least: int) -> np.ndarray:
     """For each row of the suffix array, whether it shares at least this many symbols with the row before.
 
-    Row i starts a new interval at value v if two neighbouring suffixes part after v symbols. Extending the interval
-    to the left by each symbol c gives the row where those preceded by c part, after v + 1 symbols, if that row hasn't
-    parted earlier. Values grow by one in each round; those still open after ``least - 1`` rounds are long enough.
+    The transform's rows with one symbol, in order, are the rows that extend them to the left by it. So a row parts
+    from the row before it after v + 1 symbols if, of the rows between the two that they extend, some part after v and
+    none earlier. Values grow by one in each round; rows still open after ``least - 1`` rounds share enough.
     """
     n = len(text)
-    symbols, bwt = np.unique(text[order - 1], return_inverse=True)
-    counts = np.bincount(bwt, minlength=len(symbols))
-    first = np.concatenate([[0], np.cumsum(counts)])
-    before = np.zeros((n + 1, len(symbols)), dtype=np.int32)
-    before[np.arange(1, n + 1), bwt] = 1
-    np.cumsum(before, axis=0, out=before)
-    open_ = np.ones(n + 1, dtype=bool)
-    front = first[:-1]  # rows whose first symbol differs from the row before: value 0
-    open_[front] = False
-    open_[n] = False
+    bwt = text[order - 1]
+    extended = np.argsort(bwt, kind="stable").astype(np.int32)
+    symbol = bwt[extended]
+    closed = np.ones(n, dtype=bool)  # value 0: rows whose first symbol differs from the row before
+    row = (np.flatnonzero(symbol[1:] == symbol[:-1]) + 1).astype(np.int32)
+    closed[row] = False
+    low, high = extended[row - 1], extended[row]
     for _ in range(least - 1):
-        if not len(front):
+        count = np.cumsum(closed, dtype=np.int32)
+        hit = count[high] > count[low]
+        if not hit.any():
             break
-        rows = before[front] + first[:-1]
-        rows = rows[(rows > first[:-1]) & (rows < first[1:])]
-        rows = rows[open_[rows]]
-        front = np.unique(rows)
-        open_[front] = False
-    return open_[:n]
+        closed[row[hit]] = True
+        row, low, high = row[~hit], low[~hit], high[~hit]
+    return ~closed
 
 
 def repeated_starts(parts: list[bytes], places: np.ndarray, again: np.ndarray) -> list[np.ndarray]:
