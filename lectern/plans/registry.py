@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import activity, enrollment, engagement, storage, text, video
+from . import activity, engagement, enrollment, storage, structure, text, video
 
-_modules = [enrollment, activity, video, engagement, storage, text]
+_modules = [enrollment, activity, video, engagement, storage, structure, text]
 
 
 def _iso(query):

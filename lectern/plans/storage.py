@@ -3,9 +3,6 @@ warehouse or checkpoint folder that the session names, and read it again."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import functions as F
 
 from ..operators import activity as A
@@ -63,25 +60,20 @@ def _enterprise_user(s, d):
     return S.enterprise_user(links, customers, users(s, d), social, A.user_activity(activity_events(s, d)))
 
 
-def _place(spark):
-    conf = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-store-")
-    return f"{conf.rstrip('/')}/store-{uuid.uuid4().hex}"
-
-
 def _by_day(s, d):
     return events(s, d).groupBy("date", "kind").agg(F.count("*").alias("n"))
 
 
 def _written(s, d):
     """Write a table by day, replace two of its days, and read it again."""
-    path, df = _place(s), _by_day(s, d)
+    path, df = sinks.shared_path(s), _by_day(s, d)
     sinks.write_partition(df, path, "date")
     sinks.replace_slice(df.where("date IN ('2024-01-05', '2024-01-06')").withColumn("n", F.col("n") * 10), path, "date")
     return s.read.parquet(path).select("date", "kind", "n")
 
 
 def _reprocessed(s, d):
-    path, df = _place(s), _by_day(s, d)
+    path, df = sinks.shared_path(s), _by_day(s, d)
     sinks.write_partition(df.withColumn("n", F.lit(0).cast("long")), path, "date")
     K.reprocess_recent(df, path, "2024-01-20", 3)
     return s.read.parquet(path).select("date", "kind", "n")
@@ -92,7 +84,7 @@ def _latest(s, d):
 
 
 def _swapped(s, d):
-    path = _place(s)
+    path = sinks.shared_path(s)
     sinks.replace_result(_by_day(s, d), path, key=["date", "kind"])
     sinks.replace_by_swap(_by_day(s, d).where("kind <> 'error'"), path)
     return s.read.parquet(path)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -108,3 +111,16 @@ def export_student_module(df: DataFrame, path: str) -> None:
 
 def synthetic_log_files(events: DataFrame, path: str, by: str = "date") -> None:
     one_file_per_key(events.select(by, F.col("event").alias("value")), [by], path, "text", compression="gzip")
+
+
+def shared_path(spark: SparkSession) -> str:
+    """A new path in the checkpoint folder that the session names, or in one of our own where it names none."""
+    folder = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-store-")
+    return f"{folder.rstrip('/')}/store-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame) -> DataFrame:
+    """The rows as a written table, so that what reads them doesn't compute them again."""
+    path = shared_path(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
