@@ -1,12 +1,12 @@
 """Line dedup: exact set-similarity join, built-in functions only.
 
-A line's tokens are its distinct five-word shingles (A-Z lower-cased). A line of at least five words is removed if an
+A line's tokens are its distinct five-word shingles, in lower case. A line of at least five words is removed if an
 earlier line, by document id and line number, has Jaccard similarity 0.8 or more with it; shorter lines stay.
 
-1. One scan turns each line into 32-bit token ids, written once.
+1. One scan turns each line into 32-bit token ids, written once. They choose candidates only.
 2. Frequent ids are counted over all lines by a sketch of bounded size. Tokens are ordered by rarity: those outside the
    sketch first, then by growing count. The order decides the cost only, never the result.
-3. Lines with equal token sets become one set that stands at its first line; only that line can stay.
+3. Equal lines become one set that stands at its first line; only that line can stay.
 4. Each set goes to the tokens of its prefix: ``n - ceil(0.8 n) + 1`` rarest, so similar sets share one. There it meets
    the earliest set of that token, under the length and positional filters. Frequent tokens are salted.
 5. Candidates are verified by Jaccard on the words themselves. A set without an earlier match among these then meets
@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import Scratch, lower_ascii, table
+from .common import Scratch, table
 
 WORDS = 5
 #: The threshold as a fraction.
@@ -35,7 +35,7 @@ BROADCAST_LINES = 500_000
 
 
 def words_of(line: Column) -> Column:
-    return F.split(F.trim(F.regexp_replace(lower_ascii(line), r"[ \t\r\f\x0B]+", " ")), " ")
+    return F.split(F.trim(F.lower(line)), r"[ \t\r\f\x0B]+")
 
 
 def once(value: Column, use) -> Column:
@@ -43,20 +43,19 @@ def once(value: Column, use) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
-def shingle_ids(words: Column) -> Column:
-    """64-bit ids of the distinct five-word shingles."""
+def firsts_of(words: Column) -> Column:
+    return F.slice(words, F.lit(1), F.greatest(F.size(words) - (WORDS - 1), F.lit(0)))
 
-    def made(h: Column) -> Column:
-        first = F.slice(h, F.lit(1), F.greatest(F.size(h) - (WORDS - 1), F.lit(0)))
-        return F.array_distinct(F.transform(first, lambda a, i: F.xxhash64(a, *[F.get(h, i + k) for k in range(1, WORDS)])))
 
-    return once(F.transform(words, lambda w: F.xxhash64(w)), made)
+def shingle_ids(words: Column) -> Column:
+    """32-bit ids of the distinct five-word shingles."""
+    return once(words, lambda w: F.array_distinct(F.transform(firsts_of(w), lambda a, i: F.hash(a, *[F.get(w, i + k) for k in range(1, WORDS)]))))
 
 
 def shingles(words: Column) -> Column:
     return once(
         words,
-        lambda w: F.array_distinct(F.transform(F.slice(w, F.lit(1), F.greatest(F.size(w) - (WORDS - 1), F.lit(0))), lambda _, i: F.array_join(F.slice(w, i + 1, F.lit(WORDS)), " "))),
+        lambda w: F.array_distinct(F.transform(firsts_of(w), lambda _, i: F.array_join(F.slice(w, i + 1, F.lit(WORDS)), " "))),
     )
 
 
@@ -79,67 +78,66 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     """doc_id, n_lines, judged (lines of at least five words), kept (numbers of the judged lines that stay)."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "lines")
-    hashed = lines_of(docs).select("doc_id", "line", shingle_ids(words_of(F.col("text"))).alias("ids"))
-    sets = scratch.write(
-        hashed.select(
-            "doc_id",
-            "line",
-            F.size("ids").alias("n"),
-            F.when(F.size("ids") > 0, F.xxhash64(F.sort_array("ids"))).alias("h"),
-            F.transform("ids", lambda x: F.shiftrightunsigned(x, 33).cast("int")).alias("ids"),
-        )
-    )
+    line = F.trim(F.lower(F.col("text")))
+    sets = lines_of(docs).select("doc_id", "line", F.xxhash64(line).alias("h"), shingle_ids(words_of(F.col("text"))).alias("ids"))
+    sets = scratch.write(sets.select("doc_id", "line", "h", F.size("ids").alias("n"), "ids"))
+    counts = scratch.write(sets.groupBy("doc_id", "line").agg(F.max("n").alias("n")).groupBy("doc_id").agg(F.count("*").alias("n_lines"), F.sum((F.col("n") > 0).cast("long")).alias("judged")))
     judged = sets.where("n > 0")
 
     top = judged.select(F.explode("ids").alias("id")).agg(F.call_function("approx_top_k", "id", F.lit(FREQUENT), F.lit(TRACKED)).alias("top")).first()["top"]
     frequent = sorted((r["count"], r["item"]) for r in top or () if r["count"] > 1)
     tiers = [[i for c, i in frequent if c.bit_length() == b] for b in range(2, 64)]
+    every = [i for tier in tiers for i in tier]
+
     def rank(x: Column) -> Column:
-        tier = F.lit(0)
-        for t, ids in enumerate(tiers):
-            if ids:
-                tier = F.when(x.isin(ids), F.lit(t + 2)).otherwise(tier)
-        return F.shiftleft(tier.cast("long"), 32) + x
+        plain = F.pmod(x.cast("long"), F.lit(1 << 32))
+        if not every:
+            return plain
+        tier = F.coalesce(*[F.when(x.isin(ids), F.lit((t + 2) << 32)) for t, ids in enumerate(tiers) if ids])
+        return F.when(x.isin(every), tier + plain).otherwise(plain)
 
     size = F.col("n") - F.ceil(F.col("n") * NUM / F.lit(DEN) - 1e-9).cast("int") + 1
     prefix = F.slice(F.sort_array(F.transform("ids", rank)), F.lit(1), size)
-    place = F.struct("doc_id", "line")
-    distinct = scratch.write(judged.select("h", "n", place.alias("first"), prefix.alias("prefix")).groupBy("h", "n").agg(F.min(F.struct("first", "prefix")).alias("x")).select("h", "n", "x.first", "x.prefix"))
-
-    posted = distinct.select("h", "n", "first", F.posexplode("prefix").alias("pos", "token"))
-    salt = F.when(F.col("token") >= F.lit(SALTED), F.pmod("h", F.lit(SALTS))).otherwise(F.lit(0))
-    by = W.partitionBy("token", "salt").orderBy("first", "h")
-    lists = posted.withColumn("salt", salt.cast("int")).select(
-        "*",
-        F.first(F.struct("h", "n", "pos", "first")).over(by.rowsBetween(W.unboundedPreceding, W.currentRow)).alias("pivot"),
+    distinct = judged.select("h", "n", "doc_id", "line", prefix.alias("prefix")).groupBy("h", "n").agg(F.min(F.struct("doc_id", "line", "prefix")).alias("x")).select("x.doc_id", "x.line", "n", "x.prefix")
+    distinct = scratch.write(distinct)
+    scratch.drop(sets)
+
+    posted = distinct.select("doc_id", "line", "n", F.posexplode("prefix").alias("pos", "token"))
+    salt = F.when(F.col("token") >= F.lit(SALTED), F.pmod(F.hash("doc_id", "line"), F.lit(SALTS))).otherwise(F.lit(0))
+    by = W.partitionBy("token", "salt").orderBy("doc_id", "line")
+    lists = posted.withColumn("salt", salt).select(
+        "doc_id", "line", "n", "pos", "token",
+        F.first(F.struct("doc_id", "line", "n", "pos")).over(by.rowsBetween(W.unboundedPreceding, W.currentRow)).alias("pivot"),
         F.row_number().over(by).alias("at"),
+        F.lead("line").over(by).isNotNull().alias("more"),
     )
-    lists = scratch.write(lists.withColumn("more", F.lead("h").over(by).isNotNull()).where((F.col("at") > 1) | F.col("more") | (F.col("token") >= SALTED)))
+    lists = scratch.write(lists.where((F.col("at") > 1) | F.col("more") | (F.col("token") >= SALTED)))
+    own, place = F.struct("doc_id", "line"), lambda c: F.struct(f"{c}.doc_id", f"{c}.line")
 
     def candidates(a: DataFrame) -> DataFrame:
-        """Pairs under the length and positional filters; a has h, n, pos, first and other (h, n, pos, first)."""
+        """Pairs (first, other_first) under the length and positional filters; other is a struct of line, n and pos."""
         o = lambda c: F.col(f"other.{c}")
         left = F.least(F.col("n") - F.col("pos"), o("n") - o("pos"))
-        good = (F.col("h") != o("h")) & long_enough(F.col("n"), o("n")) & (left >= needed(F.col("n"), o("n")))
-        return a.where(good).select("h", "first", o("h").alias("other_h"), o("first").alias("other_first")).distinct()
+        good = (place("other") < own) & long_enough(F.col("n"), o("n")) & (left >= needed(F.col("n"), o("n")))
+        return a.where(good).select(own.alias("first"), place("other").alias("other_first")).distinct()
 
     starred = scratch.write(candidates(lists.where("at > 1").withColumn("other", F.col("pivot"))))
     matched = scratch.write(verified(docs, starred))
     # A pivot's salt list, or a list whose pivot did not match, may still hold an earlier match.
-    open_ = lists.join(matched, "h", "left_anti").where((F.col("at") > 2) | (F.col("token") >= SALTED))
-    other = lists.select(F.col("token").alias("o_token"), F.struct("h", "n", "pos", "first").alias("other"))
-    met = open_.join(other, (F.col("token") == F.col("o_token")) & (F.col("other.first") < F.col("first")))
-    rest = scratch.write(candidates(met).join(starred, ["h", "other_h"], "left_anti"))
-    late = verified(docs, rest)
-    stay = distinct.join(matched.unionByName(late).distinct(), "h", "left_anti").select("first.*")
+    open_ = lists.withColumn("first", own).join(matched, "first", "left_anti").where((F.col("at") > 2) | (F.col("token") >= SALTED))
+    other = lists.select(F.col("token").alias("o_token"), F.struct("doc_id", "line", "n", "pos").alias("other"))
+    met = open_.drop("first").join(other, (F.col("token") == F.col("o_token")) & (place("other") < own))
+    rest = scratch.write(candidates(met).join(starred, ["first", "other_first"], "left_anti"))
+    if not rest.isEmpty():
+        matched = matched.unionByName(verified(docs, rest)).distinct()
+    stay = distinct.select("doc_id", "line").join(matched.select("first.*"), ["doc_id", "line"], "left_anti")
     kept = stay.groupBy("doc_id").agg(F.sort_array(F.collect_list("line")).alias("kept"))  # at most the document's lines
-    counts = sets.groupBy("doc_id", "line").agg(F.max("n").alias("n")).groupBy("doc_id").agg(F.count("*").alias("n_lines"), F.sum((F.col("n") > 0).cast("long")).alias("judged"))
     none = F.array().cast("array<int>")
     return counts.join(kept, "doc_id", "left").withColumn("kept", F.coalesce("kept", none))
 
 
 def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """h of the sets whose Jaccard similarity with the other set, on the words themselves, reaches the threshold."""
+    """first of the pairs whose Jaccard similarity, on the words themselves, reaches the threshold."""
     wanted = pairs.select(F.col("first.*")).union(pairs.select(F.col("other_first.*"))).distinct()
     if wanted.count() <= BROADCAST_LINES:
         near = docs.join(F.broadcast(wanted.select("doc_id").distinct()), "doc_id", "left_semi")
@@ -150,7 +148,7 @@ def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     both = pairs.join(sets.select(F.col("place").alias("first"), F.col("s").alias("a")), "first").join(sets.select(F.col("place").alias("other_first"), F.col("s").alias("b")), "other_first")
     common = F.size(F.array_intersect("a", "b"))
     similar = common * DEN >= (F.size("a") + F.size("b") - common) * NUM
-    return both.where(similar).select("h").distinct()
+    return both.where(similar).select("first").distinct()
 
 
 def dedup_lines(docs: DataFrame) -> DataFrame:
@@ -180,7 +178,7 @@ def op5_line_dedup(spark, sf_dir):
     )
 
 
-_TOKENS = "string_split_regex(regexp_replace(translate(l, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '^[ \\t\\r\\f\\x0B]+|[ \\t\\r\\f\\x0B]+$', '', 'g'), '[ \\t\\r\\f\\x0B]+')"
+_TOKENS = "string_split_regex(regexp_replace(lower(l), '^[ \\t\\r\\f\\x0B]+|[ \\t\\r\\f\\x0B]+$', '', 'g'), '[ \\t\\r\\f\\x0B]+')"
 ORACLE = f"""
 WITH cut AS (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents WHERE text IS NOT NULL),
 numbered AS (SELECT doc_id, unnest(range(len(ls))) AS line, unnest(ls) AS l FROM cut),
