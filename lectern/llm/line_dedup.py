@@ -144,8 +144,9 @@ def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
         found = lines_of(near).join(F.broadcast(wanted), ["doc_id", "line"], "left_semi")
     else:
         found = lines_of(docs.join(wanted.select("doc_id").distinct(), "doc_id", "left_semi")).join(wanted, ["doc_id", "line"], "left_semi")
-    sets = found.select(F.struct("doc_id", "line").alias("place"), shingles(words_of(F.col("text"))).alias("s"))
-    both = pairs.join(sets.select(F.col("place").alias("first"), F.col("s").alias("a")), "first").join(sets.select(F.col("place").alias("other_first"), F.col("s").alias("b")), "other_first")
+    texts = found.select(F.struct("doc_id", "line").alias("place"), "text")  # shorter on the way than their shingles
+    both = pairs.join(texts.select(F.col("place").alias("first"), F.col("text").alias("a")), "first").join(texts.select(F.col("place").alias("other_first"), F.col("text").alias("b")), "other_first")
+    both = both.select("first", shingles(words_of(F.col("a"))).alias("a"), shingles(words_of(F.col("b"))).alias("b"))
     common = F.size(F.array_intersect("a", "b"))
     similar = common * DEN >= (F.size("a") + F.size("b") - common) * NUM
     return both.where(similar).select("first").distinct()
