@@ -48,8 +48,16 @@ def firsts_of(words: Column) -> Column:
 
 
 def shingle_ids(words: Column) -> Column:
-    """32-bit ids of the distinct five-word shingles."""
-    return once(words, lambda w: F.array_distinct(F.transform(firsts_of(w), lambda a, i: F.hash(a, *[F.get(w, i + k) for k in range(1, WORDS)]))))
+    """32-bit ids of the distinct five-word shingles: of words, of pairs, of pairs of pairs, and those with the fifth."""
+
+    def joined(a: Column, b: Column, at: int) -> Column:
+        return F.zip_with(a, F.slice(b, F.lit(at), F.greatest(F.size(b) - at + 1, F.lit(0))), lambda x, y: F.hash(x, y))
+
+    def made(h: Column) -> Column:
+        four = once(joined(h, h, 2), lambda two: joined(two, two, 3))
+        return F.array_distinct(F.slice(joined(four, h, 5), F.lit(1), F.greatest(F.size(h) - (WORDS - 1), F.lit(0))))
+
+    return once(F.transform(words, lambda w: F.hash(w)), made)
 
 
 def shingles(words: Column) -> Column:
@@ -122,21 +130,21 @@ def removed_lines(docs: DataFrame) -> DataFrame:
         return a.where(good).select(own.alias("first"), place("other").alias("other_first")).distinct()
 
     starred = scratch.write(candidates(lists.where("at > 1").withColumn("other", F.col("pivot"))))
-    matched = scratch.write(verified(docs, starred))
+    matched = scratch.write(verified(scratch, docs, starred))
     # A pivot's salt list, or a list whose pivot did not match, may still hold an earlier match.
     open_ = lists.withColumn("first", own).join(matched, "first", "left_anti").where((F.col("at") > 2) | (F.col("token") >= SALTED))
     other = lists.select(F.col("token").alias("o_token"), F.struct("doc_id", "line", "n", "pos").alias("other"))
     met = open_.drop("first").join(other, (F.col("token") == F.col("o_token")) & (place("other") < own))
     rest = scratch.write(candidates(met).join(starred, ["first", "other_first"], "left_anti"))
     if not rest.isEmpty():
-        matched = matched.unionByName(verified(docs, rest)).distinct()
+        matched = matched.unionByName(verified(scratch, docs, rest)).distinct()
     stay = distinct.select("doc_id", "line").join(matched.select("first.*"), ["doc_id", "line"], "left_anti")
     kept = stay.groupBy("doc_id").agg(F.sort_array(F.collect_list("line")).alias("kept"))  # at most the document's lines
     none = F.array().cast("array<int>")
     return counts.join(kept, "doc_id", "left").withColumn("kept", F.coalesce("kept", none))
 
 
-def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+def verified(scratch: Scratch, docs: DataFrame, pairs: DataFrame) -> DataFrame:
     """first of the pairs whose Jaccard similarity, on the words themselves, reaches the threshold."""
     wanted = pairs.select(F.col("first.*")).union(pairs.select(F.col("other_first.*"))).distinct()
     if wanted.count() <= BROADCAST_LINES:
@@ -144,18 +152,26 @@ def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
         found = lines_of(near).join(F.broadcast(wanted), ["doc_id", "line"], "left_semi")
     else:
         found = lines_of(docs.join(wanted.select("doc_id").distinct(), "doc_id", "left_semi")).join(wanted, ["doc_id", "line"], "left_semi")
-    texts = found.select(F.struct("doc_id", "line").alias("place"), "text")  # shorter on the way than their shingles
-    both = pairs.join(texts.select(F.col("place").alias("first"), F.col("text").alias("a")), "first").join(texts.select(F.col("place").alias("other_first"), F.col("text").alias("b")), "other_first")
-    both = both.select("first", shingles(words_of(F.col("a"))).alias("a"), shingles(words_of(F.col("b"))).alias("b"))
-    common = F.size(F.array_intersect("a", "b"))
-    similar = common * DEN >= (F.size("a") + F.size("b") - common) * NUM
-    return both.where(similar).select("first").distinct()
+    lines = scratch.write(found.select(F.struct("doc_id", "line").alias("place"), "text", shingle_ids(words_of(F.col("text"))).alias("ids")))
+
+    def similar(a: str, b: str) -> Column:
+        common = F.size(F.array_intersect(a, b))
+        return common * DEN >= (F.size(a) + F.size(b) - common) * NUM
+
+    def joined(df: DataFrame, column: str) -> DataFrame:
+        for name, side in (("first", "a"), ("other_first", "b")):
+            df = df.join(lines.select(F.col("place").alias(name), F.col(column).alias(side)), name)
+        return df
+
+    likely = scratch.write(joined(pairs, "ids").where(similar("a", "b")).select("first", "other_first"))  # ids are short to send
+    both = joined(likely, "text").select("first", shingles(words_of(F.col("a"))).alias("a"), shingles(words_of(F.col("b"))).alias("b"))
+    return both.where(similar("a", "b")).select("first").distinct()
 
 
 def dedup_lines(docs: DataFrame) -> DataFrame:
     """Documents without the removed lines, and n_lines, n_removed, removed (numbers of the removed lines)."""
     found = removed_lines(docs).withColumnRenamed("doc_id", "_id")
-    joined = docs.join(found, F.col("doc_id") == F.col("_id"), "left")
+    joined = docs.drop("n_lines", "judged", "kept", "n_removed").join(found, F.col("doc_id") == F.col("_id"), "left")
     pieces = F.split("text", "\n")
 
     def stays(kept: Column, line: Column, i: Column) -> Column:
