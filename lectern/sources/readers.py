@@ -21,7 +21,7 @@ def read_events(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 def in_file_interval(name: Column, start: str, end: str, expand: int = 2) -> Column:
     """Whether the date in a log file's name, or else its epoch seconds, lies in the interval widened by some days."""
-    day = F.coalesce(F.try_to_date(F.nullif(F.regexp_extract(name, r"(\d{4}-?\d{2}-?\d{2})", 1), F.lit("")), F.lit("yyyy-MM-dd")), F.try_to_date(F.nullif(F.regexp_extract(name, r"(\d{8})", 1), F.lit("")), F.lit("yyyyMMdd")), F.to_date(F.timestamp_seconds(F.regexp_extract(name, r"(\d{10})", 1).try_cast("long"))))
+    day = F.coalesce(F.try_to_date(F.nullif(F.regexp_extract(name, r"(\d{4}-?\d{2}-?\d{2})", 1), F.lit("")), "yyyy-MM-dd"), F.try_to_date(F.nullif(F.regexp_extract(name, r"(\d{8})", 1), F.lit("")), "yyyyMMdd"), F.to_date(F.timestamp_seconds(F.regexp_extract(name, r"(\d{10})", 1).try_cast("long"))))
     return (day >= F.date_sub(F.lit(start).cast("date"), expand)) & (day < F.date_add(F.lit(end).cast("date"), expand))
 
 
