@@ -94,22 +94,24 @@ def anchored(docs: DataFrame) -> DataFrame:
 
 
 def windows(placed: DataFrame, with_data: bool) -> DataFrame:
-    """Rows (doc_id, at, h, head, window or its digest) for each of a document's anchors."""
+    """A row for each of a document's anchors in the list x: its fields, and the window or its digest."""
+    fields = ["at", "h", "head", "tail"] + ["copies", "different"] * with_data
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["doc_id", "at", "h", "head", "window"]
-        kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.binary()]
+        kinds = {"doc_id": pa.int64(), "at": pa.int32(), "h": pa.int64(), "head": pa.int32(), "tail": pa.int32(), "copies": pa.int64(), "different": pa.int64(), "window": pa.binary()}
+        names = ["doc_id", *fields, "window"]
         for batch in batches:
-            cols = [batch.column(c).to_pylist() for c in ("doc_id", "data", "at", "h", "head", "tail")]
+            cols = [batch.column(c).to_pylist() for c in ("doc_id", "data", *fields)]
             for k in range(0, len(cols[0]), 20):
                 rows = []
                 for doc, data, *found in zip(*(c[k : k + 20] for c in cols), strict=True):
-                    for at, h, head, tail in zip(*found, strict=True):
-                        part = data[at - head : at - tail + LENGTH]
-                        rows.append((doc, at, h, head, part if with_data else hashlib.md5(part + head.to_bytes(2, "little")).digest()))
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [()] * 5, kinds, strict=True)], names)
+                    for x in zip(*found, strict=True):
+                        part = data[x[0] - x[2] : x[0] - x[3] + LENGTH]
+                        rows.append((doc, *x, part if with_data else hashlib.md5(part + x[2].to_bytes(2, "little")).digest()))
+                yield pa.RecordBatch.from_arrays([pa.array(c, kinds[n]) for c, n in zip(zip(*rows) if rows else [()] * len(names), names, strict=True)], names)
 
-    return placed.select("doc_id", "data", *[F.col(f"x.{c}").alias(c) for c in ("at", "h", "head", "tail")]).mapInArrow(made, "doc_id long, at int, h long, head int, window binary")
+    schema = "doc_id long, at int, h long, head int, tail int, " + "copies long, different long, " * with_data + "window binary"
+    return placed.select("doc_id", "data", *[F.col(f"x.{c}").alias(c) for c in fields]).mapInArrow(made, schema)
 
 
 def suffix_array(text: np.ndarray) -> np.ndarray:
@@ -266,18 +268,14 @@ def repeated_spans(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFr
     placed = held.groupBy(F.col("doc_id").alias("d")).agg(F.collect_list(F.struct("at", "h", "head", "tail")).alias("x"))  # at most the document's anchors
     seen = scratch.write(windows(docs.join(placed, F.col("doc_id") == F.col("d")).dropDuplicates(["doc_id"]), False))
 
-    place = F.struct("doc_id", "at", "head")
+    place = F.struct("doc_id", "at", "head", "tail")
     kinds = scratch.write(seen.groupBy("h", "window").agg(F.min(place).alias("x"), F.count("*").alias("copies")))
     copied = seen.join(kinds.where("copies > 1").select("h", "window"), ["h", "window"], "left_semi")
-    copied = copied.join(held.select("doc_id", "at", "tail"), ["doc_id", "at"])
     whole = copied.select("doc_id", (F.col("at") - F.col("head")).cast("long").alias("start"), (F.col("at") - F.col("tail") + LENGTH).cast("long").alias("end"))
 
     different = kinds.groupBy("h").agg(F.count("*").alias("different")).where("different > 1")
-    mixed = scratch.write(kinds.join(different, "h").select("h", "x.doc_id", "x.at", "copies", "different"))
-    wanted = mixed.select("doc_id", "at", "h").join(held, ["doc_id", "at", "h"])
-    wanted = wanted.groupBy(F.col("doc_id").alias("d")).agg(F.collect_list(F.struct("at", "h", "head", "tail")).alias("x"))
-    texts_of = docs.join(wanted, F.col("doc_id") == F.col("d")).dropDuplicates(["doc_id"])
-    rows = scratch.write(windows(texts_of, True).join(mixed, ["doc_id", "at", "h"]))
+    mixed = kinds.join(different, "h").groupBy(F.col("x.doc_id").alias("d")).agg(F.collect_list(F.struct("x.at", "h", "x.head", "x.tail", "copies", "different")).alias("x"))
+    rows = scratch.write(windows(docs.join(mixed, F.col("doc_id") == F.col("d")).dropDuplicates(["doc_id"]), True))
     total = rows.count()
     few = rows.where(F.col("different") <= MANY).select("h", "doc_id", (F.col("at") - F.col("head")).cast("long").alias("first"), F.col("window").alias("part"), "copies")
     spans = whole.unionByName(judged(few, "h", total))
