@@ -8,7 +8,7 @@ earlier line, by document id and line number, has Jaccard similarity 0.8 or more
    sketch first, then by growing count. The order decides the cost only, never the result.
 3. Equal lines become one set that stands at its first line; only that line can stay.
 4. Each set goes to the tokens of its prefix: ``n - ceil(0.8 n) + 1`` rarest, so similar sets share one. There it meets
-   the earliest set of that token, under the length and positional filters. Frequent tokens are salted.
+   the earliest set of that token, and the two just before it, under the length and positional filters. Frequent tokens are salted.
 5. Candidates are verified by Jaccard on the words themselves. A set without an earlier match among these then meets
    the other earlier sets of its tokens, so nothing is lost, yet a group of near copies is not expanded into pairs.
 
@@ -30,6 +30,8 @@ NUM, DEN = 4, 5
 FREQUENT, TRACKED, SALTS = 2000, 50_000, 32
 #: Tokens are ranks: the bits of their count (0 if rare) above their 32-bit id. From 512 lines on they are salted.
 SALTED = 10 << 32
+#: Places before a set, in the order of a token's sets, whose sets it meets besides the earliest.
+NEIGHBOURS = (1, 2)
 #: Lines to verify are looked up by a broadcast up to so many, by a shuffle beyond.
 BROADCAST_LINES = 500_000
 
@@ -116,6 +118,7 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     lists = posted.withColumn("salt", salt).select(
         "doc_id", "line", "n", "pos", "token",
         F.first(F.struct("doc_id", "line", "n", "pos")).over(by.rowsBetween(W.unboundedPreceding, W.currentRow)).alias("pivot"),
+        *[F.lag(F.struct("doc_id", "line", "n", "pos"), k).over(by).alias(f"near{k}") for k in NEIGHBOURS],
         F.row_number().over(by).alias("at"),
         F.lead("line").over(by).isNotNull().alias("more"),
     )
@@ -129,9 +132,11 @@ def removed_lines(docs: DataFrame) -> DataFrame:
         good = (place("other") < own) & long_enough(F.col("n"), o("n")) & (left >= needed(F.col("n"), o("n")))
         return a.where(good).select(own.alias("first"), place("other").alias("other_first")).distinct()
 
-    starred = scratch.write(candidates(lists.where("at > 1").withColumn("other", F.col("pivot"))))
+    others = F.array_distinct(F.array_compact(F.array("pivot", *[f"near{k}" for k in NEIGHBOURS])))
+    starred = scratch.write(candidates(lists.where("at > 1").withColumn("other", F.explode(others))))
     matched = scratch.write(verified(scratch, docs, starred))
     # A pivot's salt list, or a list whose pivot did not match, may still hold an earlier match.
+    lists = lists.drop("pivot", *[f"near{k}" for k in NEIGHBOURS])
     open_ = lists.withColumn("first", own).join(matched, "first", "left_anti").where((F.col("at") > 2) | (F.col("token") >= SALTED))
     other = lists.select(F.col("token").alias("o_token"), F.struct("doc_id", "line", "n", "pos").alias("other"))
     met = open_.drop("first").join(other, (F.col("token") == F.col("o_token")) & (place("other") < own))
