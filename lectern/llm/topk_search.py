@@ -176,9 +176,13 @@ def search(vectors: DataFrame, is_query: Column, key: str = "vec_id", vector: st
                 out += search_bucket(*unpack(r.q_ids, r.q_data, r.q_dim), np.frombuffer(r.q_least, dtype=np.float64), *unpack(r.ids, r.data, r.dim), k)
             yield pd.DataFrame(out, columns=["query_id", "vec_id", "score"], dtype="int64")
 
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "8")  # a row here is a whole block
     columns = ["q_ids", "q_data", "q_dim", "q_least", "ids", "data", "dim"]
-    found = scratch.write(pairs.select(*columns).mapInPandas(verify, "query_id long, vec_id long, score long"))
+    key, kept = "spark.sql.execution.arrow.maxRecordsPerBatch", spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set(key, "8")  # a row here is a whole block
+    try:
+        found = scratch.write(pairs.select(*columns).mapInPandas(verify, "query_id long, vec_id long, score long"))
+    finally:
+        spark.conf.set(key, kept)
     rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
