@@ -11,6 +11,8 @@ columns are kept (those named like a result column are replaced).
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,7 +23,8 @@ PHRASES = [("mit", "mit license"), ("apache", "apache license"), ("gpl", "genera
 
 WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-GATE = r"(?i)licen[cs]|copyright|public domain|warrant|redistribut|permission is hereby|gpl|spdx"
+#: What stands between the words of a text that is not lower-cased yet.
+RAW_BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 #: Hand-written names: label, expression over normalised words, a literal that every match holds.
 FAMILIES = [
@@ -71,13 +74,14 @@ FAMILIES = [
     ("ibm", "ibm public", "ibm"),
 ]
 
-#: Hand-written forms around a name: priority (0 is best), score, expression; {} is the name.
+#: Hand-written forms around a name: priority (0 is best), score, expression, and the gate, which every match holds;
+#: {} is the name.
 FORMS = [
-    (0, 1.0, "(?:is |are )?(?:released|licensed|distributed|published) under (?:the )?(?:terms of the |terms of )?{}(?: licen[cs]e)?"),
-    (0, 1.0, "permission .{{0,80}}under (?:the )?{} licen[cs]e"),
-    (1, 0.95, "spdx license identifier {}"),
-    (1, 0.9, "(?:the )?{} (?:public )?licen[cs]e(?: version [0-9]+(?: [0-9]+)?)?"),
-    (1, 0.85, "licen[cs]e {}"),
+    (0, 1.0, "(?:is |are )?(?:released|licensed|distributed|published) under (?:the )?(?:terms of the |terms of )?{}(?: licen[cs]e)?", "(?:released|licensed|distributed|published) under"),
+    (0, 1.0, "permission .{{0,80}}under (?:the )?{} licen[cs]e", "licen"),
+    (1, 0.95, "spdx license identifier {}", "licen"),
+    (1, 0.9, "(?:the )?{} (?:public )?licen[cs]e(?: version [0-9]+(?: [0-9]+)?)?", "licen"),
+    (1, 0.85, "licen[cs]e {}", "licen"),
 ]
 
 #: Hand-written signatures of license texts: label, priority, score, literal, expression.
@@ -97,9 +101,17 @@ SIGNATURES = [
 
 
 def default_rules() -> list[tuple[str, int, float, str, str]]:
-    """(label, priority, score, keyword, expression), in order: each form around each name, then the signatures."""
-    made = [(label, p, s, kw, form.format(name)) for label, name, kw in FAMILIES for p, s, form in FORMS]
-    return [(label, p, s, kw, f"(?<= ){x}(?= )") for label, p, s, kw, x in made + SIGNATURES]
+    """(label, priority, score, keyword, expression, gate), in order: each form around each name, then the signatures."""
+    made = [(label, p, s, kw, form.format(name), gate) for label, name, kw in FAMILIES for p, s, form, gate in FORMS]
+    signatures = [(label, p, s, kw, x, kw) for label, p, s, kw, x in SIGNATURES]
+    return [(label, p, s, kw, f"(?<= ){x}(?= )", gate) for label, p, s, kw, x, gate in made + signatures]
+
+
+def gate_of(rules, phrases) -> str:
+    """Expression over raw texts that fits wherever a rule or phrase can; a rule without a gate has its keyword."""
+    gates = [r[5] if len(r) > 5 else re.escape(r[3]).replace("\\ ", " ") for r in rules] + [phrase for _, phrase in phrases]
+    least = [g for g in dict.fromkeys(gates) if not any(other != g and other in g for other in gates if re.fullmatch("[a-z0-9 ]+", g + other))]
+    return "(?i)" + "|".join(g.replace(" ", RAW_BETWEEN) for g in least)
 
 
 def spaces(text: Column) -> Column:
@@ -128,7 +140,7 @@ def detect(norm: Column, rules) -> Column:
     """struct(labels, score) of the matches that no match of the same or a better priority contains."""
     table_ = F.array(*[
         F.struct(F.lit(i).alias("rule"), F.lit(p).alias("priority"), F.lit(kw).alias("keyword"), F.lit(x).alias("pattern"))
-        for i, (_, p, _, kw, x) in enumerate(rules)
+        for i, (_, p, _, kw, x, *_) in enumerate(rules)
     ])
     labels, scores = F.array(*[F.lit(r[0]) for r in rules]), F.array(*[F.lit(float(r[2])) for r in rules])
     levels = sorted({r[1] for r in rules})
@@ -185,7 +197,7 @@ def scan_licenses(df: DataFrame, text: str = "text", phrases=None, rules=None) -
     """Add n_words, n_base, first_word, last_word, base_labels, labels and score."""
     phrases, rules = phrases or PHRASES, rules or default_rules()
     raw = F.coalesce(F.col(text), F.lit(""))
-    norm = F.when(raw.rlike(GATE), F.concat(F.lit(" "), F.trim(F.regexp_replace(lower_ascii(raw), BETWEEN, " ")), F.lit(" ")))
+    norm = F.when(raw.rlike(gate_of(rules, phrases)), F.concat(F.lit(" "), F.trim(F.regexp_replace(lower_ascii(raw), BETWEEN, " ")), F.lit(" ")))
     judged = F.transform(F.array(norm), lambda t: F.when(t.isNotNull(), F.struct(base_places(t, phrases).alias("base"), detect(t, rules).alias("rules"))))
     none = F.array().cast("array<string>")
     df = df.withColumn("_n", F.regexp_count(raw, F.lit(WORD)).cast("long")).withColumn("_j", F.get(judged, F.lit(0)))
