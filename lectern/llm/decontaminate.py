@@ -5,13 +5,14 @@
    its weight; words beyond ``COMMON``, and 200, weigh nothing, but for the rarest few of each item.
 3. Randomised SVD of the passages' TF-IDF matrix: each task sums its share of ``A' A W`` for a random matrix W; the
    sums are combined by Spark, and the leading right singular vectors follow from them (Nystrom).
-4. Passages and benchmark items are projected. Items within ``COSINE`` of a passage are candidates, unless the cosine
-   of the whole TF-IDF vectors is below ``CLOSE``.
+4. Passages and benchmark items are projected; an item longer than a passage is cut into windows of ``PASSAGE`` words,
+   half overlapping, that stand beside it under its id. Items of which some vector is within ``COSINE`` of a passage are
+   candidates, unless the cosine of the whole TF-IDF vectors is below ``CLOSE``.
 5. A candidate is verified on the word sequence around its passage: the longest common subsequence with the item in a
    window little longer than the item, and with the item's answer, which is its last words. Paraphrases keep most of
    the words in order; they pass where the answer is there too.
 
-The driver and each task hold the benchmark: its vocabulary, and items times ``RANK`` numbers. It is refused beyond
+The driver and each task hold the benchmark: its vocabulary, and items and their windows times ``RANK`` numbers. It is refused beyond
 ``MAX_ITEMS`` rather than cut. Statistics, decomposition and search cover every passage.
 
 Defined results: null or empty texts, and texts shorter than an item, are judged like others and match nothing they
@@ -38,6 +39,8 @@ PASSAGE, COMMON, RANK, OVERSAMPLE, COSINE, CLOSE = 48, 0.003, 96, 16, 0.35, 0.3
 FEATURES, MAX_ITEMS = 1 << 14, 1_000_000
 #: Words of an item that weigh something, however frequent.
 KEPT = 5
+#: Vectors of the benchmark that are multiplied at once.
+SLICE = 4096
 #: Shares of an item's words: enough alone; enough together with this share of its answer; the answer's share of it.
 SURE, LIKELY, ANSWERED, ANSWER = 0.8, 0.6, 0.5, 0.25
 
@@ -58,6 +61,8 @@ class Benchmark:
             if words:
                 self.ids.append(item)
                 self.items.append(np.array([self.number.setdefault(w, len(self.number)) for w in words], dtype=np.int32))
+        parts = [[x] if len(x) <= PASSAGE else [x, *(x[a : a + PASSAGE] for a in range(0, len(x) - PASSAGE // 2, PASSAGE // 2))] for x in self.items]
+        self.windows, self.item_of = [w for x in parts for w in x], np.repeat(np.arange(len(parts)), [len(x) for x in parts])
         self.columns = max(1, min(FEATURES, len(self.number)))
         self.lookup = {w + end: i for w, i in self.number.items() for end in (b"", b".", b",", b";", b":", b"!", b"?")}
         self.masks = [{int(w): sum(1 << int(p) for p in np.flatnonzero(item == w)) for w in np.unique(item)} for item in self.items]
@@ -106,32 +111,41 @@ def lcs(mask: dict[int, int], size: int, sequence: list[int]) -> int:
     return size - v.bit_count()
 
 
-def verify(bench: Benchmark, i: int, sequence: np.ndarray, start: int) -> tuple[float, float]:
-    """Best shares of the item and of its answer in the windows around the passage that starts here."""
+def verify(bench: Benchmark, i: int, sequence: np.ndarray, start: int, done: dict[int, tuple[float, float]]) -> tuple[float, float]:
+    """Best shares of the item and of its answer in the windows around the passage that starts here; done has those of
+    windows that other passages of the same document met, for items longer than a passage."""
     item, mask = bench.items[i], bench.masks[i]
     m = len(item)
     span, step = m + m // 4 + 2, max(1, m // 4)
     low, high = max(0, start - m), min(len(sequence), start + PASSAGE + m)
+    if m > PASSAGE:  # windows at multiples of the step, so that passages share them
+        low, high = low - low % step, min(len(sequence), start + PASSAGE + span)
     part = sequence[low:high]
     known = np.isin(part, item)
     count = np.concatenate([[0], np.cumsum(known)])
     best = (0.0, 0.0)
     tail = max(3, round(m * ANSWER))
     cut = max(0, m - tail)
-    for a in range(0, max(1, len(part) - span + step), step):
+    for a in range(0, start + PASSAGE - low if m > PASSAGE else max(1, len(part) - span + step), step):
         b = min(len(part), a + span)
-        if count[b] - count[a] < LIKELY * m:
+        if m > PASSAGE and low + a in done:
+            best = max(best, done[low + a])
+            continue
+        if a >= b or count[b] - count[a] < LIKELY * m:
             continue  # more words in common than there are can't be found
         window = part[a:b].tolist()
         share = lcs(mask, m, window) / m
         if share >= LIKELY:
             answer = lcs({w: x >> cut for w, x in mask.items()}, m - cut, window) / max(1, m - cut)
             best = max(best, (share, answer))
+            done[low + a] = (share, answer)
+        else:
+            done[low + a] = (0.0, 0.0)
     return best
 
 
 def close(bench: Benchmark, row: np.ndarray, column: np.ndarray, value: np.ndarray, rows: np.ndarray, items: np.ndarray) -> np.ndarray:
-    """Which pairs (row, item) have whole TF-IDF vectors with a cosine of at least CLOSE."""
+    """Which pairs (row, item or window) have whole TF-IDF vectors with a cosine of at least CLOSE."""
     n = int(row[-1]) + 1
     first = np.searchsorted(row, np.arange(n + 1))
     lengths = np.sqrt(np.bincount(row, value.astype(np.float64) ** 2, n))
@@ -141,7 +155,7 @@ def close(bench: Benchmark, row: np.ndarray, column: np.ndarray, value: np.ndarr
     key = items[pair] * np.int64(bench.columns) + column[at]
     place = np.minimum(np.searchsorted(bench.entries, key), len(bench.entries) - 1)
     both = np.where(bench.entries[place] == key, value[at] * bench.weights[column[at]], 0.0)
-    own = np.sqrt(np.bincount(bench.entries // bench.columns, bench.weights[bench.entries % bench.columns].astype(np.float64) ** 2, len(bench.items)))
+    own = np.sqrt(np.bincount(bench.entries // bench.columns, bench.weights[bench.entries % bench.columns].astype(np.float64) ** 2, len(bench.windows)))
     return np.bincount(pair, both, len(rows)) >= CLOSE * lengths[rows] * own[items]
 
 
@@ -196,7 +210,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     df[known["column"].to_numpy(dtype=int)] = known["n"]
     total = max(1, int(counts.loc[counts["column"] < 0, "n"].sum()))
     rare = df <= max(200.0, COMMON * total)
-    for item in bench.items:  # an item of frequent words only keeps its rarest ones
+    for item in bench.windows:  # an item of frequent words only keeps its rarest ones
         own = np.unique(item % bench.columns)
         if rare[own].sum() < KEPT:
             rare[own[np.argsort(df[own], kind="stable")[:KEPT]]] = True
@@ -243,12 +257,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     good = values > max(1e-9, 1e-7 * values[-1]) if len(values) else values > 0
     left = np.linalg.svd(z @ (vectors[:, good] / np.sqrt(values[good])), full_matrices=False)[0][:, :RANK] if good.any() else np.eye(bench.columns, width)
     bench.basis = left.astype(np.float32)
-    vectors = np.zeros((len(bench.items), bench.basis.shape[1]), dtype=np.float32)
-    for i, item in enumerate(bench.items):
+    vectors = np.zeros((len(bench.windows), bench.basis.shape[1]), dtype=np.float32)
+    for i, item in enumerate(bench.windows):
         names, row, column, value = weighted(np.zeros(len(item), dtype=np.int64), item.astype(np.int64) % bench.columns, weights)
         if len(names):
             vectors[i] = projected(1, row, column, value, bench.basis)[0]
-    bench.entries = np.concatenate([np.unique(i * bench.columns + item.astype(np.int64) % bench.columns) for i, item in enumerate(bench.items)])
+    bench.entries = np.concatenate([np.unique(i * bench.columns + item.astype(np.int64) % bench.columns) for i, item in enumerate(bench.windows)])
     bench.vectors = vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-12)
     ready = spark.sparkContext.broadcast(bench)
 
@@ -264,15 +278,23 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             y = projected(len(names), row, column, value, b.basis)
             y /= np.maximum(np.linalg.norm(y, axis=1, keepdims=True), 1e-12)
             doc = np.searchsorted(shift, names, side="right") - 1
+            done: dict[tuple[int, int], dict] = {}
             for a in range(0, len(y), 8192):
-                cosines = y[a : a + 8192] @ b.vectors.T
-                rows, items = np.nonzero(cosines >= COSINE)
-                good = close(b, row, column, value, rows + a, items)
-                for r, i in zip(rows[good], items[good], strict=True):
-                    d = doc[a + r]
-                    share, answer = verify(b, i, sequences[d], int(names[a + r] - shift[d]) * (PASSAGE // 2))
+                near = []
+                for v in range(0, len(b.vectors), SLICE):
+                    cosines = y[a : a + 8192] @ b.vectors[v : v + SLICE].T
+                    rows, items = np.nonzero(cosines >= COSINE)
+                    good = close(b, row, column, value, rows + a, items + v)
+                    near.append((rows[good], b.item_of[items[good] + v], cosines[rows[good], items[good]]))
+                rows, items, cosine = map(np.concatenate, zip(*near, strict=True))
+                best: dict[tuple[int, int], float] = {}
+                for r, i, x in zip(rows.tolist(), items.tolist(), cosine.tolist(), strict=True):
+                    best[r, i] = max(x, best.get((r, i), x))
+                for (r, i), x in best.items():
+                    d = int(doc[a + r])
+                    share, answer = verify(b, i, sequences[d], int(names[a + r] - shift[d]) * (PASSAGE // 2), done.setdefault((d, i), {}) if len(b.items[i]) > PASSAGE else {})
                     if share >= SURE or share >= LIKELY and answer >= ANSWERED:
-                        out.append((batch["doc_id"].iloc[d], b.ids[i], float(cosines[r, i]), share, answer))
+                        out.append((batch["doc_id"].iloc[d], b.ids[i], x, share, answer))
             yield pd.DataFrame(out, columns=[x.split()[0] for x in schema.split(", ")])
 
     found = numbered.where("doc_id IS NOT NULL").mapInPandas(search, schema)

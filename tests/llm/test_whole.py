@@ -1,8 +1,9 @@
 """What the corpus operators once left out."""
 
+import random
 import re
 
-from lectern.llm import license_scan
+from lectern.llm import decontaminate, license_scan
 
 
 def example(parsed, pick):
@@ -46,3 +47,17 @@ def test_license_texts_without_the_word(spark):
         assert set(r.labels.split(",")) & set(texts[r.text].split(",")), (r.text, r.labels)
     own = license_scan.scan_licenses(spark.createDataFrame([("On the BEER -ware terms",)], "text string"), phrases=[("b", "beer ware")], rules=[("beer", 0, 1.0, "beer ware", "(?<= )beer ware(?= )")]).first()
     assert (own.n_base, own.labels, own.score) == (1, "b,beer", 1.0)
+
+
+def test_long_items_are_found(spark):
+    rnd = random.Random(6)
+    words = [f"{a}{b}{c}" for a in "bcdfghklmnprst" for b in ("alo", "eri", "omu", "ise", "ane", "uto") for c in ("nt", "st", "rm", "lk", "d", "n")]
+    said = lambda n: rnd.choices(words, k=n)
+    items = {1: said(3000), 2: said(700), 3: said(80), 4: said(30)}
+    rows = [(10 * i + k, " ".join([*said(37 * k), *item, *said(11 * k)])) for i, item in items.items() for k in range(4)]
+    changed = [w if rnd.random() > 0.12 else "other" for w in items[1]]
+    rows += [(50, " ".join(said(500) + changed + said(90))), (60, " ".join(items[1][:1500])), (61, " ".join(said(4000)))]
+    table = spark.createDataFrame([(i, " ".join(x)) for i, x in items.items()], "item_id long, text string")
+    found = {(r.doc_id, r.item_id): r.share for r in decontaminate.contaminated(spark.createDataFrame(rows, "doc_id long, text string"), table).collect()}
+    assert set(found) == {(10 * i + k, i) for i in items for k in range(4)} | {(50, 1)}
+    assert all(share == 1.0 for (d, _), share in found.items() if d != 50) and found[50, 1] > 0.8
