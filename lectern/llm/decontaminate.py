@@ -1,6 +1,7 @@
 """Benchmark decontamination: latent semantic retrieval, then longest-common-subsequence and answer checks.
 
-1. One pass over the texts turns words into numbers of the benchmark's vocabulary (other words become -1), written once.
+1. One pass over the texts turns words, without the punctuation at their ends, into numbers of the benchmark's vocabulary
+   (other words become -1), written once. Words of punctuation alone are no words, in texts and items.
 2. Passages are windows of ``PASSAGE`` words, half overlapping. How often each word stands, to the number of passages, gives
    its weight; words beyond ``COMMON``, and 200, weigh nothing, but for the rarest few of each item.
 3. Randomised SVD of the passages' TF-IDF matrix: each task sums its share of ``A' A W`` for a random matrix W; the
@@ -51,6 +52,20 @@ def words_of(text: str | None) -> list[bytes]:
     return [w for w in (_TRIM.sub(b"", w) for w in (text or "").encode(errors="replace").lower().split()) if w]
 
 
+class Lookup(dict):
+    """Numbers of words as they stand in texts: -1 for words of no item, -2 for punctuation alone. Words that are not
+    in it are trimmed as those of items; up to KNOWN of them are remembered."""
+
+    KNOWN = 1 << 18
+
+    def __missing__(self, word: bytes) -> int:
+        trimmed = _TRIM.sub(b"", word)
+        found = self.get(trimmed, -1) if trimmed else -2
+        if len(self) < self.KNOWN and len(word) < 32:
+            self[word] = found
+        return found
+
+
 class Benchmark:
     """Vocabulary, items as number sequences, and the weights once they are known."""
 
@@ -64,14 +79,14 @@ class Benchmark:
         parts = [[x] if len(x) <= PASSAGE else [x, *(x[a : a + PASSAGE] for a in range(0, len(x) - PASSAGE // 2, PASSAGE // 2))] for x in self.items]
         self.windows, self.item_of = [w for x in parts for w in x], np.repeat(np.arange(len(parts)), [len(x) for x in parts])
         self.columns = max(1, min(FEATURES, len(self.number)))
-        self.lookup = {w + end: i for w, i in self.number.items() for end in (b"", b".", b",", b";", b":", b"!", b"?")}
+        self.lookup = Lookup(self.number)
         self.masks = [{int(w): sum(1 << int(p) for p in np.flatnonzero(item == w)) for w in np.unique(item)} for item in self.items]
         self.weights = self.vectors = self.basis = self.entries = None
 
     def sequence(self, text: bytes) -> np.ndarray:
         words = text.lower().split()
-        found = np.fromiter((self.lookup.get(w, -1) for w in words), dtype=np.int32, count=len(words))
-        return found
+        found = np.fromiter(map(self.lookup.__getitem__, words), dtype=np.int32, count=len(words))
+        return found[found != -2]
 
 
 def passages(sequence: np.ndarray, columns: int) -> tuple[np.ndarray, np.ndarray]:

@@ -61,3 +61,15 @@ def test_long_items_are_found(spark):
     found = {(r.doc_id, r.item_id): r.share for r in decontaminate.contaminated(spark.createDataFrame(rows, "doc_id long, text string"), table).collect()}
     assert set(found) == {(10 * i + k, i) for i in items for k in range(4)} | {(50, 1)}
     assert all(share == 1.0 for (d, _), share in found.items() if d != 50) and found[50, 1] > 0.8
+
+
+def test_words_in_punctuation_are_found(spark):
+    rnd = random.Random(3)
+    words = [f"{a}{b}{c}" for a in "bdfgk" for b in ("alo", "eri", "omu", "ise") for c in ("nt", "st", "rm", "lk")]
+    items = [(i, " ".join(rnd.sample(words, 25))) for i in range(12)]
+    dress = ["({})", '"{}"', "**{}**", "${}$", "{}).", "{}?!", "- {}", "[{}]", "{}"]
+    dressed = [(i, " ".join(dress[k % 8 if i < 8 else (i + k) % 9].format(w) for k, w in enumerate(t.split()))) for i, t in items]
+    found = decontaminate.contaminated(spark.createDataFrame(dressed, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id, r.share) for r in found} == {(i, i, 1.0) for i, _ in items}
+    bench = decontaminate.Benchmark([(1, "alpha beta")])
+    assert bench.sequence(b"(alpha) ** -- 'beta'?! gamma. Alpha").tolist() == [0, 1, -1, 0]
