@@ -3,8 +3,8 @@
 Equal strings of that length hold the same content-chosen anchor: the gram of ``GRAM`` bytes with the least hash among
 the ``LENGTH - GRAM + 1`` of them. So it is enough to look around anchors that occur more than once.
 
-1. One pass writes each document's anchors. Of documents with equal bytes the first stands for all: the others, and it
-   too, repeat throughout.
+1. One pass writes each document's anchors. Texts are named by the digest of their bytes, whatever their ids. Of documents
+   with equal bytes one stands for all: the others, and it too, repeat throughout.
 2. Around each anchor that occurs again lies a window: all bytes of the strings that it is the anchor of. Windows with equal
    bytes repeat throughout; one of them stays as a partner for the others.
 3. Different windows around the same gram go to one block. A block's suffix array gives its Burrows-Wheeler transform.
@@ -17,8 +17,8 @@ the ``LENGTH - GRAM + 1`` of them. So it is enough to look around anchors that o
 
 Every step shuffles rows that are bounded by the text, no group of copies meets in one task, nothing is capped.
 
-Defined results: a null or empty text has no bytes. Matches never cross documents. Rows that share id and bytes are
-copies of each other; rows without an id are judged with the others. Removal is judged on the input.
+Defined results: a null or empty text has no bytes. Matches never cross documents. Rows of equal bytes are
+copies of each other, whether they share an id or not; rows without an id are judged with the others. Removal is judged on the input.
 """
 
 from __future__ import annotations
@@ -77,31 +77,31 @@ def anchors(buf: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np
 
 
 def anchored(docs: DataFrame) -> DataFrame:
-    """doc_id, digest, n_bytes, and for each anchor its position, hash, and first and last string before it."""
+    """doc_id, key, n_bytes, and for each anchor its position, hash, and first and last string before it."""
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for doc, data in zip(batch.column("doc_id").to_pylist(), batch.column("data").to_pylist(), strict=True):
+            for doc, key, data in zip(batch.column("doc_id").to_pylist(), batch.column("key").to_pylist(), batch.column("data").to_pylist(), strict=True):
                 at, h, head, tail = anchors(np.frombuffer(data, dtype=np.uint8))
-                rows.append((doc, hashlib.md5(data).digest(), len(data), at.astype(np.int32), h.view(np.int64), (at - head).astype(np.int32), (at - tail).astype(np.int32)))
-            names = ["doc_id", "digest", "n_bytes", "positions", "hashes", "heads", "tails"]
+                rows.append((doc, key, len(data), at.astype(np.int32), h.view(np.int64), (at - head).astype(np.int32), (at - tail).astype(np.int32)))
+            names = ["doc_id", "key", "n_bytes", "positions", "hashes", "heads", "tails"]
             kinds = [pa.int64(), pa.binary(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int32())]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows) if rows else [()] * 7, kinds, strict=True)], names)
 
-    columns = "doc_id long, digest binary, n_bytes long, positions array<int>, hashes array<long>, heads array<int>, tails array<int>"
-    return docs.select("doc_id", "data").mapInArrow(made, columns)
+    columns = "doc_id long, key binary, n_bytes long, positions array<int>, hashes array<long>, heads array<int>, tails array<int>"
+    return docs.select("doc_id", "key", "data").mapInArrow(made, columns)
 
 
 def windows(placed: DataFrame, with_data: bool) -> DataFrame:
-    """A row for each of a document's anchors in the list x: its fields, and the window or its digest."""
+    """A row for each of a text's anchors in the list x: its fields, and the window or its digest."""
     fields = ["at", "h", "head", "tail"] + ["copies", "different"] * with_data
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = {"doc_id": pa.int64(), "at": pa.int32(), "h": pa.int64(), "head": pa.int32(), "tail": pa.int32(), "copies": pa.int64(), "different": pa.int64(), "window": pa.binary()}
-        names = ["doc_id", *fields, "window"]
+        kinds = {"key": pa.binary(), "at": pa.int32(), "h": pa.int64(), "head": pa.int32(), "tail": pa.int32(), "copies": pa.int64(), "different": pa.int64(), "window": pa.binary()}
+        names = ["key", *fields, "window"]
         for batch in batches:
-            cols = [batch.column(c).to_pylist() for c in ("doc_id", "data", *fields)]
+            cols = [batch.column(c).to_pylist() for c in ("key", "data", *fields)]
             for k in range(0, len(cols[0]), 20):
                 rows = []
                 for doc, data, *found in zip(*(c[k : k + 20] for c in cols), strict=True):
@@ -110,8 +110,8 @@ def windows(placed: DataFrame, with_data: bool) -> DataFrame:
                         rows.append((doc, *x, part if with_data else hashlib.md5(part + x[2].to_bytes(2, "little")).digest()))
                 yield pa.RecordBatch.from_arrays([pa.array(c, kinds[n]) for c, n in zip(zip(*rows) if rows else [()] * len(names), names, strict=True)], names)
 
-    schema = "doc_id long, at int, h long, head int, tail int, " + "copies long, different long, " * with_data + "window binary"
-    return placed.select("doc_id", "data", *[F.col(f"x.{c}").alias(c) for c in fields]).mapInArrow(made, schema)
+    schema = "key binary, at int, h long, head int, tail int, " + "copies long, different long, " * with_data + "window binary"
+    return placed.select("key", "data", *[F.col(f"x.{c}").alias(c) for c in fields]).mapInArrow(made, schema)
 
 
 def suffix_array(text: np.ndarray) -> np.ndarray:
@@ -198,21 +198,21 @@ def runs(starts: np.ndarray) -> Iterator[tuple[int, int]]:
 
 
 def judge_block(block: pd.DataFrame) -> pd.DataFrame:
-    """Spans [start, end) of documents; block: doc_id, first (place of the part's first byte), part, copies."""
-    docs, code = np.unique(block["doc_id"].to_numpy(), return_inverse=True)
+    """Spans [start, end) of texts; block: key, first (place of the part's first byte), part, copies."""
+    docs, code = np.unique(block["key"].to_numpy(), return_inverse=True)
     first = block["first"].to_numpy(dtype=np.int64)
     found = repeated_starts(list(block["part"]), (code.astype(np.int64) << 34) + first, block["copies"].to_numpy() > 1)
-    rows = [(d, f + a, f + b + LENGTH) for d, f, starts in zip(block["doc_id"], first, found, strict=True) for a, b in runs(starts)]
-    return pd.DataFrame(rows, columns=["doc_id", "start", "end"], dtype="int64")
+    rows = [(d, f + a, f + b + LENGTH) for d, f, starts in zip(block["key"], first, found, strict=True) for a, b in runs(starts)]
+    return pd.DataFrame(rows, columns=["key", "start", "end"]).astype({"start": "int64", "end": "int64"})
 
 
-SPAN = "doc_id long, start long, end long"
+SPAN = "key binary, start long, end long"
 
 
-def judged(parts: DataFrame, key: str, total: int) -> DataFrame:
-    """Spans from parts (key, doc_id, first, part, copies): parts with the same key meet in one block."""
+def judged(parts: DataFrame, by: str, total: int) -> DataFrame:
+    """Spans from parts (by, key, first, part, copies): parts with the same value of by meet in one block."""
     blocks = max(1, -(-total // IN_BLOCK))
-    return parts.withColumn("_block", F.pmod(F.xxhash64(key), F.lit(blocks))).groupBy("_block").applyInPandas(lambda b: judge_block(b), SPAN)
+    return parts.withColumn("_block", F.pmod(F.xxhash64(by), F.lit(blocks))).groupBy("_block").applyInPandas(lambda b: judge_block(b), SPAN)
 
 
 def slices(rows: DataFrame) -> DataFrame:
@@ -228,70 +228,75 @@ def slices(rows: DataFrame) -> DataFrame:
                     a, b = max(0, low), min(high, last)
                     if a <= b:
                         core = hashlib.md5(r.window[high : low + LENGTH] + k.to_bytes(2, "little") + r.h.to_bytes(8, "little", signed=True))
-                        out.append((core.digest(), r.doc_id, r.at - left + a, r.window[a : b + LENGTH], r.copies))
-            yield pd.DataFrame(out, columns=["core", "doc_id", "first", "part", "copies"])
+                        out.append((core.digest(), r.key, r.at - left + a, r.window[a : b + LENGTH], r.copies))
+            yield pd.DataFrame(out, columns=["core", "key", "first", "part", "copies"])
 
-    return rows.select("doc_id", "at", "h", "head", "window", "copies").mapInPandas(made, "core binary, doc_id long, first long, part binary, copies long")
+    return rows.select("key", "at", "h", "head", "window", "copies").mapInPandas(made, "core binary, key binary, first long, part binary, copies long")
 
 
 def digests(rows: DataFrame) -> DataFrame:
     def made(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = [
-                (hashlib.md5(r.part[i : i + LENGTH]).digest(), r.doc_id, r.first + i, r.copies)
+                (hashlib.md5(r.part[i : i + LENGTH]).digest(), r.key, r.first + i, r.copies)
                 for r in batch.itertuples()
                 for i in range(len(r.part) - LENGTH + 1)
             ]
-            yield pd.DataFrame(out, columns=["digest", "doc_id", "start", "copies"])
+            yield pd.DataFrame(out, columns=["digest", "key", "start", "copies"])
 
-    return rows.select("doc_id", "first", "part", "copies").mapInPandas(made, "digest binary, doc_id long, start long, copies long")
+    return rows.select("key", "first", "part", "copies").mapInPandas(made, "digest binary, key binary, start long, copies long")
 
 
 def by_digest(parts: DataFrame) -> DataFrame:
     """Spans of the strings of parts that occur in more than one place."""
     strings = digests(parts)
-    place = F.struct("doc_id", "start")
+    place = F.struct("key", "start")
     twice = strings.groupBy("digest").agg(F.max("copies").alias("n"), F.min(place).alias("lo"), F.max(place).alias("hi")).where("n > 1 OR lo <> hi").select("digest")
-    return strings.join(twice, "digest").select("doc_id", "start", (F.col("start") + LENGTH).alias("end"))
+    return strings.join(twice, "digest").select("key", "start", (F.col("start") + LENGTH).alias("end"))
 
 
 def repeated_spans(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
-    """base (doc_id, digest, n_bytes), with copied set where other rows have the same bytes, and spans of the others."""
+    """Rows (doc_id, key) with copied set where other rows have the same bytes, and spans of the texts by key."""
     base = scratch.write(anchored(docs))
-    texts = base.groupBy("digest").agg(F.min("doc_id").alias("first"), F.count("*").alias("rows"))
-    texts = scratch.write(texts)
-    firsts = base.join(texts, [base["digest"] == texts["digest"], F.col("doc_id").eqNullSafe(F.col("first"))], "left_semi").dropDuplicates(["digest"])
-    grams = firsts.select("doc_id", F.explode(F.arrays_zip("positions", "hashes", "heads", "tails")).alias("x"))
-    grams = grams.select("doc_id", F.col("x.positions").alias("at"), F.col("x.hashes").alias("h"), F.col("x.heads").alias("head"), F.col("x.tails").alias("tail"))
+    texts = scratch.write(base.groupBy("key").agg(F.min("doc_id").alias("first"), F.count("*").alias("rows")))
+    firsts = base.dropDuplicates(["key"])
+    grams = firsts.select("key", F.explode(F.arrays_zip("positions", "hashes", "heads", "tails")).alias("x"))
+    grams = grams.select("key", F.col("x.positions").alias("at"), F.col("x.hashes").alias("h"), F.col("x.heads").alias("head"), F.col("x.tails").alias("tail"))
     twice = grams.groupBy("h").count().where("count > 1").select("h")
     held = scratch.write(grams.join(twice, "h"))
-    placed = held.groupBy(F.col("doc_id").alias("d")).agg(F.collect_list(F.struct("at", "h", "head", "tail")).alias("x"))  # at most the document's anchors
-    seen = scratch.write(windows(docs.join(placed, F.col("doc_id") == F.col("d")).dropDuplicates(["doc_id"]), False))
 
-    place = F.struct("doc_id", "at", "head", "tail")
+    def with_text(lists: DataFrame) -> DataFrame:
+        """Lists of texts (d, x) beside the bytes of one row of each text: of its least id, so that copies don't meet."""
+        chosen = lists.join(texts.select("key", "first"), F.col("d") == F.col("key")).drop("key")
+        return docs.join(chosen, (F.col("key") == F.col("d")) & F.col("doc_id").eqNullSafe(F.col("first"))).dropDuplicates(["key"])
+
+    placed = held.groupBy(F.col("key").alias("d")).agg(F.collect_list(F.struct("at", "h", "head", "tail")).alias("x"))  # at most the text's anchors
+    seen = scratch.write(windows(with_text(placed), False))
+
+    place = F.struct("key", "at", "head", "tail")
     kinds = scratch.write(seen.groupBy("h", "window").agg(F.min(place).alias("x"), F.count("*").alias("copies")))
     copied = seen.join(kinds.where("copies > 1").select("h", "window"), ["h", "window"], "left_semi")
-    whole = copied.select("doc_id", (F.col("at") - F.col("head")).cast("long").alias("start"), (F.col("at") - F.col("tail") + LENGTH).cast("long").alias("end"))
+    whole = copied.select("key", (F.col("at") - F.col("head")).cast("long").alias("start"), (F.col("at") - F.col("tail") + LENGTH).cast("long").alias("end"))
 
     different = kinds.groupBy("h").agg(F.count("*").alias("different")).where("different > 1")
-    mixed = kinds.join(different, "h").groupBy(F.col("x.doc_id").alias("d")).agg(F.collect_list(F.struct("x.at", "h", "x.head", "x.tail", "copies", "different")).alias("x"))
-    rows = scratch.write(windows(docs.join(mixed, F.col("doc_id") == F.col("d")).dropDuplicates(["doc_id"]), True))
+    mixed = kinds.join(different, "h").groupBy(F.col("x.key").alias("d")).agg(F.collect_list(F.struct("x.at", "h", "x.head", "x.tail", "copies", "different")).alias("x"))
+    rows = scratch.write(windows(with_text(mixed), True))
     total = rows.count()
-    few = rows.where(F.col("different") <= MANY).select("h", "doc_id", (F.col("at") - F.col("head")).cast("long").alias("first"), F.col("window").alias("part"), "copies")
+    few = rows.where(F.col("different") <= MANY).select("h", "key", (F.col("at") - F.col("head")).cast("long").alias("first"), F.col("window").alias("part"), "copies")
     spans = whole.unionByName(judged(few, "h", total))
 
     many = rows.where(F.col("different") > MANY)
     if not many.isEmpty():
         sliced = scratch.write(slices(many))
-        equal = scratch.write(sliced.groupBy("core", "part").agg(F.min(F.struct("doc_id", "first")).alias("x"), F.sum("copies").alias("n")))
+        equal = scratch.write(sliced.groupBy("core", "part").agg(F.min(F.struct("key", "first")).alias("x"), F.sum("copies").alias("n")))
         same = sliced.join(equal.where("n > 1").select("core", "part"), ["core", "part"], "left_semi")
-        spans = spans.unionByName(same.select("doc_id", F.col("first").alias("start"), (F.col("first") + F.length("part")).alias("end")))
+        spans = spans.unionByName(same.select("key", F.col("first").alias("start"), (F.col("first") + F.length("part")).alias("end")))
         left = equal.groupBy("core").agg(F.count("*").alias("different")).where("different > 1")
-        left = scratch.write(equal.join(left, "core").select("core", "x.doc_id", "x.first", "part", F.col("n").alias("copies"), "different"))
+        left = scratch.write(equal.join(left, "core").select("core", "x.key", "x.first", "part", F.col("n").alias("copies"), "different"))
         small, large = left.where(F.col("different") <= MANY), left.where(F.col("different") > MANY)
         spans = spans.unionByName(judged(small, "core", left.count())).unionByName(by_digest(large))
-    copies = texts.where("rows > 1").select(F.col("digest").alias("c"))
-    return base.select("doc_id", "digest", "n_bytes").join(copies, F.col("digest") == F.col("c"), "left").withColumn("copied", F.col("c").isNotNull()).drop("c"), spans
+    copies = texts.where("rows > 1").select(F.col("key").alias("c"))
+    return base.select("doc_id", "key").join(copies, F.col("key") == F.col("c"), "left").withColumn("copied", F.col("c").isNotNull()).drop("c"), spans
 
 
 def dedup_substrings(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -300,11 +305,13 @@ def dedup_substrings(docs: DataFrame, key: str = "doc_id", text: str = "text") -
     small_batches(spark, 200)
     scratch = Scratch(spark, "suffix")
     docs = docs.select(F.col(key).cast("long").alias("doc_id"), F.encode(F.coalesce(text, F.lit("")), "UTF-8").alias("data"))
+    docs = docs.withColumn("key", F.unhex(F.md5("data")))
     base, spans = repeated_spans(docs, scratch)
     spans = scratch.write(spans)
-    merged = spans.groupBy("doc_id").agg(F.collect_set(F.struct("start", "end")).alias("spans"))  # at most the document's bytes
-    state = base.groupBy("doc_id").agg(F.max("copied").alias("copied")).join(merged, "doc_id", "left").where("copied OR spans IS NOT NULL")
-    joined = docs.join(state.select(F.col("doc_id").alias("d"), "copied", "spans"), F.col("doc_id") == F.col("d"), "left")
+    merged = spans.groupBy("key").agg(F.collect_set(F.struct("start", "end")).alias("spans"))  # at most the text's bytes
+    state = base.distinct().join(merged, "key", "left").where("copied OR spans IS NOT NULL")  # copies go as a whole
+    state = state.select(F.col("doc_id").alias("i"), F.col("key").alias("d"), "copied", F.when(~F.col("copied"), F.col("spans")).alias("spans"))
+    joined = docs.join(state, (F.col("key") == F.col("d")) & F.col("doc_id").eqNullSafe(F.col("i")), "left")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

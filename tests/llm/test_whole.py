@@ -3,7 +3,7 @@
 import random
 import re
 
-from lectern.llm import decontaminate, license_scan
+from lectern.llm import decontaminate, license_scan, suffix_dedup
 
 
 def example(parsed, pick):
@@ -73,3 +73,27 @@ def test_words_in_punctuation_are_found(spark):
     assert {(r.doc_id, r.item_id, r.share) for r in found} == {(i, i, 1.0) for i, _ in items}
     bench = decontaminate.Benchmark([(1, "alpha beta")])
     assert bench.sequence(b"(alpha) ** -- 'beta'?! gamma. Alpha").tolist() == [0, 1, -1, 0]
+
+
+def test_suffixes_of_rows_without_or_with_shared_ids(spark):
+    rnd = random.Random(9)
+    text = lambda n: "".join(rnd.choices("abcdefghij klm", k=n))
+    passage, copy, own = text(400), text(500), text(600)
+    rows = [
+        (None, text(300) + passage + text(50)), (1, text(70) + passage + text(300)), (None, copy), (2, copy), (None, text(350)), (3, own),
+        (3, text(250) + passage), (4, own), (3, text(320)), (None, None), (None, passage), (5, passage[:250] + text(400)), (3, own[:150]), (3, own[:150]),
+    ]
+    seen, texts = {}, [t or "" for _, t in rows]
+    for t in texts:
+        for i in range(len(t) - 199):
+            seen[t[i : i + 200]] = seen.get(t[i : i + 200], 0) + 1
+    want = []
+    for (d, _), t in zip(rows, texts, strict=True):
+        gone = [False] * len(t)
+        for i in range(len(t) - 199):
+            if seen[t[i : i + 200]] > 1:
+                gone[i : i + 200] = [True] * 200
+        want.append((str(d), len(t), "".join(c for c, g in zip(t, gone, strict=True) if not g)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = [(str(r.doc_id), r.n_bytes, bytes(r.data).decode()) for r in suffix_dedup.dedup_substrings(df).collect()]
+    assert sorted(found) == sorted(want)
