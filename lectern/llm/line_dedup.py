@@ -1,7 +1,9 @@
 """Line dedup: exact set-similarity join, built-in functions only.
 
 A line's tokens are its distinct five-word shingles, in lower case. A line of at least five words is removed if an
-earlier line, by document id and line number, has Jaccard similarity 0.8 or more with it; shorter lines stay.
+earlier line, by document id and line number, has Jaccard similarity 0.8 or more with it. With ``short``, as in
+``dedup_lines`` and the pipeline, a shorter line has one token, its whole word sequence, and goes if it repeats an earlier
+one; the query follows its SQL, by which shorter lines stay.
 
 1. One scan turns each line into 32-bit token ids, written once. They choose candidates only.
 2. Frequent ids are counted over all lines by a sketch of bounded size. Tokens are ordered by rarity: those outside the
@@ -12,7 +14,7 @@ earlier line, by document id and line number, has Jaccard similarity 0.8 or more
 5. Candidates are verified by Jaccard on the words themselves. A set without an earlier match among these then meets
    the other earlier sets of its tokens, so nothing is lost, yet a group of near copies is not expanded into pairs.
 
-Defined results: null text has no lines. Empty lines stay. Rows that share an id count as one document; rows without
+Defined results: null text has no lines. Lines without words stay. Rows that share an id count as one document; rows without
 an id are not judged and keep all lines. Other columns are kept. An empty table gives an empty result.
 """
 
@@ -24,7 +26,7 @@ from pyspark.sql import functions as F
 
 from .common import Scratch, table
 
-WORDS = 5
+WORDS, BLANKS = 5, " \t\r\f\x0B"
 #: The threshold as a fraction.
 NUM, DEN = 4, 5
 FREQUENT, TRACKED, SALTS = 2000, 50_000, 32
@@ -37,7 +39,7 @@ BROADCAST_LINES = 500_000
 
 
 def words_of(line: Column) -> Column:
-    return F.split(F.trim(F.lower(line)), r"[ \t\r\f\x0B]+")
+    return F.split(F.btrim(F.lower(line), F.lit(BLANKS)), r"[ \t\r\f\x0B]+")
 
 
 def once(value: Column, use) -> Column:
@@ -69,6 +71,23 @@ def shingles(words: Column) -> Column:
     )
 
 
+def with_short(words: Column, long, one) -> Column:
+    """Tokens of a line: ``long`` of its words, or below five words one token, ``one`` of them; none without words."""
+
+    def made(w: Column) -> Column:
+        return F.when(F.size(w) >= WORDS, long(w)).when(F.get(w, F.lit(0)) == "", F.slice(long(w), 1, 0)).otherwise(F.array(one(w)))
+
+    return once(words, made)
+
+
+def ids_of(line: Column, short: bool) -> Column:
+    return with_short(words_of(line), shingle_ids, F.hash) if short else shingle_ids(words_of(line))
+
+
+def tokens_of(line: Column, short: bool) -> Column:
+    return with_short(words_of(line), shingles, lambda w: F.array_join(w, " ")) if short else shingles(words_of(line))
+
+
 def lines_of(docs: DataFrame) -> DataFrame:
     """doc_id, line (from 0), text of each line."""
     rows = docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
@@ -84,12 +103,12 @@ def long_enough(n: Column, m: Column) -> Column:
     return (n * DEN >= m * NUM) & (m * DEN >= n * NUM)
 
 
-def removed_lines(docs: DataFrame) -> DataFrame:
-    """doc_id, n_lines, judged (lines of at least five words), kept (numbers of the judged lines that stay)."""
+def removed_lines(docs: DataFrame, short: bool = False) -> DataFrame:
+    """doc_id, n_lines, judged (lines of at least five words; with short, of any), kept (numbers of the judged lines that stay)."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "lines")
     line = F.trim(F.lower(F.col("text")))
-    sets = lines_of(docs).select("doc_id", "line", F.xxhash64(line).alias("h"), shingle_ids(words_of(F.col("text"))).alias("ids"))
+    sets = lines_of(docs).select("doc_id", "line", F.xxhash64(line).alias("h"), ids_of(F.col("text"), short).alias("ids"))
     sets = scratch.write(sets.select("doc_id", "line", "h", F.size("ids").alias("n"), "ids"))
     counts = scratch.write(sets.groupBy("doc_id", "line").agg(F.max("n").alias("n")).groupBy("doc_id").agg(F.count("*").alias("n_lines"), F.sum((F.col("n") > 0).cast("long")).alias("judged")))
     judged = sets.where("n > 0")
@@ -134,7 +153,7 @@ def removed_lines(docs: DataFrame) -> DataFrame:
 
     others = F.array_distinct(F.array_compact(F.array("pivot", *[f"near{k}" for k in NEIGHBOURS])))
     starred = scratch.write(candidates(lists.where("at > 1").withColumn("other", F.explode(others))))
-    matched = scratch.write(verified(scratch, docs, starred))
+    matched = scratch.write(verified(scratch, docs, starred, short))
     # A pivot's salt list, or a list whose pivot did not match, may still hold an earlier match.
     lists = lists.drop("pivot", *[f"near{k}" for k in NEIGHBOURS])
     open_ = lists.withColumn("first", own).join(matched, "first", "left_anti").where((F.col("at") > 2) | (F.col("token") >= SALTED))
@@ -142,14 +161,14 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     met = open_.drop("first").join(other, (F.col("token") == F.col("o_token")) & (place("other") < own))
     rest = scratch.write(candidates(met).join(starred, ["first", "other_first"], "left_anti"))
     if not rest.isEmpty():
-        matched = matched.unionByName(verified(scratch, docs, rest)).distinct()
+        matched = matched.unionByName(verified(scratch, docs, rest, short)).distinct()
     stay = distinct.select("doc_id", "line").join(matched.select("first.*"), ["doc_id", "line"], "left_anti")
     kept = stay.groupBy("doc_id").agg(F.sort_array(F.collect_list("line")).alias("kept"))  # at most the document's lines
     none = F.array().cast("array<int>")
     return counts.join(kept, "doc_id", "left").withColumn("kept", F.coalesce("kept", none))
 
 
-def verified(scratch: Scratch, docs: DataFrame, pairs: DataFrame) -> DataFrame:
+def verified(scratch: Scratch, docs: DataFrame, pairs: DataFrame, short: bool) -> DataFrame:
     """first of the pairs whose Jaccard similarity, on the words themselves, reaches the threshold."""
     wanted = pairs.select(F.col("first.*")).union(pairs.select(F.col("other_first.*"))).distinct()
     if wanted.count() <= BROADCAST_LINES:
@@ -157,7 +176,7 @@ def verified(scratch: Scratch, docs: DataFrame, pairs: DataFrame) -> DataFrame:
         found = lines_of(near).join(F.broadcast(wanted), ["doc_id", "line"], "left_semi")
     else:
         found = lines_of(docs.join(wanted.select("doc_id").distinct(), "doc_id", "left_semi")).join(wanted, ["doc_id", "line"], "left_semi")
-    lines = scratch.write(found.select(F.struct("doc_id", "line").alias("place"), "text", shingle_ids(words_of(F.col("text"))).alias("ids")))
+    lines = scratch.write(found.select(F.struct("doc_id", "line").alias("place"), "text", ids_of(F.col("text"), short).alias("ids")))
 
     def similar(a: str, b: str) -> Column:
         common = F.size(F.array_intersect(a, b))
@@ -169,18 +188,18 @@ def verified(scratch: Scratch, docs: DataFrame, pairs: DataFrame) -> DataFrame:
         return df
 
     likely = scratch.write(joined(pairs, "ids").where(similar("a", "b")).select("first", "other_first"))  # ids are short to send
-    both = joined(likely, "text").select("first", shingles(words_of(F.col("a"))).alias("a"), shingles(words_of(F.col("b"))).alias("b"))
+    both = joined(likely, "text").select("first", tokens_of(F.col("a"), short).alias("a"), tokens_of(F.col("b"), short).alias("b"))
     return both.where(similar("a", "b")).select("first").distinct()
 
 
 def dedup_lines(docs: DataFrame) -> DataFrame:
     """Documents without the removed lines, and n_lines, n_removed, removed (numbers of the removed lines)."""
-    found = removed_lines(docs).withColumnRenamed("doc_id", "_id")
+    found = removed_lines(docs, short=True).withColumnRenamed("doc_id", "_id")
     joined = docs.drop("n_lines", "judged", "kept", "n_removed").join(found, F.col("doc_id") == F.col("_id"), "left")
     pieces = F.split("text", "\n")
 
     def stays(kept: Column, line: Column, i: Column) -> Column:
-        return (F.size(words_of(line)) < WORDS) | F.array_contains(kept, i)
+        return (F.btrim(line, F.lit(BLANKS)) == "") | F.array_contains(kept, i)
 
     text = F.when(F.col("kept").isNull() | (F.size("kept") == F.col("judged")), F.col("text")).otherwise(
         F.array_join(F.filter(pieces, lambda line, i: stays(F.col("kept"), line, i)), "\n")

@@ -3,7 +3,7 @@
 import random
 import re
 
-from lectern.llm import decontaminate, license_scan, suffix_dedup
+from lectern.llm import decontaminate, license_scan, line_dedup, suffix_dedup
 
 
 def example(parsed, pick):
@@ -97,3 +97,9 @@ def test_suffixes_of_rows_without_or_with_shared_ids(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     found = [(str(r.doc_id), r.n_bytes, bytes(r.data).decode()) for r in suffix_dedup.dedup_substrings(df).collect()]
     assert sorted(found) == sorted(want)
+
+
+def test_short_lines_that_repeat_go(spark):
+    rows = [(1, "All rights reserved.\n\nfirst line of five words\n \t\n end"), (2, "all  rights reserved. \n\nend of it\nEnd\r\n\r\n \t\nAll rights"), (3, "first line of five words\n***\n***"), (None, "end")]
+    found = {r.doc_id: (r.text, r.n_removed) for r in line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert found == {1: (rows[0][1], 0), 2: ("\nend of it\n\r\n \t\nAll rights", 2), 3: ("***", 2), None: ("end", 0)}
