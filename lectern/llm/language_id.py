@@ -9,7 +9,8 @@ Four sources speak about each document's language, and their logarithms are adde
   those towards the counts of the whole table. The counts are grouped aggregates over all rows.
 
 The text model is fitted on a bounded sample of rows whose language is declared: about ``SAMPLE`` for each language,
-chosen by a hash of their id. Everything else covers all rows.
+chosen by a hash of their id. Everything else covers all rows. Every declared value is a language; more than
+``MAX_LANGUAGES`` are refused with an error, as driver and tasks hold 64 kB for each.
 
 Defined results: a null, empty or letterless text has no text evidence; the other sources decide, or it is rejected.
 A document is rejected (``kept`` false, ``lang`` 'und') if a model without any language explains its trigrams better
@@ -29,11 +30,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import small_batches, table
+from .common import Scratch, small_batches, table
 
-SAMPLE, MAX_LANGUAGES = 1500, 64
+SAMPLE, MAX_LANGUAGES = 1500, 1024
 TRIGRAMS, DECLARED, SUFFIX, SMOOTHING = 120, 0.9, 0.8, 20.0
-#: Host priors are broadcast up to so many hosts; beyond, they are joined by a shuffle, with large hosts broadcast.
+#: Host priors are broadcast up to so many hosts (fewer, if there are more than 64 languages); beyond, they are joined by a shuffle, with large hosts broadcast.
 MAX_HOSTS, LARGE = 100_000, 1000
 
 #: Country suffixes and the language that they speak for.
@@ -55,17 +56,24 @@ def trigrams(text: bytes) -> np.ndarray:
 
 
 def languages_of(docs: DataFrame, declared: str) -> dict[str, int]:
-    rows = docs.where(F.trim(declared) != "").groupBy(declared).count().orderBy(F.desc("count"), declared).limit(MAX_LANGUAGES).collect()
+    rows = docs.where(F.trim(declared) != "").groupBy(declared).count().limit(MAX_LANGUAGES + 1).collect()
+    if len(rows) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} declared languages")
     return {r[0]: r["count"] for r in sorted(rows, key=lambda r: r[0])}
 
 
+def numbered(said: Column, values) -> Column:
+    """The value beside this language; null for others."""
+    return F.try_element_at(F.create_map(*[F.lit(x) for pair in values.items() for x in pair]), said)
+
+
 def fit(docs: DataFrame, text: str, declared: str, key: str, sample: int = SAMPLE) -> tuple[list[str], np.ndarray]:
     """Languages, and log-likelihood of each bucket by language; the last column is the model without a language."""
     counts = languages_of(docs, declared)
     languages = list(counts)
     if not languages:
         return [], np.zeros((1 << BITS, 1), dtype=np.float32)
-    share = F.coalesce(*[F.when(F.col(declared) == x, F.lit(min(1.0, sample / n))) for x, n in counts.items()])
+    share = numbered(F.col(declared), {x: min(1.0, sample / n) for x, n in counts.items()})
     chosen = docs.where(F.pmod(F.xxhash64(key), F.lit(1 << 30)) < share * (1 << 30)).select(F.col(declared).alias("lang"), F.col(text).alias("text"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -79,11 +87,15 @@ def fit(docs: DataFrame, text: str, declared: str, key: str, sample: int = SAMPL
             at = np.flatnonzero(own)
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at, pa.int64()), pa.array(own[at], pa.int64())], ["lang", "bucket", "n"])
 
-    rows = chosen.mapInArrow(count, "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
-    seen = np.zeros((1 << BITS, len(languages)))
-    seen[rows["bucket"].to_numpy(dtype=int), [languages.index(x) for x in rows["lang"]]] = rows["n"]
-    likelihood = (seen + 0.05) / (seen + 0.05).sum(axis=0)
-    return languages, np.log(np.column_stack([likelihood, np.full(1 << BITS, 1.0 / (1 << BITS))])).astype(np.float32)
+    sums = chosen.mapInArrow(count, "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
+    model = np.full((1 << BITS, len(languages) + 1), np.log(1.0 / (1 << BITS)), dtype=np.float32)
+    model[:, :-1] = np.log(0.05 / (0.05 * (1 << BITS)))  # a language of which no trigram was sampled
+    place = {x: i for i, x in enumerate(languages)}
+    for r in sums.groupBy("lang").agg(F.collect_list("bucket").alias("at"), F.collect_list("n").alias("n")).toLocalIterator():  # at most 2 ** BITS
+        seen = np.full(1 << BITS, 0.05)
+        seen[r["at"]] += r["n"]
+        model[:, place[r["lang"]]] = np.log(seen / seen.sum())
+    return languages, model
 
 
 def text_evidence(docs: DataFrame, text: str, model: np.ndarray) -> Column:
@@ -98,7 +110,8 @@ def text_evidence(docs: DataFrame, text: str, model: np.ndarray) -> Column:
             seen = trigrams(t.encode(errors="replace")) if t else ()
             if not len(seen):
                 return None
-            parts = [weights[seen[i : i + 50_000]].sum(axis=0, dtype=np.float64) for i in range(0, len(seen), 50_000)]
+            step = min(50_000, 50_000 * 64 // weights.shape[1])
+            parts = [weights[seen[i : i + step]].sum(axis=0, dtype=np.float64) for i in range(0, len(seen), step)]
             return np.sum(parts, axis=0) * (min(len(seen), TRIGRAMS) / len(seen))
 
         for batch in texts:
@@ -114,24 +127,34 @@ def best(scores: Column) -> Column:
 
 def host_priors(judged: DataFrame, languages: list[str], smoothing: float = SMOOTHING) -> DataFrame:
     """_host, _rows, _prior: log-probabilities by language, from the texts of the host, its parent domain and all."""
+    said = F.col("_said").isNotNull()
     parent = F.when(F.col("_host").contains("."), F.regexp_extract("_host", r"^[^.]*\.(.*)$", 1)).otherwise(F.lit(""))
-    sums = [F.sum((F.col("_said") == i).cast("long")).alias(f"n{i}") for i in range(len(languages))]
-    hosts = judged.groupBy("_host").agg(F.count("*").alias("_rows"), *sums).withColumn("parent", parent)
-    up = [F.sum(f"n{i}").alias(f"p{i}") for i in range(len(languages))]
-    parents = hosts.groupBy("parent").agg(*up)
-    root = hosts.agg(*[F.coalesce(F.sum(f"n{i}"), F.lit(0)).alias(f"r{i}") for i in range(len(languages))]).first()
-    total = sum(root)
-    top = [(x + 1.0) / (total + len(languages)) for x in root]
-    n, p = (sum((F.coalesce(f"{k}{i}", F.lit(0)) for i in range(len(languages))), F.lit(0)) for k in "np")
-    smoothed = [
-        F.log((F.col(f"n{i}") + smoothing * ((F.col(f"p{i}") + smoothing * top[i]) / (p + smoothing))) / (n + smoothing)) for i in range(len(languages))
-    ]
-    return hosts.join(parents, "parent").select("_host", "_rows", F.array(*smoothed).alias("_prior"))
-
-
-def join_priors(judged: DataFrame, priors: DataFrame) -> DataFrame:
+    counts = judged.groupBy("_host", "_said").agg(F.count("*").alias("n")).withColumn("parent", parent)
+    counts = Scratch(judged.sparkSession, "language").write(counts)
+
+    def by_language(name: str) -> list[Column]:  # at most a number for each language
+        return [F.map_from_entries(F.collect_list(F.when(said, F.struct("_said", "n")))).alias(name), F.coalesce(F.sum(F.when(said, F.col("n"))), F.lit(0)).alias(f"{name}_all")]
+
+    hosts = counts.groupBy("_host", "parent").agg(F.sum("n").alias("_rows"), *by_language("h"))
+    parents = counts.groupBy("parent", "_said").agg(F.sum("n").alias("n")).groupBy("parent").agg(*by_language("p"))
+    root = {r["_said"]: r["n"] for r in counts.where(said).groupBy("_said").agg(F.sum("n").alias("n")).collect()}
+    total = sum(root.values())
+    top = F.array(*[F.lit((root.get(i, 0) + 1.0) / (total + len(languages))) for i in range(len(languages))])
+
+    def smoothed(i: Column) -> Column:
+        n, p = (F.coalesce(F.try_element_at(c, i), F.lit(0)) for c in ("h", "p"))
+        return F.log((n + smoothing * ((p + smoothing * F.get(top, i)) / (F.col("p_all") + smoothing))) / (F.col("h_all") + smoothing))
+
+    return hosts.join(parents, "parent").select("_host", "_rows", F.transform(places(languages), smoothed).alias("_prior"))
+
+
+def places(languages: list[str]) -> Column:
+    return F.sequence(F.lit(0), F.lit(len(languages) - 1))
+
+
+def join_priors(judged: DataFrame, priors: DataFrame, languages: int) -> DataFrame:
     hosts, rows = priors.agg(F.count("*"), F.sum("_rows")).first()
-    if hosts <= MAX_HOSTS:
+    if hosts * max(1.0, languages / 64) <= MAX_HOSTS:
         return judged.join(F.broadcast(priors.drop("_rows")), "_host", "left")
     large = priors.where(F.col("_rows") * LARGE >= rows).select("_host", F.col("_prior").alias("_large"))  # at most LARGE hosts
     judged = judged.join(F.broadcast(large), "_host", "left")
@@ -153,16 +176,17 @@ def identify(docs: DataFrame, text: str = "text", declared: str = "lang", host:
     spoken = F.slice("_text", 1, n)
     knows = F.col("_text").isNotNull() & (F.array_max(spoken) > F.element_at("_text", n + 1))
     counted = judged.select("_host", F.when(knows, best(spoken)).alias("_said"))
-    judged = join_priors(judged, host_priors(counted, languages))
+    judged = join_priors(judged, host_priors(counted, languages), n)
+
+    zero = F.array(*[F.lit(0.0)] * n)
 
     def speaks(said: Column, right: float) -> Column:
-        known = said.isin(languages)
-        other = float(np.log((1 - right) / max(1, n - 1)))
-        return F.array(*[F.when(known, F.when(said == x, F.lit(float(np.log(right)))).otherwise(F.lit(other))).otherwise(F.lit(0.0)) for x in languages])
+        own, other = numbered(said, {x: i for i, x in enumerate(languages)}), F.lit(float(np.log((1 - right) / max(1, n - 1))))
+        one = lambda k: F.transform(places(languages), lambda i: F.when(i == k, F.lit(float(np.log(right)))).otherwise(other))
+        return F.get(F.transform(F.array(own), lambda k: F.when(k.isNotNull(), one(k)).otherwise(zero)), F.lit(0))
 
     suffix = F.create_map(*[F.lit(x) for pair in SUFFIXES.items() for x in pair])
     add = lambda a, b: F.zip_with(a, b, lambda x, y: x + y)
-    zero = F.array(*[F.lit(0.0)] * n)
     scores = add(add(F.when(knows, spoken).otherwise(zero), F.coalesce("_prior", zero)), add(speaks(F.col(declared), DECLARED), speaks(F.try_element_at(suffix, F.substring_index("_host", ".", -1)), SUFFIX)))
     rejected = F.when(F.col("_text").isNotNull(), ~knows).otherwise(~F.coalesce(F.col(declared).isin(languages), F.lit(False)))
     judged = judged.withColumn("_scores", scores).withColumn("_rejected", rejected)

@@ -3,7 +3,9 @@
 import random
 import re
 
-from lectern.llm import decontaminate, license_scan, line_dedup, suffix_dedup
+import pytest
+
+from lectern.llm import decontaminate, language_id, license_scan, line_dedup, suffix_dedup
 
 
 def example(parsed, pick):
@@ -103,3 +105,16 @@ def test_short_lines_that_repeat_go(spark):
     rows = [(1, "All rights reserved.\n\nfirst line of five words\n \t\n end"), (2, "all  rights reserved. \n\nend of it\nEnd\r\n\r\n \t\nAll rights"), (3, "first line of five words\n***\n***"), (None, "end")]
     found = {r.doc_id: (r.text, r.n_removed) for r in line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert found == {1: (rows[0][1], 0), 2: ("\nend of it\n\r\n \t\nAll rights", 2), 3: ("***", 2), None: ("end", 0)}
+
+
+def test_every_declared_language_counts(spark, monkeypatch):
+    rnd = random.Random(12)
+    alphabets = [[chr(0x4E00 + 40 * i + k) for k in range(40)] for i in range(150)]
+    text = lambda i: " ".join("".join(rnd.choices(alphabets[i], k=4)) for _ in range(40))
+    rows = [(1000 * k + i, text(i), f"l{i:03}" if k < 4 + (i < 70) else None, f"h{i % 7}.site{i}.org") for i in range(150) for k in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    found = language_id.identify(docs).collect()
+    assert len(found) == len(rows) and all(r.kept and r.language == f"l{r.doc_id % 1000:03}" for r in found)
+    monkeypatch.setattr(language_id, "MAX_LANGUAGES", 149)
+    with pytest.raises(ValueError):
+        language_id.identify(docs)
