@@ -1,21 +1,22 @@
-"""Line dedup: exact set-similarity join, built-in functions only.
+"""Line dedup: exact set-similarity join of lines by their words, built-in functions only.
 
-A line's tokens are its distinct five-word shingles, in lower case. A line of at least five words is removed if an
-earlier line, by document id and line number, has Jaccard similarity 0.8 or more with it. With ``short``, as in
-``dedup_lines`` and the pipeline, a shorter line has one token, its whole word sequence, and goes if it repeats an earlier
-one; the query follows its SQL, by which shorter lines stay.
+A line's tokens are its distinct words, in lower case. A line is removed if an earlier line, by document id and line
+number, has Jaccard similarity 0.8 or more with it, be that line removed itself or not.
 
 1. One scan turns each line into 32-bit token ids, written once. They choose candidates only.
-2. Frequent ids are counted over all lines by a sketch of bounded size. Tokens are ordered by rarity: those outside the
-   sketch first, then by growing count. The order decides the cost only, never the result.
+2. All tokens are counted in a table of fixed size, which orders them by rarity. The order decides the cost only,
+   never the result.
 3. Equal lines become one set that stands at its first line; only that line can stay.
-4. Each set goes to the tokens of its prefix: ``n - ceil(0.8 n) + 1`` rarest, so similar sets share one. There it meets
-   the earliest set of that token, and the two just before it, under the length and positional filters. Frequent tokens are salted.
-5. Candidates are verified by Jaccard on the words themselves. A set without an earlier match among these then meets
-   the other earlier sets of its tokens, so nothing is lost, yet a group of near copies is not expanded into pairs.
-
-Defined results: null text has no lines. Lines without words stay. Rows that share an id count as one document; rows without
-an id are not judged and keep all lines. Other columns are kept. An empty table gives an empty result.
+4. Each set goes to the tokens of its prefix, the ``n - ceil(0.8 n) + 1`` rarest, so similar sets share one. There it
+   looks at the earliest set of that token and the two just before it; where none of them is likely, it meets all the
+   earlier ones. Every meeting passes the length and positional filters and a bound by bitmaps inside the join: the
+   parity bits of two sets differ in no more places than the sets in words. Long lists are salted.
+5. The likeliest candidate of each line is verified by Jaccard on the words themselves, then the other candidates of
+   lines still open. What is open then meets the lists in which it has met only some sets, so nothing is lost, yet a
+   group of near copies is not expanded into pairs.
+
+Defined results: null text has no lines. Lines without words are not judged and stay. Rows that share an id count as one
+document; rows without an id are not judged and keep all lines. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -26,20 +27,25 @@ from pyspark.sql import functions as F
 
 from .common import Scratch, table
 
-WORDS, BLANKS = 5, " \t\r\f\x0B"
+BLANKS = " \t\r\f\x0B"
 #: The threshold as a fraction.
 NUM, DEN = 4, 5
-FREQUENT, TRACKED, SALTS = 2000, 50_000, 32
-#: Tokens are ranks: the bits of their count (0 if rare) above their 32-bit id. From 512 lines on they are salted.
-SALTED = 10 << 32
-#: Places before a set, in the order of a token's sets, whose sets it meets besides the earliest.
+#: Counters of the tokens; a token's rank has twice the logarithm of its counter above its 32-bit id.
+COUNTERS, SHIFT = 1 << 18, 32
+#: Lists of tokens of this tier (1,024 lines) and above are salted and met in full only by lines that stay open.
+LONG_LIST = 20
+#: Words of a line beyond which its parity bits are 256 instead of 128.
+WIDE = 128
+#: Places before a set, in the order of a token's sets, whose sets it looks at besides the earliest.
 NEIGHBOURS = (1, 2)
-#: Lines to verify are looked up by a broadcast up to so many, by a shuffle beyond.
-BROADCAST_LINES = 500_000
+#: Lines to verify, and tokens to meet in full, are looked up by a broadcast up to so many, by a shuffle beyond.
+BROADCAST_ROWS = 500_000
 
 
 def words_of(line: Column) -> Column:
-    return F.split(F.btrim(F.lower(line), F.lit(BLANKS)), r"[ \t\r\f\x0B]+")
+    """Words between blanks; single spaces alone are cut by the faster of two ways."""
+    trimmed = F.btrim(F.lower(line), F.lit(BLANKS))
+    return F.when(trimmed.rlike(r"[\t\r\f\x0B]|  "), F.split(trimmed, r"[ \t\r\f\x0B]+")).otherwise(F.split(trimmed, " "))
 
 
 def once(value: Column, use) -> Column:
@@ -47,190 +53,197 @@ def once(value: Column, use) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
-def firsts_of(words: Column) -> Column:
-    return F.slice(words, F.lit(1), F.greatest(F.size(words) - (WORDS - 1), F.lit(0)))
-
-
-def shingle_ids(words: Column) -> Column:
-    """32-bit ids of the distinct five-word shingles: of words, of pairs, of pairs of pairs, and those with the fifth."""
-
-    def joined(a: Column, b: Column, at: int) -> Column:
-        return F.zip_with(a, F.slice(b, F.lit(at), F.greatest(F.size(b) - at + 1, F.lit(0))), lambda x, y: F.hash(x, y))
-
-    def made(h: Column) -> Column:
-        four = once(joined(h, h, 2), lambda two: joined(two, two, 3))
-        return F.array_distinct(F.slice(joined(four, h, 5), F.lit(1), F.greatest(F.size(h) - (WORDS - 1), F.lit(0))))
-
-    return once(F.transform(words, lambda w: F.hash(w)), made)
-
-
-def shingles(words: Column) -> Column:
-    return once(
-        words,
-        lambda w: F.array_distinct(F.transform(firsts_of(w), lambda _, i: F.array_join(F.slice(w, i + 1, F.lit(WORDS)), " "))),
-    )
-
-
-def with_short(words: Column, long, one) -> Column:
-    """Tokens of a line: ``long`` of its words, or below five words one token, ``one`` of them; none without words."""
-
-    def made(w: Column) -> Column:
-        return F.when(F.size(w) >= WORDS, long(w)).when(F.get(w, F.lit(0)) == "", F.slice(long(w), 1, 0)).otherwise(F.array(one(w)))
+def has_words(line: Column) -> Column:
+    return F.btrim(line, F.lit(BLANKS)) != ""
 
-    return once(words, made)
 
+def lines_of(docs: DataFrame) -> DataFrame:
+    """doc_id, line (from 0), text of each line with words."""
+    rows = docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
+    return rows.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "text")).where(has_words(F.col("text")))
 
-def ids_of(line: Column, short: bool) -> Column:
-    return with_short(words_of(line), shingle_ids, F.hash) if short else shingle_ids(words_of(line))
 
+def judged_lines(docs: DataFrame) -> DataFrame:
+    """doc_id, n_lines, judged (how many of the lines have words)."""
+    pieces = F.split("text", "\n")
+    filled = F.array_compact(F.transform(pieces, lambda line, i: F.when(has_words(line), i)))
+    rows = docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select("doc_id", F.size(pieces).alias("n"), filled.alias("filled"))
+    merged = rows.distinct().groupBy("doc_id").agg(F.max("n").alias("n_lines"), F.array_distinct(F.flatten(F.collect_list("filled"))).alias("filled"))
+    return merged.select("doc_id", F.col("n_lines").cast("long").alias("n_lines"), F.size("filled").cast("long").alias("judged"))
 
-def tokens_of(line: Column, short: bool) -> Column:
-    return with_short(words_of(line), shingles, lambda w: F.array_join(w, " ")) if short else shingles(words_of(line))
 
+def parity(ids: Column, mask: int) -> Column:
+    """64 parity bits of the ids in which all bits of the mask are set."""
+    chosen = F.filter(ids, lambda x: x.bitwiseAND(F.lit(mask)) == mask) if mask else ids
+    return F.aggregate(chosen, F.lit(0).cast("long"), lambda acc, x: acc.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(x, 8))))
 
-def lines_of(docs: DataFrame) -> DataFrame:
-    """doc_id, line (from 0), text of each line."""
-    rows = docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
-    return rows.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "text"))
 
+def tiers_of(sets: DataFrame) -> bytes:
+    """For each counter, twice the logarithm of how many lines its tokens stand in, as one byte."""
+    counted = sets.select(F.explode("ids").alias("id")).groupBy(F.col("id").bitwiseAND(F.lit(COUNTERS - 1)).alias("slot")).count()
+    rows = counted.select("slot", (F.log2(F.col("count")) * 2).cast("int").alias("tier")).toPandas()  # at most COUNTERS rows
+    tiers = bytearray(COUNTERS)
+    for slot, tier in zip(rows["slot"].tolist(), rows["tier"].tolist(), strict=True):
+        tiers[slot] = tier
+    return bytes(tiers)
 
-def needed(n: Column, m: Column) -> Column:
-    """Least overlap of sets of n and m tokens at the threshold: ceil(t / (1 + t) * (n + m))."""
-    return F.ceil((n + m) * NUM / F.lit(NUM + DEN) - 1e-9)
 
+SET = ["doc_id", "line", "n", "p0", "p1", "p2", "p3"]
+#: Conditions on two sets of a token: a comes later than b and they may be similar. needed is the least overlap.
+_NEEDED = f"(({NUM} * (a.n + b.n) + {NUM + DEN - 1}) div {NUM + DEN})"
+_P = "(a.p{0} ^ b.p{0})".format
+_DIFFER = f"(bit_count({_P(1)}) + bit_count({_P(0)} ^ {_P(1)}))"
+_DIFFER_WIDE = f"(bit_count({_P(3)}) + bit_count({_P(2)} ^ {_P(3)}) + bit_count({_P(1)} ^ {_P(3)}) + bit_count({_P(0)} ^ {_P(1)} ^ {_P(2)} ^ {_P(3)}))"
+EARLIER = "(b.doc_id < a.doc_id OR b.doc_id = a.doc_id AND b.line < a.line)"
+LIKELY = (
+    f"a.n * {DEN} >= b.n * {NUM} AND b.n * {DEN} >= a.n * {NUM} AND least(a.n - a.pos, b.n - b.pos) >= {_NEEDED} "
+    f"AND {_DIFFER} <= a.n + b.n - 2 * {_NEEDED} AND (a.n <= {WIDE} OR b.n <= {WIDE} OR {_DIFFER_WIDE} <= a.n + b.n - 2 * {_NEEDED})"
+)
+PAIR = ["doc_id", "line", "o_doc_id", "o_line"]
 
-def long_enough(n: Column, m: Column) -> Column:
-    return (n * DEN >= m * NUM) & (m * DEN >= n * NUM)
 
+def checked(df: DataFrame, rows: DataFrame) -> DataFrame:
+    """The rows, to be broadcast if they are few."""
+    return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
 
-def removed_lines(docs: DataFrame, short: bool = False) -> DataFrame:
-    """doc_id, n_lines, judged (lines of at least five words; with short, of any), kept (numbers of the judged lines that stay)."""
-    spark = docs.sparkSession
-    scratch = Scratch(spark, "lines")
-    line = F.trim(F.lower(F.col("text")))
-    sets = lines_of(docs).select("doc_id", "line", F.xxhash64(line).alias("h"), ids_of(F.col("text"), short).alias("ids"))
-    sets = scratch.write(sets.select("doc_id", "line", "h", F.size("ids").alias("n"), "ids"))
-    counts = scratch.write(sets.groupBy("doc_id", "line").agg(F.max("n").alias("n")).groupBy("doc_id").agg(F.count("*").alias("n_lines"), F.sum((F.col("n") > 0).cast("long")).alias("judged")))
-    judged = sets.where("n > 0")
 
-    top = judged.select(F.explode("ids").alias("id")).agg(F.call_function("approx_top_k", "id", F.lit(FREQUENT), F.lit(TRACKED)).alias("top")).first()["top"]
-    frequent = sorted((r["count"], r["item"]) for r in top or () if r["count"] > 1)
-    tiers = [[i for c, i in frequent if c.bit_length() == b] for b in range(2, 64)]
-    every = [i for tier in tiers for i in tier]
+def first_lines(docs: DataFrame, scratch: Scratch) -> DataFrame:
+    """Distinct lines, each at its first place: the fields of SET and its prefix of token ranks."""
+    word_ids = F.transform(F.array_distinct(words_of(F.col("text"))), lambda w: F.hash(w))
+    sets = scratch.write(lines_of(docs).select("doc_id", "line", F.xxhash64(F.btrim(F.lower("text"), F.lit(BLANKS))).alias("h"), word_ids.alias("ids")))
+    tiers = F.lit(tiers_of(sets))
 
     def rank(x: Column) -> Column:
-        plain = F.pmod(x.cast("long"), F.lit(1 << 32))
-        if not every:
-            return plain
-        tier = F.coalesce(*[F.when(x.isin(ids), F.lit((t + 2) << 32)) for t, ids in enumerate(tiers) if ids])
-        return F.when(x.isin(every), tier + plain).otherwise(plain)
-
-    size = F.col("n") - F.ceil(F.col("n") * NUM / F.lit(DEN) - 1e-9).cast("int") + 1
-    prefix = F.slice(F.sort_array(F.transform("ids", rank)), F.lit(1), size)
-    distinct = judged.select("h", "n", "doc_id", "line", prefix.alias("prefix")).groupBy("h", "n").agg(F.min(F.struct("doc_id", "line", "prefix")).alias("x")).select("x.doc_id", "x.line", "n", "x.prefix")
-    distinct = scratch.write(distinct)
+        tier = F.ascii(F.substring(tiers, x.bitwiseAND(F.lit(COUNTERS - 1)) + 1, F.lit(1)).cast("string"))
+        return F.call_function("shiftleft", tier.cast("long"), F.lit(SHIFT)) + F.pmod(x.cast("long"), F.lit(1 << SHIFT))
+
+    ids = F.transform("ids", lambda x: F.coalesce(x, F.lit(0)))
+    n = F.size("ids")
+    prefix = F.slice(F.sort_array(F.transform(ids, rank)), F.lit(1), F.expr(f"size(ids) - ({NUM} * size(ids) + {DEN - 1}) div {DEN} + 1"))
+    none = F.lit(0).cast("long")
+    rows = sets.select(
+        "h", "doc_id", "line", n.alias("n"), parity(ids, 0).alias("p0"), parity(ids, 1).alias("p1"),
+        F.when(n > WIDE, parity(ids, 2)).otherwise(none).alias("p2"), F.when(n > WIDE, parity(ids, 3)).otherwise(none).alias("p3"), prefix.alias("prefix"),
+    )
+    firsts = rows.groupBy("h", "n").agg(F.min(F.struct("doc_id", "line", "p0", "p1", "p2", "p3", "prefix")).alias("x"))
+    distinct = scratch.write(firsts.select("x.doc_id", "x.line", "n", "x.p0", "x.p1", "x.p2", "x.p3", "x.prefix"))
     scratch.drop(sets)
+    return distinct
 
-    posted = distinct.select("doc_id", "line", "n", F.posexplode("prefix").alias("pos", "token"))
-    salt = F.when(F.col("token") >= F.lit(SALTED), F.pmod(F.hash("doc_id", "line"), F.lit(SALTS))).otherwise(F.lit(0))
+
+def meetings(posted: DataFrame) -> DataFrame:
+    """PAIR, token, differ, more: each set of a token beside likely earlier ones; more where it did not meet the whole list.
+
+    o_doc_id is null where a set has looked at some of a long list and found none likely.
+    """
     by = W.partitionBy("token", "salt").orderBy("doc_id", "line")
-    lists = posted.withColumn("salt", salt).select(
-        "doc_id", "line", "n", "pos", "token",
-        F.first(F.struct("doc_id", "line", "n", "pos")).over(by.rowsBetween(W.unboundedPreceding, W.currentRow)).alias("pivot"),
-        *[F.lag(F.struct("doc_id", "line", "n", "pos"), k).over(by).alias(f"near{k}") for k in NEIGHBOURS],
-        F.row_number().over(by).alias("at"),
-        F.lead("line").over(by).isNotNull().alias("more"),
+    tier = F.call_function("shiftright", F.col("token"), F.lit(SHIFT))
+    salts = F.call_function("shiftleft", F.lit(1), (F.greatest(tier - LONG_LIST, F.lit(0)) / 2).cast("int") + 1)  # grow with the list
+    salt = F.when(tier >= LONG_LIST, F.pmod(F.hash("doc_id", "line"), salts)).otherwise(F.lit(0))
+    posted = posted.select(*SET, "pos", "token", salt.alias("salt")).repartition("token", "salt")  # both sides of the join reuse it
+    own = F.struct(*SET, "pos")
+    seen = {"first": F.first(own).over(by.rowsBetween(W.unboundedPreceding, W.currentRow))} | {f"near{k}": F.lag(own, k).over(by) for k in NEIGHBOURS}
+    rows = posted.select("*", *[c.alias(name) for name, c in seen.items()])
+
+    def likely(name: str) -> Column:
+        good = F.expr(f"{EARLIER} AND {LIKELY}".replace("a.", "").replace("b.", f"{name}."))
+        differ = F.expr(_DIFFER.replace("a.", "").replace("b.", f"{name}."))
+        return F.when(good, F.struct(differ.alias("differ"), F.col(f"{name}.doc_id").alias("doc_id"), F.col(f"{name}.line").alias("line")))
+
+    rows = rows.withColumn("near", F.least(*[likely(name) for name in seen])).drop(*seen)
+    rows = rows.withColumn("alone", F.col("near").isNull() & (tier < LONG_LIST))
+    a, b = rows.alias("a"), posted.alias("b")
+    met = a.join(b, F.expr(f"a.token = b.token AND a.salt = b.salt AND a.alone AND {EARLIER} AND {LIKELY}"), "left")
+    met = met.select(
+        "a.doc_id", "a.line", F.coalesce("near.doc_id", "b.doc_id").alias("o_doc_id"), F.coalesce("near.line", "b.line").alias("o_line"),
+        "a.token", F.when(F.col("near").isNull(), F.expr(_DIFFER)).otherwise(F.col("near.differ")).alias("differ"), (~F.col("alone")).alias("more"),
     )
-    lists = scratch.write(lists.where((F.col("at") > 1) | F.col("more") | (F.col("token") >= SALTED)))
-    own, place = F.struct("doc_id", "line"), lambda c: F.struct(f"{c}.doc_id", f"{c}.line")
-
-    def candidates(a: DataFrame) -> DataFrame:
-        """Pairs (first, other_first) under the length and positional filters; other is a struct of line, n and pos."""
-        o = lambda c: F.col(f"other.{c}")
-        left = F.least(F.col("n") - F.col("pos"), o("n") - o("pos"))
-        good = (place("other") < own) & long_enough(F.col("n"), o("n")) & (left >= needed(F.col("n"), o("n")))
-        return a.where(good).select(own.alias("first"), place("other").alias("other_first")).distinct()
-
-    others = F.array_distinct(F.array_compact(F.array("pivot", *[f"near{k}" for k in NEIGHBOURS])))
-    starred = scratch.write(candidates(lists.where("at > 1").withColumn("other", F.explode(others))))
-    matched = scratch.write(verified(scratch, docs, starred, short))
-    # A pivot's salt list, or a list whose pivot did not match, may still hold an earlier match.
-    lists = lists.drop("pivot", *[f"near{k}" for k in NEIGHBOURS])
-    open_ = lists.withColumn("first", own).join(matched, "first", "left_anti").where((F.col("at") > 2) | (F.col("token") >= SALTED))
-    other = lists.select(F.col("token").alias("o_token"), F.struct("doc_id", "line", "n", "pos").alias("other"))
-    met = open_.drop("first").join(other, (F.col("token") == F.col("o_token")) & (place("other") < own))
-    rest = scratch.write(candidates(met).join(starred, ["first", "other_first"], "left_anti"))
-    if not rest.isEmpty():
-        matched = matched.unionByName(verified(scratch, docs, rest, short)).distinct()
-    stay = distinct.select("doc_id", "line").join(matched.select("first.*"), ["doc_id", "line"], "left_anti")
+    return met.where("more OR o_doc_id IS NOT NULL")
+
+
+def removed_lines(docs: DataFrame) -> DataFrame:
+    """doc_id, n_lines, judged (lines with words), kept (numbers of the judged lines that stay)."""
+    scratch = Scratch(docs.sparkSession, "lines")
+    distinct = first_lines(docs, scratch)
+    posted = distinct.select(*SET, F.posexplode("prefix").alias("pos", "token"))
+    met = scratch.write(meetings(posted))
+    found = met.where("o_doc_id IS NOT NULL")
+    place = ["doc_id", "line"]
+
+    best = found.groupBy(*place).agg(F.min(F.struct("differ", "o_doc_id", "o_line")).alias("x")).select(*place, "x.o_doc_id", "x.o_line")
+    best = scratch.write(best)
+    matched = scratch.write(verified(scratch, docs, best))
+    others = found.select(*PAIR).join(matched, place, "left_anti").distinct().join(best, PAIR, "left_anti")
+    matched = matched.unionByName(verified(scratch, docs, scratch.write(others)))
+    still = scratch.write(met.where("more").select(*place, "token").distinct().join(matched, place, "left_anti"))
+    tokens = still.select("token").distinct()
+    listed = scratch.write(posted.join(checked(posted, tokens), "token", "left_semi"))
+    open_ = listed.join(still, [*place, "token"], "left_semi")
+    rest = open_.alias("a").join(listed.alias("b"), F.expr(f"a.token = b.token AND {EARLIER} AND {LIKELY}"))
+    rest = rest.select("a.doc_id", "a.line", F.col("b.doc_id").alias("o_doc_id"), F.col("b.line").alias("o_line")).distinct()
+    rest = scratch.write(rest.join(found.select(*PAIR), PAIR, "left_anti"))
+    matched = matched.unionByName(verified(scratch, docs, rest)).distinct()
+
+    stay = distinct.select(*place).join(matched, place, "left_anti")
     kept = stay.groupBy("doc_id").agg(F.sort_array(F.collect_list("line")).alias("kept"))  # at most the document's lines
     none = F.array().cast("array<int>")
-    return counts.join(kept, "doc_id", "left").withColumn("kept", F.coalesce("kept", none))
+    return judged_lines(docs).join(kept, "doc_id", "left").withColumn("kept", F.coalesce("kept", none))
 
 
-def verified(scratch: Scratch, docs: DataFrame, pairs: DataFrame, short: bool) -> DataFrame:
-    """first of the pairs whose Jaccard similarity, on the words themselves, reaches the threshold."""
-    wanted = pairs.select(F.col("first.*")).union(pairs.select(F.col("other_first.*"))).distinct()
-    if wanted.count() <= BROADCAST_LINES:
-        near = docs.join(F.broadcast(wanted.select("doc_id").distinct()), "doc_id", "left_semi")
-        found = lines_of(near).join(F.broadcast(wanted), ["doc_id", "line"], "left_semi")
-    else:
-        found = lines_of(docs.join(wanted.select("doc_id").distinct(), "doc_id", "left_semi")).join(wanted, ["doc_id", "line"], "left_semi")
-    lines = scratch.write(found.select(F.struct("doc_id", "line").alias("place"), "text", ids_of(F.col("text"), short).alias("ids")))
+def verified(scratch: Scratch, docs: DataFrame, pairs: DataFrame) -> DataFrame:
+    """doc_id, line of the pairs whose Jaccard similarity, on the words themselves, reaches the threshold."""
+    place = ["doc_id", "line"]
+    if pairs.isEmpty():
+        return pairs.select(*place)
+    wanted = scratch.write(pairs.select(*place).union(pairs.select("o_doc_id", "o_line")).distinct())
+    near = docs.join(checked(docs, wanted.select("doc_id").distinct()), "doc_id", "left_semi")
+    lines = scratch.write(lines_of(near).join(checked(docs, wanted), place, "left_semi").dropDuplicates(place))
+    both = pairs.join(lines.withColumnRenamed("text", "a"), place)
+    both = both.join(lines.select(F.col("doc_id").alias("o_doc_id"), F.col("line").alias("o_line"), F.col("text").alias("b")), ["o_doc_id", "o_line"])
 
-    def similar(a: str, b: str) -> Column:
+    def similar(a: Column, b: Column) -> Column:
         common = F.size(F.array_intersect(a, b))
         return common * DEN >= (F.size(a) + F.size(b) - common) * NUM
 
-    def joined(df: DataFrame, column: str) -> DataFrame:
-        for name, side in (("first", "a"), ("other_first", "b")):
-            df = df.join(lines.select(F.col("place").alias(name), F.col(column).alias(side)), name)
-        return df
-
-    likely = scratch.write(joined(pairs, "ids").where(similar("a", "b")).select("first", "other_first"))  # ids are short to send
-    both = joined(likely, "text").select("first", tokens_of(F.col("a"), short).alias("a"), tokens_of(F.col("b"), short).alias("b"))
-    return both.where(similar("a", "b")).select("first").distinct()
+    words = F.struct(*[F.array_distinct(words_of(F.col(c))).alias(c) for c in "ab"])
+    return both.where(once(words, lambda w: similar(w["a"], w["b"]))).select(*place).distinct()
 
 
 def dedup_lines(docs: DataFrame) -> DataFrame:
-    """Documents without the removed lines, and n_lines, n_removed, removed (numbers of the removed lines)."""
-    found = removed_lines(docs, short=True).withColumnRenamed("doc_id", "_id")
-    joined = docs.drop("n_lines", "judged", "kept", "n_removed").join(found, F.col("doc_id") == F.col("_id"), "left")
-    pieces = F.split("text", "\n")
-
-    def stays(kept: Column, line: Column, i: Column) -> Column:
-        return (F.btrim(line, F.lit(BLANKS)) == "") | F.array_contains(kept, i)
-
-    text = F.when(F.col("kept").isNull() | (F.size("kept") == F.col("judged")), F.col("text")).otherwise(
-        F.array_join(F.filter(pieces, lambda line, i: stays(F.col("kept"), line, i)), "\n")
+    """The documents without the removed lines. Other columns are kept; those named ``n_lines`` and ``n_removed`` are
+    replaced by how many lines the document had and how many of them went."""
+    found = removed_lines(docs.select("doc_id", "text")).select(F.struct("n_lines", "judged", "kept").alias("_lines"), F.col("doc_id").alias("_lines_of"))
+    joined = docs.drop("n_lines", "n_removed").join(found, F.col("doc_id") == F.col("_lines_of"), "left")
+    pieces, kept, judged = F.split("text", "\n"), F.col("_lines.kept"), F.col("_lines.judged")
+    text = F.when(F.col("_lines").isNull() | (F.size(kept) == judged), F.col("text")).otherwise(
+        F.array_join(F.filter(pieces, lambda line, i: ~has_words(line) | F.array_contains(kept, i)), "\n")
     )
-    return joined.withColumn("text", text).withColumn("n_removed", F.coalesce(F.col("judged") - F.size("kept"), F.lit(0))).drop("_id", "kept", "judged")
+    joined = joined.withColumn("n_lines", F.col("_lines.n_lines")).withColumn("n_removed", F.coalesce(judged - F.size(kept), F.lit(0).cast("long")))
+    return joined.withColumn("text", text).drop("_lines", "_lines_of")
 
 
 def op5_line_dedup(spark, sf_dir):
     """One row per document: its lines, how many were judged, how many removed, and the numbers of the judged that stay."""
     found = removed_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select(
-        "doc_id",
-        F.col("n_lines").cast("long").alias("n_lines"),
-        F.col("judged").cast("long").alias("n_judged"),
-        (F.col("judged") - F.size("kept")).cast("long").alias("n_removed"),
+        "doc_id", "n_lines", F.col("judged").alias("n_judged"), (F.col("judged") - F.size("kept")).alias("n_removed"),
         F.array_join(F.col("kept").cast("array<string>"), ",").alias("kept_lines"),
     )
 
 
-_TOKENS = "string_split_regex(regexp_replace(lower(l), '^[ \\t\\r\\f\\x0B]+|[ \\t\\r\\f\\x0B]+$', '', 'g'), '[ \\t\\r\\f\\x0B]+')"
+_WORDS = "string_split_regex(regexp_replace(lower(l), '^[ \\t\\r\\f\\x0B]+|[ \\t\\r\\f\\x0B]+$', '', 'g'), '[ \\t\\r\\f\\x0B]+')"
 ORACLE = f"""
 WITH cut AS (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents WHERE text IS NOT NULL),
 numbered AS (SELECT doc_id, unnest(range(len(ls))) AS line, unnest(ls) AS l FROM cut),
-w AS (SELECT doc_id, line, doc_id * 1000000 + line AS place, {_TOKENS} AS w FROM numbered),
-sh AS (SELECT DISTINCT place, array_to_string(w[i:i + 4], ' ') AS s FROM (SELECT place, w, unnest(range(1, len(w) - 3)) AS i FROM w WHERE len(w) >= 5)),
-sizes AS (SELECT place, count(*) AS n FROM sh GROUP BY place),
-common AS (SELECT b.place AS late, a.place AS early, count(*) AS c FROM sh a JOIN sh b ON a.s = b.s AND a.place < b.place GROUP BY ALL),
-gone AS (SELECT DISTINCT late FROM common JOIN sizes x ON x.place = late JOIN sizes y ON y.place = early WHERE c * 5 >= (x.n + y.n - c) * 4)
-SELECT doc_id, count(*) AS n_lines, count(*) FILTER (len(w) >= 5) AS n_judged, count(late) AS n_removed,
-  coalesce(string_agg(CAST(line AS VARCHAR), ',' ORDER BY line) FILTER (len(w) >= 5 AND late IS NULL), '') AS kept_lines
-FROM w LEFT JOIN gone ON late = place GROUP BY doc_id"""
+w AS (SELECT doc_id, line, doc_id * 1000000 + line AS place, list_sort(list_distinct({_WORDS})) AS w FROM numbered),
+judged AS (SELECT * FROM w WHERE w <> ['']),
+sets AS (SELECT w, len(w) AS n, min(place) AS place FROM judged GROUP BY w),
+gone AS (SELECT DISTINCT a.place FROM sets a JOIN sets b ON b.place < a.place AND b.n * 5 >= a.n * 4 AND a.n * 5 >= b.n * 4
+  WHERE 9 * len(list_intersect(a.w, b.w)) >= 4 * (a.n + b.n)),
+stay AS (SELECT place FROM sets WHERE place NOT IN (SELECT place FROM gone))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (w <> ['']) AS n_judged, count(*) FILTER (w <> [''] AND s.place IS NULL) AS n_removed,
+  coalesce(string_agg(CAST(line AS VARCHAR), ',' ORDER BY line) FILTER (s.place IS NOT NULL), '') AS kept_lines
+FROM w LEFT JOIN stay s ON s.place = w.place GROUP BY doc_id"""
 
 QUERIES = {"op5_line_dedup": op5_line_dedup}
 ORACLES = {"op5_line_dedup": ORACLE}
