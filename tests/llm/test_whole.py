@@ -118,3 +118,32 @@ def test_every_declared_language_counts(spark, monkeypatch):
     monkeypatch.setattr(language_id, "MAX_LANGUAGES", 149)
     with pytest.raises(ValueError):
         language_id.identify(docs)
+
+
+@pytest.mark.parametrize("copies", [20, 60, 180])
+def test_lines_of_near_copies_against_brute_force(spark, monkeypatch, copies):
+    """Groups of near copies that share words with each other; half of the lists are long."""
+    rnd = random.Random(copies)
+    words = [f"{a}{b}" for a in "bcdfghjklm" for b in ("alo", "eri", "omu", "ise", "ane", "uto")]
+    bases = [rnd.sample(words, n) for n in (3, 5, 9, 12, 20, 20, 40)]
+    said = lambda w: [x if rnd.random() > 0.08 else rnd.choice(words) for x in w]
+    texts = [" ".join(said(rnd.choice(bases))) for _ in range(copies * 7)]
+    docs = [(i, "\n".join(texts[7 * i : 7 * i + 7])) for i in range(copies)]
+    monkeypatch.setattr(line_dedup, "LONG_LIST", 10)
+    monkeypatch.setattr(line_dedup, "IN_BLOCK", 500)
+    sets, want = [set(t.split()) for t in texts], {i: [] for i, _ in docs}
+    for i, x in enumerate(sets):
+        if not any(5 * len(x & y) >= 4 * len(x | y) for y in sets[:i]):
+            want[i // 7].append(i % 7)
+    found = line_dedup.removed_lines(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.kept for r in found} == want
+
+
+def test_lines_keep_columns_and_say_what_went(spark):
+    rows = [(1, "a b c\nd", "x", 5, "own"), (2, "d\nc b a", "y", 6, "own"), (None, "d", "z", 7, "own"), (3, None, "z", 8, "own")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, kept string, n_lines int, judged string")
+    found = {r.doc_id: r.asDict() for r in line_dedup.dedup_lines(df).collect()}
+    assert set(found[1]) == {"doc_id", "text", "kept", "n_lines", "judged", "n_removed"}
+    assert {d: (r["text"], r["kept"], r["judged"], r["n_lines"], r["n_removed"]) for d, r in found.items()} == {
+        1: ("a b c\nd", "x", "own", 2, 0), 2: ("", "y", "own", 2, 2), None: ("d", "z", "own", None, 0), 3: (None, "z", "own", None, 0),
+    }
