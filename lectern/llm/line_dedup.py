@@ -36,15 +36,15 @@ BLANKS = " \t\r\f\x0B"
 #: The threshold as a fraction.
 NUM, DEN = 4, 5
 #: Counters of the words; a token has twice the logarithm of its counter above SHIFT bits of its hash.
-COUNTERS, SHIFT = 1 << 18, 57
+COUNTERS, SHIFT = 1 << 18, 34
 #: Lists of tokens of this tier (1,024 lines) and above are salted and met in full only by lines that stay open.
 LONG_LIST = 20
-#: Words of a line beyond which its parity bits are 256 instead of 128.
-WIDE = 128
+#: Words of a line beyond which its parity bits are 128 instead of 64, and 256 instead of 128.
+NARROW, WIDE = 64, 128
 #: Places before a set, in the order of a token's sets, whose sets it looks at besides the earliest.
 NEIGHBOURS = (1, 2)
-#: Rows of lists that one block holds on average, and pairs that it tests at once.
-IN_BLOCK, AT_ONCE = 40_000, 1 << 20
+#: Rows of lists that one block holds on average, that are dealt to blocks at once, and pairs that a block tests at once.
+IN_BLOCK, DEALT, AT_ONCE = 40_000, 400_000, 1 << 17
 #: Bytes that are hashed at once.
 STRETCH = 1 << 20
 #: Lines to verify, and tokens to meet in full, are looked up by a broadcast up to so many, by a shuffle beyond.
@@ -54,15 +54,6 @@ _CUT = np.zeros(256, dtype=bool)
 _CUT[list(BLANKS.encode() + b"\n")] = True
 
 
-def words_of(line: Column) -> Column:
-    return F.split(F.btrim(F.lower(line), F.lit(BLANKS)), r"[ \t\r\f\x0B]+")
-
-
-def once(value: Column, use) -> Column:
-    """``use(value)`` with the value computed once, however often it is used."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
-
-
 def has_words(line: Column) -> Column:
     return F.btrim(line, F.lit(BLANKS)) != ""
 
@@ -133,7 +124,7 @@ _SETS = "doc_id long, line int, n int, p0 long, p1 long, p2 long, p3 long, h0 lo
 #: Conditions on two sets of a token: a comes later than b and they may be similar. needed is the least overlap.
 _NEEDED = f"(({NUM} * (a.n + b.n) + {NUM + DEN - 1}) div {NUM + DEN})"
 _P = "(a.p{0} ^ b.p{0})".format
-_DIFFER = f"(bit_count({_P(1)}) + bit_count({_P(0)} ^ {_P(1)}))"
+_DIFFER = f"if(least(a.n, b.n) <= {NARROW}, bit_count({_P(0)}), bit_count({_P(1)}) + bit_count({_P(0)} ^ {_P(1)}))"
 _DIFFER_WIDE = f"(bit_count({_P(3)}) + bit_count({_P(2)} ^ {_P(3)}) + bit_count({_P(1)} ^ {_P(3)}) + bit_count({_P(0)} ^ {_P(1)} ^ {_P(2)} ^ {_P(3)}))"
 EARLIER = "(b.doc_id < a.doc_id OR b.doc_id = a.doc_id AND b.line < a.line)"
 LIKELY = (
@@ -159,7 +150,7 @@ def set_rows(ids: list[int], texts: list[bytes | None], tiers: np.ndarray) -> li
     one = np.uint64(1) << (h >> np.uint64(18) & np.uint64(63))
     a, b = (h >> np.uint64(24) & np.uint64(1)).astype(bool), (h >> np.uint64(25) & np.uint64(1)).astype(bool)
     bits = [np.bitwise_xor.reduceat(np.where(x, one, np.uint64(0)), head) if len(h) else one for x in (True, a, b, a & b)]
-    bits[2:] = [np.where(n > WIDE, x, np.uint64(0)) for x in bits[2:]]
+    bits[1:] = [np.where(n > least, x, np.uint64(0)) for x, least in zip(bits[1:], (NARROW, WIDE, WIDE), strict=True)]
     with np.errstate(over="ignore"):
         same = [np.add.reduceat(mix(h ^ np.uint64(x)), head) if len(h) else h for x in (0x5851F42D4C957F2D, 0x14057B7EF767814F)]
     _, rank = by_line(line, tiers[(h & np.uint64(COUNTERS - 1)).astype(np.int64)] << np.uint64(SHIFT) | h >> np.uint64(64 - SHIFT))
@@ -186,30 +177,40 @@ def first_lines(docs: DataFrame, scratch: Scratch) -> DataFrame:
     return scratch.write(firsts.select("x.*"))
 
 
-#: A row of a list; blocks are packed column by column.
+#: A row of a list; blocks are packed column by column, and these byte by byte, as most bytes are zero.
 FIELDS = np.dtype([("token", "<i8"), ("doc_id", "<i8"), ("line", "<i4"), ("n", "<i4"), ("pos", "<i4"), ("p0", "<u8"), ("p1", "<u8"), ("p2", "<u8"), ("p3", "<u8")])
 
 
 def packed(distinct: DataFrame, blocks: int, long_list: int) -> DataFrame:
     """block and data: the rows of lists that one batch of sets has for one block."""
 
+    def dealt(batch: pa.Table) -> pa.RecordBatch:
+        get = {c: batch.column(c).to_numpy() for c in SET}
+        lists = batch.column("prefix").combine_chunks()
+        size = np.diff(lists.offsets.to_numpy())
+        own, token = np.repeat(np.arange(len(size)), size), lists.flatten().to_numpy()
+        pos = np.arange(len(own)) - np.repeat(np.cumsum(size) - size, size)
+        tier, place = token >> SHIFT, mix(get["doc_id"].astype(np.uint64) ^ mix(get["line"].astype(np.uint64)))
+        salts = np.where(tier >= long_list, 2 << np.maximum(tier - long_list, 0) // 2, 1).astype(np.uint64)  # grow with the list
+        with np.errstate(over="ignore"):
+            block = (mix(token.astype(np.uint64) + place[own] % salts * np.uint64(0x9E3779B97F4A7C15)) % np.uint64(blocks)).astype(np.int64)
+        order = np.lexsort((token, block))
+        columns = [(token if c == "token" else pos if c == "pos" else get[c][own])[order].astype(FIELDS[c]) for c in FIELDS.names]
+        block = block[order]
+        cut = np.append(np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]])[: len(block)]), len(block))
+        data = [b"".join(c[i:j].view(np.uint8).reshape(j - i, -1).T.tobytes() for c in columns) for i, j in zip(cut[:-1], cut[1:], strict=True)]
+        return pa.RecordBatch.from_arrays([pa.array(block[cut[:-1]]), pa.array(data, pa.binary())], ["block", "data"])
+
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, rows = [], 0
         for batch in batches:
-            get = {c: batch.column(c).to_numpy() for c in SET}
-            lists = batch.column("prefix")
-            size = np.diff(lists.offsets.to_numpy())
-            own, token = np.repeat(np.arange(len(size)), size), lists.flatten().to_numpy()
-            pos = np.arange(len(own)) - np.repeat(np.cumsum(size) - size, size)
-            tier, place = token >> SHIFT, mix(get["doc_id"].astype(np.uint64) ^ mix(get["line"].astype(np.uint64)))
-            salts = np.where(tier >= long_list, 2 << np.maximum(tier - long_list, 0) // 2, 1).astype(np.uint64)  # grow with the list
-            with np.errstate(over="ignore"):
-                block = (mix(token.astype(np.uint64) + place[own] % salts * np.uint64(0x9E3779B97F4A7C15)) % np.uint64(blocks)).astype(np.int64)
-            order = np.argsort(block, kind="stable")
-            columns = [(token if c == "token" else pos if c == "pos" else get[c][own])[order].astype(FIELDS[c]) for c in FIELDS.names]
-            block = block[order]
-            cut = np.append(np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]])[: len(block)]), len(block))
-            data = [b"".join(c[i:j].tobytes() for c in columns) for i, j in zip(cut[:-1], cut[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array(block[cut[:-1]]), pa.array(data, pa.binary())], ["block", "data"])
+            held.append(batch)
+            rows += len(batch.column("prefix").flatten())
+            if rows >= DEALT:
+                yield dealt(pa.Table.from_batches(held))
+                held, rows = [], 0
+        if held:
+            yield dealt(pa.Table.from_batches(held))
 
     return distinct.mapInArrow(made, "block long, data binary")
 
@@ -222,8 +223,9 @@ class Lists:
         for d in data:
             at, n = 0, len(d) // FIELDS.itemsize
             for c in FIELDS.names:
-                parts[c].append(np.frombuffer(d, FIELDS[c], n, at))
-                at += n * FIELDS[c].itemsize
+                width = FIELDS[c].itemsize
+                parts[c].append(np.frombuffer(d, np.uint8, n * width, at).reshape(width, n).T.copy().view(FIELDS[c]).ravel())
+                at += n * width
         x = {c: np.concatenate(v) for c, v in parts.items()}
         self.doc, self.line, self.n, self.pos, self.token = x["doc_id"], x["line"], x["n"].astype(np.int64), x["pos"], x["token"]
         self.p = [x[c] for c in ("p0", "p1", "p2", "p3")]
@@ -238,13 +240,13 @@ class Lists:
         needed = (NUM * (n + m) + NUM + DEN - 1) // (NUM + DEN)
         good = np.flatnonzero((n * DEN >= m * NUM) & (m * DEN >= n * NUM) & (np.minimum(n - self.pos[a], m - self.pos[b]) >= needed))
         a, b, most = a[good], b[good], (n + m - 2 * needed)[good]
-        p0, p1 = self.p[0][a] ^ self.p[0][b], self.p[1][a] ^ self.p[1][b]
-        differ = np.bitwise_count(p1).astype(np.int64) + np.bitwise_count(p0 ^ p1)
+        p0, p1, least = self.p[0][a] ^ self.p[0][b], self.p[1][a] ^ self.p[1][b], np.minimum(self.n[a], self.n[b])
+        differ = np.where(least <= NARROW, np.bitwise_count(p0), np.bitwise_count(p1) + np.bitwise_count(p0 ^ p1)).astype(np.int64)
         close = differ <= most
-        good, differ, a, b, p0, p1, most = (x[close] for x in (good, differ, a, b, p0, p1, most))
+        good, differ, a, b, p0, p1, most, least = (x[close] for x in (good, differ, a, b, p0, p1, most, least))
         p2, p3 = self.p[2][a] ^ self.p[2][b], self.p[3][a] ^ self.p[3][b]
         wide = np.bitwise_count(p3).astype(np.int64) + np.bitwise_count(p2 ^ p3) + np.bitwise_count(p1 ^ p3) + np.bitwise_count(p0 ^ p1 ^ p2 ^ p3)
-        close = (wide <= most) | (np.minimum(self.n[a], self.n[b]) <= WIDE)
+        close = (wide <= most) | (least <= WIDE)
         return good[close], differ[close]
 
 
@@ -344,12 +346,16 @@ def verified(scratch: Scratch, docs: DataFrame, pairs: DataFrame) -> DataFrame:
     both = pairs.join(lines.withColumnRenamed("text", "a"), place)
     both = both.join(lines.select(F.col("doc_id").alias("o_doc_id"), F.col("line").alias("o_line"), F.col("text").alias("b")), ["o_doc_id", "o_line"])
 
-    def similar(a: Column, b: Column) -> Column:
-        common = F.size(F.array_intersect(a, b))
-        return common * DEN >= (F.size(a) + F.size(b) - common) * NUM
-
-    words = F.struct(*[F.array_distinct(words_of(F.col(c))).alias(c) for c in "ab"])
-    return both.where(once(words, lambda w: similar(w["a"], w["b"]))).select(*place).distinct()
+    def similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            good = []
+            for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), strict=True):
+                a, b = (set(x.decode(errors="replace").lower().encode().split()) for x in (a, b))
+                good.append(len(a & b) * DEN >= len(a | b) * NUM)
+            yield batch.select(place).filter(pa.array(good, pa.bool_()))
+
+    binary = [F.col(c).cast("binary").alias(c) for c in "ab"]
+    return both.select(*place, *binary).mapInArrow(similar, "doc_id long, line int").distinct()
 
 
 def dedup_lines(docs: DataFrame) -> DataFrame:
