@@ -16,18 +16,24 @@ from lectern.llm import decontaminate, language_id, line_dedup, near_dup, packin
 from lectern.llm.common import Scratch
 
 
+def beside(docs: DataFrame, *columns: str) -> DataFrame:
+    """The columns that an operator needs and the whole row, so that its results don't clash with other columns."""
+    return docs.select(*columns, F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+
+
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return language_id.identify(docs).where("kept").select(*docs.columns)
+    return language_id.identify(beside(docs, "doc_id", "text", "lang", "source")).where("kept").select("row.*")
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    cut = line_dedup.dedup_lines(docs)
+    cut = line_dedup.dedup_lines(beside(docs, "doc_id", "text"))
     something = (F.col("n_removed") == 0) | (F.length(F.trim("text")) > 0)
-    return cut.where(something).withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
+    new = {"text": F.col("text"), "n_chars": F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("row.n_chars"))}
+    return cut.where(something).select(*[new.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
 
 
 def dedup_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    later = near_dup.near_duplicates(docs).where("NOT kept").select("doc_id").distinct()
+    later = near_dup.near_duplicates(docs.select("doc_id", "text")).where("NOT kept").select("doc_id").distinct()
     return docs.join(later, "doc_id", "left_anti").select(*docs.columns)
 
 
