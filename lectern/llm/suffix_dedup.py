@@ -262,7 +262,7 @@ def repeated_spans(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFr
     firsts = base.dropDuplicates(["key"])
     grams = firsts.select("key", F.explode(F.arrays_zip("positions", "hashes", "heads", "tails")).alias("x"))
     grams = grams.select("key", F.col("x.positions").alias("at"), F.col("x.hashes").alias("h"), F.col("x.heads").alias("head"), F.col("x.tails").alias("tail"))
-    twice = grams.groupBy("h").count().where("count > 1").select("h")
+    twice = scratch.write(grams.groupBy("h").count().where("count > 1").select("h"))  # apart, so that the join can split a frequent gram
     held = scratch.write(grams.join(twice, "h"))
 
     def with_text(lists: DataFrame) -> DataFrame:
