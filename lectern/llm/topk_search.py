@@ -57,6 +57,8 @@ def blocks(rows: DataFrame, size: int) -> DataFrame:
             data, name = matrix(part["v"].tolist()), TaskContext.get().partitionId() << 32 | made
             made += 1
             longest = float(np.sqrt(part["square"].max()))
+            most = int(np.abs(data).max(initial=0))
+            data = data.astype(next(t for t in (np.int8, np.int16, np.int32, np.int64) if most <= np.iinfo(t).max or t is np.int64))  # blocks are sent
             return pd.DataFrame([(name, len(part), data.shape[1], longest, part["vec_id"].to_numpy(np.int64).tobytes(), data.tobytes())], columns=[x.split()[0] for x in BLOCK.split(", ")])
 
         for batch in batches:
@@ -72,7 +74,8 @@ def blocks(rows: DataFrame, size: int) -> DataFrame:
 
 def unpack(ids: bytes, data: bytes, dim: int) -> tuple[np.ndarray, np.ndarray]:
     ids = np.frombuffer(ids, dtype=np.int64)
-    return ids, np.frombuffer(data, dtype=np.int64).reshape(len(ids), dim)
+    size = len(data) // max(1, len(ids) * dim)
+    return ids, np.frombuffer(data, dtype=f"<i{size or 8}").reshape(len(ids), dim).astype(np.int64)
 
 
 def products(q: np.ndarray, p: np.ndarray) -> np.ndarray:
