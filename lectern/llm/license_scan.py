@@ -118,22 +118,38 @@ def spaces(text: Column) -> Column:
     return F.length(text) - F.length(F.replace(text, F.lit(" "), F.lit("")))
 
 
+#: Matches whose places are added up at once; so many matches cost little more than the text is long.
+TOGETHER = 256
+
+
 def matches(text: Column, rule: Column) -> Column:
     """Intervals of the rule's matches in the text, as structs that sort by start, then longest, then best priority."""
-    kind = "array<struct<start:int,minus_end:int,priority:int,rule:int>>"
     parts = F.zip_with(
         F.call_function("split", text, rule["pattern"]),
         F.call_function("regexp_extract_all", text, rule["pattern"], F.lit(0)),
         lambda a, m: F.struct(F.length(a).alias("a"), F.length(m).alias("m")),
     )
 
-    def add(acc: Column, z: Column) -> Column:
-        at = acc["at"] + z["a"]
-        one = F.struct(at.alias("start"), (-(at + z["m"])).alias("minus_end"), rule["priority"].alias("priority"), rule["rule"].alias("rule"))
-        return F.struct((at + z["m"]).alias("at"), F.array_append(acc["out"], one).alias("out"))
+    def places(parts: Column) -> Column:
+        """start and end of each match, counted from the first of the parts."""
+
+        def add(acc: Column, z: Column) -> Column:
+            end = acc["at"] + z["a"] + z["m"]
+            return F.struct(end.alias("at"), F.array_append(acc["out"], F.struct((acc["at"] + z["a"]).alias("start"), end.alias("end"))).alias("out"))
+
+        return F.aggregate(parts, F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int>>").alias("out")), add, lambda acc: acc["out"])
+
+    def whole(parts: Column) -> Column:
+        groups = F.transform(F.sequence(F.lit(0), F.floor((F.size(parts) - 1) / TOGETHER).cast("int")), lambda i: places(F.slice(parts, i * TOGETHER + 1, F.lit(TOGETHER))))
+        sizes = F.transform(groups, lambda g: F.element_at(g, -1)["end"])
+        first = F.aggregate(sizes, F.array(F.lit(0)), lambda acc, n: F.array_append(acc, F.element_at(acc, -1) + n))
+
+        def one(g: Column, at: Column) -> Column:
+            return F.transform(g, lambda x: F.struct((at + x["start"]).alias("start"), (-(at + x["end"])).alias("minus_end"), rule["priority"].alias("priority"), rule["rule"].alias("rule")))
+
+        return F.flatten(F.zip_with(groups, F.slice(first, F.lit(1), F.size(groups)), one))
 
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(kind).alias("out"))
-    return F.aggregate(F.filter(parts, lambda z: z["m"].isNotNull()), start, add, lambda acc: acc["out"])
+    return F.get(F.transform(F.array(F.filter(parts, lambda z: z["m"].isNotNull())), whole), F.lit(0))
 
 
 def detect(norm: Column, rules) -> Column:
