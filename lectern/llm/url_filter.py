@@ -30,16 +30,17 @@ PATTERN_RULES = [
     ("allow", r"/robots[.]txt$", ("robots", "txt")),
     ("block", r"^([^/]*[.])?spam-farm[.]", ("spam", "farm")),
     ("block", r"^([^/]*[.])?adult-x[.]", ("adult", "x")),
-    ("block", r"^([^/]*[.])?casino(-[a-z0-9]+)?[.]", ("casino",)),
-    ("block", r"^([^/]*[.])?betting(-[a-z0-9]+)?[.]", ("betting",)),
-    ("block", r"^([^/]*[.])?warez[.]", ("warez",)),
-    ("block", r"^([^/]*[.])?payday-loans?[.]", ("payday",)),
     ("block", r"^ads?[0-9]*[.]doubleclick[.]", ("doubleclick",)),
     ("block", r"/wp-login[.]php$", ("wp", "login", "php")),
     ("block", r"/cgi-bin/redirect(/|$)", ("cgi", "bin", "redirect")),
-    ("block", r"/porn/", ("porn",)),
-    ("block", r"/xxx/", ("xxx",)),
 ]
+#: Words that name what is blocked, and the forms in which they do: {} is the word. Each word makes a rule of each form.
+WORDS = [
+    "casino", "betting", "poker", "roulette", "jackpot", "slots", "blackjack", "bookmaker", "gambling", "porn", "porno", "xxx", "hentai", "camgirls", "escorts", "milf", "nsfw",
+    "warez", "keygen", "cracked", "nulled", "serialz", "torrentz", "rapidleech", "payday", "viagra", "cialis", "levitra", "tramadol", "xanax", "malware",
+    "clickbait", "linkfarm", "autosurf", "getrich", "forexsignals", "cryptodoubler", "adserver", "adclick", "popunder", "trackpixel",
+]
+FORMS = [r"^([^/]*[.])?{}(-[a-z0-9]+)?[.]", r"^([^/]*[.])?[a-z0-9]+-{}[.]", r"^[^/]*[.]{}(/|$)", r"/{}/", r"/{}[.](html?|php|aspx?)$", r"/(best|free|online|cheap|live)-{}(-|/|[.]|$)"]
 
 
 @dataclass(frozen=True)
@@ -60,7 +61,12 @@ def site_rule(verdict: str, rule: str) -> Rule:
 
 
 def default_rules() -> list[Rule]:
-    return [site_rule(v, r) for v, r in SITE_RULES] + [Rule(p, v, p, t, False) for v, p, t in PATTERN_RULES]
+    """The site rules, then the method's in order: those written out, then each form of each word."""
+    return [site_rule(v, r) for v, r in SITE_RULES] + [Rule(p, v, p, t, False) for v, p, t in pattern_rules()]
+
+
+def pattern_rules() -> list[tuple[str, str, tuple[str, ...]]]:
+    return PATTERN_RULES + [("block", form.format(w), (w,)) for w in WORDS for form in FORMS]
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -144,7 +150,7 @@ def _oracle() -> str:
     ordered = sorted(SITE_RULES, key=lambda x: -len(x[1]))
     rule = " ".join(f"WHEN {fits(r)} THEN '{r}'" for _, r in ordered)
     verdict = " ".join(f"WHEN {fits(r)} THEN '{v}'" for v, r in ordered)
-    method = " ".join(f"WHEN regexp_matches({lower('host || path')}, '{p}') THEN '{v}'" for v, p, _ in PATTERN_RULES)
+    method = " ".join(f"WHEN regexp_matches({lower('host || path')}, '{p}') THEN '{v}'" for v, p, _ in pattern_rules())
     return f"""
 WITH cut AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
 raw AS (SELECT page_id, rest, regexp_extract(rest, '^[^/?#]*') AS h FROM cut),
