@@ -167,12 +167,15 @@ def join_priors(judged: DataFrame, priors: DataFrame, languages: int) -> DataFra
 def identify(docs: DataFrame, text: str = "text", declared: str = "lang", host: str = "source", key: str = "doc_id") -> DataFrame:
     """Add language, confidence and kept."""
     small_batches(docs.sparkSession)
+    result = ["language", "confidence", "kept"]
+    columns = [F.col(f"_row.`{c}`").alias(c) for c in docs.columns if c not in result]
     languages, model = fit(docs, text, declared, key)
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))  # so that no column clashes with those below
     if not languages:
-        return docs.withColumns({"language": F.lit("und"), "confidence": F.lit(0.0), "kept": F.lit(False)})
+        return rows.select(*columns, F.lit("und").alias("language"), F.lit(0.0).alias("confidence"), F.lit(False).alias("kept"))
     n = len(languages)
-    address = F.lower(F.coalesce(F.col(host).cast("string"), F.lit("")))
-    judged = docs.withColumn("_host", address).withColumn("_text", text_evidence(docs, text, model))
+    rows = rows.select("_row", F.col(f"_row.`{text}`").alias("_t"), F.col(f"_row.`{declared}`").alias("_declared"), F.lower(F.coalesce(F.col(f"_row.`{host}`").cast("string"), F.lit(""))).alias("_host"))
+    judged = rows.withColumn("_text", text_evidence(rows, "_t", model)).drop("_t")
     spoken = F.slice("_text", 1, n)
     knows = F.col("_text").isNotNull() & (F.array_max(spoken) > F.element_at("_text", n + 1))
     counted = judged.select("_host", F.when(knows, best(spoken)).alias("_said"))
@@ -187,17 +190,14 @@ def identify(docs: DataFrame, text: str = "text", declared: str = "lang", host:
 
     suffix = F.create_map(*[F.lit(x) for pair in SUFFIXES.items() for x in pair])
     add = lambda a, b: F.zip_with(a, b, lambda x, y: x + y)
-    scores = add(add(F.when(knows, spoken).otherwise(zero), F.coalesce("_prior", zero)), add(speaks(F.col(declared), DECLARED), speaks(F.try_element_at(suffix, F.substring_index("_host", ".", -1)), SUFFIX)))
-    rejected = F.when(F.col("_text").isNotNull(), ~knows).otherwise(~F.coalesce(F.col(declared).isin(languages), F.lit(False)))
+    scores = add(add(F.when(knows, spoken).otherwise(zero), F.coalesce("_prior", zero)), add(speaks(F.col("_declared"), DECLARED), speaks(F.try_element_at(suffix, F.substring_index("_host", ".", -1)), SUFFIX)))
+    rejected = F.when(F.col("_text").isNotNull(), ~knows).otherwise(~F.coalesce(F.col("_declared").isin(languages), F.lit(False)))
     judged = judged.withColumn("_scores", scores).withColumn("_rejected", rejected)
     top = F.array_max("_scores")
     sure = F.aggregate("_scores", F.lit(0.0), lambda a, x: a + F.exp(x - top), lambda a: 1 / a)
     named = F.get(F.array(*[F.lit(x) for x in languages]), best(F.col("_scores")))
-    return (
-        judged.withColumn("language", F.when(F.col("_rejected"), F.lit("und")).otherwise(named))
-        .withColumn("confidence", F.when(F.col("_rejected"), F.lit(0.0)).otherwise(sure))
-        .withColumn("kept", ~F.col("_rejected"))
-        .drop("_text", "_scores", "_rejected", "_host", "_prior")
+    return judged.select(
+        *columns, F.when(F.col("_rejected"), F.lit("und")).otherwise(named).alias("language"), F.when(F.col("_rejected"), F.lit(0.0)).otherwise(sure).alias("confidence"), (~F.col("_rejected")).alias("kept"),
     )
 
 
