@@ -22,9 +22,11 @@ def lower_ascii(col: Column) -> Column:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; one of our own only where the session names none."""
+    """The folder that driver and executors share; one of our own only where the session names none and all run on this machine."""
     conf = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if not conf:
+        if spark.sparkContext.master.partition("[")[0] != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         conf = tempfile.mkdtemp(prefix="spark-shared-")
         spark.conf.set("spark.checkpoint.dir", conf)
     return conf.rstrip("/")

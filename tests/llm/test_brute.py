@@ -55,6 +55,33 @@ def test_contained_matches_of_equal_or_better_rules_are_suppressed(spark):
     assert [r.labels for r in license_scan.scan_licenses(df).collect()] == ["gpl,gpl-3.0", "", "all-rights-reserved,unknown-license"]
 
 
+def plain_licenses(text):
+    """Labels and score: every match of every rule, less those inside a match of the same or a better priority."""
+    words = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+").findall(text.translate(LOWER))
+    norm, found = f" {' '.join(words)} ", []
+    for label, priority, score, keyword, expression, *_ in license_scan.default_rules():
+        if keyword in norm:
+            found += [(m.start(), m.end(), priority, label, score) for m in re.finditer(expression, norm)]
+    found.sort(key=lambda m: (m[0], -m[1], m[2]))
+    stay = [m for i, m in enumerate(found) if not any(o[1] >= m[1] and o[2] <= m[2] for o in found[:i])]
+    base = {label for label, phrase in license_scan.PHRASES if f" {phrase} " in norm}
+    return ",".join(sorted(base | {m[3] for m in stay})), max([m[4] for m in stay] + [0.7 * bool(base)])
+
+
+def test_license_labels(spark, docs):
+    from .test_whole import example
+
+    rnd, texts = random.Random(7), list(docs.values())
+    parsed = [re._parser.parse(r[4][len("(?<= )") : -len("(?= )")]) for r in license_scan.default_rules()]
+    signs = [example(p, k) for p in parsed for k in range(3)]
+    texts += signs + [" ".join(rnd.choice(signs + ["license", "the mit license", "x, y", "copyright"]) for _ in range(rnd.randint(2, 9))) for _ in range(300)]
+    texts.append("license copyright 2020 " * 3000)  # matches beyond what is added up at once
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
+    found = license_scan.scan_licenses(df).collect()
+    assert len(found) == len(texts) and sum(r.labels != "" for r in found) > 800
+    assert [(r.i, r.labels, r.score) for r in found if (r.labels, r.score) != plain_licenses(r.text)] == []
+
+
 def plain_pii(t):
     out = [("email", m.start(), m.end()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", t)]
     out += [("ip", m.start(), m.end()) for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", t) if all(int(x) <= 255 for x in m[0].split("."))]
@@ -164,6 +191,42 @@ def test_paraphrases_are_found(spark):
     assert len({r.doc_id for r in found if r.doc_id == r.item_id}) >= 18 and not any(r.doc_id >= 100 for r in found)
 
 
+def test_language(spark, sf):
+    """All evidence, added up in plain numpy."""
+    rows = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text", "lang", "source")
+    languages, model = language_id.fit(rows, "text", "lang", "doc_id")
+    n, data = len(languages), rows.collect()
+    place, model = {x: i for i, x in enumerate(languages)}, model.astype(np.float64)
+    evidence, knows, hosts = [], [], [(r.source or "").lower() for r in data]
+    for r in data:
+        seen = language_id.trigrams(r.text.encode()) if r.text else np.zeros(0)
+        evidence.append(model[seen].sum(axis=0) * min(len(seen), language_id.TRIGRAMS) / len(seen) if len(seen) else None)
+        knows.append(evidence[-1] is not None and evidence[-1][:-1].max() > evidence[-1][-1])
+    said = [int(e[:-1].argmax()) if k else None for e, k in zip(evidence, knows, strict=True)]
+    parent = lambda h: h.split(".", 1)[1] if "." in h else ""
+
+    def counts(chosen):
+        return np.bincount([s for s, c in zip(said, chosen, strict=True) if c and s is not None], minlength=n)
+
+    a, top = language_id.SMOOTHING, (counts([True] * len(data)) + 1) / (sum(s is not None for s in said) + n)
+    prior = {}
+    for h in set(hosts):
+        own, up = counts([x == h for x in hosts]), counts([parent(x) == parent(h) for x in hosts])
+        prior[h] = np.log((own + a * (up + a * top) / (up.sum() + a)) / (own.sum() + a))
+
+    def speaks(lang, right):
+        return np.where(np.arange(n) == place[lang], np.log(right), np.log((1 - right) / max(1, n - 1))) if lang in place else np.zeros(n)
+
+    want = {}
+    for r, e, k, h in zip(data, evidence, knows, hosts, strict=True):
+        scores = (e[:-1] if k else 0) + prior[h] + speaks(r.lang, language_id.DECLARED) + speaks(language_id.SUFFIXES.get(h.rsplit(".", 1)[-1]), language_id.SUFFIX)
+        kept = k if e is not None else r.lang in place
+        want[r.doc_id] = (languages[int(scores.argmax())] if kept else "und", kept, 1 / np.exp(scores - scores.max()).sum() if kept else 0.0)
+    found = {r.doc_id: (r.lang, r.kept, r.confidence) for r in language_id.op7_language_id(spark, sf).collect()}
+    assert {d: x[:2] for d, x in found.items()} == {d: x[:2] for d, x in want.items()}
+    assert max(abs(found[d][2] - want[d][2]) for d in want) < 1e-3
+
+
 def test_held_out_language(spark, sf):
     """The text alone, without the declared language of the rows that are judged, tells it."""
     df = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text", "lang", F.lit(None).cast("string").alias("source"), F.col("lang").alias("truth"))

@@ -11,7 +11,7 @@ ROWS = [
     (2, None, None, None), (3, "", "en", "src1"), (4, LONG, "en", "src0"), (5, "   \n\n ", "de", ""), (None, "no id here at all, none", "en", "src0"), (6, "é漢字 Ünïcödé\x00 text", "fr", "src2"),
 ]
 #: Names that the operators use inside or return.
-CLASH = ["label", "key", "h", "component", "kept", "spans", "pii", "language", "host", "path", "rule", "verdict", "labels", "score", "n_words", "judged", "n_lines"]
+CLASH = ["label", "key", "h", "component", "kept", "spans", "pii", "language", "host", "path", "rule", "verdict", "labels", "score", "n_words", "judged", "n_lines", "_host", "_text", "_said", "_prior", "_row", "_t", "_key", "confidence"]
 
 
 @pytest.fixture(scope="module")
@@ -26,7 +26,7 @@ def run(df):
 
 def test_language(docs):
     found = run(language_id.identify(docs))
-    assert len(found) == len(ROWS)
+    assert len(found) == len(ROWS) and set(found[0]) == set(docs.columns) and {r["_host"] for r in found} == {"clash"}
     assert {r["language"] for r in found if r["doc_id"] == 2} == {"und"} and not any(r["kept"] for r in found if r["doc_id"] == 2)
     assert run(language_id.identify(docs.limit(0))) == []
     assert not any(r["kept"] for r in run(language_id.identify(docs.withColumn("lang", F.lit(None).cast("string")))))
