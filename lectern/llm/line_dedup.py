@@ -1,57 +1,59 @@
-"""Line dedup: exact set-similarity join of lines by their words.
+"""Line dedup: exact set-similarity join of lines by their words, built-in functions only.
 
 A line's tokens are its distinct words, in lower case. A line is removed if an earlier line, by document id and line
 number, has Jaccard similarity 0.8 or more with it, be that line removed itself or not.
 
-1. One scan counts all words, by hash, in a table of fixed size, which orders them by rarity. The order decides the
-   cost only, never the result.
-2. A second scan turns each line into its size, parity bits of its words and its prefix: the ``n - ceil(0.8 n) + 1``
-   rarest. Lines of equal words become one set that stands at its first line; only that line can stay.
-3. Each set goes to the tokens of its prefix, so similar sets share one. There it looks at the earliest set of that
-   token and the two just before it; where none of them is likely, it meets all the earlier ones within the lengths
-   that matter. Every meeting passes the length and positional filters and a bound by bitmaps: the parity bits of two
-   sets differ in no more places than the sets in words. Lists meet in blocks of bounded size; long ones are salted.
-4. The likeliest candidate of each line is verified by Jaccard on the words themselves, then the other candidates of
+1. One scan turns each line into 64-bit ids of its words, written once. They choose candidates only.
+2. All tokens are counted in a table of fixed size, which orders them by rarity. The order decides the cost only,
+   never the result.
+3. Equal lines become one set that stands at its first line; only that line can stay.
+4. Each set goes to the tokens of its prefix, the ``n - ceil(0.8 n) + 1`` rarest, so similar sets share one. There it
+   looks at the earliest set of that token and the two just before it; where none of them is likely, it meets all the
+   earlier ones. Every meeting passes the length and positional filters and a bound by bitmaps inside the join: the
+   parity bits of two sets differ in no more places than the sets in words. Long lists are salted.
+5. The likeliest candidate of each line is verified by Jaccard on the words themselves, then the other candidates of
    lines still open. What is open then meets the lists in which it has met only some sets, so nothing is lost, yet a
    group of near copies is not expanded into pairs.
 
-Hashes choose candidates and equal lines: 64 bits for a word, 128 for a set of words.
-
 Defined results: null text has no lines. Lines without words are not judged and stay. Rows that share an id count as one
 document; rows without an id are not judged and keep all lines. An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import Scratch, mix, prefix_sums, small_batches, span_hashes, table
+from .common import Scratch, table
 
 BLANKS = " \t\r\f\x0B"
 #: The threshold as a fraction.
 NUM, DEN = 4, 5
-#: Counters of the words; a token has twice the logarithm of its counter above SHIFT bits of its hash.
-COUNTERS, SHIFT = 1 << 18, 34
+#: Counters of the tokens; a token's rank has twice the logarithm of its counter above SHIFT bits of its 64-bit id.
+COUNTERS, SHIFT = 1 << 18, 57
 #: Lists of tokens of this tier (1,024 lines) and above are salted and met in full only by lines that stay open.
 LONG_LIST = 20
 #: Words of a line beyond which its parity bits are 128 instead of 64, and 256 instead of 128.
 NARROW, WIDE = 64, 128
 #: Places before a set, in the order of a token's sets, whose sets it looks at besides the earliest.
 NEIGHBOURS = (1, 2)
-#: Rows of lists that one block holds on average, that are dealt to blocks at once, and pairs that a block tests at once.
-IN_BLOCK, DEALT, AT_ONCE = 40_000, 400_000, 1 << 17
-#: Bytes that are hashed at once.
-STRETCH = 1 << 20
 #: Lines to verify, and tokens to meet in full, are looked up by a broadcast up to so many, by a shuffle beyond.
 BROADCAST_ROWS = 500_000
 
-_CUT = np.zeros(256, dtype=bool)
-_CUT[list(BLANKS.encode() + b"\n")] = True
+
+def plain(line: Column) -> Column:
+    return F.btrim(F.lower(line), F.lit(BLANKS))
+
+
+def words_of(line: Column) -> Column:
+    """Words of a plain line; where single spaces alone part them, by the faster of two ways."""
+    return F.when(line.rlike(r"[\t\r\f\x0B]|  "), F.split(line, r"[ \t\r\f\x0B]+")).otherwise(F.split(line, " "))
+
+
+def once(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 def has_words(line: Column) -> Column:
@@ -73,54 +75,25 @@ def judged_lines(docs: DataFrame) -> DataFrame:
     return merged.select("doc_id", F.col("n_lines").cast("long").alias("n_lines"), F.size("filled").cast("long").alias("judged"))
 
 
-def hashed_words(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hash and line of each word of the texts, lines numbered through all of them, and the first line of each text."""
-    lowered = [t.decode(errors="replace").lower().encode() if t else b"" for t in texts]
-    buf = np.frombuffer(b"\n".join(lowered) + b"\n", dtype=np.uint8)
-    cut = _CUT[buf]
-    starts = np.flatnonzero(~cut & np.concatenate([[True], cut[:-1]]))
-    ends = np.flatnonzero(cut & np.concatenate([[False], ~cut[:-1]]))
-    newlines = np.flatnonzero(buf == 10)
-    heads = np.cumsum([0] + [len(t) + 1 for t in lowered])[:-1]
-    hashes = [np.zeros(0, dtype=np.uint64)]
-    for a in range(0, len(buf), STRETCH):  # so that powers don't grow with the texts
-        lo, hi = np.searchsorted(starts, [a, a + STRETCH])
-        if lo < hi:
-            hashes.append(span_hashes(prefix_sums(buf[a : ends[hi - 1]]), starts[lo:hi] - a, ends[lo:hi] - a))
-    return np.concatenate(hashes), np.searchsorted(newlines, starts), np.searchsorted(newlines, heads)
-
-
-def by_line(line: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Both ordered by line, then value."""
-    bits = np.uint64(max(1, int(line.max(initial=0)).bit_length()))
-    key = line.astype(np.uint64) << (np.uint64(64) - bits) | value >> bits
-    order = np.argsort(key)
-    key, line, value = key[order], line[order], value[order]
-    if ((key[1:] == key[:-1]) & (value[1:] != value[:-1])).any():  # the bits left of the value do not order it
-        order = np.lexsort((value, line))
-        line, value = line[order], value[order]
-    return line, value
-
-
-def tiers_of(docs: DataFrame) -> np.ndarray:
-    """For each counter, twice the logarithm of how often its words stand in the lines."""
-
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(COUNTERS, dtype=np.int64)
-        for batch in batches:
-            h, _, _ = hashed_words(batch.column("text").to_pylist())
-            total += np.bincount((h & np.uint64(COUNTERS - 1)).astype(np.int64), minlength=COUNTERS)
-        slot = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(slot.astype(np.int32)), pa.array(total[slot])], ["slot", "n"])
-
-    found = docs.select(F.col("text").cast("binary").alias("text")).mapInArrow(counted, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toPandas()
-    tiers = np.zeros(COUNTERS, dtype=np.uint64)  # at most COUNTERS rows come
-    tiers[found["slot"].to_numpy()] = np.minimum(63, np.floor(2 * np.log2(found["n"].to_numpy(dtype=float)))).astype(np.uint64)
+def parity(ids: Column, mask: int) -> Column:
+    """64 parity bits of the ids in which all bits of the mask are set."""
+    bit = lambda x: F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(x, 58).cast("int"))
+    held = lambda x: bit(x) if not mask else F.when(x.bitwiseAND(F.lit(mask).cast("long")) == mask, bit(x)).otherwise(F.lit(0).cast("long"))
+    return F.aggregate(ids, F.lit(0).cast("long"), lambda acc, x: acc.bitwiseXOR(held(x)))
+
+
+def tiers_of(sets: DataFrame) -> list[int]:
+    """For each counter, twice the logarithm of how many lines its tokens stand in."""
+    slot = F.col("id").bitwiseAND(F.lit(COUNTERS - 1).cast("long")).cast("int")
+    counted = sets.select(F.explode("ids").alias("id")).groupBy(slot.alias("slot")).count()
+    rows = counted.select("slot", (F.log2(F.col("count")) * 2).cast("int").alias("tier")).toPandas()  # at most COUNTERS rows
+    tiers = [0] * COUNTERS
+    for slot, tier in zip(rows["slot"].tolist(), rows["tier"].tolist(), strict=True):
+        tiers[slot] = min(63, tier)
     return tiers
 
 
 SET = ["doc_id", "line", "n", "p0", "p1", "p2", "p3"]
-_SETS = "doc_id long, line int, n int, p0 long, p1 long, p2 long, p3 long, h0 long, h1 long, prefix array<long>"
 #: Conditions on two sets of a token: a comes later than b and they may be similar. needed is the least overlap.
 _NEEDED = f"(({NUM} * (a.n + b.n) + {NUM + DEN - 1}) div {NUM + DEN})"
 _P = "(a.p{0} ^ b.p{0})".format
@@ -134,184 +107,71 @@ LIKELY = (
 PAIR = ["doc_id", "line", "o_doc_id", "o_line"]
 
 
-def checked(df: DataFrame, rows: DataFrame) -> DataFrame:
+def checked(rows: DataFrame) -> DataFrame:
     """The rows, to be broadcast if they are few."""
     return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
 
 
-def set_rows(ids: list[int], texts: list[bytes | None], tiers: np.ndarray) -> list:
-    """Columns of _SETS of the texts' lines with words."""
-    h, line, first = hashed_words(texts)
-    line, h = by_line(line, h)
-    new = np.concatenate([[True], (line[1:] != line[:-1]) | (h[1:] != h[:-1])])[: len(h)]
-    line, h = line[new], h[new]
-    head = np.flatnonzero(np.concatenate([[True], line[1:] != line[:-1]])[: len(h)])
-    n = np.diff(np.append(head, len(h)))
-    one = np.uint64(1) << (h >> np.uint64(18) & np.uint64(63))
-    a, b = (h >> np.uint64(24) & np.uint64(1)).astype(bool), (h >> np.uint64(25) & np.uint64(1)).astype(bool)
-    bits = [np.bitwise_xor.reduceat(np.where(x, one, np.uint64(0)), head) if len(h) else one for x in (True, a, b, a & b)]
-    bits[1:] = [np.where(n > least, x, np.uint64(0)) for x, least in zip(bits[1:], (NARROW, WIDE, WIDE), strict=True)]
-    with np.errstate(over="ignore"):
-        same = [np.add.reduceat(mix(h ^ np.uint64(x)), head) if len(h) else h for x in (0x5851F42D4C957F2D, 0x14057B7EF767814F)]
-    _, rank = by_line(line, tiers[(h & np.uint64(COUNTERS - 1)).astype(np.int64)] << np.uint64(SHIFT) | h >> np.uint64(64 - SHIFT))
-    size = n - (NUM * n + DEN - 1) // DEN + 1
-    prefix = rank[np.arange(len(h)) - np.repeat(head, n) < np.repeat(size, n)]
-    lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(size)]).astype(np.int32)), pa.array(prefix.view(np.int64)))
-    own = np.searchsorted(first, line[head], side="right") - 1
-    at = (line[head] - first[own]).astype(np.int32) if len(first) else line[head].astype(np.int32)
-    return [pa.array(np.asarray(ids, dtype=np.int64)[own]), pa.array(at), pa.array(n.astype(np.int32)), *[pa.array(x.view(np.int64)) for x in (*bits, *same)], lists]
-
-
 def first_lines(docs: DataFrame, scratch: Scratch) -> DataFrame:
-    """Distinct sets of words, each at its first line: the fields of SET and its prefix of token ranks."""
-    rows = docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    tiers = docs.sparkSession.sparkContext.broadcast(tiers_of(rows))
-    names = [c.split()[0] for c in _SETS.split(", ")]
-
-    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays(set_rows(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), tiers.value), names)
-
-    sets = rows.mapInArrow(made, _SETS)
-    firsts = sets.groupBy("h0", "h1").agg(F.min(F.struct(*SET, "prefix")).alias("x"))
-    return scratch.write(firsts.select("x.*"))
-
-
-#: A row of a list; blocks are packed column by column, and these byte by byte, as most bytes are zero.
-FIELDS = np.dtype([("token", "<i8"), ("doc_id", "<i8"), ("line", "<i4"), ("n", "<i4"), ("pos", "<i4"), ("p0", "<u8"), ("p1", "<u8"), ("p2", "<u8"), ("p3", "<u8")])
-
-
-def packed(distinct: DataFrame, blocks: int, long_list: int) -> DataFrame:
-    """block and data: the rows of lists that one batch of sets has for one block."""
-
-    def dealt(batch: pa.Table) -> pa.RecordBatch:
-        get = {c: batch.column(c).to_numpy() for c in SET}
-        lists = batch.column("prefix").combine_chunks()
-        size = np.diff(lists.offsets.to_numpy())
-        own, token = np.repeat(np.arange(len(size)), size), lists.flatten().to_numpy()
-        pos = np.arange(len(own)) - np.repeat(np.cumsum(size) - size, size)
-        tier, place = token >> SHIFT, mix(get["doc_id"].astype(np.uint64) ^ mix(get["line"].astype(np.uint64)))
-        salts = np.where(tier >= long_list, 2 << np.maximum(tier - long_list, 0) // 2, 1).astype(np.uint64)  # grow with the list
-        with np.errstate(over="ignore"):
-            block = (mix(token.astype(np.uint64) + place[own] % salts * np.uint64(0x9E3779B97F4A7C15)) % np.uint64(blocks)).astype(np.int64)
-        order = np.lexsort((token, block))
-        columns = [(token if c == "token" else pos if c == "pos" else get[c][own])[order].astype(FIELDS[c]) for c in FIELDS.names]
-        block = block[order]
-        cut = np.append(np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]])[: len(block)]), len(block))
-        data = [b"".join(c[i:j].view(np.uint8).reshape(j - i, -1).T.tobytes() for c in columns) for i, j in zip(cut[:-1], cut[1:], strict=True)]
-        return pa.RecordBatch.from_arrays([pa.array(block[cut[:-1]]), pa.array(data, pa.binary())], ["block", "data"])
-
-    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, rows = [], 0
-        for batch in batches:
-            held.append(batch)
-            rows += len(batch.column("prefix").flatten())
-            if rows >= DEALT:
-                yield dealt(pa.Table.from_batches(held))
-                held, rows = [], 0
-        if held:
-            yield dealt(pa.Table.from_batches(held))
-
-    return distinct.mapInArrow(made, "block long, data binary")
-
-
-class Lists:
-    """Rows of a block, as arrays."""
-
-    def __init__(self, data: list[bytes]):
-        parts: dict[str, list] = {c: [np.zeros(0, dtype=FIELDS[c])] for c in FIELDS.names}
-        for d in data:
-            at, n = 0, len(d) // FIELDS.itemsize
-            for c in FIELDS.names:
-                width = FIELDS[c].itemsize
-                parts[c].append(np.frombuffer(d, np.uint8, n * width, at).reshape(width, n).T.copy().view(FIELDS[c]).ravel())
-                at += n * width
-        x = {c: np.concatenate(v) for c, v in parts.items()}
-        self.doc, self.line, self.n, self.pos, self.token = x["doc_id"], x["line"], x["n"].astype(np.int64), x["pos"], x["token"]
-        self.p = [x[c] for c in ("p0", "p1", "p2", "p3")]
-
-    def take(self, order: np.ndarray) -> None:
-        self.doc, self.line, self.n, self.pos, self.token = (x[order] for x in (self.doc, self.line, self.n, self.pos, self.token))
-        self.p = [x[order] for x in self.p]
-
-    def likely(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Which of the pairs, as positions in a and b, may be similar by lengths, places and parity, and how many bits differ."""
-        n, m = self.n[a], self.n[b]
-        needed = (NUM * (n + m) + NUM + DEN - 1) // (NUM + DEN)
-        good = np.flatnonzero((n * DEN >= m * NUM) & (m * DEN >= n * NUM) & (np.minimum(n - self.pos[a], m - self.pos[b]) >= needed))
-        a, b, most = a[good], b[good], (n + m - 2 * needed)[good]
-        p0, p1, least = self.p[0][a] ^ self.p[0][b], self.p[1][a] ^ self.p[1][b], np.minimum(self.n[a], self.n[b])
-        differ = np.where(least <= NARROW, np.bitwise_count(p0), np.bitwise_count(p1) + np.bitwise_count(p0 ^ p1)).astype(np.int64)
-        close = differ <= most
-        good, differ, a, b, p0, p1, most, least = (x[close] for x in (good, differ, a, b, p0, p1, most, least))
-        p2, p3 = self.p[2][a] ^ self.p[2][b], self.p[3][a] ^ self.p[3][b]
-        wide = np.bitwise_count(p3).astype(np.int64) + np.bitwise_count(p2 ^ p3) + np.bitwise_count(p1 ^ p3) + np.bitwise_count(p0 ^ p1 ^ p2 ^ p3)
-        close = (wide <= most) | (least <= WIDE)
-        return good[close], differ[close]
-
-
-_MET = "doc_id long, line int, o_doc_id long, o_line int, token long, differ int, more boolean"
-
-
-def meet(data: list[bytes], long_list: int) -> pa.Table:
-    """Rows of _MET of a block; o_doc_id is null where a set has looked at some of a long list and found none likely."""
-    x = Lists(data)
-    x.take(np.lexsort((x.line, x.doc, x.token)))
-    size = len(x.doc)
-    place, list_of = np.arange(size), np.cumsum(np.concatenate([[True], x.token[1:] != x.token[:-1]])) - 1
-    head = np.searchsorted(list_of, list_of)
-    near, differ = np.full(size, -1), np.full(size, 1 << 30)
-    for other in (head, *[place - k for k in NEIGHBOURS]):
-        rows_ = np.flatnonzero((other >= head) & (other < place))
-        good, d = x.likely(rows_, other[rows_])
-        a, better = rows_[good], d < differ[rows_[good]]
-        near[a[better]], differ[a[better]] = other[a[better]], d[better]
-    long_ = x.token >> SHIFT >= long_list
-    more = long_ | (near >= 0)
-    late, early, bits = [np.flatnonzero(more)], [near[more]], [differ[more]]
-
-    # Pairs of short lists: each set beside those of the same list that are no longer than it, but long enough.
-    own = np.flatnonzero(~long_)
-    own = own[np.lexsort((x.n[own], list_of[own]))]
-    width = int(x.n.max(initial=0)) + 1
-    key = list_of[own] * width + x.n[own]
-    low = np.searchsorted(key, list_of[own] * width + -(-x.n[own] * NUM // DEN))
-    count = np.arange(len(own)) - low
-    until = np.cumsum(count)
-    a = 0
-    while a < len(own):
-        b = max(a + 1, int(np.searchsorted(until, (until[a - 1] if a else 0) + AT_ONCE, side="right")))
-        i = np.repeat(np.arange(a, b), count[a:b])
-        j = np.arange(len(i)) - np.repeat(np.cumsum(count[a:b]) - count[a:b], count[a:b]) + low[i]
-        i, j = own[i], own[j]
-        i, j = np.maximum(i, j), np.minimum(i, j)  # positions follow documents and lines
-        alone = np.flatnonzero(~more[i])
-        i, j = i[alone], j[alone]
-        good, d = x.likely(i, j)
-        late.append(i[good])
-        early.append(j[good])
-        bits.append(d)
-        a = b
-    late, early, bits = map(np.concatenate, (late, early, bits))
-    none = early < 0
-    columns = [x.doc[late], x.line[late], x.doc[early], x.line[early], x.token[late], bits.astype(np.int32), more[late]]
-    return pa.table([pa.array(c, mask=none if k in (2, 3, 5) else None) for k, c in enumerate(columns)], names=[c.split()[0] for c in _MET.split(", ")])
-
-
-def meetings(distinct: DataFrame) -> DataFrame:
-    """_MET: each set of a token beside likely earlier ones; more where it did not meet the whole list."""
-    total, long_list = distinct.agg(F.sum(F.size("prefix"))).first()[0] or 0, LONG_LIST
-    rows = packed(distinct, max(1, -(-total // IN_BLOCK)), long_list)
-    return rows.groupBy("block").applyInArrow(lambda x: meet(x.column("data").to_pylist(), long_list), _MET)
+    """Distinct lines, each at its first place: the fields of SET and its prefix of token ranks."""
+    lines = lines_of(docs).select("doc_id", "line", plain(F.col("text")).alias("text"))
+    ids = F.array_distinct(F.transform(words_of(F.col("text")), lambda w: F.xxhash64(w)))
+    sets = scratch.write(lines.select("doc_id", "line", F.xxhash64("text").alias("h0"), F.xxhash64(F.lit(1), "text").alias("h1"), ids.alias("ids")))
+    # One literal of fixed size, made by the optimizer from its text.
+    tiers = F.split(F.lit(",".join(str(t << SHIFT) for t in tiers_of(sets))), ",").cast("array<bigint>")
+
+    def rank(x: Column) -> Column:
+        return F.get(tiers, x.bitwiseAND(F.lit(COUNTERS - 1).cast("long")).cast("int")).bitwiseOR(F.shiftrightunsigned(x, 64 - SHIFT))
+
+    zero = F.lit(0).cast("long")
+    ids, n = F.transform("ids", lambda x: F.coalesce(x, zero)), F.size("ids")  # never null, which sorts faster
+    prefix = F.slice(F.sort_array(F.transform(ids, lambda x: F.coalesce(rank(x), zero))), F.lit(1), F.expr(f"size(ids) - ({NUM} * size(ids) + {DEN - 1}) div {DEN} + 1"))
+    bits = [F.when(n > least, parity(F.col("ids"), mask)).otherwise(zero).alias(f"p{mask}") for mask, least in enumerate((0, NARROW, WIDE, WIDE))]
+    rows = sets.select("h0", "h1", "doc_id", "line", n.alias("n"), *bits, prefix.alias("prefix"))
+    firsts = rows.groupBy("h0", "h1").agg(F.min(F.struct(*SET, "prefix")).alias("x"))
+    distinct = scratch.write(firsts.select("x.*"))
+    scratch.drop(sets)
+    return distinct
+
+
+def meetings(posted: DataFrame) -> DataFrame:
+    """PAIR, token, differ, more: each set of a token beside likely earlier ones; more where it did not meet the whole list.
+
+    o_doc_id is null where a set has looked at some of a long list and found none likely.
+    """
+    by = W.partitionBy("token", "salt").orderBy("doc_id", "line")
+    tier = F.call_function("shiftright", F.col("token"), F.lit(SHIFT))
+    salts = F.call_function("shiftleft", F.lit(1), (F.greatest(tier - LONG_LIST, F.lit(0)) / 2).cast("int") + 1)  # grow with the list
+    salt = F.when(tier >= LONG_LIST, F.pmod(F.hash("doc_id", "line"), salts)).otherwise(F.lit(0))
+    # No column can be null, so neither side of the join adds a filter, and both read one exchange.
+    whole = [F.coalesce(c, F.lit(0).cast(kind)).alias(c) for c, kind in posted.select(*SET, "pos", "token").dtypes]
+    posted = posted.select(*whole, F.coalesce(salt, F.lit(0)).alias("salt")).repartition("token", "salt")
+    own = F.struct(*SET, "pos")
+    seen = {"first": F.first(own).over(by.rowsBetween(W.unboundedPreceding, W.currentRow))} | {f"near{k}": F.lag(own, k).over(by) for k in NEIGHBOURS}
+    rows = posted.select("*", *[c.alias(name) for name, c in seen.items()])
+
+    def likely(name: str) -> Column:
+        good = F.expr(f"{EARLIER} AND {LIKELY}".replace("a.", "").replace("b.", f"{name}."))
+        differ = F.expr(_DIFFER.replace("a.", "").replace("b.", f"{name}."))
+        return F.when(good, F.struct(differ.alias("differ"), F.col(f"{name}.doc_id").alias("doc_id"), F.col(f"{name}.line").alias("line")))
+
+    rows = rows.withColumn("near", F.least(*[likely(name) for name in seen])).drop(*seen)
+    rows = rows.withColumn("alone", F.col("near").isNull() & (tier < LONG_LIST))
+    a, b = rows.alias("a"), posted.alias("b")
+    met = a.join(b, F.expr(f"a.token = b.token AND a.salt = b.salt AND a.alone AND {EARLIER} AND {LIKELY}"), "left")
+    met = met.select(
+        "a.doc_id", "a.line", F.coalesce("near.doc_id", "b.doc_id").alias("o_doc_id"), F.coalesce("near.line", "b.line").alias("o_line"),
+        "a.token", F.when(F.col("near").isNull(), F.expr(_DIFFER)).otherwise(F.col("near.differ")).alias("differ"), (~F.col("alone")).alias("more"),
+    )
+    return met.where("more OR o_doc_id IS NOT NULL")
 
 
 def removed_lines(docs: DataFrame) -> DataFrame:
     """doc_id, n_lines, judged (lines with words), kept (numbers of the judged lines that stay)."""
-    small_batches(docs.sparkSession)
     scratch = Scratch(docs.sparkSession, "lines")
     distinct = first_lines(docs, scratch)
     posted = distinct.select(*SET, F.posexplode("prefix").alias("pos", "token"))
-    met = scratch.write(meetings(distinct))
+    met = scratch.write(meetings(posted))
     found = met.where("o_doc_id IS NOT NULL")
     place = ["doc_id", "line"]
 
@@ -322,7 +182,7 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     matched = matched.unionByName(verified(scratch, docs, scratch.write(others)))
     still = scratch.write(met.where("more").select(*place, "token").distinct().join(matched, place, "left_anti"))
     tokens = still.select("token").distinct()
-    listed = scratch.write(posted.join(checked(posted, tokens), "token", "left_semi"))
+    listed = scratch.write(posted.join(checked(tokens), "token", "left_semi"))
     open_ = listed.join(still, [*place, "token"], "left_semi")
     rest = open_.alias("a").join(listed.alias("b"), F.expr(f"a.token = b.token AND {EARLIER} AND {LIKELY}"))
     rest = rest.select("a.doc_id", "a.line", F.col("b.doc_id").alias("o_doc_id"), F.col("b.line").alias("o_line")).distinct()
@@ -341,21 +201,18 @@ def verified(scratch: Scratch, docs: DataFrame, pairs: DataFrame) -> DataFrame:
     if pairs.isEmpty():
         return pairs.select(*place)
     wanted = scratch.write(pairs.select(*place).union(pairs.select("o_doc_id", "o_line")).distinct())
-    near = docs.join(checked(docs, wanted.select("doc_id").distinct()), "doc_id", "left_semi")
-    lines = scratch.write(lines_of(near).join(checked(docs, wanted), place, "left_semi").dropDuplicates(place))
+    near = docs.join(checked(wanted.select("doc_id").distinct()), "doc_id", "left_semi")
+    found = lines_of(near).join(checked(wanted), place, "left_semi").dropDuplicates(place)
+    lines = scratch.write(found.select(*place, plain(F.col("text")).alias("text")))
     both = pairs.join(lines.withColumnRenamed("text", "a"), place)
     both = both.join(lines.select(F.col("doc_id").alias("o_doc_id"), F.col("line").alias("o_line"), F.col("text").alias("b")), ["o_doc_id", "o_line"])
 
-    def similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            good = []
-            for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), strict=True):
-                a, b = (set(x.decode(errors="replace").lower().encode().split()) for x in (a, b))
-                good.append(len(a & b) * DEN >= len(a | b) * NUM)
-            yield batch.select(place).filter(pa.array(good, pa.bool_()))
+    def similar(a: Column, b: Column) -> Column:
+        common = F.size(F.array_intersect(a, b))
+        return common * DEN >= (F.size(a) + F.size(b) - common) * NUM
 
-    binary = [F.col(c).cast("binary").alias(c) for c in "ab"]
-    return both.select(*place, *binary).mapInArrow(similar, "doc_id long, line int").distinct()
+    words = F.struct(*[F.array_distinct(words_of(F.col(c))).alias(c) for c in "ab"])
+    return both.where(once(words, lambda w: similar(w["a"], w["b"]))).select(*place).distinct()
 
 
 def dedup_lines(docs: DataFrame) -> DataFrame:

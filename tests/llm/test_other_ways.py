@@ -19,21 +19,11 @@ def test_near_dup_by_shuffle_and_small_blocks(spark, sf, monkeypatch):
 
 def test_lines_by_shuffle_and_salts(spark, sf, monkeypatch):
     want = rows(line_dedup.op5_line_dedup(spark, sf))
-    for name, value in {"BROADCAST_ROWS": 0, "LONG_LIST": 3, "IN_BLOCK": 300}.items():
+    for name, value in {"BROADCAST_ROWS": 0, "LONG_LIST": 3, "COUNTERS": 64}.items():
         monkeypatch.setattr(line_dedup, name, value)
     assert rows(line_dedup.op5_line_dedup(spark, sf)) == want
 
 
-def test_words_in_small_stretches(monkeypatch):
-    texts = ["one two\n\tthree  é\n\n".encode(), None, b"", b"three one", b"x" * 50 + b" one"]
-    want = [x.tolist() for x in line_dedup.hashed_words(texts)]
-    assert want[1] == [0, 0, 1, 1, 6, 6, 7, 7] and want[2] == [0, 4, 5, 6, 7]
-    assert want[0][0] == want[0][5] == want[0][7] and want[0][2] == want[0][4]
-    for stretch in (1, 7, 20):
-        monkeypatch.setattr(line_dedup, "STRETCH", stretch)
-        assert [x.tolist() for x in line_dedup.hashed_words(texts)] == want
-
-
 def test_hosts_by_shuffle(spark, sf, monkeypatch):
     want = rows(language_id.op7_language_id(spark, sf))
     monkeypatch.setattr(language_id, "MAX_HOSTS", 0)

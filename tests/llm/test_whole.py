@@ -130,7 +130,6 @@ def test_lines_of_near_copies_against_brute_force(spark, monkeypatch, copies):
     texts = [" ".join(said(rnd.choice(bases))) for _ in range(copies * 7)]
     docs = [(i, "\n".join(texts[7 * i : 7 * i + 7])) for i in range(copies)]
     monkeypatch.setattr(line_dedup, "LONG_LIST", 10)
-    monkeypatch.setattr(line_dedup, "IN_BLOCK", 500)
     sets, want = [set(t.split()) for t in texts], {i: [] for i, _ in docs}
     for i, x in enumerate(sets):
         if not any(5 * len(x & y) >= 4 * len(x | y) for y in sets[:i]):
