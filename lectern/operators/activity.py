@@ -74,7 +74,8 @@ def locate(df: DataFrame, ranges: DataFrame, ip: str = "ip") -> DataFrame:
     block and a filter. Ranges do not overlap, so an address meets one row at most.
     """
     spread = ranges.withColumn("_block", F.explode(F.sequence(F.expr("lo div 65536"), F.expr("hi div 65536")))).withColumnsRenamed({"lo": "_lo", "hi": "_hi"})
-    df = df.withColumn("_ip", ip_number(F.col(ip))).withColumn("_b", F.expr("_ip div 65536"))
+    df = df.withColumn("_ip", ip_number(F.col(ip)))
+    df = df.withColumn("_b", F.coalesce(F.expr("_ip div 65536"), -1 - F.pmod(F.xxhash64(ip), F.lit(4096))))  # others spread, as blocks that no range has
     found = df.join(spread, (F.col("_b") == F.col("_block")) & (F.col("_ip") >= F.col("_lo")) & (F.col("_ip") <= F.col("_hi")), "left")
     unknown = {c: F.coalesce(c, F.lit("UNKNOWN")) for c in ("country_code", "country_name")}
     return found.withColumns(unknown).drop("_ip", "_b", "_block", "_lo", "_hi")

@@ -92,10 +92,10 @@ def enrollment_by_education(days: DataFrame, profiles: DataFrame, end: str) -> D
 
 def passing_by_mode(days: DataFrame, grades: DataFrame) -> DataFrame:
     """As-of join: each grade takes the mode of the closest enrollment day up to its change. grades: user_id, course_id,
-    modified, letter_grade, passed. One equality join; the inequality is a filter, and max_by keeps the closest day."""
+    modified, letter_grade, passed_timestamp; of several grades the newest counts. One equality join; the inequality is a filter, and max_by keeps the closest day."""
     g = grades.groupBy("user_id", "course_id").agg(
-        F.max("modified").alias("modified"), F.max("letter_grade").alias("letter_grade"), F.max("passed_timestamp").alias("passed_timestamp")
-    )
+        F.max("modified").alias("modified"), F.max_by(F.struct("letter_grade", "passed_timestamp"), F.struct("modified", "letter_grade", F.coalesce(F.col("passed_timestamp").cast("timestamp"), F.timestamp_seconds(F.lit(0))))).alias("g")
+    ).select("user_id", "course_id", "modified", "g.letter_grade", "g.passed_timestamp")
     near = g.join(days.select("user_id", "course_id", "date", "mode"), ["user_id", "course_id"]).where(F.col("date") <= F.to_date("modified"))
     near = near.groupBy("user_id", "course_id", "letter_grade", "passed_timestamp").agg(F.max_by("mode", "date").alias("mode"))
     passes = F.col("passed_timestamp").isNotNull() & (F.col("letter_grade") != "")

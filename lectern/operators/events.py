@@ -80,11 +80,19 @@ def tagged_problem_events(df: DataFrame) -> DataFrame:
 
 
 def event_org() -> Column:
-    """The organisation by source: context, then address, then part of the problem's id."""
-    context = org_of_course(field("context.course_id"))
-    context = F.coalesce(F.nullif(field("context.org_id"), F.lit("")), context)
-    server = F.coalesce(context, org_of_course(course_key_from_url(field("event_type"))), F.nullif(F.split_part(field("event.problem_id"), F.lit("/"), F.lit(3)), F.lit("")))
-    browser = F.coalesce(org_of_course(course_key_from_url(field("page"))), F.nullif(F.split_part(field("event"), F.lit("-"), F.lit(2)), F.lit("")))
+    """The organisation by source. Server: the context's organisation, else of the course in the address, of an event
+    that is no address the part of its problem's id. Browser: of the course in the page's address, the context is not
+    asked. Mobile: the context's. In addresses of old courses it is the part after ``courses``."""
+    context, kind, page = F.nullif(field("context.org_id"), F.lit("")), field("event_type"), field("page")
+    part = lambda text, i: F.get(F.split(text, "/"), F.lit(i))
+
+    def of_address(address: Column, at: int) -> Column:
+        course = course_key_from_url(address)
+        return F.when(course.contains("+"), org_of_course(course)).otherwise(part(address, at))
+
+    problem = part(F.coalesce(field("event.problem_id"), F.try_variant_get(F.try_parse_json(field("event")), "$.problem_id", "string")), 2)
+    server = F.when(context.isNotNull(), context).when(kind.contains("/courses/"), of_address(kind, 2)).when(~kind.contains("/"), problem)
+    browser = F.when(page.contains("courses"), of_address(page, 4))
     source = field("event_source")
     return F.when(source == "server", server).when(source == "browser", browser).when(source == "mobile", context)
 

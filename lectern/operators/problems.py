@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import answer_group_key, hidden_answer
+from .outline import DELETED, DELIMITER
 
 #: Response types whose answers are counted.
 RESPONSES = ("choiceresponse", "optionresponse", "multiplechoiceresponse", "numericalresponse", "stringresponse", "formularesponse")
@@ -42,11 +43,13 @@ def latest_responses(checks: DataFrame) -> DataFrame:
     return df.select("course_id", "problem_id", "username", F.col("part.key").alias("answer_id"), F.col("part.value.value").alias("answer"), F.col("part.value.correct").alias("was_correct"), "total_attempts", "first_attempt_date", "last_attempt_date")
 
 
-def response_location(responses: DataFrame, outline: DataFrame) -> DataFrame:
-    """Responses with the path and order of their block; a block that isn't in the outline is marked and comes last."""
-    blocks = outline.select("course_id", F.col("block_id").alias("problem_id"), "course_path", "sort_idx")
-    df = responses.join(blocks, ["course_id", "problem_id"], "left")
-    return df.withColumns({"course_path": F.coalesce("course_path", F.lit("(Deleted)")), "sort_idx": F.coalesce("sort_idx", F.lit(-1))}).orderBy("course_id", "sort_idx", "first_attempt_date")
+def response_location(responses: DataFrame, outline: DataFrame, problem: str = "problem") -> DataFrame:
+    """Responses with location (the path of their block and the problem's name) and order of their block, by course,
+    place and first attempt; problems whose block isn't in the outline are marked and, at -1, come first."""
+    blocks = outline.select(F.col("block_id").alias("problem_id"), "course_path", "sort_idx")
+    df = responses.join(blocks, "problem_id", "left")
+    location = F.concat(F.coalesce("course_path", F.lit(DELETED)), F.lit(DELIMITER), F.col(problem))
+    return df.withColumns({"location": location, "sort_idx": F.coalesce("sort_idx", F.lit(-1))}).drop("course_path").orderBy("course_id", "sort_idx", "first_attempt_date")
 
 
 def tags_distribution(checks: DataFrame) -> DataFrame:

@@ -29,9 +29,9 @@ def _segments(s, d):
 
 
 def _cohorts(s, d):
-    """Every fourth customer is in a cohort of one course, named after a nation."""
+    """The customers of one market segment are in cohorts, each of one course and named after a nation; the group of others is unknown."""
     n = table(s, d, "nation").select(F.col("n_nationkey").cast("long").alias("id"), F.concat_ws("+", F.concat(F.lit("course-v1:org"), F.col("n_nationkey") % 3), F.concat(F.lit("c"), F.col("n_nationkey") % 3), F.lit("2024")).alias("course_id"), F.col("n_name").alias("name"))
-    c = table(s, d, "customer").where("c_custkey % 4 = 0").select(F.col("c_custkey").alias("user_id"), F.col("c_nationkey").cast("long").alias("group_id"))
+    c = table(s, d, "customer").select(F.col("c_custkey").alias("user_id"), F.when(F.col("c_mktsegment") == "BUILDING", F.col("c_nationkey").cast("long")).alias("group_id"))
     return G.cohort_members(n, c)
 
 
@@ -103,7 +103,7 @@ _R = """SELECT course_id, start_date, end_date, metric, r.t AS range_type, r.a A
  CASE WHEN lo <> hi THEN {'t': 'normal', 'a': lo, 'b': hi} END, CASE WHEN lo <> hi THEN {'t': 'high', 'a': hi, 'b': CAST('inf' AS DOUBLE)} END] if x IS NOT NULL]) AS r FROM bb)"""
 _S = """SELECT un.course_id, username, un.start_date, un.end_date, CASE WHEN un.metric = 'problem_attempts_per_completed' THEN 'struggling' ELSE 'highly_engaged' END AS segment, string_agg(DISTINCT un.metric, ',' ORDER BY un.metric) AS reason
  FROM un JOIN r ON r.course_id = un.course_id AND r.metric = un.metric AND range_type = 'high' AND un.metric <> 'problem_attempts' WHERE value >= low_value AND (value < high_value OR (isinf(value) AND isinf(high_value))) GROUP BY ALL"""
-_CO = """SELECT c_custkey AS user_id, 'course-v1:org' || (n_nationkey % 3) || '+c' || (n_nationkey % 3) || '+2024' AS course_id, n_name AS cohort FROM customer JOIN nation ON n_nationkey = c_nationkey WHERE c_custkey % 4 = 0"""
+_CO = """SELECT c_custkey AS user_id, 'course-v1:org' || (n_nationkey % 3) || '+c' || (n_nationkey % 3) || '+2024' AS course_id, n_name AS cohort FROM customer JOIN nation ON n_nationkey = CASE WHEN c_mktsegment = 'BUILDING' THEN c_nationkey END"""
 _G = with_views("eng", m=_M, wk=_w(END), un=_UN, b=_B, bb=_BB, r=_R, sg=_S)
 _FE = f"SELECT course_id, user_id, min(date) AS first_enrollment_date FROM raw WHERE at_end = 1 AND date < DATE '{END}' GROUP BY ALL"
 _ROSTER = with_views("eng", "enr", "usr", m=_M, wk=_w(END), old=_w(BEFORE), un=_UN, b=_B, bb=_BB, r=_R, sg=_S, st=STATE, raw=DAYS, co=_CO, fe=_FE, tx="SELECT course_id, username, string_agg(DISTINCT segment, ',' ORDER BY segment) AS segments FROM sg GROUP BY ALL", ro=f"""

@@ -78,7 +78,7 @@ _LAST = f"date = DATE '{END}' - 1"
 _GRADES = """SELECT o_custkey AS user_id, 'course-v1:org' || (o_orderkey % 3) || '+c' || (o_orderkey % 3) || '+2024' AS course_id, DATE '2024-01-01' + CAST(o_orderkey % 30 AS INTEGER) AS modified,
  CASE o_orderstatus WHEN 'F' THEN 'A' WHEN 'O' THEN 'B' ELSE '' END AS letter_grade, CASE WHEN o_orderkey % 2 = 0 THEN DATE '2024-01-01' + CAST(o_orderkey % 30 AS INTEGER) END AS passed FROM orders"""
 _PASSING = """SELECT course_id, mode, CAST(sum(CASE WHEN passed IS NOT NULL AND letter_grade <> '' THEN 1 ELSE 0 END) AS BIGINT) AS passing_users FROM (
- SELECT g.user_id, g.course_id, letter_grade, passed, arg_max(mode, date) AS mode FROM (SELECT user_id, course_id, max(modified) AS modified, max(letter_grade) AS letter_grade, max(passed) AS passed FROM grades GROUP BY ALL) g
+ SELECT g.user_id, g.course_id, letter_grade, passed, arg_max(mode, date) AS mode FROM (SELECT user_id, course_id, modified, g.letter_grade, g.passed FROM (SELECT user_id, course_id, max(modified) AS modified, arg_max({'letter_grade': letter_grade, 'passed': passed}, (modified, letter_grade, coalesce(passed, DATE '1970-01-01'))) AS g FROM grades GROUP BY ALL)) g
  JOIN days ON days.user_id = g.user_id AND days.course_id = g.course_id AND date <= modified GROUP BY ALL) GROUP BY ALL"""
 _DG = with_views("enr", st=STATE, raw=DAYS, days="SELECT date, course_id, user_id, at_end, mode FROM raw", grades=_GRADES, passing=_PASSING, bm=f"SELECT course_id, date, mode, {_SUMS} FROM days GROUP BY ALL")
 _EDU = " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in E.EDUCATION.items())

@@ -39,14 +39,14 @@ def _lines(s, d):
 
 def _enterprise(s, d):
     c = table(s, d, "customer")
-    links = c.where("c_custkey % 2 = 0").crossJoin(F.broadcast(s.range(3).select(_course(F.col("id")).alias("course_id")))).select((F.col("c_nationkey") % 5).alias("enterprise_id"), F.col("c_custkey").alias("user_id"), "course_id")
+    links = c.select("*", F.explode(F.sequence(F.lit(0), F.lit(2))).alias("i")).withColumn("course_id", _course(F.col("i"))).select((F.col("c_nationkey") % 5).alias("enterprise_id"), F.col("c_custkey").alias("user_id"), "course_id")
     r = table(s, d, "region")
     customers = r.select(F.col("r_regionkey").cast("int").alias("enterprise_id"), F.col("r_name").alias("enterprise_name"))
     courses = r.select(_course(F.col("r_regionkey")).alias("course_id"), F.col("r_name").alias("course_title"), F.lit("2024-01-01").cast("date").alias("course_start"), F.date_add(F.lit("2024-02-01").cast("date"), F.col("r_regionkey").cast("int") * 5).alias("course_end")).where("r_regionkey < 3")
     social = table(s, d, "orders").select(F.col("o_custkey").alias("user_id"), F.col("o_orderkey").alias("id"), F.concat(F.lit("idp:"), F.col("o_orderkey").cast("string")).alias("uid"))
     grades = _grades(s, d).groupBy("user_id", "course_id").agg(F.max("letter_grade").alias("letter_grade"), F.max("passed_timestamp").alias("passed_timestamp"))
     prices = S.orders_best_price(_lines(s, d)).groupBy("user_id", "course_id").agg(F.max("price").alias("price"))
-    discounts = c.where("c_custkey % 3 < 2").crossJoin(F.broadcast(s.range(3).select(_course(F.col("id")).alias("course_id")))).select(F.col("c_custkey").alias("user_id"), "course_id", F.when(F.col("c_custkey") % 3 == 0, "Percentage").otherwise("Absolute").alias("benefit_type"), (F.col("c_custkey") % 40).cast("double").alias("benefit_value"))
+    discounts = c.select("*", F.explode(F.sequence(F.lit(0), F.lit(2))).alias("i")).withColumn("course_id", _course(F.col("i"))).select(F.col("c_custkey").alias("user_id"), "course_id", F.when(F.col("c_custkey") % 3 == 0, "Percentage").when(F.col("c_custkey") % 3 == 1, "Absolute").alias("benefit_type"), (F.col("c_custkey") % 40).cast("double").alias("benefit_value"))
     return links, customers, courses, social, grades, prices, discounts
 
 
@@ -121,7 +121,7 @@ _LIN = f"SELECT l_orderkey AS order_id, o_custkey AS user_id, {_C('l_suppkey')}
 _UA = """SELECT user_id, course_id, date FROM act WHERE source <> 'task' AND type NOT LIKE 'edx.course.enrollment%'"""
 _BD = "SELECT date, kind, count(*) AS n FROM ev GROUP BY ALL"
 _ENT = {
-    "links": f"SELECT c_nationkey % 5 AS enterprise_id, c_custkey AS user_id, {_C('i')} AS course_id FROM customer, (SELECT unnest([0, 1, 2]) AS i) WHERE c_custkey % 2 = 0",
+    "links": f"SELECT c_nationkey % 5 AS enterprise_id, c_custkey AS user_id, {_C('i')} AS course_id FROM customer, (SELECT unnest([0, 1, 2]) AS i)",
     "cust": "SELECT r_regionkey AS enterprise_id, r_name AS enterprise_name FROM region",
     "soc": "SELECT o_custkey AS user_id, split_part(arg_max('idp:' || o_orderkey, o_orderkey), ':', -1) AS user_sso_id FROM orders GROUP BY ALL",
 }

@@ -90,9 +90,9 @@ _W = with_views(ch=_CH, pa=_PA, fl=_FL)
 _TR = {
     "e": """SELECT 'root' AS p, 'r' || r_regionkey AS c, r_regionkey AS pos FROM region UNION ALL SELECT 'r' || n_regionkey, 'n' || n_nationkey, n_nationkey FROM nation WHERE n_regionkey < 4 UNION ALL SELECT 'r4', 'n3', 3 UNION ALL SELECT 'n' || s_nationkey, 's' || s_suppkey, s_suppkey FROM supplier""",
     "b": """SELECT 'root' AS id, 'course' AS t, 'World' AS name UNION ALL SELECT 'r' || r_regionkey, 'chapter', r_name FROM region UNION ALL SELECT 'n' || n_nationkey, 'sequential', n_name FROM nation UNION ALL SELECT 's' || s_suppkey, 'vertical', s_name FROM supplier""",
-    "w": """SELECT 'root' AS id, CAST([] AS BIGINT[]) AS pl, NULL AS parent, CAST([] AS VARCHAR[]) AS names UNION ALL SELECT w.c, [w.pos], w.p, [b.name] FROM e w JOIN b ON b.id = w.c WHERE w.p = 'root'
- UNION ALL SELECT y.c, [x.pos, y.pos], y.p, [x2.name, y2.name] FROM e x JOIN e y ON x.c = y.p JOIN b x2 ON x2.id = x.c JOIN b y2 ON y2.id = y.c WHERE x.p = 'root'
- UNION ALL SELECT z.c, [x.pos, y.pos, z.pos], z.p, [x2.name, y2.name, z2.name] FROM e x JOIN e y ON x.c = y.p JOIN e z ON y.c = z.p JOIN b x2 ON x2.id = x.c JOIN b y2 ON y2.id = y.c JOIN b z2 ON z2.id = z.c WHERE x.p = 'root'""",
+    "w": """SELECT 'root' AS id, CAST([] AS BIGINT[]) AS pl, NULL AS parent, CAST([] AS VARCHAR[]) AS names UNION ALL SELECT w.c, [w.pos], w.p, ['World'] FROM e w JOIN b ON b.id = w.c WHERE w.p = 'root'
+ UNION ALL SELECT y.c, [x.pos, y.pos], y.p, ['World', x2.name] FROM e x JOIN e y ON x.c = y.p JOIN b x2 ON x2.id = x.c WHERE x.p = 'root'
+ UNION ALL SELECT z.c, [x.pos, y.pos, z.pos], z.p, ['World', x2.name, y2.name] FROM e x JOIN e y ON x.c = y.p JOIN e z ON y.c = z.p JOIN b x2 ON x2.id = x.c JOIN b y2 ON y2.id = y.c WHERE x.p = 'root'""",
     "v": "SELECT id, min(pl) AS pl, arg_min(parent, pl) AS parent, arg_min(names, pl) AS names FROM w GROUP BY ALL",
 }
 ORACLES = {
@@ -103,8 +103,8 @@ ORACLES = {
     "tags_distribution": with_views(ch=_CH, g="SELECT course_id, problem_id, count(*) AS total_submissions, count(*) FILTER (event_id % 2 = 0) AS correct_submissions, arg_max(event_id, (ts, event_id)) AS e FROM ch GROUP BY ALL")
     + """ SELECT course_id, problem_id, total_submissions, correct_submissions, 'difficulty' AS tag_name, CASE WHEN e % 2 = 0 THEN 'easy' ELSE 'hard' END AS tag_value FROM g UNION ALL SELECT course_id, problem_id, total_submissions, correct_submissions, 'skill', unnest(['s1', 's' || (e % 5)]) FROM g""",
     "course_outline": "WITH " + ", ".join(f"{k} AS ({v})" for k, v in _TR.items()) + """ SELECT 'course-v1:w+o+r' AS course_id, b.id AS block_id, t AS block_type, b.name AS display_name, parent AS parent_block_id,
- CAST(CASE WHEN v.id IS NULL THEN (SELECT count(*) FROM b) ELSE row_number() OVER (ORDER BY v.id IS NULL, pl) - 1 END AS INTEGER) AS sort_idx, CASE WHEN v.id IS NULL THEN '(Deleted)' ELSE array_to_string(names, ' / ') END AS course_path,
- b.id = 'root' AS is_root, v.id IS NULL AS is_orphan, b.id = 'n3' AS is_dag FROM b LEFT JOIN v ON v.id = b.id""",
+ CAST(CASE WHEN v.id IS NULL THEN (SELECT count(*) FROM b) ELSE row_number() OVER (ORDER BY v.id IS NULL, pl) - 1 END AS INTEGER) AS sort_idx, CASE WHEN v.id IS NULL THEN '(Deleted block :)' ELSE array_to_string(names, ' / ') END AS course_path,
+ b.id = 'root' AS is_root, v.id IS NULL AS is_orphan, (SELECT count(*) FROM e WHERE e.c = b.id AND e.p IN (SELECT id FROM v)) > 1 AS is_dag FROM b LEFT JOIN v ON v.id = b.id""",
     "catalog_seats": "SELECT CAST(l_orderkey AS VARCHAR) AS course_id, l_returnflag AS course_seat_type, l_extendedprice AS course_seat_price, 'USD' AS course_seat_currency FROM lineitem",
     "program_courses_with_order": """SELECT CAST(l_orderkey AS VARCHAR) AS course_id, CAST(l_orderkey % 7 AS VARCHAR) AS catalog_course, CAST(l_partkey % 5 AS VARCHAR) AS program_id, l_linestatus AS program_type, 'T' AS program_title,
  CASE WHEN l_orderkey % 7 >= l_partkey % 5 THEN CAST(l_orderkey % 7 - l_partkey % 5 + 1 AS INTEGER) END AS program_slot_number FROM lineitem""",

@@ -97,7 +97,7 @@ ORACLES = {
  kind || '_' || CASE WHEN k % 2 = 0 THEN '1' ELSE '7' END AS group_key, k % 3 = 0 AS hidden FROM ev""",
     "text_escapes": f"""SELECT doc_id, sha1({_ENC}) AS encoded, true AS round_trip, contains(text, chr(10)) AS needs_decoding, sha1(trim(regexp_replace(text, '[ \\t\\n\\r\\f\\x0B]+', ' ', 'g'))) AS plain,
  substr(replace(regexp_replace(text, '[\\t\\n\\r]', ' ', 'g'), '\\', ''), 1, 60) AS short FROM documents""",
-    "mask_emails": r"""SELECT conv_id, turn, md5(regexp_replace(text, '(?i)\b[a-z0-9._%+\-]+@(?:[a-z0-9\-]+\.)+[a-z]{2,}\b', '<<EMAIL>>', 'g')) AS masked FROM (SELECT conv_id, turn, text FROM conversations UNION ALL SELECT doc_id, -1, text FROM documents)""",
+    "mask_emails": r"""SELECT conv_id, turn, md5(regexp_replace(text, '(?i)\b[a-z0-9!#$%&''*+/=?^_`{|}~-]+(?:\.[a-z0-9!#$%&''*+/=?^_`{|}~-]+)*@(?:[a-z0-9](?:[a-z0-9-]*[a-z0-9])?\.)+[a-z0-9](?:[a-z0-9-]*[a-z0-9])?\b', '<<EMAIL>>', 'g')) AS masked FROM (SELECT conv_id, turn, text FROM conversations UNION ALL SELECT doc_id, -1, text FROM documents)""",
     "mask_user_table": f"SELECT {_remap('c_custkey')} AS id, 'username_' || {_remap('c_custkey')} AS username, '' AS email, c_mktsegment FROM customer",
     "mask_enrollment_table": f"SELECT o_orderkey AS id, {_remap('o_custkey')} AS user_id, o_orderstatus AS mode FROM orders",
     "week_end_key": with_views() + f" SELECT event_id, date + CAST((isodow(DATE '{END}' - 1) - isodow(date) + 7) % 7 AS INTEGER) AS week_end FROM ev",

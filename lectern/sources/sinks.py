@@ -48,13 +48,20 @@ def replace_result(df: DataFrame, path: str, allow_empty: bool = False, key: lis
 
 
 def replace_by_swap(df: DataFrame, path: str) -> None:
-    """Write beside the old rows, then take their place."""
+    """Write beside the old rows, move these away, take their place, then delete them; what fails leaves the old rows."""
     spark = df.sparkSession
     checked(df).write.mode("overwrite").parquet(f"{path}.new")
-    at, new = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (path, f"{path}.new"))
+    at, new, old = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (path, f"{path}.new", f"{path}.old"))
     fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
-    fs.delete(at, True)
-    fs.rename(new, at)
+    fs.delete(old, True)
+    had = fs.exists(at)
+    if had and not fs.rename(at, old):
+        raise OSError(f"can't move {path} away")
+    if not fs.rename(new, at):
+        if had:
+            fs.rename(old, at)
+        raise OSError(f"can't move {path}.new to {path}")
+    fs.delete(old, True)
 
 
 def replace_slice(df: DataFrame, path: str, by: str = "date") -> None:
@@ -114,8 +121,12 @@ def synthetic_log_files(events: DataFrame, path: str, by: str = "date") -> None:
 
 
 def shared_path(spark: SparkSession) -> str:
-    """A new path in the checkpoint folder that the session names, or in one of our own where it names none."""
-    folder = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-store-")
+    """A new path in the checkpoint folder that the session names; one of our own only where all run on this machine."""
+    folder = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not spark.sparkContext.master.partition("[")[0] == "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        folder = tempfile.mkdtemp(prefix="spark-store-")
     return f"{folder.rstrip('/')}/store-{uuid.uuid4().hex}"
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from lectern.functions import keys, text
 from lectern.operators import engagement as G
 from lectern.operators import events as X
-from lectern.operators import outline, privacy, video
+from lectern.operators import outline, privacy, problems, video
 from lectern.sources import readers, sinks
 
 
@@ -63,7 +63,20 @@ def test_masks(spark):
     said = "Mail Ann.Lee@x.org or +1 555 123 4567, see https://www.facebook.com/ann; Ann Lee is ann7 (77)"
     masked = values(spark, [said], "string", lambda c: privacy.mask_text(c, F.lit("ann7"), F.lit(77), F.lit("Ann Lee"), False))[0]
     assert masked == "Mail <<EMAIL>> or <<PHONE_NUMBER>>, see <<FACEBOOK>>; <<FULLNAME>> is <<USERNAME>> (<<USER_ID>>)"
-    assert values(spark, ['{"a": "x@y.org"}', "broken"], "string", lambda c: privacy.mask_leaves(c, privacy.mask_emails)) == ['{"a":"<<EMAIL>>"}', "{}"]
+    mails = ["o'brien@x.org", "a!b#c/d=e@x-y.co", "x@y", "call 555-1234 or (555) 123-4567", "+49 151 2345678", "3.1415926"]
+    assert values(spark, mails, "string", lambda c: privacy.mask_phones(privacy.mask_emails(c))) == ["<<EMAIL>>", "<<EMAIL>>", "x@y", "call <<PHONE_NUMBER>> or <<PHONE_NUMBER>>", "<<PHONE_NUMBER>>", "3.1415926"]
+    names = ["Ann (Bo) d/o Lee-Ray, Jr.", "The Can", "a+b"]
+    df = spark.createDataFrame([(i, n, "ann Bo, LEE-RAY jr. Ann Bo Lee-Ray Jr; the can; a+b") for i, n in enumerate(names)], "i int, n string, t string")
+    assert [r.m for r in df.orderBy("i").select(privacy.mask_fullname(F.col("t"), F.col("n")).alias("m")).collect()] == [
+        "<<FULLNAME>> Bo, <<FULLNAME>> jr. <<FULLNAME>> Bo <<FULLNAME>> Jr; the can; a+b", "ann Bo, LEE-RAY jr. Ann Bo Lee-Ray Jr; <<FULLNAME>>; a+b", "ann Bo, LEE-RAY jr. Ann Bo Lee-Ray Jr; the can; a+b",
+    ]
+
+
+def test_masked_leaves(spark):
+    texts = ['{"a": "x@y.org"}', "broken", '{"n": 5, "x@y.org": {"b": ["é \\" x@y.org", null, true]}, "l": [1.50]}', '["x@y.org"]', '"x@y.org"', "{}", None]
+    assert values(spark, texts, "string", lambda c: privacy.mask_leaves(c, privacy.mask_emails)) == [
+        '{"a": "<<EMAIL>>"}', "{}", '{"n": 5, "x@y.org": {"b": ["é \\" <<EMAIL>>", null, true]}, "l": [1.50]}', '["<<EMAIL>>"]', '"<<EMAIL>>"', "{}", "{}",
+    ]
 
 
 def summary(spark, rows):
@@ -81,12 +94,50 @@ def test_metric_ranges_with_infinite_ratios(spark):
     assert ("u3", "struggling") in segments and ("u0", "struggling") not in segments
 
 
-def test_outline_with_orphan_and_shared_block(spark):
-    courses = spark.createDataFrame([("c", "r", {"r": ("r", "course", "R", ["a", "b"]), "a": ("a", "chapter", "A", ["x"]), "b": ("b", "chapter", "B", ["x", "r"]), "x": ("x", "html", "X", None), "o": ("o", "html", "O", None)})],
-        "course_id string, root string, blocks map<string, struct<id: string, type: string, display_name: string, children: array<string>>>")
-    rows = {r.block_id: r for r in outline.course_outline(*outline.edges_of(courses)).collect()}
-    assert {k: r.sort_idx for k, r in rows.items()} == {"r": 0, "a": 1, "x": 2, "b": 3, "o": 5}
-    assert rows["x"].parent_block_id == "a" and rows["x"].course_path == "A / X" and rows["x"].is_dag and rows["o"].is_orphan and rows["o"].course_path == "(Deleted)"
+def outline_rows(spark, root, blocks, **how):
+    courses = spark.createDataFrame([("c", root, blocks)], "course_id string, root string, blocks map<string, struct<id: string, type: string, display_name: string, children: array<string>>>")
+    rows = outline.course_outline(*outline.edges_of(courses), **how).collect()
+    return sorted(((r.block_id, r.block_type, r.display_name, r.is_root, r.is_orphan, r.is_dag, r.parent_block_id, r.course_path, r.sort_idx) for r in rows), key=lambda r: r[-1])
+
+
+def test_outline(spark):
+    block = lambda i, *children, kind="block": (i, kind, i.upper(), list(children) or None)
+    assert outline_rows(spark, "abc", {"abc": block("abc", kind="course")}) == [("abc", "course", "ABC", True, False, False, None, "", 0)]
+    many = {b[0]: b for b in (block("abc", "def", "stu"), block("def", "jkl", "mno"), block("ghi"), block("jkl", "vwx"), block("mno", "pqr"), block("pqr", "jkl"), block("stu"), block("vwx"))}
+    want = [
+        ("abc", "block", "ABC", True, False, False, None, "", 0), ("def", "block", "DEF", False, False, False, "abc", "ABC", 1), ("jkl", "block", "JKL", False, False, True, "def", "ABC / DEF", 2),
+        ("vwx", "block", "VWX", False, False, False, "jkl", "ABC / DEF / JKL", 3), ("mno", "block", "MNO", False, False, False, "def", "ABC / DEF", 4), ("pqr", "block", "PQR", False, False, False, "mno", "ABC / DEF / MNO", 5),
+        ("stu", "block", "STU", False, False, False, "abc", "ABC", 6), ("ghi", "block", "GHI", False, True, False, None, "(Deleted block :)", 8),
+    ]
+    assert outline_rows(spark, "abc", many) == want
+    assert outline_rows(spark, "abc", many, orphans_first=True) == [(*want[-1][:-1], -1), *want[:-1]]
+
+
+def test_outline_of_ways_that_return_and_of_many_levels(spark):
+    rows = outline_rows(spark, "r", {"r": ("r", "course", "R", ["a", "a"]), "a": ("a", "html", "A", ["r", "a", "none"])})
+    assert [(r[0], r[5], r[7], r[8]) for r in rows] == [("r", True, "", 0), ("a", True, "R", 1)]
+    deep = {f"b{i}": (f"b{i}", "html", f"B{i}", [f"b{i + 1}"] if i < 55 else None) for i in range(56)}
+    rows = outline_rows(spark, "b0", deep)
+    assert not any(r[4] for r in rows) and rows[-1][7].count(" / ") == 54 and rows[-1][8] == 55
+
+
+def test_location_of_responses(spark):
+    df = spark.createDataFrame([("c", "x", "Sum", 2), ("c", "gone", "Old", 1)], "course_id string, problem_id string, problem string, first_attempt_date int")
+    blocks = spark.createDataFrame([("c", "x", "R / A", 3)], "course_id string, block_id string, course_path string, sort_idx int")
+    assert [(r.location, r.sort_idx) for r in problems.response_location(df, blocks).collect()] == [("(Deleted block :) / Old", -1), ("R / A / Sum", 3)]
+
+
+def test_organisations_of_events(spark):
+    context = {"course_id": "course-v1:own+c+r"}
+    events = [
+        ({"event_source": "server", "event_type": "/courses/a/b/c/x", "context": {"org_id": "ctx"}}, "ctx"), ({"event_source": "server", "event_type": "/courses/course-v1:n+c+r/x", "context": context}, "n"),
+        ({"event_source": "server", "event_type": "/courses/a/b/c/x"}, "a"), ({"event_source": "server", "event_type": "/about"}, None), ({"event_source": "server", "event_type": "save_problem_fail", "event": {"problem_id": "i4x://org/b/p"}}, "org"),
+        ({"event_source": "server", "event_type": "other", "context": context, "event": {}}, None), ({"event_source": "browser", "event_type": "x", "page": "https://h/courses/a/b/c/", "event": "problem-foo-bar"}, "a"),
+        ({"event_source": "browser", "event_type": "x", "page": "https://h/about", "event": "problem-foo-bar", "context": {"org_id": "ctx"}}, None), ({"event_source": "browser", "event_type": "x", "page": "https://h/courses/course-v1:n+c+r/"}, "n"),
+        ({"event_source": "mobile", "event_type": "x", "context": context}, None), ({"event_source": "mobile", "event_type": "x", "context": {"org_id": "m"}}, "m"), ({"event_source": "task", "event_type": "x", "context": {"org_id": "m"}}, None),
+    ]
+    lines = spark.createDataFrame([(i, json.dumps(e)) for i, (e, _) in enumerate(events)], "i int, value string").orderBy("i")
+    assert [r.o for r in readers.parse_lines(lines).select(X.event_org().alias("o")).collect()] == [o for _, o in events]
 
 
 def test_files(spark, tmp_path):
