@@ -117,11 +117,12 @@ def first_lines(docs: DataFrame, scratch: Scratch) -> DataFrame:
     lines = lines_of(docs).select("doc_id", "line", plain(F.col("text")).alias("text"))
     ids = F.array_distinct(F.transform(words_of(F.col("text")), lambda w: F.xxhash64(w)))
     sets = scratch.write(lines.select("doc_id", "line", F.xxhash64("text").alias("h0"), F.xxhash64(F.lit(1), "text").alias("h1"), ids.alias("ids")))
-    # One literal of fixed size, made by the optimizer from its text.
-    tiers = F.split(F.lit(",".join(str(t << SHIFT) for t in tiers_of(sets))), ",").cast("array<bigint>")
+    # One literal of fixed size, made by the optimizer from its text; short, as each description of the plan has it.
+    tiers = F.split(F.lit(",".join(map(str, tiers_of(sets)))), ",").cast("array<int>")
 
     def rank(x: Column) -> Column:
-        return F.get(tiers, x.bitwiseAND(F.lit(COUNTERS - 1).cast("long")).cast("int")).bitwiseOR(F.shiftrightunsigned(x, 64 - SHIFT))
+        tier = F.get(tiers, x.bitwiseAND(F.lit(COUNTERS - 1).cast("long")).cast("int")).cast("long")
+        return F.call_function("shiftleft", tier, F.lit(SHIFT)).bitwiseOR(F.shiftrightunsigned(x, 64 - SHIFT))
 
     zero = F.lit(0).cast("long")
     ids, n = F.transform("ids", lambda x: F.coalesce(x, zero)), F.size("ids")  # never null, which sorts faster
