@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import activity, engagement, enrollment, storage, structure, text, validation, video
+from . import activity, engagement, enrollment, exports, storage, structure, text, validation, video
 
-_modules = [enrollment, activity, video, engagement, storage, structure, text, validation]
+_modules = [enrollment, activity, video, engagement, storage, structure, text, validation, exports]
 
 
 def _iso(query):
