@@ -105,6 +105,40 @@ def exportable(events: DataFrame, orgs: DataFrame) -> DataFrame:
     return df.where(F.col("courses").isNull() | F.array_contains("courses", F.col("course"))).select("org", F.to_json("event").alias("line"))
 
 
+#: Addresses whose events may be released, the course's id replaced by its name.
+RELEASABLE = (
+    r"^/courses/\(course_id\)/jump_to_id/",
+    r"^/courses/\(course_id\)/courseware/",
+    r"^/courses/\(course_id\)/info/?$",
+    r"^/courses/\(course_id\)/progress/?$",
+    r"^/courses/\(course_id\)/course_wiki/?$",
+    r"^/courses/\(course_id\)/about/?$",
+    r"^/courses/\(course_id\)/teams/?$",
+    r"^/courses/\(course_id\)/[a-fA-F\d]{32}/?$",
+    r"^/courses/\(course_id\)/?$",
+    r"^/courses/\(course_id\)/pdfbook/\d+(/chapter/\d+(/\d+)?)?/?$",
+    r"^/courses/\(course_id\)/wiki((?!/_).)*$",
+    r"^/courses/\(course_id\)/discussion/(threads|comments)",
+    r"^/courses/\(course_id\)/discussion/(upload|users|forum/?)$",
+    r"^/courses/\(course_id\)/discussion/[\w\-.]+/threads/create$",
+    r"^/courses/\(course_id\)/discussion/forum/[\w\-.]+/(inline|search|threads)$",
+    r"^/courses/\(course_id\)/discussion/forum/[\w\-.]+/threads/\w+$",
+)
+
+
+def releasable(events: DataFrame, whitelist: DataFrame, addresses: tuple[str, ...] = RELEASABLE) -> DataFrame:
+    """Events that may be released: of servers, those whose address fits; others, those whose source and type are in the
+    whitelist (event_source, event_type: a configured list). Synthetic events are not."""
+    source, kind = field("event_source"), field("event_type")
+    address = F.replace(kind, course_key_from_url(kind), F.lit("(course_id)"))
+    fits = F.coalesce(F.coalesce(address, kind).rlike("|".join(f"(?:{a})" for a in addresses)), F.lit(False))
+    made = F.try_variant_get("event", "$.synthesized", "variant").isNotNull()
+    df = events.where(source.isNotNull() & kind.isNotNull() & ~made).withColumns({"_source": source, "_type": kind, "_implicit": (source == "server") & kind.startswith("/"), "_fits": fits})
+    listed = whitelist.select(F.col("event_source").alias("_source"), F.col("event_type").alias("_type"), F.lit(True).alias("_listed")).distinct()
+    df = df.join(listed, ["_source", "_type"], "left")
+    return df.where(F.when(F.col("_implicit"), F.col("_fits")).otherwise(F.coalesce("_listed", F.lit(False)))).drop("_source", "_type", "_implicit", "_fits", "_listed")
+
+
 def synthetic_event(kind: str, time: Column, course: Column, user: Column, payload: Column, reason: str) -> Column:
     """Event text with the default envelope and a note of why it was made."""
     return F.to_json(F.struct(

@@ -27,6 +27,27 @@ def first_and_last_answers(checks: DataFrame) -> DataFrame:
     return df.select("course_id", "problem_id", "username", "s.ts", "s.is_first", "s.is_last", F.col("part.key").alias("answer_id"), "part.value.*").where(~hidden_answer(F.col("answer_id")))
 
 
+#: The response types whose answers are choices, and the facts that metadata may add.
+CHOICES = ("choiceresponse", "multiplechoiceresponse")
+FACTS = ("question", "response_type", "input_type", "problem_display_name")
+
+
+def with_metadata(parts: DataFrame, metadata: DataFrame) -> DataFrame:
+    """Answer parts with the facts that they lack from metadata by answer_id, and with answers named.
+
+    parts: answer_id, answer and answer_value_id (lists), and some of the facts. A part of choices without an answer gets
+    the names of its choices, '' for those unknown; other parts without one take the value as their answer.
+    """
+    known = [c for c in FACTS if c in parts.columns]
+    facts = metadata.select("answer_id", F.struct(*known, "answer_value_id_map").alias("_meta")).dropDuplicates(["answer_id"])
+    df = parts.join(facts, "answer_id", "left").withColumns({c: F.coalesce(F.nullif(F.col(c), F.lit("")), F.col(f"_meta.{c}"), F.col(c)) for c in known})
+    named = F.transform("answer_value_id", lambda v: F.coalesce(F.try_element_at("_meta.answer_value_id_map", v), F.lit("")))
+    lacks, choice = F.col("_meta").isNotNull() & F.col("answer").isNull(), F.coalesce(F.col("response_type").isin(*CHOICES), F.lit(False))
+    answer = F.when(lacks & choice & F.col("_meta.answer_value_id_map").isNotNull(), named).when(lacks & ~choice, F.col("answer_value_id")).otherwise(F.col("answer"))
+    value = F.when(~(lacks & ~choice), F.col("answer_value_id"))
+    return df.withColumns({"answer": answer, "answer_value_id": value}).drop("_meta")
+
+
 def answer_distribution(answers: DataFrame) -> DataFrame:
     """Counts of first and last answers by course, part, value and variant, with the facts of the newest answer."""
     df = answers.where(F.col("response_type").isin(*RESPONSES)).withColumn("group", answer_group_key(F.col("value"), F.col("variant")))

@@ -21,6 +21,30 @@ def expect_validation(events: DataFrame, expected: str) -> DataFrame:
     return events.unionByName(marks, allowMissingColumns=True)
 
 
+def reordered_in_dumps(events: DataFrame) -> DataFrame:
+    """Validations move before the events that happened while their snapshot was dumped and that contradict them.
+
+    events: those of a history, with dump_start and dump_end of validations. Of the events just before a validation, the
+    run up to the first that lies outside the dump or agrees with it counts; the validation goes a microsecond before
+    the earliest of the run. A validation and what lies between it and the one before form a group: two windows.
+    """
+    newest = W.partitionBy(*KEY).orderBy(F.col("ts").desc(), (F.col("type") == "validated").desc(), F.col("mode"))
+    seen = F.col("type") == "validated"
+    df = events.withColumn("_group", F.count(F.when(seen, 1)).over(newest))
+    group = W.partitionBy(*KEY, "_group").orderBy(F.col("ts").desc(), seen.desc(), F.col("mode"))
+    v = F.first(F.struct("type", "ts", "is_active", "mode", "dump_start", "dump_end")).over(group)
+    df = df.withColumn("_v", v)
+    inside = (F.col("_v.type") == "validated") & (F.col("ts") > F.col("_v.dump_start")) & (F.col("ts") < F.col("_v.dump_end"))
+    active = F.coalesce("_v.is_active", F.lit(False))
+    against = (active & (F.col("type") == "deactivated")) | (~active & (F.col("type") == "activated")) | ((F.col("type") == "mode_changed") & ~F.col("mode").eqNullSafe(F.col("_v.mode")))
+    bad = F.coalesce(inside & against, F.lit(False))
+    run = ~seen & (F.sum((~seen & ~bad).cast("int")).over(group) == 0)
+    df = df.withColumn("_run", run)
+    first = F.min(F.when(F.col("_run"), F.col("ts"))).over(W.partitionBy(*KEY, "_group"))
+    moved = F.when(seen & first.isNotNull(), first - F.expr("INTERVAL 1 MICROSECOND")).otherwise(F.col("ts"))
+    return df.withColumn("_ts", moved).withColumn("ts", F.col("_ts")).drop("_group", "_v", "_run", "_ts")
+
+
 def missing_enrollment_events(events: DataFrame, start: str, nonstate: bool = False, before_start: bool = False, earliest: str | None = None) -> DataFrame:
     """course_id, user_id, ts, type, mode, reason of each event that is missing.
 

@@ -161,6 +161,35 @@ def _dumps(s, d):
     return snapshot.join(csv, "id").join(tsv, "id")
 
 
+def _released(s, d):
+    """How many events may be released, by source and type: some addresses, and what the whitelist names."""
+    whitelist = s.createDataFrame([("browser", "page_close"), ("server", "problem_check"), ("server", "/courses/other")], "event_source string, event_type string")
+    lines = _lines(s, d).withColumn("event", F.when(F.col("event").contains("/x"), F.replace("event", F.lit("/x"), F.lit("/info"))).otherwise(F.col("event")))
+    df = X.releasable(R.parse_lines(lines, "event"), whitelist)
+    return df.groupBy(X.field("event_source").alias("source"), X.field("event_type").alias("type")).agg(F.count("*").alias("n_events"))
+
+
+def _metadata(s, d):
+    """Purchases as answers, some with facts of their own; metadata names two of four choices."""
+    e = events(s, d).where("kind = 'purchase'")
+    k = F.col("event_id") % 4
+    kind = F.when(k < 2, "choiceresponse").when(k == 2, "stringresponse").otherwise("")
+    parts = e.select("event_id", F.concat(F.lit("a"), (F.col("k") % 3).cast("string")).alias("answer_id"), F.when(F.col("event_id") % 5 == 0, F.array(F.lit("own"))).alias("answer"), F.array(F.concat(F.lit("c"), k.cast("string"))).alias("answer_value_id"), kind.alias("response_type"), F.when(F.col("event_id") % 3 == 0, "Own?").alias("question"))
+    lines = s.createDataFrame([('{"a0": {"question": "Zero?", "response_type": "choiceresponse", "answer_value_id_map": {"c0": "none", "c3": "three"}}, "a1": {"question": "One?", "response_type": "stringresponse"}}',)], "value string")
+    df = P.with_metadata(parts, R.read_answer_metadata(lines))
+    return df.select("event_id", "answer_id", F.array_join("answer", ",").alias("answer"), F.array_join("answer_value_id", ",").alias("value"), "response_type", "question")
+
+
+def _history(s, d):
+    """Enrollment events and validations, whose dumps began two days before them and end with them."""
+    e = events(s, d).where("kind <> 'click'")
+    kind = F.when(F.col("kind") == "signup", "activated").when(F.col("kind") == "error", "deactivated").when(F.col("kind") == "purchase", "mode_changed").otherwise("validated")
+    e = e.select("event_id", "course_id", F.col("user_id"), "ts", kind.alias("type"), F.when(F.col("event_id") % 2 == 0, "honor").otherwise("verified").alias("mode"), F.when(F.col("kind") == "view", F.col("k") % 2 == 0).alias("is_active"))
+    seen = F.col("type") == "validated"
+    e = e.withColumns({"dump_start": F.when(seen, F.col("ts") - F.expr("INTERVAL 2 DAYS")), "dump_end": F.when(seen, F.col("ts"))})
+    return V.reordered_in_dumps(e).select("event_id", "ts")
+
+
 def _expected(s, d):
     """Learners whose newest event is before the validation that was due."""
     df = V.expect_validation(events(s, d).select("course_id", "user_id", "ts", F.lit("activated").alias("type")), "2024-01-20")
@@ -187,6 +216,7 @@ QUERIES = {
     "problem_check_events": _problem_checks, "tagged_problem_events": _tagged, "exported_events": _exported, "problem_response_location": _location, "answer_files": _answers_file, "student_module_files": _modules_file,
     "mask_student_module": _masked_modules, "mask_wiki_revision": _masked_wiki, "mask_forum_posts": _masked_posts, "mask_course_structure": _masked_structure, "mask_user_profile": _masked_profile, "fake_contacts": _contacts,
     "catalog_files": _runs_files, "course_list_files": _course_list, "dump_files": _dumps, "expected_validations": _expected, "validation_events": _validations, "scalar_texts": _texts,
+    "released_events": _released, "answers_with_metadata": _metadata, "reordered_validations": _history,
 }
 DATES = {"scalar_texts": ["week"]}
 
@@ -223,6 +253,19 @@ ORACLES = {
     "expected_validations": "SELECT course_id, user_id, TIMESTAMP '2024-01-20' AS ts FROM (" + with_views() + " SELECT course_id, user_id, max(ts) AS last FROM ev GROUP BY ALL) WHERE last < TIMESTAMP '2024-01-20'",
     "validation_events": """SELECT '2024-01-02' AS date, 'edx.course.enrollment.validated' AS type, 'o' AS org, 'course-v1:o+c+r' || o_orderkey AS course_id, o_custkey AS user_id, CASE WHEN o_orderkey % 2 = 0 THEN 'true' ELSE 'false' END AS is_active,
  strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') || '.000000' AS created, 'found in snapshot' AS reason FROM orders""",
+    "released_events": with_views(x=f"SELECT {_SRC} AS source, CASE kind WHEN 'purchase' THEN 'problem_check' WHEN 'view' THEN '/courses/' || course_id || '/info' WHEN 'signup' THEN 'save_problem_fail' ELSE 'page_close' END AS type FROM ev")
+    + " SELECT source, type, count(*) AS n_events FROM x WHERE source = 'server' AND type LIKE '/courses/%' OR source = 'browser' AND type = 'page_close' OR source = 'server' AND type = 'problem_check' GROUP BY ALL",
+    "answers_with_metadata": with_views(
+        p="SELECT event_id, k % 3 AS a, event_id % 4 AS c, event_id % 5 = 0 AS own, CASE WHEN event_id % 4 < 2 THEN 'choiceresponse' WHEN event_id % 4 = 2 THEN 'stringresponse' ELSE '' END AS rt, event_id % 3 = 0 AS q FROM ev WHERE kind = 'purchase'",
+        r="SELECT *, CASE WHEN rt = '' AND a = 0 THEN 'choiceresponse' WHEN rt = '' AND a = 1 THEN 'stringresponse' ELSE rt END AS response_type FROM p",
+    ) + """ SELECT event_id, 'a' || a AS answer_id, CASE WHEN own THEN 'own' WHEN a = 2 OR a = 1 AND response_type = 'choiceresponse' THEN NULL WHEN response_type = 'choiceresponse' THEN CASE c WHEN 0 THEN 'none' WHEN 3 THEN 'three' ELSE '' END ELSE 'c' || c END AS answer,
+ CASE WHEN NOT own AND a < 2 AND response_type <> 'choiceresponse' THEN NULL ELSE 'c' || c END AS value, response_type, CASE WHEN q THEN 'Own?' WHEN a = 0 THEN 'Zero?' WHEN a = 1 THEN 'One?' END AS question FROM r""",
+    "reordered_validations": with_views(
+        h="""SELECT event_id, course_id, user_id, ts, CASE kind WHEN 'signup' THEN 'activated' WHEN 'error' THEN 'deactivated' WHEN 'purchase' THEN 'mode_changed' ELSE 'validated' END AS type, CASE WHEN event_id % 2 = 0 THEN 'honor' ELSE 'verified' END AS mode, k % 2 = 0 AS act FROM ev WHERE kind <> 'click'""",
+        b="""SELECT v.event_id AS v, e.ts, e.ts > v.ts - INTERVAL 2 DAY AND (v.act AND e.type = 'deactivated' OR NOT v.act AND e.type = 'activated' OR e.type = 'mode_changed' AND e.mode <> v.mode) AS bad
+ FROM h v JOIN h e ON v.course_id = e.course_id AND v.user_id = e.user_id AND v.type = 'validated' AND e.ts < v.ts""",
+        g="SELECT v, min(ts) AS first FROM b WHERE bad AND NOT EXISTS (SELECT 1 FROM b c WHERE c.v = b.v AND NOT c.bad AND c.ts >= b.ts) GROUP BY v",
+    ) + " SELECT event_id, coalesce(first - INTERVAL 1 MICROSECOND, ts) AS ts FROM h LEFT JOIN g ON v = event_id",
     "scalar_texts": """SELECT n_nationkey, '[' || n_name || '|' || lower(n_name) || ']' AS listed, n_name || ' b' AS choice, substr(n_name, 1, 4) AS cut, CASE WHEN length(n_name) <= 6 THEN n_name END AS fits,
  CASE WHEN n_nationkey % 2 = 0 THEN '2024-01-05' ELSE '2024-01-04' END AS received, CAST(date_trunc('week', DATE '2024-01-01' + CAST(n_nationkey AS INTEGER)) AS DATE) AS week FROM nation""",
 }
