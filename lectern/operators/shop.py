@@ -32,6 +32,21 @@ def offer_text(kind: str = "benefit_type", value: str = "benefit_value"):
     return F.when(F.col(kind) == "Percentage", F.concat(number, F.lit("%"))).when(F.col(kind) == "Absolute", F.concat(F.lit("$"), number))
 
 
+def product_uuids(products: DataFrame, attributes: DataFrame, values: DataFrame, code: str = "UUID") -> DataFrame:
+    """Products with the text of one attribute, null where a product has none. The attribute is a constant of the join:
+    it is looked up first, and filters the values before they meet the products."""
+    own = values.join(attributes.where(F.col("code") == code).select(F.col("id").alias("attribute_id")), "attribute_id", "left_semi")
+    return products.join(own.select("product_id", F.col("value_text").alias("uuid")), "product_id", "left")
+
+
+def lines_at_best_price(lines: DataFrame, best: DataFrame) -> DataFrame:
+    """Lines that cost what the user's best line of the same course, or else of the same uuid, did. Equality on user and
+    price carries the join; course or uuid is what is left to test. lines: order_id, user_id, course_id, uuid, price."""
+    b = best.select("user_id", "price", F.col("course_id").alias("best_course"), F.col("uuid").alias("best_uuid"))
+    df = lines.join(b, ["user_id", "price"]).where((F.col("course_id") == F.col("best_course")) | (F.col("uuid") == F.col("best_uuid")))
+    return df.select("order_id", "user_id", "course_id", "uuid", "price", "best_course", "best_uuid").distinct()
+
+
 def newest_social(social: DataFrame) -> DataFrame:
     """The account of the largest id of each user; its name is what follows the last colon."""
     return social.groupBy("user_id").agg(F.max_by("uid", "id").alias("uid")).select("user_id", F.substring_index("uid", ":", -1).alias("user_sso_id"))

@@ -10,6 +10,7 @@ from ..operators import events as X
 from ..operators import outline as O
 from ..operators import privacy as M
 from ..operators import problems as P
+from ..operators import shop as B
 from ..operators import validation as V
 from ..sources import readers as R
 from ..sources import sinks as S
@@ -190,6 +191,20 @@ def _history(s, d):
     return V.reordered_in_dumps(e).select("event_id", "ts")
 
 
+def _best_lines(s, d):
+    """Order lines at the user's best price; of products, every fifth has no uuid."""
+    p = table(s, d, "part").select(F.col("p_partkey").alias("product_id"))
+    attributes = s.createDataFrame([(1, "UUID"), (2, "certificate_type")], "id long, code string")
+    values = p.select("product_id", F.explode(F.array(F.lit(1).cast("long"), F.lit(2).cast("long"))).alias("attribute_id")).where("product_id % 5 > 0 OR attribute_id = 2")
+    values = values.withColumn("value_text", F.concat(F.when(F.col("attribute_id") == 1, "u").otherwise("x"), (F.col("product_id") % 7).cast("string")))
+    products = B.product_uuids(p, attributes, values)
+    li, o = table(s, d, "lineitem"), table(s, d, "orders").select(F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("user_id"))
+    lines = li.select(F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("product_id"), F.concat(F.lit("c"), (F.col("l_suppkey") % 3).cast("string")).alias("course_id"), F.col("l_quantity").cast("double").alias("price"))
+    lines = lines.join(o, "order_id").join(products, "product_id")
+    best = lines.groupBy("user_id", "course_id", "uuid").agg(F.max("price").alias("price"))
+    return B.lines_at_best_price(lines, best)
+
+
 def _expected(s, d):
     """Learners whose newest event is before the validation that was due."""
     df = V.expect_validation(events(s, d).select("course_id", "user_id", "ts", F.lit("activated").alias("type")), "2024-01-20")
@@ -216,7 +231,7 @@ QUERIES = {
     "problem_check_events": _problem_checks, "tagged_problem_events": _tagged, "exported_events": _exported, "problem_response_location": _location, "answer_files": _answers_file, "student_module_files": _modules_file,
     "mask_student_module": _masked_modules, "mask_wiki_revision": _masked_wiki, "mask_forum_posts": _masked_posts, "mask_course_structure": _masked_structure, "mask_user_profile": _masked_profile, "fake_contacts": _contacts,
     "catalog_files": _runs_files, "course_list_files": _course_list, "dump_files": _dumps, "expected_validations": _expected, "validation_events": _validations, "scalar_texts": _texts,
-    "released_events": _released, "answers_with_metadata": _metadata, "reordered_validations": _history,
+    "released_events": _released, "answers_with_metadata": _metadata, "lines_at_best_price": _best_lines, "reordered_validations": _history,
 }
 DATES = {"scalar_texts": ["week"]}
 
@@ -255,6 +270,9 @@ ORACLES = {
  strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') || '.000000' AS created, 'found in snapshot' AS reason FROM orders""",
     "released_events": with_views(x=f"SELECT {_SRC} AS source, CASE kind WHEN 'purchase' THEN 'problem_check' WHEN 'view' THEN '/courses/' || course_id || '/info' WHEN 'signup' THEN 'save_problem_fail' ELSE 'page_close' END AS type FROM ev")
     + " SELECT source, type, count(*) AS n_events FROM x WHERE source = 'server' AND type LIKE '/courses/%' OR source = 'browser' AND type = 'page_close' OR source = 'server' AND type = 'problem_check' GROUP BY ALL",
+    "lines_at_best_price": """WITH l AS (SELECT l_orderkey AS order_id, o_custkey AS user_id, 'c' || (l_suppkey % 3) AS course_id, CASE WHEN l_partkey % 5 > 0 THEN 'u' || (l_partkey % 7) END AS uuid, CAST(l_quantity AS DOUBLE) AS price
+ FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN part ON p_partkey = l_partkey), b AS (SELECT user_id, course_id, uuid, max(price) AS price FROM l GROUP BY ALL)
+ SELECT DISTINCT l.*, b.course_id AS best_course, b.uuid AS best_uuid FROM l JOIN b ON l.user_id = b.user_id AND l.price = b.price AND (l.course_id = b.course_id OR l.uuid = b.uuid)""",
     "answers_with_metadata": with_views(
         p="SELECT event_id, k % 3 AS a, event_id % 4 AS c, event_id % 5 = 0 AS own, CASE WHEN event_id % 4 < 2 THEN 'choiceresponse' WHEN event_id % 4 = 2 THEN 'stringresponse' ELSE '' END AS rt, event_id % 3 = 0 AS q FROM ev WHERE kind = 'purchase'",
         r="SELECT *, CASE WHEN rt = '' AND a = 0 THEN 'choiceresponse' WHEN rt = '' AND a = 1 THEN 'stringresponse' ELSE rt END AS response_type FROM p",
