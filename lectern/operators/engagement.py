@@ -32,12 +32,17 @@ def weekly_summary(engagement: DataFrame, end: str) -> DataFrame:
     last = F.lit(end).cast("date")
     week = engagement.where((F.col("date") >= F.date_sub(last, 7)) & (F.col("date") < last))
     kind = lambda entity, action: (F.col("entity_type") == entity) & (F.col("action") == action)
-    total = lambda when: F.coalesce(F.sum(F.when(when, F.col("count"))), F.lit(0))
-    distinct = lambda when: F.countDistinct(F.when(when, F.col("entity_id")))
-    df = week.groupBy("course_id", "username").agg(
-        total(kind("problem", "attempted")).alias("problem_attempts"), distinct(kind("problem", "attempted")).alias("problems_attempted"),
-        distinct(kind("problem", "completed")).alias("problems_completed"), distinct(kind("video", "viewed")).alias("videos_viewed"),
-        total(F.col("entity_type") == "discussion").alias("discussion_contributions"), F.countDistinct("date").alias("days_active"),
+    # First each learner's modules, so that counts of distinct modules and days are plain sums and bits.
+    times = lambda when: F.coalesce(F.sum(F.when(when, F.col("count"))), F.lit(0))
+    some = lambda when: F.coalesce(F.max(F.when(when & F.col("entity_id").isNotNull(), 1)), F.lit(0))
+    day = F.call_function("shiftleft", F.lit(1), F.datediff(F.col("date"), F.date_sub(last, 7)))
+    modules = week.groupBy("course_id", "username", "entity_type", "entity_id").agg(
+        times(kind("problem", "attempted")).alias("attempts"), some(kind("problem", "attempted")).alias("attempted"), some(kind("problem", "completed")).alias("completed"),
+        some(kind("video", "viewed")).alias("viewed"), times(F.col("entity_type") == "discussion").alias("contributions"), F.bit_or(day).alias("days"),
+    )
+    df = modules.groupBy("course_id", "username").agg(
+        F.sum("attempts").alias("problem_attempts"), F.sum("attempted").alias("problems_attempted"), F.sum("completed").alias("problems_completed"), F.sum("viewed").alias("videos_viewed"),
+        F.sum("contributions").alias("discussion_contributions"), F.bit_count(F.bit_or("days")).cast("long").alias("days_active"),
     )
     ratio = F.when(F.col("problems_completed") == 0, F.lit(INF)).otherwise(F.try_divide(F.col("problem_attempts").cast("double"), F.col("problems_completed")))
     return df.withColumns({"start_date": F.date_sub(last, 7), "end_date": last, "problem_attempts_per_completed": ratio})
@@ -151,17 +156,20 @@ def student_engagement(events: DataFrame, interval: str, end: str) -> DataFrame:
     df = student_events(events).withColumn("key", date_key(F.col("date"), interval, end))
     is_ = lambda *names: F.col("event").isin(*names)
     count = lambda when: F.sum(F.when(when, 1).otherwise(0)).cast("long")
-    entity = lambda when: F.countDistinct(F.when(when, F.col("entity_id")))
+    some = lambda when: F.max(F.when(when & F.col("entity_id").isNotNull(), 1).otherwise(0)).cast("long")
     vote = lambda way, *names: F.sum(F.when(is_(*names) & (F.col("vote_value") == way), F.when(F.coalesce("undo", F.lit(False)), -1).otherwise(1)).otherwise(0)).cast("long")
     posts = ("edx.forum.response", "edx.forum.thread")
     given, taken = [f"{p}.voted" for p in posts], [f"{p}.vote_received" for p in posts]
-    marker = F.when(is_("marker:subsection"), F.struct("ts", "path"))
-    return df.groupBy(F.col("key").alias("date"), "course_id", "username").agg(
-        F.countDistinct("date").alias("days_active"), entity(is_("problem_check")).alias("problems_attempted"), count(is_("problem_check")).alias("problem_attempts"),
-        entity(is_("problem_check") & F.col("correct")).alias("problems_correct"), entity(is_("play_video")).alias("videos_played"),
+    # First each learner's entities, so that counts of distinct entities are plain sums.
+    entities = df.groupBy(F.col("key").alias("date"), "course_id", "username", "event", "entity_id").agg(
+        some(is_("problem_check")).alias("problems_attempted"), count(is_("problem_check")).alias("problem_attempts"), some(is_("problem_check") & F.col("correct")).alias("problems_correct"), some(is_("play_video")).alias("videos_played"),
         count(is_("edx.forum.thread.created")).alias("forum_posts"), count(is_("edx.forum.response.created")).alias("forum_responses"), count(is_("edx.forum.comment.created")).alias("forum_comments"),
         vote("up", *given).alias("forum_upvotes_given"), vote("down", *given).alias("forum_downvotes_given"), vote("up", *taken).alias("forum_upvotes_received"), vote("down", *taken).alias("forum_downvotes_received"),
-        count(is_("book")).alias("textbook_pages_viewed"), F.coalesce(F.max(marker)["path"], F.lit("")).alias("last_subsection_viewed"),
+        count(is_("book")).alias("textbook_pages_viewed"), F.max(F.when(is_("marker:subsection"), F.struct("ts", "path"))).alias("marker"), F.collect_set("date").alias("dates"),  # at most the report's days
+    )
+    days = F.size(F.array_distinct(F.flatten(F.collect_set("dates")))).cast("long")
+    return entities.groupBy("date", "course_id", "username").agg(
+        days.alias("days_active"), *[F.sum(c).alias(c) for c in COUNTERS if c != "days_active"], F.coalesce(F.max("marker")["path"], F.lit("")).alias("last_subsection_viewed"),
     )
 
 
