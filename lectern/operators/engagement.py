@@ -103,10 +103,13 @@ def cohort_members(groups: DataFrame, members: DataFrame) -> DataFrame:
 
 def learner_roster(days: DataFrame, people: DataFrame, cohorts: DataFrame, now: DataFrame, before: DataFrame, segments: DataFrame, end: str) -> DataFrame:
     """Each learner enrolled on the last day with metrics, cohort, first enrollment and segments."""
-    last = days.where(F.col("date") == F.date_sub(F.lit(end).cast("date"), 1)).select("course_id", "user_id", "at_end", "mode")
+    day, stop = F.col("date"), F.lit(end).cast("date")
+    last = days.groupBy("course_id", "user_id").agg(
+        F.max(F.when(day == F.date_sub(stop, 1), F.struct("at_end", "mode"))).alias("x"), F.min(F.when((F.col("at_end") == 1) & (day < stop), day)).alias("first_enrollment_date"),
+    ).where("x IS NOT NULL").select("course_id", "user_id", "x.at_end", "x.mode", "first_enrollment_date")
     old = before.select("course_id", "username", F.col("days_active").alias("_old"))
     df = last.join(people, "user_id").join(cohorts, ["user_id", "course_id"], "left").join(now.drop("start_date", "end_date"), ["course_id", "username"], "left")
-    df = df.join(old, ["course_id", "username"], "left").join(first_enrollment_date(days, end), ["course_id", "user_id"], "left").join(segment_text(segments), ["course_id", "username"], "left")
+    df = df.join(old, ["course_id", "username"], "left").join(segment_text(segments), ["course_id", "username"], "left")
     was, is_ = F.coalesce("_old", F.lit(0)) > 0, F.coalesce("days_active", F.lit(0)) > 0
     text = F.concat_ws(",", F.when(F.col("at_end") == 0, "unenrolled"), F.when(~was & ~is_, "inactive"), F.when(was & ~is_, "disengaging"), F.col("segments"))
     zero = lambda c: F.coalesce(c, F.lit(0)).alias(c)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import engagement as G
 from ..operators import enrollment as E
 from ..sources.adapter import END, engagement_events, enrollment_events, events, table, users, with_views
+from ..sources.sinks import written
 from .enrollment import DAYS, STATE
 
 BEFORE = "2024-01-24"
@@ -40,7 +41,10 @@ def _days(s, d):
 
 
 def _roster(s, d):
-    return G.learner_roster(_days(s, d), users(s, d), _cohorts(s, d), _week(s, d), _week(s, d, BEFORE), _segments(s, d), END)
+    modules = written(_module(s, d))  # read by both weeks; the last week by the roster, its ranges and its segments
+    week = written(G.weekly_summary(modules, END))
+    segments = G.user_segments(week, G.metric_ranges(week))
+    return G.learner_roster(_days(s, d), users(s, d), _cohorts(s, d), week, G.weekly_summary(modules, BEFORE), segments, END)
 
 
 def _documents(s, d):
