@@ -38,11 +38,23 @@ def small_batches(spark: SparkSession, rows: int = 500) -> None:
     spark.conf.set(key, str(min(rows, int(spark.conf.get(key, "10000")))))
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 class Scratch:
-    """Written tables of one operator call in the shared folder. A written table cuts lineage and outlives executors."""
+    """Written tables of one operator call in the shared folder. A written table cuts lineage and outlives executors.
+
+    They stay as long as the call's result may be read; who has written that result may ``discard`` them.
+    """
+
+    #: Folders of this process's calls, in order.
+    folders: list[str] = []
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.root, self.n = spark, f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}", 0
+        Scratch.folders.append(self.root)
 
     def write(self, df: DataFrame) -> DataFrame:
         self.n += 1
@@ -54,8 +66,13 @@ class Scratch:
 
     def drop(self, df: DataFrame) -> None:
         """Delete a table of this call that nothing reads any more."""
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(df.scratch_path)
-        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        delete(self.spark, df.scratch_path)
+
+
+def discard(spark: SparkSession, since: int = 0) -> None:
+    """Delete the tables of calls from the one of this number on; their results must not be read any more."""
+    while len(Scratch.folders) > since:
+        delete(spark, Scratch.folders.pop())
 
 
 # 64-bit hashes of many byte spans at once: polynomial prefix sums modulo 2**64, then a finalising mix.
