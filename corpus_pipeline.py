@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lectern.llm import decontaminate, language_id, line_dedup, near_dup, packing
-from lectern.llm.common import Scratch
+from lectern.llm.common import Scratch, discard
 
 
 def beside(docs: DataFrame, *columns: str) -> DataFrame:
@@ -58,6 +58,10 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     scratch = Scratch(spark, "pipeline")
-    for _, stage in STAGES[:-1]:
+    for i, (_, stage) in enumerate(STAGES[:-1]):
+        before, calls = docs, len(Scratch.folders)
         docs = scratch.write(stage(spark, docs, sf_dir))
+        discard(spark, calls)  # what the stage's operator wrote on its way
+        if i:
+            scratch.drop(before)
     return STAGES[-1][1](spark, docs, sf_dir)
