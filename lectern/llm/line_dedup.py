@@ -8,15 +8,15 @@ number, has Jaccard similarity 0.8 or more with it, be that line removed itself
    never the result.
 3. Equal lines become one set that stands at its first line; only that line can stay.
 4. Each set goes to the tokens of its prefix, the ``n - ceil(0.8 n) + 1`` rarest, so similar sets share one. There it
-   looks at the earliest set of that token and the two just before it; where none of them is likely, it meets all the
+   looks at the earliest set of that token and the one just before it; where none of them is likely, it meets all the
    earlier ones. Every meeting passes the length and positional filters and a bound by bitmaps inside the join: the
    parity bits of two sets differ in no more places than the sets in words. Long lists are salted.
-5. The likeliest candidate of each line is verified by Jaccard on the words themselves, then the other candidates of
-   lines still open. What is open then meets the lists in which it has met only some sets, so nothing is lost, yet a
-   group of near copies is not expanded into pairs.
+5. The likeliest candidate of each line is verified by Jaccard on the words themselves. Lines still open then meet the
+   lists of their candidates in full, with Jaccard on all their word ids inside a semi-join that ends at the first match:
+   nothing is lost, and a group of near copies is not expanded into pairs.
 
 Defined results: null text has no lines. Lines without words are not judged and stay. Rows that share an id count as one
-document; rows without an id are not judged and keep all lines. An empty table gives an empty result.
+document, and where their texts differ the smaller line of a number is compared; rows without an id are not judged and keep all lines. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -37,7 +37,7 @@ LONG_LIST = 20
 #: Words of a line beyond which its parity bits are 128 instead of 64, and 256 instead of 128.
 NARROW, WIDE = 64, 128
 #: Places before a set, in the order of a token's sets, whose sets it looks at besides the earliest.
-NEIGHBOURS = (1, 2)
+NEIGHBOURS = (1,)
 #: Lines to verify, and tokens to meet in full, are looked up by a broadcast up to so many, by a shuffle beyond.
 BROADCAST_ROWS = 500_000
 
@@ -61,18 +61,10 @@ def has_words(line: Column) -> Column:
 
 
 def lines_of(docs: DataFrame) -> DataFrame:
-    """doc_id, line (from 0), text of each line with words."""
-    rows = docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
-    return rows.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "text")).where(has_words(F.col("text")))
-
-
-def judged_lines(docs: DataFrame) -> DataFrame:
-    """doc_id, n_lines, judged (how many of the lines have words)."""
-    pieces = F.split("text", "\n")
-    filled = F.array_compact(F.transform(pieces, lambda line, i: F.when(has_words(line), i)))
-    rows = docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select("doc_id", F.size(pieces).alias("n"), filled.alias("filled"))
-    merged = rows.distinct().groupBy("doc_id").agg(F.max("n").alias("n_lines"), F.array_distinct(F.flatten(F.collect_list("filled"))).alias("filled"))
-    return merged.select("doc_id", F.col("n_lines").cast("long").alias("n_lines"), F.size("filled").cast("long").alias("judged"))
+    """doc_id, n_lines, line (from 0), text of each line with words, and of the first line of any text."""
+    rows = docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select("doc_id", F.split("text", "\n").alias("pieces"))
+    lines = rows.select("doc_id", F.size("pieces").alias("n_lines"), F.posexplode("pieces").alias("line", "text"))
+    return lines.where((F.col("line") == 0) | has_words(F.col("text")))
 
 
 def parity(ids: Column, mask: int) -> Column:
@@ -104,7 +96,6 @@ LIKELY = (
     f"a.n * {DEN} >= b.n * {NUM} AND b.n * {DEN} >= a.n * {NUM} AND least(a.n - a.pos, b.n - b.pos) >= {_NEEDED} "
     f"AND {_DIFFER} <= a.n + b.n - 2 * {_NEEDED} AND (a.n <= {WIDE} OR b.n <= {WIDE} OR {_DIFFER_WIDE} <= a.n + b.n - 2 * {_NEEDED})"
 )
-PAIR = ["doc_id", "line", "o_doc_id", "o_line"]
 
 
 def checked(rows: DataFrame) -> DataFrame:
@@ -112,11 +103,15 @@ def checked(rows: DataFrame) -> DataFrame:
     return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
 
 
-def first_lines(docs: DataFrame, scratch: Scratch) -> DataFrame:
-    """Distinct lines, each at its first place: the fields of SET and its prefix of token ranks."""
-    lines = lines_of(docs).select("doc_id", "line", plain(F.col("text")).alias("text"))
+def first_lines(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """Distinct lines, each at its first place: the fields of SET and its prefix of token ranks. And doc_id, n_lines,
+    judged (how many lines have words)."""
+    lines = lines_of(docs).select("doc_id", "n_lines", "line", plain(F.col("text")).alias("text"))
     ids = F.array_distinct(F.transform(words_of(F.col("text")), lambda w: F.xxhash64(w)))
-    sets = scratch.write(lines.select("doc_id", "line", F.xxhash64("text").alias("h0"), F.xxhash64(F.lit(1), "text").alias("h1"), ids.alias("ids")))
+    ids = F.when(F.col("text") == "", F.array().cast("array<bigint>")).otherwise(ids)
+    sets = scratch.write(lines.select("doc_id", "n_lines", "line", F.xxhash64("text").alias("h0"), F.xxhash64(F.lit(1), "text").alias("h1"), ids.alias("ids")))
+    judged = F.count_distinct(F.when(F.size("ids") > 0, F.col("line")))
+    counts = scratch.write(sets.groupBy("doc_id").agg(F.max("n_lines").cast("long").alias("n_lines"), judged.alias("judged")))
     # One literal of fixed size, made by the optimizer from its text; short, as each description of the plan has it.
     tiers = F.split(F.lit(",".join(map(str, tiers_of(sets)))), ",").cast("array<int>")
 
@@ -125,18 +120,18 @@ def first_lines(docs: DataFrame, scratch: Scratch) -> DataFrame:
         return F.call_function("shiftleft", tier, F.lit(SHIFT)).bitwiseOR(F.shiftrightunsigned(x, 64 - SHIFT))
 
     zero = F.lit(0).cast("long")
-    ids, n = F.transform("ids", lambda x: F.coalesce(x, zero)), F.size("ids")  # never null, which sorts faster
-    prefix = F.slice(F.sort_array(F.transform(ids, lambda x: F.coalesce(rank(x), zero))), F.lit(1), F.expr(f"size(ids) - ({NUM} * size(ids) + {DEN - 1}) div {DEN} + 1"))
+    n = F.size("ids")
+    prefix = F.slice(F.sort_array(F.transform("ids", lambda x: F.coalesce(rank(x), zero))), F.lit(1), F.expr(f"size(ids) - ({NUM} * size(ids) + {DEN - 1}) div {DEN} + 1"))
     bits = [F.when(n > least, parity(F.col("ids"), mask)).otherwise(zero).alias(f"p{mask}") for mask, least in enumerate((0, NARROW, WIDE, WIDE))]
-    rows = sets.select("h0", "h1", "doc_id", "line", n.alias("n"), *bits, prefix.alias("prefix"))
+    rows = sets.where(n > 0).select("h0", "h1", "doc_id", "line", n.alias("n"), *bits, prefix.alias("prefix"))
     firsts = rows.groupBy("h0", "h1").agg(F.min(F.struct(*SET, "prefix")).alias("x"))
     distinct = scratch.write(firsts.select("x.*"))
     scratch.drop(sets)
-    return distinct
+    return distinct, counts
 
 
 def meetings(posted: DataFrame) -> DataFrame:
-    """PAIR, token, differ, more: each set of a token beside likely earlier ones; more where it did not meet the whole list.
+    """doc_id, line, o_doc_id, o_line, token, differ, more: each set of a token beside likely earlier ones; more where it did not meet the whole list.
 
     o_doc_id is null where a set has looked at some of a long list and found none likely.
     """
@@ -170,7 +165,7 @@ def meetings(posted: DataFrame) -> DataFrame:
 def removed_lines(docs: DataFrame) -> DataFrame:
     """doc_id, n_lines, judged (lines with words), kept (numbers of the judged lines that stay)."""
     scratch = Scratch(docs.sparkSession, "lines")
-    distinct = first_lines(docs, scratch)
+    distinct, counts = first_lines(docs, scratch)
     posted = distinct.select(*SET, F.posexplode("prefix").alias("pos", "token"))
     met = scratch.write(meetings(posted))
     found = met.where("o_doc_id IS NOT NULL")
@@ -179,32 +174,38 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     best = found.groupBy(*place).agg(F.min(F.struct("differ", "o_doc_id", "o_line")).alias("x")).select(*place, "x.o_doc_id", "x.o_line")
     best = scratch.write(best)
     matched = scratch.write(verified(scratch, docs, best))
-    others = found.select(*PAIR).join(matched, place, "left_anti").distinct().join(best, PAIR, "left_anti")
-    matched = matched.unionByName(verified(scratch, docs, scratch.write(others)))
-    still = scratch.write(met.where("more").select(*place, "token").distinct().join(matched, place, "left_anti"))
-    tokens = still.select("token").distinct()
-    listed = scratch.write(posted.join(checked(tokens), "token", "left_semi"))
+    still = scratch.write(met.select(*place, "token").distinct().join(matched, place, "left_anti"))
+    listed = posted.join(checked(still.select("token").distinct()), "token", "left_semi")
+    listed = scratch.write(with_ids(scratch, docs, scratch.write(listed)))
     open_ = listed.join(still, [*place, "token"], "left_semi")
-    rest = open_.alias("a").join(listed.alias("b"), F.expr(f"a.token = b.token AND {EARLIER} AND {LIKELY}"))
-    rest = rest.select("a.doc_id", "a.line", F.col("b.doc_id").alias("o_doc_id"), F.col("b.line").alias("o_line")).distinct()
-    rest = scratch.write(rest.join(found.select(*PAIR), PAIR, "left_anti"))
-    matched = matched.unionByName(verified(scratch, docs, rest)).distinct()
+    common = "size(array_intersect(a.ids, b.ids))"
+    rest = open_.alias("a").join(listed.alias("b"), F.expr(f"a.token = b.token AND {EARLIER} AND {LIKELY} AND {common} >= {_NEEDED}"), "left_semi")
+    matched = matched.unionByName(rest.select(*place)).distinct()
 
     stay = distinct.select(*place).join(matched, place, "left_anti")
     kept = stay.groupBy("doc_id").agg(F.sort_array(F.collect_list("line")).alias("kept"))  # at most the document's lines
     none = F.array().cast("array<int>")
-    return judged_lines(docs).join(kept, "doc_id", "left").withColumn("kept", F.coalesce("kept", none))
+    return counts.join(kept, "doc_id", "left").withColumn("kept", F.coalesce("kept", none))
+
+
+def lines_at(docs: DataFrame, places: DataFrame) -> DataFrame:
+    """doc_id, line, text of the lines at these distinct places, plain."""
+    near = docs.join(checked(places.select("doc_id").distinct()), "doc_id", "left_semi")
+    found = lines_of(near).join(checked(places), ["doc_id", "line"], "left_semi")
+    return found.groupBy("doc_id", "line").agg(F.min(plain(F.col("text"))).alias("text"))
+
+
+def with_ids(scratch: Scratch, docs: DataFrame, listed: DataFrame) -> DataFrame:
+    """The rows with the 64-bit ids of the distinct words of their lines."""
+    lines = lines_at(docs, scratch.write(listed.select("doc_id", "line").distinct()))
+    ids = F.array_distinct(F.transform(words_of(F.col("text")), lambda w: F.xxhash64(w)))
+    return listed.join(lines.select("doc_id", "line", ids.alias("ids")), ["doc_id", "line"])
 
 
 def verified(scratch: Scratch, docs: DataFrame, pairs: DataFrame) -> DataFrame:
     """doc_id, line of the pairs whose Jaccard similarity, on the words themselves, reaches the threshold."""
     place = ["doc_id", "line"]
-    if pairs.isEmpty():
-        return pairs.select(*place)
-    wanted = scratch.write(pairs.select(*place).union(pairs.select("o_doc_id", "o_line")).distinct())
-    near = docs.join(checked(wanted.select("doc_id").distinct()), "doc_id", "left_semi")
-    found = lines_of(near).join(checked(wanted), place, "left_semi").dropDuplicates(place)
-    lines = scratch.write(found.select(*place, plain(F.col("text")).alias("text")))
+    lines = scratch.write(lines_at(docs, scratch.write(pairs.select(*place).union(pairs.select("o_doc_id", "o_line")).distinct())))
     both = pairs.join(lines.withColumnRenamed("text", "a"), place)
     both = both.join(lines.select(F.col("doc_id").alias("o_doc_id"), F.col("line").alias("o_line"), F.col("text").alias("b")), ["o_doc_id", "o_line"])
 
