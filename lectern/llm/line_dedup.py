@@ -8,12 +8,12 @@ number, has Jaccard similarity 0.8 or more with it, be that line removed itself
    never the result.
 3. Equal lines become one set that stands at its first line; only that line can stay.
 4. Each set goes to the tokens of its prefix, the ``n - ceil(0.8 n) + 1`` rarest, so similar sets share one. There it
-   looks at the earliest set of that token and the one just before it; where none of them is likely, it meets all the
+   looks at the earliest set of that token and the two just before it; where none of them is likely, it meets all the
    earlier ones. Every meeting passes the length and positional filters and a bound by bitmaps inside the join: the
    parity bits of two sets differ in no more places than the sets in words. Long lists are salted.
-5. The likeliest candidate of each line is verified by Jaccard on the words themselves. Lines still open then meet the
-   lists of their candidates in full, with Jaccard on all their word ids inside a semi-join that ends at the first match:
-   nothing is lost, and a group of near copies is not expanded into pairs.
+5. The likeliest candidate of each line is verified by Jaccard on the words themselves, then the other candidates of
+   lines still open. What is open then meets, with more parity bits, the lists in which it has met only some sets, so
+   nothing is lost, yet a group of near copies is not expanded into pairs.
 
 Defined results: null text has no lines. Lines without words are not judged and stay. Rows that share an id count as one
 document, and where their texts differ the smaller line of a number is compared; rows without an id are not judged and keep all lines. An empty table gives an empty result.
@@ -37,7 +37,7 @@ LONG_LIST = 20
 #: Words of a line beyond which its parity bits are 128 instead of 64, and 256 instead of 128.
 NARROW, WIDE = 64, 128
 #: Places before a set, in the order of a token's sets, whose sets it looks at besides the earliest.
-NEIGHBOURS = (1,)
+NEIGHBOURS = (1, 2)
 #: Lines to verify, and tokens to meet in full, are looked up by a broadcast up to so many, by a shuffle beyond.
 BROADCAST_ROWS = 500_000
 
@@ -174,13 +174,18 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     best = found.groupBy(*place).agg(F.min(F.struct("differ", "o_doc_id", "o_line")).alias("x")).select(*place, "x.o_doc_id", "x.o_line")
     best = scratch.write(best)
     matched = scratch.write(verified(scratch, docs, best))
-    still = scratch.write(met.select(*place, "token").distinct().join(matched, place, "left_anti"))
-    listed = posted.join(checked(still.select("token").distinct()), "token", "left_semi")
-    listed = scratch.write(with_ids(scratch, docs, scratch.write(listed)))
+    pair = [*place, "o_doc_id", "o_line"]
+    others = found.select(*pair).join(matched, place, "left_anti").distinct().join(best, pair, "left_anti")
+    matched = matched.unionByName(verified(scratch, docs, scratch.write(others)))
+    still = scratch.write(met.where("more").select(*place, "token").distinct().join(matched, place, "left_anti"))
+    listed = scratch.write(posted.join(checked(still.select("token").distinct()), "token", "left_semi"))
+    listed = scratch.write(with_more_bits(scratch, docs, listed))
     open_ = listed.join(still, [*place, "token"], "left_semi")
-    common = "size(array_intersect(a.ids, b.ids))"
-    rest = open_.alias("a").join(listed.alias("b"), F.expr(f"a.token = b.token AND {EARLIER} AND {LIKELY} AND {common} >= {_NEEDED}"), "left_semi")
-    matched = matched.unionByName(rest.select(*place)).distinct()
+    differ = " + ".join(f"bit_count(a.q{k} ^ b.q{k})" for k in range(4))
+    rest = open_.alias("a").join(listed.alias("b"), F.expr(f"a.token = b.token AND {EARLIER} AND {LIKELY} AND {differ} <= a.n + b.n - 2 * {_NEEDED}"))
+    rest = rest.select("a.doc_id", "a.line", F.col("b.doc_id").alias("o_doc_id"), F.col("b.line").alias("o_line")).distinct()
+    rest = scratch.write(rest.join(found.select(*pair), pair, "left_anti"))
+    matched = matched.unionByName(verified(scratch, docs, rest)).distinct()
 
     stay = distinct.select(*place).join(matched, place, "left_anti")
     kept = stay.groupBy("doc_id").agg(F.sort_array(F.collect_list("line")).alias("kept"))  # at most the document's lines
@@ -195,16 +200,18 @@ def lines_at(docs: DataFrame, places: DataFrame) -> DataFrame:
     return found.groupBy("doc_id", "line").agg(F.min(plain(F.col("text"))).alias("text"))
 
 
-def with_ids(scratch: Scratch, docs: DataFrame, listed: DataFrame) -> DataFrame:
-    """The rows with the 64-bit ids of the distinct words of their lines."""
+def with_more_bits(scratch: Scratch, docs: DataFrame, listed: DataFrame) -> DataFrame:
+    """The rows with 256 more parity bits, independent of the others, from the words of their lines."""
     lines = lines_at(docs, scratch.write(listed.select("doc_id", "line").distinct()))
-    ids = F.array_distinct(F.transform(words_of(F.col("text")), lambda w: F.xxhash64(w)))
-    return listed.join(lines.select("doc_id", "line", ids.alias("ids")), ["doc_id", "line"])
+    ids = scratch.write(lines.select("doc_id", "line", F.array_distinct(F.transform(words_of(F.col("text")), lambda w: F.xxhash64(F.lit(2), w))).alias("ids")))
+    return listed.join(ids.select("doc_id", "line", *[parity(F.filter("ids", lambda x, k=k: x.bitwiseAND(F.lit(3).cast("long")) == k), 0).alias(f"q{k}") for k in range(4)]), ["doc_id", "line"])
 
 
 def verified(scratch: Scratch, docs: DataFrame, pairs: DataFrame) -> DataFrame:
     """doc_id, line of the pairs whose Jaccard similarity, on the words themselves, reaches the threshold."""
     place = ["doc_id", "line"]
+    if pairs.isEmpty():
+        return pairs.select(*place)
     lines = scratch.write(lines_at(docs, scratch.write(pairs.select(*place).union(pairs.select("o_doc_id", "o_line")).distinct())))
     both = pairs.join(lines.withColumnRenamed("text", "a"), place)
     both = both.join(lines.select(F.col("doc_id").alias("o_doc_id"), F.col("line").alias("o_line"), F.col("text").alias("b")), ["o_doc_id", "o_line"])
