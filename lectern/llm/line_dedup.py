@@ -204,7 +204,11 @@ def with_more_bits(scratch: Scratch, docs: DataFrame, listed: DataFrame) -> Data
     """The rows with 256 more parity bits, independent of the others, from the words of their lines."""
     lines = lines_at(docs, scratch.write(listed.select("doc_id", "line").distinct()))
     ids = scratch.write(lines.select("doc_id", "line", F.array_distinct(F.transform(words_of(F.col("text")), lambda w: F.xxhash64(F.lit(2), w))).alias("ids")))
-    return listed.join(ids.select("doc_id", "line", *[parity(F.filter("ids", lambda x, k=k: x.bitwiseAND(F.lit(3).cast("long")) == k), 0).alias(f"q{k}") for k in range(4)]), ["doc_id", "line"])
+
+    def quarter(k: int) -> Column:
+        return F.filter("ids", lambda x: x.bitwiseAND(F.lit(3).cast("long")) == k)
+
+    return listed.join(ids.select("doc_id", "line", *[parity(quarter(k), 0).alias(f"q{k}") for k in range(4)]), ["doc_id", "line"])
 
 
 def verified(scratch: Scratch, docs: DataFrame, pairs: DataFrame) -> DataFrame:
