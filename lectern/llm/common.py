@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -38,6 +41,17 @@ def small_batches(spark: SparkSession, rows: int = 500) -> None:
     spark.conf.set(key, str(min(rows, int(spark.conf.get(key, "10000")))))
 
 
+def with_arrow_column(df: DataFrame, source: str, into: str, kind: T.DataType, judge: Callable[[pa.Array], pa.Array]) -> DataFrame:
+    """Add, or replace, a column that a function of Arrow arrays makes of another. Unlike a UDF it runs once, whatever reads its fields."""
+    names = [c for c in df.columns if c != into]
+
+    def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), judge(batch.column(source))], [*names, into])
+
+    return df.mapInArrow(judged, T.StructType([df.schema[c] for c in names]).add(into, kind))
+
+
 def delete(spark: SparkSession, path: str) -> None:
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
     at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
