@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import random
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: A fixed permutation of 32 bits, by a rule: bit i goes to place (7 i + 3) mod 32.
-PLACES = tuple((7 * i + 3) % 32 for i in range(32))
+BITS = 32
+#: Fixed by the format of encoded ids: the symbols of five bits each.
+BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 
 
 def event_time_string(time: Column) -> Column:
@@ -45,8 +48,8 @@ def backslash_decode(text: Column) -> Column:
 
 
 def needs_decoding(text: Column) -> Column:
-    """Whether a text holds escaped line ends and no real ones."""
-    return text.contains("\\n") & ~text.contains("\n")
+    """Whether a text holds escaped line ends or tabs and no real ones."""
+    return text.rlike(r"\\[rtn]") & ~text.rlike(r"[\r\t\n]")
 
 
 def strip_html(text: Column) -> Column:
@@ -87,36 +90,71 @@ def mysql_datetime_to_iso(text: Column) -> Column:
     return F.date_format(F.try_to_timestamp(text, F.lit("yyyy-MM-dd HH:mm:ss")), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
 
 
+def _group(hex_digits: Column, i: Column) -> Column:
+    """Five bytes as a number."""
+    return F.conv(F.substring(hex_digits, i * 10 + 1, F.lit(10)), 16, 10).cast("long")
+
+
+def base32(data: Column) -> Column:
+    """Bytes as symbols of five bits, five bytes at a time, filled up with equals signs."""
+    symbols = F.ceil(F.length(data) * 8 / 5).cast("int")
+    groups = F.ceil(F.length(data) / 5).cast("int")
+    digits = F.rpad(F.hex(data), groups * 10, F.lit("0"))
+    symbol = lambda value, j: F.substring(F.lit(BASE32), F.call_function("shiftright", value, 35 - 5 * j).bitwiseAND(F.lit(31).cast("long")).cast("int") + 1, F.lit(1))
+    eight = lambda i: F.array_join(F.transform(F.sequence(F.lit(0), F.lit(7)), lambda j: symbol(_group(digits, i), j)), "")
+    text = F.array_join(F.transform(F.sequence(F.lit(0), groups - 1), eight), "")
+    return F.when(F.length(data) == 0, "").otherwise(F.rpad(F.substring(text, F.lit(1), symbols), groups * 8, F.lit("=")))
+
+
+def unbase32(code: Column) -> Column:
+    """The bytes of such symbols; null where the text is none."""
+    bare = F.rtrim(code, F.lit("="))
+    groups = F.ceil(F.length(bare) / 8).cast("int")
+    padded = F.rpad(bare, groups * 8, F.lit("A"))
+    value = lambda i, j: F.call_function("shiftleft", (F.instr(F.lit(BASE32), F.substring(padded, i * 8 + j + 1, F.lit(1))) - 1).cast("long"), 35 - 5 * j)
+    five = lambda i: F.lpad(F.hex(F.aggregate(F.sequence(F.lit(0), F.lit(7)), F.lit(0).cast("long"), lambda total, j: total + value(i, j))), 10, "0")
+    digits = F.array_join(F.transform(F.sequence(F.lit(0), groups - 1), five), "")
+    data = F.unhex(F.substring(digits, F.lit(1), F.floor(F.length(bare) * 5 / 8).cast("int") * 2))
+    return F.when(~bare.rlike("^[A-Z2-7]*\\z"), None).when(F.length(bare) == 0, F.lit(b"")).otherwise(data)
+
+
 def encode_id(scope: Column, kind: Column, value: Column) -> Column:
-    return F.base64(F.concat_ws("|", scope, kind, value).cast("binary"))
+    return base32(F.concat_ws("|", scope, kind, value).cast("binary"))
 
 
 def decode_id(code: Column) -> Column:
-    return F.split(F.unbase64(code).cast("string"), r"\|")
+    return F.split(unbase32(code).cast("string"), r"\|")
 
 
-def _moved(number: Column, factor: int, add: int) -> Column:
-    """Bit i goes to place (factor * i + add) mod 32."""
-    number, zero = number.cast("long"), F.lit(0).cast("long")
+def places(seed: int) -> tuple[int, ...]:
+    """Where each of 32 bits goes, the highest first: a shuffle drawn from a secret seed."""
+    draw, out = random.Random(seed), list(range(BITS))
+    for last in range(BITS - 1, 0, -1):
+        other = int(draw.random() * (last + 1))
+        out[last], out[other] = out[other], out[last]
+    return tuple(out)
 
-    def put(out: Column, i: Column) -> Column:
-        bit = F.call_function("shiftright", number, i).bitwiseAND(F.lit(1).cast("long"))
-        return out.bitwiseOR(F.call_function("shiftleft", bit, F.pmod(i * factor + add, F.lit(32))))
 
-    return F.when((number >= 0) & (number < 1 << 32), F.aggregate(F.sequence(F.lit(0), F.lit(31)), zero, put))
+def _moved(number: Column, moves: list[tuple[int, int]]) -> Column:
+    """Bits, counted from the highest, go to other places; null for numbers beyond 32 bits."""
+    number, out = number.cast("long"), F.lit(0).cast("long")
+    for here, there in moves:
+        bit = F.shiftright(number, BITS - 1 - here).bitwiseAND(F.lit(1).cast("long"))
+        out = out.bitwiseOR(F.shiftleft(bit, BITS - 1 - there))
+    return F.when((number >= 0) & (number < 1 << BITS), out)
 
 
-def remap_id(number: Column) -> Column:
-    """A reversible permutation of the numbers below 2**32; null beyond."""
-    return _moved(number, 7, 3)
+def remap_id(number: Column, seed: int) -> Column:
+    """A permutation of the numbers below 2**32 that only who knows the seed can undo; null beyond."""
+    return _moved(number, list(enumerate(places(seed))))
 
 
-def restore_id(number: Column) -> Column:
-    return _moved(number, 23, -69)
+def restore_id(number: Column, seed: int) -> Column:
+    return _moved(number, [(there, here) for here, there in enumerate(places(seed))])
 
 
-def masked_username(number: Column) -> Column:
-    return F.concat(F.lit("username_"), remap_id(number).cast("string"))
+def masked_username(number: Column, seed: int) -> Column:
+    return F.concat(F.lit("username_"), remap_id(number, seed).cast("string"))
 
 
 def answer_group_key(value: Column, variant: Column) -> Column:

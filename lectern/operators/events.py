@@ -97,12 +97,20 @@ def event_org() -> Column:
     return F.when(source == "server", server).when(source == "browser", browser).when(source == "mobile", context)
 
 
-def exportable(events: DataFrame, orgs: DataFrame) -> DataFrame:
-    """org and line of each event that an organisation may have. orgs: alias, org, courses (null: all)."""
-    host, flag = F.coalesce(field("host"), F.lit("")), F.lower(F.coalesce(field("context.course_user_tags._export"), F.lit("true")))
-    df = events.where((host != "") & ~host.contains("studio") & ~flag.isin("n", "f", "0", "false", "no")).withColumns({"alias": event_org(), "course": course_id(True)})
+#: Fixed value: the host whose events are not exported.
+STUDIO = "studio.edx.org"
+
+
+def exportable(lines: DataFrame, orgs: DataFrame, studio: str = STUDIO) -> DataFrame:
+    """org and line, as it came, of each event that an organisation may have. lines: event and the line itself. orgs: alias, org, courses (null: all).
+
+    Events of the studio's host or of an empty one stay, so do those that their payload flags. What the checks read is
+    taken from the event once, as columns of their own.
+    """
+    facts = lines.select("line", field("host").alias("host"), F.lower(F.try_variant_get(payload(), "$._export", "string")).alias("flag"), event_org().alias("alias"), course_id(True).alias("course"))
+    df = facts.where(~F.coalesce(F.col("host").isin("", studio), F.lit(False)) & ~F.coalesce(F.col("flag").isin("n", "f", "0", "false", "no"), F.lit(False)))
     df = df.join(F.broadcast(orgs), "alias")  # the configured organisations: as many rows as aliases
-    return df.where(F.col("courses").isNull() | F.array_contains("courses", F.col("course"))).select("org", F.to_json("event").alias("line"))
+    return df.where(F.col("courses").isNull() | F.array_contains("courses", F.col("course"))).select("org", F.trim("line").alias("line"))
 
 
 #: Addresses whose events may be released, the course's id replaced by its name.
@@ -126,6 +134,10 @@ RELEASABLE = (
 )
 
 
+#: Rows up to which a whitelist is broadcast.
+LISTED = 10_000
+
+
 def releasable(events: DataFrame, whitelist: DataFrame, addresses: tuple[str, ...] = RELEASABLE) -> DataFrame:
     """Events that may be released: of servers, those whose address fits; others, those whose source and type are in the
     whitelist (event_source, event_type: a configured list). Synthetic events are not."""
@@ -135,20 +147,22 @@ def releasable(events: DataFrame, whitelist: DataFrame, addresses: tuple[str, ..
     made = F.try_variant_get("event", "$.synthesized", "variant").isNotNull()
     df = events.where(source.isNotNull() & kind.isNotNull() & ~made).withColumns({"_source": source, "_type": kind, "_implicit": (source == "server") & kind.startswith("/"), "_fits": fits})
     listed = whitelist.select(F.col("event_source").alias("_source"), F.col("event_type").alias("_type"), F.lit(True).alias("_listed")).distinct()
-    df = df.join(listed, ["_source", "_type"], "left")
+    small = listed.limit(LISTED + 1).count() <= LISTED
+    df = df.join(F.broadcast(listed) if small else listed, ["_source", "_type"], "left")
     return df.where(F.when(F.col("_implicit"), F.col("_fits")).otherwise(F.coalesce("_listed", F.lit(False)))).drop("_source", "_type", "_implicit", "_fits", "_listed")
 
 
-def synthetic_event(kind: str, time: Column, course: Column, user: Column, payload: Column, reason: str) -> Column:
-    """Event text with the default envelope and a note of why it was made."""
+def synthetic_event(kind: Column, time: Column, course: Column, user: Column, payload: Column, reason: Column, after: Column | None = None, before: Column | None = None) -> Column:
+    """Event text with the default envelope and a note of why it was made, and between which times."""
+    nothing = F.lit(None).cast("string")
     return F.to_json(F.struct(
-        F.lit("").alias("username"), F.lit("server").alias("event_source"), F.lit(kind).alias("event_type"), F.lit(kind).alias("name"), time.alias("time"), F.lit("").alias("host"), F.lit("").alias("ip"), F.lit("").alias("agent"), F.lit("").alias("page"),
+        F.lit("").alias("username"), F.lit("server").alias("event_source"), kind.alias("event_type"), kind.alias("name"), time.alias("time"), F.lit("").alias("host"), F.lit("").alias("ip"), F.lit("").alias("agent"), F.lit("").alias("page"),
         F.struct(course.alias("course_id"), org_of_course(course).alias("org_id"), F.lit("").alias("path"), user.alias("user_id")).alias("context"), payload.alias("event"),
-        F.struct(F.lit(reason).alias("reason"), F.lit("enrollment_validation").alias("synthesizer")).alias("synthesized"),
+        F.struct(reason.alias("reason"), F.lit("enrollment_validation").alias("synthesizer"), (nothing if after is None else after).alias("after_time"), (nothing if before is None else before).alias("before_time")).alias("synthesized"),
     ))
 
 
 def validation_events(enrollments: DataFrame, dump_start: str, dump_end: str) -> DataFrame:
     """An event for each row of a snapshot (user_id, course_id, is_active, mode, created), saying what it held."""
     body = F.struct("course_id", "user_id", "mode", "is_active", F.date_format("created", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("created"), F.lit(dump_start).alias("dump_start"), F.lit(dump_end).alias("dump_end"))
-    return enrollments.select(F.lit(dump_end).substr(1, 10).alias("date"), synthetic_event("edx.course.enrollment.validated", F.lit(dump_end), F.col("course_id"), F.col("user_id"), body, "found in snapshot").alias("event"))
+    return enrollments.select(F.lit(dump_end).substr(1, 10).alias("date"), synthetic_event(F.lit("edx.course.enrollment.validated"), F.lit(dump_end), F.col("course_id"), F.col("user_id"), body, F.lit("found in snapshot")).alias("event"))

@@ -61,11 +61,18 @@ def _tagged(s, d):
 
 
 def _exported(s, d):
-    """How many events each organisation may have, by kind; org2 takes part under another name and for one course."""
+    """Lines that each organisation may have; org2 takes part under another name and for one course. Some events come of
+    the studio, of no host or of an empty one, and some are flagged."""
     orgs = R.org_config(s, {"org0": {}, "second": {"other_names": ["org2"], "courses": ["course-v1:org2+c2+2024"]}})
-    df = X.exportable(_decoded(s, d), orgs)
-    kind = F.get_json_object("line", "$.event_source")
-    return df.groupBy("org", kind.alias("source")).agg(F.count("*").alias("n_events"))
+    second = F.substring(F.get_json_object("event", "$.time"), -2, 2).cast("int")
+    host = F.element_at(F.array(F.lit("h.org"), F.lit(X.STUDIO), F.lit(""), F.lit("studio.h.org")), second % 4 + 1)
+    flagged = F.when(second % 3 == 0, F.replace("event", F.lit('"success"'), F.lit('"_export":"False","success"'))).otherwise(F.col("event"))
+    lines = _lines(s, d).withColumn("event", flagged).select("date", F.replace("event", F.lit('"host":"h.org"'), F.concat(F.lit('"host":"'), host, F.lit('"'))).alias("event"))
+    path = _path(s)
+    S.synthetic_log_files(lines, path)
+    df = X.exportable(R.parse_lines(s.read.text(path).withColumnRenamed("value", "line"), "line", ("line",)), orgs)
+    get = lambda p: F.get_json_object("line", f"$.{p}")
+    return df.select("org", get("event_source").alias("source"), get("host").alias("host"), get("context.course_id").alias("course_id"), get("username").alias("username"), get("time").alias("time"))
 
 
 def _location(s, d):
@@ -99,21 +106,21 @@ def _directory(s, d):
 
 
 def _masked_modules(s, d):
-    return M.mask_student_module(_modules(s, d), _directory(s, d)).select("id", "student_id", "course_id", "state")
+    return M.mask_student_module(_modules(s, d), _directory(s, d), text.SEED).select("id", "student_id", "course_id", "state")
 
 
 def _masked_wiki(s, d):
     o = table(s, d, "orders")
-    said = F.concat(F.lit("by USER"), "o_custkey", F.lit(" ("), "o_custkey", F.lit(") on www.facebook.com"))
+    said = F.concat(F.lit("by USER"), "o_custkey", F.lit("\\nuser"), "o_custkey", F.lit(" ("), "o_custkey", F.lit(") on www.facebook.com"))
     df = o.select(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("user_id"), said.alias("content"), F.lit("a@b.org").alias("title"), F.lit("").alias("user_message"), F.lit("x").alias("automatic_log"), F.lit("1.2.3.4").alias("ip_address"))
-    return M.mask_wiki_revision(df, _directory(s, d))
+    return M.mask_wiki_revision(df, _directory(s, d), text.SEED)
 
 
 def _masked_posts(s, d):
     o = table(s, d, "orders")
     one = F.array(F.col("o_custkey").cast("string"))
     df = o.select(F.col("o_orderkey").alias("id"), F.col("o_custkey").cast("string").alias("author_id"), F.concat(F.lit("user"), "o_custkey").alias("author_username"), F.concat(F.lit("call user"), "o_custkey", F.lit(" at 555-1234")).alias("body"), one.alias("abuse_flaggers"), F.struct(one.alias("up"), F.array().cast("array<string>").alias("down")).alias("votes"))
-    return M.mask_forum_posts(df, _directory(s, d)).select("id", "author_id", "author_username", "body", F.col("abuse_flaggers")[0].alias("flagger"), F.col("votes.up")[0].alias("voter"))
+    return M.mask_forum_posts(df, _directory(s, d), text.SEED).select("id", "author_id", "author_username", "body", F.col("abuse_flaggers")[0].alias("flagger"), F.col("votes.up")[0].alias("voter"))
 
 
 def _masked_structure(s, d):
@@ -124,7 +131,7 @@ def _masked_structure(s, d):
 
 def _masked_profile(s, d):
     u = users(s, d).select("user_id", "name", F.lit("Berlin").alias("city"), "gender", "year_of_birth")
-    return M.mask_table(u, "auth_userprofile")
+    return M.mask_table(u, "auth_userprofile", text.SEED)
 
 
 def _contacts(s, d):
@@ -250,15 +257,15 @@ ORACLES = {
     "problem_check_events": with_views() + f""" SELECT course_id, 'user' || user_id AS username, {_TIME}, 'i4x://org' || (k % 3) || '/c/problem/p' || (k % 10) AS problem_id, CASE WHEN event_id % 2 = 0 THEN 'correct' ELSE 'incorrect' END AS success,
  '{{"x_2_1":"a' || (event_id % 4) || '"}}' AS answers FROM ev WHERE kind = 'purchase'""",
     "tagged_problem_events": with_views() + f""" SELECT course_id, 'i4x://org' || (k % 3) || '/c/problem/p' || (k % 10) AS problem_id, {_TIME}, event_id % 2 = 0 AS is_correct, '{{"skill":["s' || (k % 5) || '"]}}' AS tags FROM ev WHERE kind = 'purchase'""",
-    "exported_events": with_views(x=f"SELECT {_SRC} AS source, {_ORG} AS org FROM ev")
-    + " SELECT CASE org WHEN 'org2' THEN 'second' ELSE org END AS org, source, count(*) AS n_events FROM x WHERE org IN ('org0', 'org2') GROUP BY ALL",
+    "exported_events": with_views(t="SELECT *, strftime(ts, '%Y-%m-%dT%H:%M:%S') AS time FROM ev", c="SELECT *, CAST(second(ts) AS INTEGER) AS h FROM t", x=f"SELECT *, {_SRC} AS source, {_ORG} AS org, ['h.org', '{X.STUDIO}', '', 'studio.h.org'][h % 4 + 1] AS host FROM c")
+    + """ SELECT CASE org WHEN 'org2' THEN 'second' ELSE org END AS org, source, host, course_id, 'user' || user_id AS username, time FROM x WHERE org IN ('org0', 'org2') AND h % 4 IN (0, 3) AND h % 3 > 0""",
     "problem_response_location": f"""SELECT r.course_id, 'n' || substr(problem_id, 2) AS problem_id, username, answer_id, coalesce(course_path, '(Deleted block :)') || ' / Problem ' || problem_id AS location, coalesce(sort_idx, -1) AS sort_idx
  FROM ({structure.ORACLES["latest_problem_response"]}) r LEFT JOIN ({structure.ORACLES["course_outline"]}) o ON o.block_id = 'n' || substr(problem_id, 2)""",
     "answer_files": f"SELECT course_id, answer_id, value, first_count, last_count, sha1(course_id) AS course_dir FROM ({structure.ORACLES['answer_distribution']})",
     "student_module_files": _module("o_custkey", "'write to mail' || o_orderkey || '@x.org'"),
     "mask_student_module": _module(_R("o_custkey"), "'write to <<EMAIL>>'"),
-    "mask_wiki_revision": f"""SELECT o_orderkey AS id, {_R('o_custkey')} AS user_id, 'by <<USERNAME>> (<<USER_ID>>) on www.<<EMAIL_CONTEXT>>.com' AS content, '<<EMAIL>>' AS title, '' AS user_message, 'x' AS automatic_log, '' AS ip_address FROM orders""",
-    "mask_forum_posts": f"SELECT o_orderkey AS id, CAST({_R('o_custkey')} AS VARCHAR) AS author_id, 'username_' || {_R('o_custkey')} AS author_username, 'call <<USERNAME>> at <<PHONE_NUMBER>>' AS body, CAST({_R('o_custkey')} AS VARCHAR) AS flagger, CAST({_R('o_custkey')} AS VARCHAR) AS voter FROM orders",
+    "mask_wiki_revision": f"""SELECT o_orderkey AS id, {_R('o_custkey')} AS user_id, 'by <<USERNAME>>\\n<<USERNAME>> (<<USER_ID>>) on www.<<EMAIL_CONTEXT>>.com' AS content, 'a@b.org' AS title, '' AS user_message, '' AS automatic_log, '' AS ip_address FROM orders""",
+    "mask_forum_posts": f"SELECT o_orderkey AS id, CAST({_R('o_custkey')} AS VARCHAR) AS author_id, 'username_' || {_R('o_custkey')} AS author_username, 'call <<USERNAME>> at ' || CASE o_custkey WHEN 555 THEN '<<USER_ID>>-1234' WHEN 1234 THEN '555-<<USER_ID>>' ELSE '<<PHONE_NUMBER>>' END AS body, CAST({_R('o_custkey')} AS VARCHAR) AS flagger, CAST({_R('o_custkey')} AS VARCHAR) AS voter FROM orders",
     "mask_course_structure": """SELECT p_partkey AS id, CASE WHEN p_partkey % 2 = 0 THEN 'type' ELSE 'name,type' END AS redacted, CASE WHEN p_partkey % 2 = 0 THEN '{"name":"' || p_name || '"}' ELSE '{}' END AS metadata FROM part""",
     "mask_user_profile": with_views("usr") + f" SELECT {_R('user_id')} AS user_id, '' AS name, '' AS city, gender, year_of_birth FROM usr",
     "fake_contacts": "SELECT count(*) AS n_learners, count(*) AS n_fit FROM customer",

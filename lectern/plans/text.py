@@ -12,9 +12,13 @@ from ..operators.video import valid_offset
 from ..sources.adapter import END, events, table, users, with_views
 
 
+#: Of these queries only: an export takes a secret one.
+SEED = 42
+
+
 def _ids(s, d):
     c = table(s, d, "customer").select("c_custkey")
-    return c.select("c_custkey", H.restore_id(H.remap_id(F.col("c_custkey"))).alias("restored"), H.remap_id(F.col("c_custkey")).alias("remapped"), H.masked_username(F.col("c_custkey")).alias("username"))
+    return c.select("c_custkey", H.restore_id(H.remap_id(F.col("c_custkey"), SEED), SEED).alias("restored"), H.remap_id(F.col("c_custkey"), SEED).alias("remapped"), H.masked_username(F.col("c_custkey"), SEED).alias("username"))
 
 
 def _courses(s, d):
@@ -59,12 +63,12 @@ def _emails(s, d):
 
 def _user_table(s, d):
     u = table(s, d, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("username"), F.col("c_name").alias("email"), "c_mktsegment", "c_acctbal")
-    return P.mask_user_table(u, 4).drop("c_acctbal")
+    return P.mask_user_table(u, SEED, 4).drop("c_acctbal")
 
 
 def _enrollment_table(s, d):
     o = table(s, d, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("user_id"), F.col("o_orderstatus").alias("mode"))
-    return P.mask_table(o, "student_courseenrollment")
+    return P.mask_table(o, "student_courseenrollment", SEED)
 
 
 def _html(s, d):
@@ -80,11 +84,11 @@ QUERIES = {
     "mask_user_table": _user_table, "mask_enrollment_table": _enrollment_table, "strip_html": _html, "week_end_key": _weeks,
 }
 
-_BITS = lambda x, places: " | ".join(f"((({x} >> {i}) & 1) << {p})" for i, p in enumerate(places))
+_BITS = lambda x, places: " | ".join(f"((({x} >> {31 - i}) & 1) << {31 - p})" for i, p in enumerate(places))
 
 
 def _remap(x):
-    return f"CAST({_BITS(f'CAST({x} AS BIGINT)', H.PLACES)} AS BIGINT)"
+    return f"CAST({_BITS(f'CAST({x} AS BIGINT)', H.places(SEED))} AS BIGINT)"
 
 
 _ENC = r"replace(replace(replace(replace(text, '\', '\\'), chr(13), '\r'), chr(9), '\t'), chr(10), '\n')"
@@ -95,7 +99,7 @@ ORACLES = {
     "event_times": "SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S') || '.000000' AS time_string, date_trunc('second', ts) AS time, strftime(ts, '%Y-%m-%d') AS day, strftime(ts + INTERVAL 2 SECOND, '%Y-%m-%d %H:%M:%S') AS later, strftime(ts, '%Y-%m-%dT%H:%M:%S') || '.000000' AS iso FROM events",
     "numbers_from_text": with_views() + """ SELECT event_id, CASE WHEN k % 5 > 2 THEN CAST(k AS DOUBLE) END AS number, CASE WHEN k * 1000 - 5000 BETWEEN 0 AND 36000 THEN CAST(k * 1000 - 5000 AS DOUBLE) END AS "offset", CASE WHEN k % 2 = 0 THEN 'true' END AS correct,
  kind || '_' || CASE WHEN k % 2 = 0 THEN '1' ELSE '7' END AS group_key, k % 3 = 0 AS hidden FROM ev""",
-    "text_escapes": f"""SELECT doc_id, sha1({_ENC}) AS encoded, true AS round_trip, contains(text, chr(10)) AS needs_decoding, sha1(trim(regexp_replace(text, '[ \\t\\n\\r\\f\\x0B]+', ' ', 'g'))) AS plain,
+    "text_escapes": f"""SELECT doc_id, sha1({_ENC}) AS encoded, true AS round_trip, regexp_matches(text, '[\\t\\n\\r]') AS needs_decoding, sha1(trim(regexp_replace(text, '[ \\t\\n\\r\\f\\x0B]+', ' ', 'g'))) AS plain,
  substr(replace(regexp_replace(text, '[\\t\\n\\r]', ' ', 'g'), '\\', ''), 1, 60) AS short FROM documents""",
     "mask_emails": r"""SELECT conv_id, turn, md5(regexp_replace(text, '(?i)\b[a-z0-9!#$%&''*+/=?^_`{|}~-]+(?:\.[a-z0-9!#$%&''*+/=?^_`{|}~-]+)*@(?:[a-z0-9](?:[a-z0-9-]*[a-z0-9])?\.)+[a-z0-9](?:[a-z0-9-]*[a-z0-9])?\b', '<<EMAIL>>', 'g')) AS masked FROM (SELECT conv_id, turn, text FROM conversations UNION ALL SELECT doc_id, -1, text FROM documents)""",
     "mask_user_table": f"SELECT {_remap('c_custkey')} AS id, 'username_' || {_remap('c_custkey')} AS username, '' AS email, c_mktsegment FROM customer",

@@ -7,12 +7,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def parse_lines(lines: DataFrame, column: str = "value") -> DataFrame:
-    """Event lines as VARIANT: the line itself, else its text from the first to the last brace; others are dropped."""
+def parse_lines(lines: DataFrame, column: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
+    """Event lines as VARIANT: the line itself, else its text from the first to the last brace; others are dropped. Named columns stay."""
     raw = F.col(column)
     inner = F.regexp_extract(raw, r"(?s)^.*?(\{.*\})\s*$", 1)
     parsed = F.coalesce(F.when(raw.rlike(r"^\s*\{"), F.try_parse_json(raw)), F.try_parse_json(F.nullif(inner, F.lit(""))))
-    return lines.select(parsed.alias("event")).where(F.col("event").isNotNull() & F.startswith(F.schema_of_variant("event"), F.lit("OBJECT")))
+    return lines.select(*keep, parsed.alias("event")).where(F.col("event").isNotNull() & F.startswith(F.schema_of_variant("event"), F.lit("OBJECT")))
 
 
 def read_events(spark: SparkSession, path: str | list[str]) -> DataFrame:

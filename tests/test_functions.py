@@ -1,5 +1,6 @@
 """Small hand-written rows for decoding, ids, masking and the rules that SQL does not cover."""
 
+import base64
 import json
 
 from pyspark.sql import functions as F
@@ -55,7 +56,11 @@ def test_escapes_and_ids(spark):
     raw = "a\tb\\n\\c\r\nd"
     assert values(spark, [raw], "string", lambda c: text.backslash_decode(text.backslash_encode(c))) == [raw]
     numbers = [0, 1, 12345, 2**32 - 1, 2**32, -1]
-    assert values(spark, numbers, "long", lambda c: text.restore_id(text.remap_id(c))) == [0, 1, 12345, 2**32 - 1, None, None]
+    assert values(spark, numbers, "long", lambda c: text.restore_id(text.remap_id(c, 7), 7)) == [0, 1, 12345, 2**32 - 1, None, None]
+    assert values(spark, [123456], "long", lambda c: text.remap_id(c, 42)) == [273678626]
+    codes = values(spark, ["", "a", "ab", "abc", "abcd", "Arbitrary Scope\ufffd|é|v"], "string", lambda c: text.base32(c.cast("binary")))
+    assert codes == [base64.b32encode(x.encode()).decode() for x in ("", "a", "ab", "abc", "abcd", "Arbitrary Scope\ufffd|é|v")]
+    assert values(spark, [*codes, "a", "A1======"], "string", lambda c: text.unbase32(c).cast("string")) == ["", "a", "ab", "abc", "abcd", "Arbitrary Scope\ufffd|é|v", None, None]
     assert values(spark, ["k"], "string", lambda c: text.decode_id(text.encode_id(c, F.lit("t"), F.lit("v")))) == [["k", "t", "v"]]
 
 
@@ -79,6 +84,25 @@ def test_masked_leaves(spark):
     ]
 
 
+def test_masks_that_were_missed(spark):
+    """Numbers with spaces, names after escaped line ends, messages and logs of wiki revisions."""
+    assert values(spark, ["12 345 678 901", "1 2"], "string", privacy.mask_possible_phones) == ["<<POSSIBLE_PHONE_NUMBER>>", "1 2"]
+    leaf = lambda c: privacy.mask_leaves(c, lambda v: privacy.mask_username(v, F.lit("ann")))
+    texts = ["x\\nann y", "x\\\\nann", "x\nann", "\\nbob", "a\\b"]
+    assert values(spark, [json.dumps([t]) for t in texts], "string", leaf) == [json.dumps([t.replace("ann", "<<USERNAME>>")]) for t in texts]
+    row = spark.createDataFrame([(1, 7, "by\\nann", "ann", "said", "log", "1.2.3.4")], "id int, user_id long, content string, title string, user_message string, automatic_log string, ip_address string")
+    people = spark.createDataFrame([(7, "ann", "Bo Lee")], "user_id long, username string, name string")
+    assert tuple(privacy.mask_wiki_revision(row, people, 42).first())[2:] == ("by\\n<<USERNAME>>", "ann", "", "", "")
+
+
+def test_what_is_exported(spark):
+    base = {"event_source": "server", "event_type": "/courses/a/b/c/x", "time": "2013-12-17T15:38:32", "host": "h"}
+    events = [base, base | {"event": {"_export": "False"}}, base | {"event": json.dumps({"_export": 0})}, base | {"host": "studio.edx.org"}, base | {"host": "mystudio.org"}, base | {"host": ""}, {k: v for k, v in base.items() if k != "host"}, base | {"context": {"course_user_tags": {"_export": "no"}}}]
+    lines = spark.createDataFrame([(f" {json.dumps(e)} ",) for e in events], "line string")
+    found = X.exportable(readers.parse_lines(lines, "line", ("line",)), readers.org_config(spark, {"a": {}}))
+    assert sorted(r.line for r in found.collect()) == sorted(json.dumps(events[i]) for i in (0, 4, 6, 7))
+
+
 def summary(spark, rows):
     columns = "username string, problem_attempts long, problems_attempted long, problems_completed long, problem_attempts_per_completed double, videos_viewed long, discussion_contributions long, days_active long"
     return spark.createDataFrame(rows, columns).withColumns({"course_id": F.lit("c"), "start_date": F.lit("2024-01-01").cast("date"), "end_date": F.lit("2024-01-08").cast("date")})
