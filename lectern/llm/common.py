@@ -127,3 +127,15 @@ def span_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     _, down = powers(len(sums))
     with np.errstate(over="ignore"):
         return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+
+
+def own_ids(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, bool]:
+    """own_id and row of each document, and whether any own_id differs from doc_id. Where rows share an id but not the
+    text, the text of smallest hash keeps the id and the others get ids of their own beyond 2**62, so that no text stands for another."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("h"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    shared = scratch.write(rows.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("h").alias("least"), F.max("h").alias("most")).where("least <> most").select(F.col("doc_id").alias("shared_id"), "least"))
+    if shared.isEmpty():
+        return rows.select(F.col("doc_id").alias("own_id"), "row"), False
+    own = F.pmod(F.xxhash64("doc_id", "h", "row.text"), F.lit(1 << 62)) + F.lit(1 << 62)
+    joined = rows.join(shared, F.col("doc_id") == F.col("shared_id"), "left")
+    return joined.select(F.when(F.col("h") != F.col("least"), own).otherwise(F.col("doc_id")).alias("own_id"), "row"), True

@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, small_batches, table
+from .common import Scratch, own_ids, small_batches, table
 
 PASSAGE, COMMON, RANK, OVERSAMPLE, COSINE, CLOSE = 48, 0.003, 96, 16, 0.35, 0.3
 #: Columns of the matrix; a larger vocabulary is hashed to so many.
@@ -126,9 +126,16 @@ def lcs(mask: dict[int, int], size: int, sequence: list[int]) -> int:
     return size - v.bit_count()
 
 
+def holds(shares: tuple[float, float]) -> tuple[bool, float, float]:
+    """Whether these shares of an item and of its answer stand for the item; and the shares, to rank by."""
+    share, answer = shares
+    return share >= SURE or share >= LIKELY and answer >= ANSWERED, share, answer
+
+
 def verify(bench: Benchmark, i: int, sequence: np.ndarray, start: int, done: dict[int, tuple[float, float]]) -> tuple[float, float]:
-    """Best shares of the item and of its answer in the windows around the passage that starts here; done has those of
-    windows that other passages of the same document met, for items longer than a passage."""
+    """Best shares of the item and of its answer in the windows around the passage that starts here, those of a window that
+    holds the item before any other; done has those of windows that other passages of the same document met, for items
+    longer than a passage."""
     item, mask = bench.items[i], bench.masks[i]
     m = len(item)
     span, step = m + m // 4 + 2, max(1, m // 4)
@@ -144,7 +151,7 @@ def verify(bench: Benchmark, i: int, sequence: np.ndarray, start: int, done: dic
     for a in range(0, start + PASSAGE - low if m > PASSAGE else max(1, len(part) - span + step), step):
         b = min(len(part), a + span)
         if m > PASSAGE and low + a in done:
-            best = max(best, done[low + a])
+            best = max(best, done[low + a], key=holds)
             continue
         if a >= b or count[b] - count[a] < LIKELY * m:
             continue  # more words in common than there are can't be found
@@ -152,7 +159,7 @@ def verify(bench: Benchmark, i: int, sequence: np.ndarray, start: int, done: dic
         share = lcs(mask, m, window) / m
         if share >= LIKELY:
             answer = lcs({w: x >> cut for w, x in mask.items()}, m - cut, window) / max(1, m - cut)
-            best = max(best, (share, answer))
+            best = max(best, (share, answer), key=holds)
             done[low + a] = (share, answer)
         else:
             done[low + a] = (0.0, 0.0)
@@ -308,17 +315,18 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                 for (r, i), x in best.items():
                     d = int(doc[a + r])
                     share, answer = verify(b, i, sequences[d], int(names[a + r] - shift[d]) * (PASSAGE // 2), done.setdefault((d, i), {}) if len(b.items[i]) > PASSAGE else {})
-                    if share >= SURE or share >= LIKELY and answer >= ANSWERED:
+                    if holds((share, answer))[0]:
                         out.append((batch["doc_id"].iloc[d], b.ids[i], x, share, answer))
             yield pd.DataFrame(out, columns=[x.split()[0] for x in schema.split(", ")])
 
     found = numbered.where("doc_id IS NOT NULL").mapInPandas(search, schema)
-    return found.groupBy("doc_id", "item_id").agg(F.max("cosine").alias("cosine"), F.max("share").alias("share"), F.max("answer_share").alias("answer_share"))
+    return found.groupBy("doc_id", "item_id").agg(F.max("cosine").alias("cosine"), F.max(F.struct("share", "answer_share")).alias("best")).select("doc_id", "item_id", "cosine", "best.share", "best.answer_share")
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that hold no benchmark item; those without an id stay."""
-    return docs.join(contaminated(docs, benchmark).select("doc_id").distinct(), "doc_id", "left_anti")
+    named, _ = own_ids(docs, Scratch(docs.sparkSession, "decontaminate"))
+    return named.join(contaminated(named.select(F.col("own_id").alias("doc_id"), "row.text"), benchmark).select(F.col("doc_id").alias("own_id")).distinct(), "own_id", "left_anti").select("row.*")
 
 
 def op4_decontaminate(spark, sf_dir):

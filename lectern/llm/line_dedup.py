@@ -15,8 +15,9 @@ number, has Jaccard similarity 0.8 or more with it, be that line removed itself
    lines still open. What is open then meets, with more parity bits, the lists in which it has met only some sets, so
    nothing is lost, yet a group of near copies is not expanded into pairs.
 
-Defined results: null text has no lines. Lines without words are not judged and stay. Rows that share an id count as one
-document, and where their texts differ the smaller line of a number is compared; rows without an id are not judged and keep all lines. An empty table gives an empty result.
+Defined results: null text has no lines. Lines without words are not judged and stay. Equal rows count as one
+document; rows that share an id but not the text are documents of their own in ``dedup_lines``, the later ones after all
+other ids (the query, which reports by id, expects distinct ids); rows without an id are not judged and keep all lines. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import Scratch, table
+from .common import Scratch, own_ids, table
 
 BLANKS = " \t\r\f\x0B"
 #: The threshold as a fraction.
@@ -231,8 +232,10 @@ def verified(scratch: Scratch, docs: DataFrame, pairs: DataFrame) -> DataFrame:
 def dedup_lines(docs: DataFrame) -> DataFrame:
     """The documents without the removed lines. Other columns are kept; those named ``n_lines`` and ``n_removed`` are
     replaced by how many lines the document had and how many of them went."""
-    found = removed_lines(docs.select("doc_id", "text")).select(F.struct("n_lines", "judged", "kept").alias("_lines"), F.col("doc_id").alias("_lines_of"))
-    joined = docs.drop("n_lines", "n_removed").join(found, F.col("doc_id") == F.col("_lines_of"), "left")
+    docs = docs.drop("n_lines", "n_removed")
+    named, _ = own_ids(docs, Scratch(docs.sparkSession, "lines"))
+    found = removed_lines(named.select(F.col("own_id").alias("doc_id"), "row.text")).select(F.struct("n_lines", "judged", "kept").alias("_lines"), F.col("doc_id").alias("_lines_of"))
+    joined = named.join(found, F.col("own_id") == F.col("_lines_of"), "left").select("row.*", "_lines", "_lines_of")
     pieces, kept, judged = F.split("text", "\n"), F.col("_lines.kept"), F.col("_lines.judged")
     text = F.when(F.col("_lines").isNull() | (F.size(kept) == judged), F.col("text")).otherwise(
         F.array_join(F.filter(pieces, lambda line, i: ~has_words(line) | F.array_contains(kept, i)), "\n")

@@ -12,7 +12,8 @@
 A pair at the threshold shares no bucket with probability ``(1 - t**ROWS)**BANDS``: 2.6e-7 at 0.85, 6e-5 at 0.8.
 
 Defined results: a text with fewer words than a shingle is one shingle; without words, or null, it has none and is
-linked with nothing. Rows that share an id share a component. Rows without an id are linked with nothing and stay.
+linked with nothing. Equal rows share a component; rows that share an id but not the text are documents of their own, told apart
+by a further column ``own_id``, which is there only if there are any. Rows without an id are linked with nothing and stay.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, mix, prefix_sums, small_batches, span_hashes, table
+from .common import Scratch, mix, own_ids, prefix_sums, small_batches, span_hashes, table
 
 BANDS, ROWS = 32, 6
 #: Standard deviations that a signature may fall short of the threshold before its pair is given up.
@@ -200,7 +201,22 @@ def links_across(ids: np.ndarray, labels: np.ndarray, sets: list[np.ndarray], pe
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept: one row for each document."""
+    """doc_id, n_shingles, component_id, kept: one row for each document.
+
+    Of rows that share an id but not the text each is a document of its own; one row of each component is kept.
+    """
+    spark = docs.sparkSession
+    named, shared = own_ids(docs.select("doc_id", "text"), Scratch(spark, "near"))
+    if not shared:
+        return _near_duplicates(docs, size, percent)
+    own = _near_duplicates(named.select(F.col("own_id").alias("doc_id"), "row.text"), size, percent)
+    names = named.select(F.col("own_id").alias("name"), "row.doc_id").distinct()
+    own = own.withColumnRenamed("doc_id", "own_id").join(names, F.col("own_id") == F.col("name"), "left")
+    least = own.groupBy(F.col("component_id").alias("of")).agg(F.min("doc_id").alias("least"))
+    return own.join(least, F.col("component_id") == F.col("of"), "left").select("doc_id", "n_shingles", F.col("least").alias("component_id"), "kept", "own_id")
+
+
+def _near_duplicates(docs: DataFrame, size: int, percent: int) -> DataFrame:
     spark = docs.sparkSession
     small_batches(spark)
     scratch = Scratch(spark, "near")
@@ -246,6 +262,13 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     return out.select("doc_id", "n_shingles", own.alias("component_id"), F.coalesce(own == F.col("doc_id"), F.lit(True)).alias("kept"))
 
 
+def drop_near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+    """The documents without the later ones of each group of near duplicates; those without an id stay."""
+    named, _ = own_ids(docs, Scratch(docs.sparkSession, "near"))
+    later = _near_duplicates(named.select(F.col("own_id").alias("doc_id"), "row.text"), size, percent).where("NOT kept")
+    return named.join(later.select(F.col("doc_id").alias("own_id")).distinct(), "own_id", "left_anti").select("row.*")
+
+
 def op2_near_dedup(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), size=3, percent=85)
 

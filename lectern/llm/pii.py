@@ -4,7 +4,9 @@ An Aho-Corasick automaton finds the anchors of a text in one pass: at-signs, sch
 identifier cues. At each anchor a small deterministic parser expands to the left and right and validates what it
 finds. A text without an anchor costs that one pass only. Each text is judged alone: no shuffle, any row order.
 
-Defined results: a null text counts as empty and has no spans. Repeated rows are judged alike; other columns are kept.
+Defined results: a null text counts as empty and has no spans. Repeated rows are judged alike; other columns are kept,
+but for one named ``pii``, which the result replaces. An empty table gives an empty result; a very long text or run of
+digits costs as its length.
 """
 
 from __future__ import annotations
@@ -79,7 +81,7 @@ def find_spans(text: str, anchors: ahocorasick.Automaton) -> list[tuple[str, int
             if at and "0" <= text[at - 1] <= "9":
                 continue  # inside a run that its first digit stands for
             if at >= ends["ip"] and (m := IP.match(text, at)):
-                keep("ip", at, m.end(), all(len(p.lstrip("0")) < 4 and int(p) <= 255 for p in m[0].split(".")))
+                keep("ip", at, m.end(), all(len(p) < 4 and int(p or 0) <= 255 for p in (x.lstrip("0") for x in m[0].split("."))))
             if at >= ends["card"] and (m := CARD.match(text, at)):
                 digits = m[0].replace(" ", "").replace("-", "")
                 keep("card", at, m.end(), 13 <= len(digits) <= 19 and luhn(digits))

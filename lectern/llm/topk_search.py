@@ -142,11 +142,19 @@ def search_bucket(qids, q, least, ids, p, k) -> Iterator[tuple[int, int, int]]:
             yield from keep(i, np.arange(n), row[:n])
 
 
+def fitting(rows: DataFrame) -> DataFrame:
+    """The rows; refused if an inner product of two of them could leave 64 bits, as it would wrap silently."""
+    most = rows.agg(F.max("square")).first()[0]
+    if most is not None and float(most) >= 2.0**62:  # no inner product exceeds the product of two lengths
+        raise ValueError("inner products of these vectors need more than 64 bits: use a smaller scale")
+    return rows
+
+
 def search(vectors: DataFrame, is_query: Column, key: str = "vec_id", vector: str = "embedding", k: int = 20, scale: int = 64) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: each query's k highest inner products among all other vectors."""
     spark: SparkSession = vectors.sparkSession
     scratch = Scratch(spark, "topk")
-    rows = scratch.write(usable(vectors, key, vector, scale))
+    rows = fitting(scratch.write(usable(vectors, key, vector, scale)))
     total = rows.count()
     ranged = rows.repartitionByRange(max(1, -(-total // (4 * BUCKET))), F.col("square").desc(), "vec_id").sortWithinPartitions(F.col("square").desc(), "vec_id")
     buckets = scratch.write(blocks(ranged, BUCKET))

@@ -1,0 +1,51 @@
+"""Cases that once lost a document or ended the job."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from lectern.llm import decontaminate, line_dedup, near_dup, pii, topk_search
+
+BASE = " ".join(f"word{i}" for i in range(40))
+UNIQUE = " ".join(f"other{i}" for i in range(40))
+
+
+def test_rows_that_share_an_id_but_not_the_text(spark):
+    rows = [(1, BASE, "a"), (5, BASE + " more", "b"), (5, UNIQUE, "c"), (5, UNIQUE, "d"), (None, BASE, "e"), (7, None, "f"), (7, "single", "g")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, row string")
+    assert sorted(r.row for r in near_dup.drop_near_duplicates(docs).collect()) == ["a", "c", "d", "e", "f", "g"]
+    found = {(r.doc_id, r.n_shingles): (r.component_id, r.kept) for r in near_dup.near_duplicates(docs.where("row <> 'd'")).collect()}
+    assert found == {(1, 36): (1, True), (5, 37): (1, False), (5, 36): (5, True), (None, 36): (None, True), (7, 0): (7, True), (7, 1): (7, True)}
+    assert sorted((r.row, r.text, r.n_removed) for r in line_dedup.dedup_lines(docs).collect()) == [("a", BASE, 0), ("b", "", 1), ("c", UNIQUE, 0), ("d", UNIQUE, 0), ("e", BASE, 0), ("f", None, 0), ("g", "single", 0)]
+    items = spark.createDataFrame([(1, UNIQUE)], "item_id long, text string")
+    assert sorted(r.row for r in decontaminate.drop_contaminated(docs, items).collect()) == ["a", "b", "e", "f", "g"]
+
+
+def test_a_component_of_shared_ids_has_its_smallest_id(spark):
+    rows = [(2, UNIQUE), (2, BASE), (3, BASE + " more")]
+    found = near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.component_id) for r in found) == [(2, 2), (2, 2), (3, 2)] and sum(r.kept for r in found) == 2
+
+
+def test_long_runs_of_digits(spark):
+    texts = ["0" * 5000 + "1.1.1.1", "9" * 5000 + ".1.1.1", "1" * 6000, "000.0.00.255 1.2.3.0256 1.2.3.256"]
+    found = pii.find_pii(spark.createDataFrame([(t,) for t in texts], "text string")).collect()
+    assert [r.pii.spans for r in found] == ["ip:0:5007", "", "", "ip:0:12"]
+
+
+def test_a_worse_passage_does_not_hide_an_item(spark):
+    rnd = random.Random(5)
+    words = [f"{a}{b}{c}" for a in "bcdfghjklmnprst" for b in ("alo", "eri", "omu", "ise") for c in ("nt", "st", "rm", "lk")]
+    item, noise = rnd.sample(words, 40), rnd.sample([w + "x" for w in words], 200)
+    good = [w if i % 10 >= 4 or i >= 28 else noise[i] for i, w in enumerate(item)]  # 0.7 of the item, all of its answer
+    worse = item[:30] + noise[50:60]  # 0.75 of it, and nothing of its answer
+    docs = spark.createDataFrame([(1, " ".join(good)), (2, " ".join(good + noise[100:114] + worse)), (3, " ".join(worse + noise[100:114] + good)), (4, " ".join(worse))], "doc_id long, text string")
+    found = decontaminate.contaminated(docs, spark.createDataFrame([(9, " ".join(item))], "item_id long, text string")).collect()
+    assert sorted(r.doc_id for r in found) == [1, 2, 3] and all(r.answer_share >= 0.5 for r in found)
+
+
+def test_products_beyond_64_bits_are_refused(spark):
+    rows = spark.createDataFrame([(0, [4e8, 4e8]), (20, [4e8, 1.0])], "vec_id long, embedding array<double>")
+    with pytest.raises(ValueError):
+        topk_search.search(rows, F.col("vec_id") % 20 == 0)
