@@ -33,8 +33,7 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def dedup_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    later = near_dup.near_duplicates(docs.select("doc_id", "text")).where("NOT kept").select("doc_id").distinct()
-    return docs.join(later, "doc_id", "left_anti").select(*docs.columns)
+    return near_dup.drop_near_duplicates(docs)
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
