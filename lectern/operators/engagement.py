@@ -185,9 +185,10 @@ COUNTERS = (
 def engagement_report(days: DataFrame, people: DataFrame, cohorts: DataFrame, engagement: DataFrame, interval: str, end: str) -> DataFrame:
     """Every user enrolled on a report date, with zeros where nothing was done, and the cohort."""
     at = days.where("at_end = 1").withColumn("_key", date_key(F.col("date"), interval, end)).where("date = _key").drop("_key")
-    df = at.select("date", "course_id", "user_id").join(people.select("user_id", "username"), "user_id").join(cohorts, ["user_id", "course_id"], "left")
+    df = at.select("date", "course_id", "user_id").join(people.select("user_id", "username", *[c for c in people.columns if c == "email"]), "user_id").join(cohorts, ["user_id", "course_id"], "left")
     df = df.join(engagement, ["date", "course_id", "username"], "left")
-    return df.select("date", "course_id", "username", "cohort", *[F.coalesce(c, F.lit(0)).alias(c) for c in COUNTERS], F.coalesce("last_subsection_viewed", F.lit("")).alias("last_subsection_viewed"))
+    email = ["email"] if "email" in people.columns else []
+    return df.select("date", "course_id", "username", *email, "cohort", *[F.coalesce(c, F.lit(0)).alias(c) for c in COUNTERS], F.coalesce("last_subsection_viewed", F.lit("")).alias("last_subsection_viewed"))
 
 
 def engagement_table(engagement: DataFrame, start: str, end: str) -> DataFrame:

@@ -40,8 +40,8 @@ def _days(s, d):
     return E.days_enrolled(enrollment_events(s, d), END)
 
 
-def _roster(s, d):
-    modules = written(_module(s, d))  # read by both weeks; the last week by the roster, its ranges and its segments
+def _roster(s, d, modules=None):
+    modules = written(_module(s, d) if modules is None else modules)  # read by both weeks; the last week by the roster, its ranges and its segments
     week = written(G.weekly_summary(modules, END))
     segments = G.user_segments(week, G.metric_ranges(week))
     return G.learner_roster(_days(s, d), users(s, d), _cohorts(s, d), week, G.weekly_summary(modules, BEFORE), segments, END)

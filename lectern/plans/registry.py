@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import activity, engagement, enrollment, exports, storage, structure, text, validation, video
+from . import activity, engagement, enrollment, exports, masking, records, storage, structure, text, validation, video, workflows
 
-_modules = [enrollment, activity, video, engagement, storage, structure, text, validation, exports]
+_modules = [enrollment, activity, video, engagement, storage, structure, text, validation, exports, masking, records, workflows]
 
 
 def _iso(query):

@@ -107,6 +107,16 @@ def read_answer_metadata(lines: DataFrame) -> DataFrame:
     return lines.select(F.explode(F.from_json("value", kind)).alias("answer_id", "meta")).select("answer_id", "meta.*")
 
 
+FORUM = """_id struct<`$oid`: string>, _type string, author_id string, author_username string, body string, title string, course_id string,
+ votes struct<up: array<string>, down: array<string>>, abuse_flaggers array<string>, historical_abuse_flaggers array<string>, endorsement struct<user_id: string>"""
+
+
+def read_forum_posts(spark: SparkSession, path: str) -> DataFrame:
+    """Forum posts of a dump, a JSON line each; lines that can't be read are dropped."""
+    posts = spark.read.schema(FORUM + ", _bad string").option("columnNameOfCorruptRecord", "_bad").json(path)
+    return posts.where("_id IS NOT NULL").drop("_bad")
+
+
 def read_event_whitelist(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema("label string, event_source string, event_type string").csv(path, sep="\t", comment="#")
 

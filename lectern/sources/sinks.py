@@ -73,11 +73,21 @@ def publish_jdbc(df: DataFrame, url: str, table: str, allow_empty: bool = False,
 
 
 def one_file_per_key(df: DataFrame, keys: list[str], path: str, kind: str = "csv", sort: list | None = None, **options) -> None:
-    """All rows of a key in one file of its folder."""
+    """All rows of a key in one file of its folder, as these formats ask: a large key is one task. Exports that may have
+    several files to a key take ``parts_per_key``."""
     df = df.repartition(*keys)
     (df.sortWithinPartitions(*keys, *(sort or [])).write.mode("overwrite").partitionBy(*keys).options(**options).format(kind)).save(path)
 
 
+def parts_per_key(df: DataFrame, keys: list[str], path: str, kind: str = "parquet", rows: int = 1_000_000, **options) -> None:
+    """The rows of a key in its folder, in files of at most so many rows; a large key is dealt to as many tasks as it has files."""
+    sizes = df.groupBy(*keys).agg(F.ceil(F.count("*") / rows).alias("_parts"))
+    part = F.floor(F.rand(11) * F.col("_parts")).cast("int")
+    dealt = df.join(sizes, keys).withColumn("_part", part).drop("_parts")
+    writer = dealt.repartition(*keys, "_part").drop("_part").write.mode("overwrite").option("maxRecordsPerFile", rows)
+    writer.partitionBy(*keys).options(**options).format(kind).save(path)
+
+
 def write_answer_csv(df: DataFrame, path: str) -> None:
     """Per course, in a folder named by the hash of its id, with a header, rows in order of all columns."""
     one_file_per_key(df.withColumn("course_dir", F.sha1("course_id")), ["course_dir"], path, "csv", df.columns, header="true")
@@ -97,9 +107,33 @@ def write_problem_response_csv(df: DataFrame, path: str, fields: list[str], **ho
     one_file_per_key(problem_response_rows(df, fields, **how), ["course_id"], path, "csv", [F.col("sort_idx").cast("int"), "username"], header="true")
 
 
-def engagement_header(df: DataFrame, interval: str) -> DataFrame:
-    """Header names follow the interval: a day, a week's end, or none."""
-    return df.withColumnRenamed("date", {"daily": "Date", "weekly": "Date Week Ending"}.get(interval, "Date")).withColumnsRenamed({"course_id": "Course ID", "username": "Username", "cohort": "Cohort"})
+#: Fixed by the format: the headers of an engagement report after the course, in order, by the column that each shows.
+ENGAGEMENT_HEADERS = {
+    "username": "Username", "email": "Email", "cohort": "Cohort", "days_active": "Days Active", "problems_attempted": "Unique Problems Attempted", "problem_attempts": "Total Problem Attempts",
+    "problems_correct": "Unique Problems Correct", "videos_played": "Unique Videos Played", "forum_posts": "Discussion Posts", "forum_responses": "Discussion Responses", "forum_comments": "Discussion Comments",
+    "forum_upvotes_given": "Discussion Upvotes Given", "forum_downvotes_given": "Discussion Downvotes Given", "forum_upvotes_received": "Discussion Upvotes Received",
+    "forum_downvotes_received": "Discussion Downvotes Received", "textbook_pages_viewed": "Textbook Pages Viewed", "last_subsection_viewed": "URL of Last Subsection Viewed",
+}
+DATE_HEADERS = {"daily": ("Date", "Was Active"), "weekly": ("End Date", "Days Active This Week"), "all": ("End Date", "Days Active")}
+
+
+def engagement_rows(report: DataFrame, interval: str) -> DataFrame:
+    """A report under its headers, which follow the interval; facts that the report lacks are empty."""
+    date, active = DATE_HEADERS[interval]
+    headers = ENGAGEMENT_HEADERS | {"days_active": active}
+    value = lambda c: F.col(c) if c in report.columns else F.lit("")
+    return report.select(F.col("course_id").alias("Course ID"), F.col("date").cast("string").alias(date), *[value(c).alias(h) for c, h in headers.items()])
+
+
+def write_engagement_csv(report: DataFrame, path: str, interval: str, label: str | None = None) -> None:
+    """A file for each course and date, in a folder named by the hash of the course's id, rows in order of all columns.
+
+    label: what stands for the date of the files, such as the whole interval.
+    """
+    rows = engagement_rows(report, interval)
+    date = F.lit(label) if label else F.col(rows.columns[1])
+    keyed = rows.withColumns({"course_dir": F.sha1(F.col("`Course ID`")), "report": F.concat(F.lit(f"student_engagement_{interval}_"), date)})
+    one_file_per_key(keyed, ["course_dir", "report"], path, "csv", [F.col(f"`{c}`") for c in rows.columns], header="true")
 
 
 def export_events_by_course(events: DataFrame, path: str) -> None:
