@@ -7,6 +7,8 @@ import random
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .html import strip_html
+
 BITS = 32
 #: Fixed by the format of encoded ids: the symbols of five bits each.
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
@@ -52,14 +54,6 @@ def needs_decoding(text: Column) -> Column:
     return text.rlike(r"\\[rtn]") & ~text.rlike(r"[\r\t\n]")
 
 
-def strip_html(text: Column) -> Column:
-    """Text nodes joined by one space; an approximation by patterns, without scripts, styles and comments."""
-    text = F.regexp_replace(text, r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>", " ")
-    for name, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&")):
-        text = F.replace(text, F.lit(name), F.lit(char))
-    return normalize_whitespace(text)
-
-
 def normalize_whitespace(text: Column) -> Column:
     return F.trim(F.regexp_replace(text, r"[ \t\n\r\f\x0B]+", " "))
 
@@ -73,9 +67,10 @@ def clean_choice_text(text: Column, pattern: str = r"<label[^>]*>|</label>") ->
     return F.trim(F.regexp_replace(F.regexp_replace(text, pattern, ""), r"\s+", " "))
 
 
-def stringify(values: Column) -> Column:
-    """A list of answers as [a|b]."""
-    return F.concat(F.lit("["), F.array_join(F.transform(values, lambda x: F.trim(x)), "|"), F.lit("]"))
+def stringify(values: Column, contains_html: bool = False) -> Column:
+    """A list of answers as [a|b], each without white space around it, or the text of its markup."""
+    one = lambda x: strip_html(x) if contains_html else F.trim(x)
+    return F.concat(F.lit("["), F.array_join(F.transform(values, one), "|"), F.lit("]"))
 
 
 def add_microseconds(time: Column, n: int) -> Column:

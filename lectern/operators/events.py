@@ -15,6 +15,11 @@ def field(path: str, kind: str = "string", event: str = "event") -> Column:
     return F.try_variant_get(event, f"$.{path}", kind)
 
 
+def once(df: DataFrame) -> DataFrame:
+    """The same rows; what comes after reads their columns and doesn't compute them again, as it may where it is laid over what makes them."""
+    return df.select(F.inline(F.array(F.struct(*df.columns))))
+
+
 def payload() -> Column:
     """The payload as an object: parsed if it is text, empty if it is '', null if it is cut, key=value text or a list."""
     raw = F.try_variant_get("event", "$.event", "variant")
@@ -107,7 +112,9 @@ def exportable(lines: DataFrame, orgs: DataFrame, studio: str = STUDIO) -> DataF
     Events of the studio's host or of an empty one stay, so do those that their payload flags. What the checks read is
     taken from the event once, as columns of their own.
     """
-    facts = lines.select("line", field("host").alias("host"), F.lower(F.try_variant_get(payload(), "$._export", "string")).alias("flag"), event_org().alias("alias"), course_id(True).alias("course"))
+    lines = once(lines.select("line", "event"))
+    flagged = once(lines.select("line", "event", field("host").alias("host"), F.lower(F.try_variant_get(payload(), "$._export", "string")).alias("flag")))
+    facts = once(once(flagged.select("*", event_org().alias("alias"))).select("line", "host", "flag", "alias", course_id(True).alias("course")))
     df = facts.where(~F.coalesce(F.col("host").isin("", studio), F.lit(False)) & ~F.coalesce(F.col("flag").isin("n", "f", "0", "false", "no"), F.lit(False)))
     df = df.join(F.broadcast(orgs), "alias")  # the configured organisations: as many rows as aliases
     return df.where(F.col("courses").isNull() | F.array_contains("courses", F.col("course"))).select("org", F.trim("line").alias("line"))

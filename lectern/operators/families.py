@@ -141,20 +141,15 @@ def decode(lines: DataFrame) -> DataFrame:
 
     Three steps, each over columns of the one before, keep what Spark compiles for each small.
     """
-    events = once(parse_lines(lines))
-    read = once(events.select(
+    events = X.once(parse_lines(lines))
+    read = X.once(events.select(
         "event", X.payload().alias("payload"), X.field("event_source").alias("source"), X.field("event_type").alias("type"), X.field("page").alias("page"), event_time_string(X.field("time")).alias("time"), event_username(X.field("username")).alias("username"),
         X.field("context.user_id").try_cast("long").alias("user_id"), F.trim(X.field("context.course_id")).alias("own"), F.try_variant_get("event", "$.context", "variant").isNotNull().alias("placed"),
     )).where("time IS NOT NULL AND type IS NOT NULL")
     url = F.when(F.col("source") == "server", F.col("type")).when(F.col("source") == "browser", F.col("page"))
     from_url = F.when(F.col("placed") & (F.coalesce("own", F.lit("")) == ""), course_key_from_url(url))
-    told = once(read.select("event", "payload", "source", "type", "time", "username", "user_id", F.when(F.col("placed"), normalize_course_id(F.col("own"))).alias("course_id"), from_url.alias("url_course")))
-    return once(told.select("event", "payload", "source", "type", "time", event_time(F.col("time")).alias("ts"), datestamp(F.col("time")).alias("date"), "username", "user_id", "course_id", F.coalesce("course_id", "url_course").alias("any_course")))
-
-
-def once(df: DataFrame) -> DataFrame:
-    """The same rows; what comes after reads their columns and doesn't compute them again, as it may where it is laid over what makes them."""
-    return df.select(F.inline(F.array(F.struct(*df.columns))))
+    told = X.once(read.select("event", "payload", "source", "type", "time", "username", "user_id", F.when(F.col("placed"), normalize_course_id(F.col("own"))).alias("course_id"), from_url.alias("url_course")))
+    return X.once(told.select("event", "payload", "source", "type", "time", event_time(F.col("time")).alias("ts"), datestamp(F.col("time")).alias("date"), "username", "user_id", "course_id", F.coalesce("course_id", "url_course").alias("any_course")))
 
 
 def _some(event: Column, families: tuple[str, ...]) -> Column:

@@ -72,7 +72,9 @@ def _enrollment_table(s, d):
 
 
 def _html(s, d):
-    return table(s, d, "pages").select("page_id", F.length(H.strip_html(F.col("html"))).alias("n"), (~H.strip_html(F.col("html")).contains("<script")).alias("clean"))
+    """Texts of pages, and their titles as answers whose markup is removed."""
+    h = table(s, d, "pages").select("page_id", H.strip_html(F.col("html")).alias("t"), F.regexp_extract("html", "(?s)(<title>.*?</title>)", 1).alias("title"))
+    return h.select("page_id", F.length("t").alias("n"), F.md5("t").alias("text"), H.stringify(F.array(F.col("title"), F.lit(" <b>x&amp;y</b>z ")), True).alias("listed"))
 
 
 def _weeks(s, d):
@@ -102,6 +104,9 @@ ORACLES = {
     "text_escapes": f"""SELECT doc_id, sha1({_ENC}) AS encoded, true AS round_trip, regexp_matches(text, '[\\t\\n\\r]') AS needs_decoding, sha1(trim(regexp_replace(text, '[ \\t\\n\\r\\f\\x0B]+', ' ', 'g'))) AS plain,
  substr(replace(regexp_replace(text, '[\\t\\n\\r]', ' ', 'g'), '\\', ''), 1, 60) AS short FROM documents""",
     "mask_emails": r"""SELECT conv_id, turn, md5(regexp_replace(text, '(?i)\b[a-z0-9!#$%&''*+/=?^_`{|}~-]+(?:\.[a-z0-9!#$%&''*+/=?^_`{|}~-]+)*@(?:[a-z0-9](?:[a-z0-9-]*[a-z0-9])?\.)+[a-z0-9](?:[a-z0-9-]*[a-z0-9])?\b', '<<EMAIL>>', 'g')) AS masked FROM (SELECT conv_id, turn, text FROM conversations UNION ALL SELECT doc_id, -1, text FROM documents)""",
+    "strip_html": r"""WITH t AS (SELECT page_id, html, trim(regexp_replace(replace(replace(replace(replace(replace(replace(replace(replace(replace(replace(regexp_replace(replace(html, '"</p>"', '"' || chr(1) || '"'), '(?s)<!--.*?-->|<[^>]*>', ' ', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', chr(39)), '&#x27;', chr(39)),
+ '&nbsp;', ' '), '&middot;', '·'), '&copy;', '©'), '&amp;', '&'), chr(1), '</p>'), '[ \t\n\r\f\x0B\x{00A0}]+', ' ', 'g')) AS t, replace(regexp_extract(html, '(?s)<title>(.*?)</title>', 1), '&amp;', '&') AS title FROM pages)
+ SELECT page_id, length(t) AS n, md5(t) AS text, '[' || trim(regexp_replace(title, '\s+', ' ', 'g')) || '|x&y z]' AS listed FROM t""",
     "mask_user_table": f"SELECT {_remap('c_custkey')} AS id, 'username_' || {_remap('c_custkey')} AS username, '' AS email, c_mktsegment FROM customer",
     "mask_enrollment_table": f"SELECT o_orderkey AS id, {_remap('o_custkey')} AS user_id, o_orderstatus AS mode FROM orders",
     "week_end_key": with_views() + f" SELECT event_id, date + CAST((isodow(DATE '{END}' - 1) - isodow(date) + 7) % 7 AS INTEGER) AS week_end FROM ev",

@@ -19,22 +19,6 @@ def read_events(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return parse_lines(spark.read.text(path))
 
 
-def in_file_interval(name: Column, start: str, end: str, expand: int = 2) -> Column:
-    """Whether the date in a log file's name, or else its epoch seconds, lies in the interval widened by some days."""
-    day = F.coalesce(F.try_to_date(F.nullif(F.regexp_extract(name, r"(\d{4}-?\d{2}-?\d{2})", 1), F.lit("")), "yyyy-MM-dd"), F.try_to_date(F.nullif(F.regexp_extract(name, r"(\d{8})", 1), F.lit("")), "yyyyMMdd"), F.to_date(F.timestamp_seconds(F.regexp_extract(name, r"(\d{10})", 1).try_cast("long"))))
-    return (day >= F.date_sub(F.lit(start).cast("date"), expand)) & (day < F.date_add(F.lit(end).cast("date"), expand))
-
-
-def select_log_files(paths: DataFrame, start: str, end: str, expand: int = 2) -> DataFrame:
-    return paths.where(in_file_interval(F.element_at(F.split("path", "/"), -1), start, end, expand))
-
-
-def read_path_set(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
-    """path and length of every non-empty file below the path whose name fits the pattern."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(path)
-    return files.select("path", "length").where("length > 0")
-
-
 def read_snapshot(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:
     """A dumped table: fields end at \\x01, \\N is null."""
     return spark.read.schema(schema).csv(path, sep="\x01", nullValue="\\N", quote="", timestampFormat="yyyy-MM-dd HH:mm:ss[.S]")
@@ -58,19 +42,6 @@ def read_record_tsv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).csv(path, sep="\t", nullValue="\\N", quote="", mode="FAILFAST")
 
 
-def snapshot_jdbc(spark: SparkSession, url: str, query: str, column: str | None = None, bounds: tuple[int, int] = (0, 0), parts: int = 1, **options) -> DataFrame:
-    """A table or (query) of a database, read in ranges of a column."""
-    reader = spark.read.format("jdbc").option("url", url).option("dbtable", query).options(**options)
-    if column:
-        reader = reader.option("partitionColumn", column).option("lowerBound", bounds[0]).option("upperBound", bounds[1]).option("numPartitions", parts)
-    return reader.load()
-
-
-def as_dump(df: DataFrame) -> DataFrame:
-    """All columns as text, null as a dash."""
-    return df.select(*[F.coalesce(F.col(c).cast("string"), F.lit("-")).alias(c) for c in df.columns])
-
-
 COURSE_LIST = "id string, course_id string, name string, org string, number string, blocks_url string, short_description string, enrollment_start string, enrollment_end string, start string, `end` string, start_display string, start_type string, effort string, pacing string"
 
 

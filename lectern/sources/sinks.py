@@ -68,10 +68,6 @@ def replace_slice(df: DataFrame, path: str, by: str = "date") -> None:
     write_partition(df, path, by)
 
 
-def publish_jdbc(df: DataFrame, url: str, table: str, allow_empty: bool = False, **options) -> None:
-    checked(result_nulls(df), allow_empty).write.mode("overwrite").options(truncate="true", **options).jdbc(url, table)
-
-
 def one_file_per_key(df: DataFrame, keys: list[str], path: str, kind: str = "csv", sort: list | None = None, **options) -> None:
     """All rows of a key in one file of its folder, as these formats ask: a large key is one task. Exports that may have
     several files to a key take ``parts_per_key``."""

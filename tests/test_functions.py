@@ -9,7 +9,7 @@ from lectern.functions import keys, text
 from lectern.operators import engagement as G
 from lectern.operators import events as X
 from lectern.operators import outline, privacy, problems, video
-from lectern.sources import readers, sinks
+from lectern.sources import logs, readers, sinks
 
 
 def values(spark, rows, kind, make):
@@ -170,7 +170,7 @@ def test_files(spark, tmp_path):
     (tmp_path / "dump.csv").write_text("1,'a\\'b','x,y'\n")
     assert [tuple(r) for r in readers.read_mysqldump_csv(spark, str(tmp_path / "dump.csv"), "id int, a string, b string").collect()] == [(1, "a'b", "x,y")]
     paths = spark.createDataFrame([("/l/tracking.log-20240105.gz",), ("/l/tracking.log-2024-02-05",), ("/l/t.1704412800.log",), ("/l/none",)], "path string")
-    assert sorted(r.path for r in readers.select_log_files(paths, "2024-01-06", "2024-01-08").collect()) == ["/l/t.1704412800.log", "/l/tracking.log-20240105.gz"]
+    assert sorted(r.path for r in logs.select_log_files(paths, "2024-01-06", "2024-01-08").collect()) == ["/l/t.1704412800.log", "/l/tracking.log-20240105.gz"]
     df = spark.createDataFrame([("c1", "b"), ("c1", "a"), ("c2", "z")], "course_id string, answer string")
     sinks.write_answer_csv(df, str(tmp_path / "out"))
     back = spark.read.csv(str(tmp_path / "out"), header=True)
