@@ -12,7 +12,7 @@ from .enrollment import DAYS, STATE
 
 def _ranges(spark, d):
     """Countries from the nations: each has a range of 16 blocks' worth of the 10.x addresses; some addresses have none."""
-    n = table(spark, d, "nation").where("n_nationkey < 20")
+    n = table(spark, d, "nation")
     lo = F.lit(167772160) + F.expr("n_nationkey div 5") * 65536 + F.col("n_nationkey") % 5 * 10000
     return n.select(lo.cast("long").alias("lo"), (lo + 8999).cast("long").alias("hi"), F.upper(F.substring("n_name", 1, 2)).alias("country_code"), F.col("n_name").alias("country_name"))
 
@@ -48,7 +48,7 @@ _CAL = "SELECT CAST(unnest(generate_series((SELECT min(date) FROM ev), (SELECT m
 _UA = """SELECT user_id, course_id, date, unnest([x for x in ['ACTIVE', CASE WHEN source = 'server' AND type = 'problem_check' THEN 'ATTEMPTED_PROBLEM' END,
  CASE WHEN source IN ('browser', 'mobile') AND type = 'play_video' THEN 'PLAYED_VIDEO' END] if x IS NOT NULL]) AS category FROM act WHERE source <> 'task' AND type NOT LIKE 'edx.course.enrollment%'"""
 _IP = "167772160 + (n_nationkey // 5) * 65536 + n_nationkey % 5 * 10000"
-_RANGES = f"SELECT {_IP} AS lo, {_IP} + 8999 AS hi, upper(substr(n_name, 1, 2)) AS country_code, n_name AS country_name FROM nation WHERE n_nationkey < 20"
+_RANGES = f"SELECT {_IP} AS lo, {_IP} + 8999 AS hi, upper(substr(n_name, 1, 2)) AS country_code, n_name AS country_name FROM nation"
 _NUM = "167772160 + CAST(split_part(ip, '.', 2) AS BIGINT) * 65536 + CAST(split_part(ip, '.', 3) AS BIGINT) * 256 + CAST(split_part(ip, '.', 4) AS BIGINT)"
 _COUNTRY = f"""SELECT user_id, coalesce(country_code, 'UNKNOWN') AS country_code, coalesce(country_name, 'UNKNOWN') AS country_name
  FROM (SELECT user_id, arg_max(ip, (ts, event_id)) AS ip FROM ips GROUP BY ALL) LEFT JOIN rng ON {_NUM} BETWEEN lo AND hi"""

@@ -13,7 +13,7 @@ def _days(spark, d):
 
 
 def _catalog(spark, d):
-    r = table(spark, d, "region").where("r_regionkey < 3")
+    r = table(spark, d, "region")
     k = F.col("r_regionkey").cast("string")
     return r.select(F.concat(F.lit("course-v1:org"), k, F.lit("+c"), k, F.lit("+2024")).alias("course_id"), F.col("r_name").alias("catalog_course_title"))
 
@@ -95,7 +95,7 @@ ORACLES = {
     "enrollment_by_birth_year": _DU + f" SELECT course_id, date, year_of_birth AS birth_year, CAST(sum(at_end) AS BIGINT) AS count, count(days.user_id) AS cumulative_count FROM days LEFT JOIN usr USING (user_id) WHERE {_LAST} GROUP BY ALL",
     "enrollment_by_education": _DU + f" SELECT course_id, date, CASE level_of_education {_EDU} END AS education_level, CAST(sum(at_end) AS BIGINT) AS count, count(days.user_id) AS cumulative_count FROM days LEFT JOIN usr USING (user_id) WHERE {_LAST} GROUP BY ALL",
     "passing_by_mode": _DG + " SELECT * FROM passing",
-    "course_meta_summary": _DG + f""", cat AS (SELECT 'course-v1:org' || r_regionkey || '+c' || r_regionkey || '+2024' AS course_id, r_name AS catalog_course_title FROM region WHERE r_regionkey < 3)
+    "course_meta_summary": _DG + f""", cat AS (SELECT 'course-v1:org' || r_regionkey || '+c' || r_regionkey || '+2024' AS course_id, r_name AS catalog_course_title FROM region)
  SELECT cat.course_id, catalog_course_title, a.mode AS enrollment_mode, a.count, a.cumulative_count, a.count - coalesce(b.count, 0) AS count_change_7_days, coalesce(passing_users, 0) AS passing_users
  FROM bm a LEFT JOIN bm b ON a.course_id = b.course_id AND a.mode = b.mode AND b.date = DATE '{END}' - 8 LEFT JOIN cat ON cat.course_id = a.course_id LEFT JOIN passing p ON p.course_id = a.course_id AND p.mode = a.mode WHERE a.{_LAST}""",
     "program_metadata": "SELECT 'course-v1:org' || (p_partkey % 3) || '+c' || (p_partkey % 3) || '+2024' AS course_id, p_partkey AS program_id, p_type AS program_type, p_name AS program_title FROM part",

@@ -202,7 +202,7 @@ def _best_lines(s, d):
     """Order lines at the user's best price; of products, every fifth has no uuid."""
     p = table(s, d, "part").select(F.col("p_partkey").alias("product_id"))
     attributes = s.createDataFrame([(1, "UUID"), (2, "certificate_type")], "id long, code string")
-    values = p.select("product_id", F.explode(F.array(F.lit(1).cast("long"), F.lit(2).cast("long"))).alias("attribute_id")).where("product_id % 5 > 0 OR attribute_id = 2")
+    values = p.select("product_id", F.explode(F.array_compact(F.array(F.when(F.col("product_id") % 5 > 0, F.lit(1).cast("long")), F.lit(2).cast("long")))).alias("attribute_id"))
     values = values.withColumn("value_text", F.concat(F.when(F.col("attribute_id") == 1, "u").otherwise("x"), (F.col("product_id") % 7).cast("string")))
     products = B.product_uuids(p, attributes, values)
     li, o = table(s, d, "lineitem"), table(s, d, "orders").select(F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("user_id"))

@@ -13,8 +13,8 @@ from .text import SEED, _remap
 
 
 def _directory(s, d):
-    """Half of the learners are known, with names of their own."""
-    u = users(s, d).where("user_id % 2 = 0")
+    """The learners whose gender is known, with names of their own."""
+    u = users(s, d).where("gender <> ''")
     return u.select("user_id", "username", F.concat(F.lit("Ann Lee"), F.col("user_id").cast("string")).alias("name"))
 
 
@@ -83,7 +83,7 @@ ORACLES = {
     + f""" SELECT course_id AS course, strftime(ts, '%Y-%m-%d') AS date, CASE kind WHEN 'click' THEN 'browser' ELSE 'server' END AS source, CASE kind WHEN 'purchase' THEN 'problem_check' WHEN 'view' THEN '/courses/' || course_id || '/info' ELSE 'page_close' END AS type,
  {_KNOWN.format("'" + E.REDACTED + "'", "'username_' || " + _remap('user_id'))} AS username, {_remap('user_id')} AS user_id, CASE WHEN event_id % 5 > 1 THEN coalesce(country_code, 'UNKNOWN') END AS country_code,
  '{{"text":"' || {_ANSWER} || '"}}' AS answer, {_remap('user_id')} AS payload_user_id, NULL AS "left", CASE WHEN event_id % 2 = 0 THEN '{{' ELSE '"' END AS payload_begins
- FROM x LEFT JOIN customer ON c_custkey = user_id AND c_custkey % 2 = 0 LEFT JOIN rng ON CASE WHEN event_id % 5 > 1 THEN {_NUM} END BETWEEN lo AND hi""",
+ FROM x LEFT JOIN customer ON c_custkey = user_id AND c_mktsegment IN ('BUILDING', 'MACHINERY', 'AUTOMOBILE') LEFT JOIN rng ON CASE WHEN event_id % 5 > 1 THEN {_NUM} END BETWEEN lo AND hi""",
     "masked_course_tables": f"""SELECT 'certificates_generatedcertificate' AS "table", {_J(('id', 'o_orderkey'), ('user_id', _remap('o_custkey')), ('download_url', _Q("''")), ('grade', _Q('o_orderstatus')), ('key', _Q("''")), ('name', _Q("''")))} AS row FROM orders
  UNION ALL SELECT 'student_courseenrollment', {_J(('id', 'o_orderkey'), ('user_id', _remap('o_custkey')), ('mode', _Q('o_orderstatus')))} FROM orders
  UNION ALL SELECT 'wiki_article', {_J(('id', 'n_nationkey'), ('owner_id', _remap('n_regionkey')))} FROM nation UNION ALL SELECT 'teams', {_J(('id', 'n_nationkey'), ('name', _Q('n_name')))} FROM nation

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import activity, engagement, enrollment, exports, masking, records, sources, storage, structure, text, validation, video, workflows
+from . import activity, engagement, enrollment, enterprise, exports, masking, records, sources, storage, structure, text, validation, video, workflows
 
-_modules = [enrollment, activity, video, engagement, storage, structure, text, validation, exports, masking, records, workflows, sources]
+_modules = [enrollment, activity, video, engagement, storage, structure, text, validation, exports, masking, records, workflows, sources, enterprise]
 
 
 def _iso(query):

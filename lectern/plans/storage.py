@@ -42,7 +42,7 @@ def _enterprise(s, d):
     links = c.select("*", F.explode(F.sequence(F.lit(0), F.lit(2))).alias("i")).withColumn("course_id", _course(F.col("i"))).select((F.col("c_nationkey") % 5).alias("enterprise_id"), F.col("c_custkey").alias("user_id"), "course_id")
     r = table(s, d, "region")
     customers = r.select(F.col("r_regionkey").cast("int").alias("enterprise_id"), F.col("r_name").alias("enterprise_name"))
-    courses = r.select(_course(F.col("r_regionkey")).alias("course_id"), F.col("r_name").alias("course_title"), F.lit("2024-01-01").cast("date").alias("course_start"), F.date_add(F.lit("2024-02-01").cast("date"), F.col("r_regionkey").cast("int") * 5).alias("course_end")).where("r_regionkey < 3")
+    courses = r.select(F.concat_ws("+", F.concat(F.lit("course-v1:org"), F.col("r_regionkey").cast("string")), F.concat(F.lit("c"), F.col("r_regionkey").cast("string")), F.lit("2024")).alias("course_id"), F.col("r_name").alias("course_title"), F.lit("2024-01-01").cast("date").alias("course_start"), F.date_add(F.lit("2024-02-01").cast("date"), F.col("r_regionkey").cast("int") * 5).alias("course_end"))
     social = table(s, d, "orders").select(F.col("o_custkey").alias("user_id"), F.col("o_orderkey").alias("id"), F.concat(F.lit("idp:"), F.col("o_orderkey").cast("string")).alias("uid"))
     grades = _grades(s, d).groupBy("user_id", "course_id").agg(F.max("letter_grade").alias("letter_grade"), F.max("passed_timestamp").alias("passed_timestamp"))
     prices = S.orders_best_price(_lines(s, d)).groupBy("user_id", "course_id").agg(F.max("price").alias("price"))
@@ -130,7 +130,7 @@ _ENR = with_views("enr", "act", "usr", st=STATE, f="SELECT *, type = 'activated'
     sm="SELECT course_id, user_id, arg_max(mode, ts) FILTER (c) AS mode, arg_max(state, ts) = 1 AS active, min(ts) FILTER (e) AS first FROM f GROUP BY course_id, user_id HAVING count(*) FILTER (e) > 0",
     ua=_UA, la="SELECT user_id, course_id, max(date) AS last_activity_date FROM ua GROUP BY ALL", gr=_GRADES, g="SELECT user_id, course_id, max(letter_grade) AS letter_grade, max(passed) AS passed FROM gr GROUP BY ALL",
     lin=_LIN, pr="SELECT user_id, course_id, max(price) AS price FROM lin WHERE NOT refunded GROUP BY ALL", **_ENT,
-    crs=f"SELECT {_C('r_regionkey')} AS course_id, r_name AS course_title, CAST(ceil((DATE '2024-02-01' + CAST(r_regionkey * 5 AS INTEGER) - DATE '2024-01-01') / 7.0) AS BIGINT) AS weeks FROM region WHERE r_regionkey < 3",
+    crs=f"SELECT 'course-v1:org' || r_regionkey || '+c' || r_regionkey || '+2024' AS course_id, r_name AS course_title, CAST(ceil((DATE '2024-02-01' + CAST(r_regionkey * 5 AS INTEGER) - DATE '2024-01-01') / 7.0) AS BIGINT) AS weeks FROM region",
     di=f"SELECT c_custkey AS user_id, {_C('i')} AS course_id, CASE WHEN c_custkey % 3 = 0 THEN 'Percentage' ELSE 'Absolute' END AS bt, CAST(c_custkey % 40 AS DOUBLE) AS bv FROM customer, (SELECT unnest([0, 1, 2]) AS i) WHERE c_custkey % 3 < 2")
 
 ORACLES = {
