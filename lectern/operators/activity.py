@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .enrollment import days_of
+
 ENROLLMENT = ("edx.course.enrollment.activated", "edx.course.enrollment.deactivated", "edx.course.enrollment.mode_changed")
 
 
@@ -87,5 +89,6 @@ def last_country(daily: DataFrame, ranges: DataFrame) -> DataFrame:
 
 
 def country_per_course(days: DataFrame, country: DataFrame) -> DataFrame:
-    df = days.join(country, "user_id", "left")
+    """From days or, better, spans of enrollment."""
+    df = days_of(days.join(country, "user_id", "left"))
     return df.groupBy("date", "course_id", "country_code").agg(F.sum("at_end").cast("long").alias("count"), F.count("user_id").alias("cumulative_count"))

@@ -22,8 +22,12 @@ def with_state(events: DataFrame) -> DataFrame:
     return df.withColumn("prior", F.coalesce(F.lag("state").over(by), F.lit(0)))
 
 
-def days_enrolled(events: DataFrame, end: str) -> DataFrame:
-    """date, course_id, user_id, at_end, change, mode: a row for each day from the first event to the day before end."""
+def enrollment_spans(events: DataFrame, end: str) -> DataFrame:
+    """course_id, user_id, day, until, at_end, change, mode: a row for each state, from the day on which it began to its last.
+
+    What joins learners joins these and only then makes days of them (``days_of``): a state lasts a month as a rule, so that
+    the join moves far fewer rows than one of days.
+    """
     by = W.partitionBy(*KEY).orderBy("ts", "type", "mode", "event_id")
     df = with_state(events.where(F.col("ts") < F.lit(end).cast("timestamp"))).withColumn("day", F.to_date("ts"))
     df = df.withColumn("after", F.lead("day").over(by)).where("after IS NULL OR after > day")
@@ -33,8 +37,20 @@ def days_enrolled(events: DataFrame, end: str) -> DataFrame:
         (F.col("state") - F.coalesce(F.lag("state").over(days), F.lit(0))).alias("change"),
         F.date_sub(F.coalesce("after", F.lit(end).cast("date")), 1).alias("until"),
     )
-    df = df.withColumn("date", F.explode(F.sequence("day", "until")))
-    return df.select("date", *KEY, "at_end", F.when(F.col("date") == F.col("day"), F.col("change")).otherwise(0).alias("change"), "mode")
+    return df
+
+
+def days_of(spans: DataFrame) -> DataFrame:
+    """A row for each day of each state, with its columns; what has days already stays."""
+    if "until" not in spans.columns:
+        return spans
+    df = spans.withColumn("date", F.explode(F.sequence("day", "until")))
+    return df.withColumn("change", F.when(F.col("date") == F.col("day"), F.col("change")).otherwise(0)).drop("day", "until")
+
+
+def days_enrolled(events: DataFrame, end: str) -> DataFrame:
+    """date, course_id, user_id, at_end, change, mode: a row for each day from the first event to the day before end."""
+    return days_of(enrollment_spans(events, end)).select("date", *KEY, "at_end", "change", "mode")
 
 
 def enrollment_summary(events: DataFrame, end: str) -> DataFrame:
@@ -70,12 +86,16 @@ def enrollment_by_mode(days: DataFrame) -> DataFrame:
 
 
 def enrollment_by_gender(days: DataFrame, profiles: DataFrame) -> DataFrame:
+    """From days or, better, spans."""
     gender = F.nullif(F.col("gender"), F.lit(""))
-    return days.join(profiles.select("user_id", gender.alias("gender")), "user_id", "left").groupBy("course_id", "date", "gender").agg(*_sums())
+    return days_of(days.join(profiles.select("user_id", gender.alias("gender")), "user_id", "left")).groupBy("course_id", "date", "gender").agg(*_sums())
 
 
 def on_last_day(days: DataFrame, end: str) -> DataFrame:
-    return days.where(F.col("date") == F.date_sub(F.lit(end).cast("date"), 1))
+    last = F.date_sub(F.lit(end).cast("date"), 1)
+    if "until" in days.columns:
+        return days.where(F.col("until") == last).withColumn("date", last)
+    return days.where(F.col("date") == last)
 
 
 def enrollment_by_birth_year(days: DataFrame, profiles: DataFrame, end: str) -> DataFrame:
@@ -92,12 +112,14 @@ def enrollment_by_education(days: DataFrame, profiles: DataFrame, end: str) -> D
 
 def passing_by_mode(days: DataFrame, grades: DataFrame) -> DataFrame:
     """As-of join: each grade takes the mode of the closest enrollment day up to its change. grades: user_id, course_id,
-    modified, letter_grade, passed_timestamp; of several grades the newest counts. One equality join; the inequality is a filter, and max_by keeps the closest day."""
+    modified, letter_grade, passed_timestamp; of several grades the newest counts. One equality join; the inequality is a filter, and
+    max_by keeps the closest day. Of spans, which don't overlap, the last that began by then holds the closest day."""
+    date = "day" if "until" in days.columns else "date"
     g = grades.groupBy("user_id", "course_id").agg(
         F.max("modified").alias("modified"), F.max_by(F.struct("letter_grade", "passed_timestamp"), F.struct("modified", "letter_grade", F.coalesce(F.col("passed_timestamp").cast("timestamp"), F.timestamp_seconds(F.lit(0))))).alias("g")
     ).select("user_id", "course_id", "modified", "g.letter_grade", "g.passed_timestamp")
-    near = g.join(days.select("user_id", "course_id", "date", "mode"), ["user_id", "course_id"]).where(F.col("date") <= F.to_date("modified"))
-    near = near.groupBy("user_id", "course_id", "letter_grade", "passed_timestamp").agg(F.max_by("mode", "date").alias("mode"))
+    near = g.join(days.select("user_id", "course_id", date, "mode"), ["user_id", "course_id"]).where(F.col(date) <= F.to_date("modified"))
+    near = near.groupBy("user_id", "course_id", "letter_grade", "passed_timestamp").agg(F.max_by("mode", date).alias("mode"))
     passes = F.col("passed_timestamp").isNotNull() & (F.col("letter_grade") != "")
     return near.groupBy("course_id", "mode").agg(F.sum(F.when(passes, 1).otherwise(0)).cast("long").alias("passing_users"))
 

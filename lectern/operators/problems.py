@@ -48,6 +48,14 @@ def with_metadata(parts: DataFrame, metadata: DataFrame) -> DataFrame:
     return df.withColumns({"answer": answer, "answer_value_id": value}).drop("_meta")
 
 
+def fill_facts(parts: DataFrame, metadata: DataFrame) -> DataFrame:
+    """Answer parts whose empty facts are those that metadata has of their answer_id; answers stay as they are."""
+    known = [c for c in FACTS if c in parts.columns]
+    facts = metadata.select("answer_id", F.struct(*known).alias("_meta")).dropDuplicates(["answer_id"])
+    df = parts.join(facts, "answer_id", "left")
+    return df.withColumns({c: F.coalesce(F.nullif(F.col(c), F.lit("")), F.col(f"_meta.{c}"), F.col(c)) for c in known}).drop("_meta").select(*parts.columns)
+
+
 def answer_distribution(answers: DataFrame) -> DataFrame:
     """Counts of first and last answers by course, part, value and variant, with the facts of the newest answer."""
     df = answers.where(F.col("response_type").isin(*RESPONSES)).withColumn("group", answer_group_key(F.col("value"), F.col("variant")))

@@ -93,3 +93,13 @@ def iso_duration(text: Column) -> Column:
     form = r"^PT(?:(\d+)H)?(?:(\d+)M)?(?:(\d+)S)?$"
     part = lambda i: F.coalesce(F.regexp_extract(text, form, i).try_cast("long"), F.lit(0))
     return F.when(text.rlike(form) & (text != "PT"), part(1) * 3600 + part(2) * 60 + part(3))
+
+
+def known_durations(viewings: DataFrame, durations: DataFrame) -> DataFrame:
+    """Viewings whose unknown duration is that of the video that their player named (youtube_id), where a catalog has it.
+
+    durations: video_id, seconds; one row for each video.
+    """
+    listed = durations.where("seconds > 0").select(F.col("video_id").alias("youtube_id"), "seconds").dropDuplicates(["youtube_id"])
+    df = viewings.join(listed, "youtube_id", "left")
+    return df.withColumn("video_duration", F.when(F.col("video_duration") == UNKNOWN, F.coalesce(F.col("seconds").cast("double"), F.lit(UNKNOWN))).otherwise(F.col("video_duration"))).drop("seconds")

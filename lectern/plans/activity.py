@@ -40,7 +40,7 @@ QUERIES = {
     "last_daily_ip": lambda s, d: _daily(s, d).drop("ts", "event_id"),
     "ip_to_country": lambda s, d: A.locate(ip_events(s, d).select("event_id", "ip"), _ranges(s, d)),
     "last_country_of_user": _country,
-    "country_per_course": lambda s, d: A.country_per_course(E.days_enrolled(enrollment_events(s, d), END), _country(s, d)),
+    "country_per_course": lambda s, d: A.country_per_course(E.enrollment_spans(enrollment_events(s, d), END), _country(s, d)),
     "newest_events_per_user": lambda s, d: events(s, d).groupBy("user_id").agg(F.max_by("kind", F.struct("ts", "event_id")).alias("kind"), F.max("ts").alias("ts")),
 }
 

@@ -48,7 +48,12 @@ def _roster(s, d, modules=None):
 
 
 def _documents(s, d):
-    return G.roster_documents(_roster(s, d), 2)
+    """What the documents of the roster, two of each learner, hold: their id, some fields, and how many they leave out."""
+    got = lambda p: F.get_json_object("source", f"$.{p}")
+    return G.roster_documents(_roster(s, d), 2).select(
+        "_id", got("username").alias("username"), got("enrollment_mode").alias("enrollment_mode"), got("videos_viewed").cast("long").alias("videos_viewed"), got("attempt_ratio_order").cast("long").alias("attempt_ratio_order"),
+        got("problem_attempts_per_completed").cast("double").alias("ratio"), got("cohort").alias("cohort"), got("segments").alias("segments"), F.size(F.json_object_keys("source")).alias("n_fields"),
+    )
 
 
 def _student(s, d):
@@ -148,6 +153,9 @@ ORACLES = {
     "first_enrollment_date": with_views("enr", st=STATE, raw=DAYS) + " " + _FE,
     "cohort_members": _CO,
     "learner_roster": _ROSTER + " SELECT * FROM ro",
+    "roster_documents": _ROSTER + """, doc AS (SELECT *, CASE WHEN isinf(problem_attempts_per_completed) THEN NULL ELSE problem_attempts_per_completed END AS ratio, CASE WHEN segments <> '' THEN '["' || replace(segments, ',', '","') || '"]' END AS parts FROM ro)
+ SELECT course_id || '|' || username || suffix AS _id, username, enrollment_mode, videos_viewed, attempt_ratio_order, ratio, cohort, parts AS segments, CAST(17 - (CASE WHEN ratio IS NULL THEN 1 ELSE 0 END) - (CASE WHEN cohort IS NULL THEN 1 ELSE 0 END) - (CASE WHEN parts IS NULL THEN 1 ELSE 0 END)
+ - (CASE WHEN first_enrollment_date IS NULL THEN 1 ELSE 0 END) AS INTEGER) AS n_fields FROM doc, (VALUES (''), ('_1')) AS copies(suffix)""",
     **{f"student_engagement_{i}": _ST + _report_sql(i) for i in ("daily", "weekly", "all")},
     "engagement_report_weekly": with_views("enr", "usr", se=_SE, sr=_SR, st=STATE, raw=DAYS, co=_CO, en=_report_sql("weekly"))
     + " SELECT d.date, d.course_id, u.username, cohort, " + ", ".join(f"coalesce(en.{c}, 0) AS {c}" for c in G.COUNTERS)

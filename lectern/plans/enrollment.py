@@ -12,6 +12,10 @@ def _days(spark, d):
     return E.days_enrolled(enrollment_events(spark, d), END)
 
 
+def _spans(spark, d):
+    return E.enrollment_spans(enrollment_events(spark, d), END)
+
+
 def _catalog(spark, d):
     r = table(spark, d, "region")
     k = F.col("r_regionkey").cast("string")
@@ -37,7 +41,7 @@ def _programs(spark, d):
 
 def _meta(spark, d):
     days = _days(spark, d)
-    return E.course_meta_summary(E.enrollment_by_mode(days), _catalog(spark, d), E.passing_by_mode(days, _grades(spark, d)), END)
+    return E.course_meta_summary(E.enrollment_by_mode(days), _catalog(spark, d), E.passing_by_mode(_spans(spark, d), _grades(spark, d)), END)
 
 
 def _anomalies(spark, d):
@@ -56,10 +60,10 @@ QUERIES = {
     "enrollment_summary": lambda s, d: E.enrollment_summary(enrollment_events(s, d), END),
     "enrollment_daily": lambda s, d: E.enrollment_daily(_days(s, d)),
     "enrollment_by_mode": lambda s, d: E.enrollment_by_mode(_days(s, d)),
-    "enrollment_by_gender": lambda s, d: E.enrollment_by_gender(_days(s, d), users(s, d)),
-    "enrollment_by_birth_year": lambda s, d: E.enrollment_by_birth_year(_days(s, d), users(s, d), END),
-    "enrollment_by_education": lambda s, d: E.enrollment_by_education(_days(s, d), users(s, d), END),
-    "passing_by_mode": lambda s, d: E.passing_by_mode(_days(s, d), _grades(s, d)),
+    "enrollment_by_gender": lambda s, d: E.enrollment_by_gender(_spans(s, d), users(s, d)),
+    "enrollment_by_birth_year": lambda s, d: E.enrollment_by_birth_year(_spans(s, d), users(s, d), END),
+    "enrollment_by_education": lambda s, d: E.enrollment_by_education(_spans(s, d), users(s, d), END),
+    "passing_by_mode": lambda s, d: E.passing_by_mode(_spans(s, d), _grades(s, d)),
     "course_meta_summary": _meta,
     "program_metadata": lambda s, d: E.program_metadata(_programs(s, d)),
     "enrollment_quality_counts": _anomalies,

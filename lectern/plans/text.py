@@ -47,13 +47,11 @@ def _escapes(s, d):
 
 
 def _masked(s, d):
-    t = table(s, d, "documents").select("doc_id", "text")
-    user = F.substring_index(F.trim("text"), " ", 1)
-    user = F.when(user.rlike("^[A-Za-z]{2,30}$"), user)
-    masked = P.mask_text(F.col("text"), user, F.lit(7), F.lit(None).cast("string"))
-    count = lambda k: F.regexp_count("m", F.lit(f"<<{k}>>")).alias(f"n_{k.lower()}")
-    kinds = ("EMAIL", "FACEBOOK", "USERNAME", "USER_ID", "PHONE_NUMBER", "POSSIBLE_PHONE_NUMBER", "EMAIL_CONTEXT", "PHONE_CONTEXT", "NAME_CONTEXT")
-    return t.select("doc_id", masked.alias("m")).select("doc_id", F.length("m").alias("n_chars"), *[count(k) for k in kinds])
+    """Texts with personal data of a known form in front of them, masked; and how much of the whole text stays."""
+    c = table(s, d, "customer")
+    n = F.col("c_custkey").cast("string")
+    said = F.concat(F.lit("Hi, Lee"), n, F.lit(" aka user"), n, F.lit(" ("), n, F.lit("): a.b@x.org, +4915123456789, 3456789012 34567890, https://www.facebook.com/u"), n, F.lit(", call me"))
+    return c.select("c_custkey", P.mask_text(said, F.concat(F.lit("user"), n), F.col("c_custkey"), F.concat(F.lit("Ann Lee"), n)).alias("masked"))
 
 
 def _emails(s, d):
@@ -103,6 +101,7 @@ ORACLES = {
  kind || '_' || CASE WHEN k % 2 = 0 THEN '1' ELSE '7' END AS group_key, k % 3 = 0 AS hidden FROM ev""",
     "text_escapes": f"""SELECT doc_id, sha1({_ENC}) AS encoded, true AS round_trip, regexp_matches(text, '[\\t\\n\\r]') AS needs_decoding, sha1(trim(regexp_replace(text, '[ \\t\\n\\r\\f\\x0B]+', ' ', 'g'))) AS plain,
  substr(replace(regexp_replace(text, '[\\t\\n\\r]', ' ', 'g'), '\\', ''), 1, 60) AS short FROM documents""",
+    "mask_text": "SELECT c_custkey, '<<NAME_CONTEXT>>, <<FULLNAME>> aka <<USERNAME>> (<<USER_ID>>): <<EMAIL>>, <<PHONE_NUMBER>>, <<POSSIBLE_PHONE_NUMBER>>, <<<<EMAIL_CONTEXT>>>>, <<PHONE_CONTEXT>>' AS masked FROM customer",
     "mask_emails": r"""SELECT conv_id, turn, md5(regexp_replace(text, '(?i)\b[a-z0-9!#$%&''*+/=?^_`{|}~-]+(?:\.[a-z0-9!#$%&''*+/=?^_`{|}~-]+)*@(?:[a-z0-9](?:[a-z0-9-]*[a-z0-9])?\.)+[a-z0-9](?:[a-z0-9-]*[a-z0-9])?\b', '<<EMAIL>>', 'g')) AS masked FROM (SELECT conv_id, turn, text FROM conversations UNION ALL SELECT doc_id, -1, text FROM documents)""",
     "strip_html": r"""WITH t AS (SELECT page_id, html, trim(regexp_replace(replace(replace(replace(replace(replace(replace(replace(replace(replace(replace(regexp_replace(replace(html, '"</p>"', '"' || chr(1) || '"'), '(?s)<!--.*?-->|<[^>]*>', ' ', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', chr(39)), '&#x27;', chr(39)),
  '&nbsp;', ' '), '&middot;', '·'), '&copy;', '©'), '&amp;', '&'), chr(1), '</p>'), '[ \t\n\r\f\x0B\x{00A0}]+', ' ', 'g')) AS t, replace(regexp_extract(html, '(?s)<title>(.*?)</title>', 1), '&amp;', '&') AS title FROM pages)

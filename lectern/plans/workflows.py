@@ -91,9 +91,22 @@ def _roster(s, d):
     return engagement._roster(s, d, G.module_engagement(_rows(s, _engagement_lines(s, d), "engagement")))
 
 
+def _bare_checks(s, d):
+    """Checks whose events lack the facts of their problems, which metadata adds."""
+    bare = F.transform_values("answers", lambda _, v: v.withField("response_type", F.lit("")).withField("question", F.lit("")))
+    return _checks(s, d).withColumn("answers", bare)
+
+
+def _metadata(s, d):
+    entry = F.struct(F.lit("Which?").alias("question"), F.lit("multiplechoiceresponse").alias("response_type"))
+    ids = structure._checks(s, d).select(F.explode(F.map_keys("answers")).alias("id")).distinct()
+    return R.read_answer_metadata(ids.select(F.to_json(F.create_map(F.col("id"), entry)).alias("value")))
+
+
 def _answers(s, d):
-    """The answer distribution as files, one folder a course, read back."""
-    path, df = S.shared_path(s), P.answer_distribution(P.first_and_last_answers(_checks(s, d)))
+    """The answer distribution, with facts from metadata, as files, one folder a course, read back."""
+    parts = P.fill_facts(P.first_and_last_answers(_bare_checks(s, d)), _metadata(s, d))
+    path, df = S.shared_path(s), P.answer_distribution(parts)
     S.write_answer_csv(df.select("course_id", "answer_id", "value", "first_count", "last_count"), path)
     return s.read.csv(path, header=True, schema="course_id string, answer_id string, value string, first_count long, last_count long, course_dir string")
 
@@ -162,7 +175,7 @@ QUERIES = {
     "activity_from_lines": lambda s, d: A.course_activity_weekly(A.user_activity(_rows(s, _activity_lines(s, d), "activity")), A.calendar(s, START, END), START, END),
     "video_from_lines": lambda s, d: V.video_timeline(V.video_usage(V.video_viewings(_rows(s, _video_lines(s, d), "video")))),
     "roster_from_lines": _roster,
-    "location_from_lines": lambda s, d: A.country_per_course(E.days_enrolled(_rows(s, _enrollment_lines(s, d, 1), "enrollment"), END), A.last_country(A.last_daily_ip(_rows(s, _address_lines(s, d), "address")), activity._ranges(s, d))),
+    "location_from_lines": lambda s, d: A.country_per_course(E.enrollment_spans(_rows(s, _enrollment_lines(s, d, 1), "enrollment"), END), A.last_country(A.last_daily_ip(_rows(s, _address_lines(s, d), "address")), activity._ranges(s, d))),
     "answers_from_lines": _answers,
     "responses_from_lines": _responses,
     "tags_from_lines": lambda s, d: P.tags_distribution(_checks(s, d)),
