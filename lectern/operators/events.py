@@ -42,12 +42,13 @@ def course_id(from_url: bool = False) -> Column:
 
 
 def decoded(events: DataFrame, from_url: bool = False) -> DataFrame:
-    """event, payload, source, type, time, date, username, user_id, course_id."""
-    time = event_time_string(field("time"))
-    return events.select(
-        "event", payload().alias("payload"), field("event_source").alias("source"), field("event_type").alias("type"), time.alias("time"), F.split_part(time, F.lit("T"), F.lit(1)).alias("date"),
-        event_username(field("username")).alias("username"), field("context.user_id").try_cast("long").alias("user_id"), course_id(from_url).alias("course_id"),
-    )
+    """event, payload, source, type, time, date, username, user_id, course_id. In steps, so that what Spark compiles for each stays small."""
+    events = once(events.select("event"))
+    read = once(events.select(
+        "event", payload().alias("payload"), field("event_source").alias("source"), field("event_type").alias("type"), event_time_string(field("time")).alias("time"), event_username(field("username")).alias("username"),
+        field("context.user_id").try_cast("long").alias("user_id"),
+    ))
+    return once(read.select("event", "payload", "source", "type", "time", F.split_part("time", F.lit("T"), F.lit(1)).alias("date"), "username", "user_id", course_id(from_url).alias("course_id")))
 
 
 def server_events(lines: DataFrame, kind: str, column: str = "value") -> DataFrame:
