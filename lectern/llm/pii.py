@@ -1,7 +1,7 @@
 """PII: anchor expansion.
 
 An Aho-Corasick automaton finds the anchors of a text in one pass: at-signs, schemes, plus signs, digits and
-identifier cues. At each anchor a small deterministic parser expands to the left and right and validates what it
+cues of identifiers and secrets. At each anchor a small deterministic parser expands to the left and right and validates what it
 finds. A text without an anchor costs that one pass only. Each text is judged alone: no shuffle, any row order.
 
 Defined results: a null text counts as empty and has no spans. Repeated rows are judged alike; other columns are kept,
@@ -24,7 +24,7 @@ from .common import small_batches, table
 
 #: Kinds in the order of the contract, then the method's own.
 BASE_KINDS = ("email", "ip", "card", "phone")
-MORE_KINDS = ("url", "ssn", "iban", "account")
+MORE_KINDS = ("url", "ssn", "iban", "account", "secret")
 
 #: Fixed by the contract.
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -38,7 +38,10 @@ SSN = re.compile(r"[\s:#]{0,4}([0-9]{3}-[0-9]{2}-[0-9]{4})(?![0-9])")
 IBAN = re.compile(r"[\s:#]{0,4}([A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?)(?![A-Za-z0-9])")
 ACCOUNT = re.compile(r"[\s:#.]{0,4}([A-Z]{0,3}[0-9]{6,18})(?![A-Za-z0-9])")
 
-CUES = {"ssn": ("SSN", "ssn", "social security number"), "iban": ("IBAN", "iban", "Iban"), "account": ("account number", "Account number", "account no", "passport number", "passport no")}
+#: What a cue for a secret is followed by: the value of a setting, at least 16 characters with letters and digits; or the rest of a key that names itself.
+SECRET = re.compile(r"[\w-]{0,20}[\"']?\s{0,3}[:=]\s{0,3}[\"']?([A-Za-z0-9+/_=.~-]{16,})|(?<=AKIA)[0-9A-Z]{16}(?![0-9A-Za-z])|(?<=gh[pousr]_)[A-Za-z0-9]{36,}")
+
+CUES = {"ssn": ("SSN", "ssn", "social security number"), "iban": ("IBAN", "iban", "Iban"), "account": ("account number", "Account number", "account no", "passport number", "passport no"), "secret": ("token", "Token", "TOKEN", "api_key", "api-key", "apikey", "apiKey", "API_KEY", "secret", "Secret", "SECRET", "password", "Password", "PASSWORD", "access_key", "AKIA", "ghp_", "gho_", "ghu_", "ghs_", "ghr_")}
 
 
 def luhn(digits: str) -> bool:
@@ -100,6 +103,10 @@ def find_spans(text: str, anchors: ahocorasick.Automaton) -> list[tuple[str, int
                 start -= 1
             if start < at and (m := URL.match(text, at)) and m.end() - at > 3:
                 keep("url", start, m.end())
+        elif kind == "secret":
+            if at >= ends[kind] and (m := SECRET.match(text, last + 1)):
+                start, end = (m.start(1), m.end(1)) if m[1] else (at, m.end())
+                keep(kind, start, end, any(c.isdigit() for c in text[start:end]) and any(c.isalpha() for c in text[start:end]))
         elif at >= ends[kind] and (m := {"ssn": SSN, "iban": IBAN, "account": ACCOUNT}[kind].match(text, last + 1)):
             keep(kind, m.start(1), m.end(1), kind != "iban" or iban(m[1]))
     return [s for k in found for s in found[k]]
