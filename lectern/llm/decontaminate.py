@@ -13,8 +13,9 @@
    window little longer than the item, and with the item's answer, which is its last words. Paraphrases keep most of
    the words in order; they pass where the answer is there too.
 
-The driver and each task hold the benchmark: its vocabulary, and items and their windows times ``RANK`` numbers. It is refused beyond
-``MAX_ITEMS`` rather than cut. Statistics, decomposition and search cover every passage.
+The driver and each task hold ``BLOCK`` bytes of items: their vocabulary, and they and their windows times ``RANK`` numbers. A
+larger benchmark is dealt into blocks by a hash of the item's id, and each block is searched for in turn, with a
+vocabulary, weights and a decomposition of its own. Statistics, decomposition and search cover every passage.
 
 Defined results: null or empty texts, and texts shorter than an item, are judged like others and match nothing they
 don't hold; null or empty items, and items without an id, match nothing. Rows that share an id are judged as one. An empty benchmark or table
@@ -37,7 +38,9 @@ from .common import Scratch, own_ids, small_batches, table
 
 PASSAGE, COMMON, RANK, OVERSAMPLE, COSINE, CLOSE = 48, 0.003, 96, 16, 0.35, 0.3
 #: Columns of the matrix; a larger vocabulary is hashed to so many.
-FEATURES, MAX_ITEMS = 1 << 14, 1_000_000
+FEATURES = 1 << 14
+#: Bytes of items that are searched for at once.
+BLOCK = 8 << 20
 #: Words of an item that weigh something, however frequent.
 KEPT = 5
 #: Vectors of the benchmark that are multiplied at once.
@@ -181,22 +184,38 @@ def close(bench: Benchmark, row: np.ndarray, column: np.ndarray, value: np.ndarr
     return np.bincount(pair, both, len(rows)) >= CLOSE * lengths[rows] * own[items]
 
 
-def read_benchmark(benchmark: DataFrame) -> Benchmark:
-    rows = benchmark.where("item_id IS NOT NULL").select(F.col("item_id").cast("long").alias("item_id"), "text").orderBy("item_id").limit(MAX_ITEMS + 1).collect()
-    if len(rows) > MAX_ITEMS:
-        raise ValueError(f"more than {MAX_ITEMS} benchmark items")
-    return Benchmark([tuple(r) for r in rows])
+def blocks_of(benchmark: DataFrame) -> Iterator[tuple[Benchmark, int]]:
+    """Blocks of the items that have an id and a text, all rows of an id in one, and how many blocks there are."""
+    items = benchmark.where("item_id IS NOT NULL AND text IS NOT NULL").select(F.col("item_id").cast("long").alias("item_id"), "text")
+    n = max(1, -(-(items.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // BLOCK))
+    for k in range(n):
+        rows = items.where(F.pmod(F.xxhash64("item_id"), F.lit(n)) == k).orderBy("item_id", "text").collect()  # about BLOCK bytes
+        yield Benchmark([tuple(r) for r in rows]), n
+
+
+SCHEMA = "doc_id long, item_id long, cosine double, share double, answer_share double"
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, item_id, cosine, share, answer_share: each document with each item that it holds."""
     spark = docs.sparkSession
     small_batches(spark)
-    schema = "doc_id long, item_id long, cosine double, share double, answer_share double"
-    bench = read_benchmark(benchmark)
-    if not bench.items:
-        return spark.createDataFrame([], schema)
     scratch = Scratch(spark, "decontaminate")
+    parts = []
+    for bench, blocks in blocks_of(benchmark):
+        if not bench.items:
+            continue
+        found, numbered = searched(docs, bench, scratch)
+        if blocks == 1:
+            return found
+        parts.append(scratch.write(found).scratch_path)
+        scratch.drop(numbered)
+    return spark.read.schema(SCHEMA).parquet(*parts) if parts else spark.createDataFrame([], SCHEMA)
+
+
+def searched(docs: DataFrame, bench: Benchmark, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """The documents with the items of one block that they hold, and the written table that this is read from."""
+    spark = docs.sparkSession
     sent = spark.sparkContext.broadcast(bench)
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -317,10 +336,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                     share, answer = verify(b, i, sequences[d], int(names[a + r] - shift[d]) * (PASSAGE // 2), done.setdefault((d, i), {}) if len(b.items[i]) > PASSAGE else {})
                     if holds((share, answer))[0]:
                         out.append((batch["doc_id"].iloc[d], b.ids[i], x, share, answer))
-            yield pd.DataFrame(out, columns=[x.split()[0] for x in schema.split(", ")])
+            yield pd.DataFrame(out, columns=[x.split()[0] for x in SCHEMA.split(", ")])
 
-    found = numbered.where("doc_id IS NOT NULL").mapInPandas(search, schema)
-    return found.groupBy("doc_id", "item_id").agg(F.max("cosine").alias("cosine"), F.max(F.struct("share", "answer_share")).alias("best")).select("doc_id", "item_id", "cosine", "best.share", "best.answer_share")
+    found = numbered.where("doc_id IS NOT NULL").mapInPandas(search, SCHEMA)
+    found = found.groupBy("doc_id", "item_id").agg(F.max("cosine").alias("cosine"), F.max(F.struct("share", "answer_share")).alias("best")).select("doc_id", "item_id", "cosine", "best.share", "best.answer_share")
+    return found, numbered
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -9,8 +9,10 @@ Four sources speak about each document's language, and their logarithms are adde
   those towards the counts of the whole table. The counts are grouped aggregates over all rows.
 
 The text model is fitted on a bounded sample of rows whose language is declared: about ``SAMPLE`` for each language,
-chosen by a hash of their id. Everything else covers all rows. Every declared value is a language; more than
-``MAX_LANGUAGES`` are refused with an error, as driver and tasks hold 64 kB for each.
+chosen by a hash of their id. Everything else covers all rows. Declared values are read as language tags: ``en-US`` and
+``EN_us`` declare ``en``. A value that doesn't start with a code of two or three letters, or with one that stands for no
+language, declares nothing, so that whatever the web declares there are at most 26**2 + 26**3 languages. Driver and
+tasks hold 64 kB for each that occurs. Tables that name languages otherwise pass a ``code`` of their own.
 
 Defined results: a null, empty or letterless text has no text evidence; the other sources decide, or it is rejected.
 A document is rejected (``kept`` false, ``lang`` 'und') if a model without any language explains its trigrams better
@@ -21,7 +23,7 @@ Columns of the input are kept; those named like a result column are replaced.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -32,11 +34,14 @@ from pyspark.sql import types as T
 
 from .common import Scratch, small_batches, table
 
-SAMPLE, MAX_LANGUAGES = 1500, 1024
+SAMPLE = 1500
 TRIGRAMS, DECLARED, SUFFIX, SMOOTHING = 120, 0.9, 0.8, 20.0
 #: Host priors are broadcast up to so many hosts (fewer, if there are more than 64 languages); beyond, they are joined by a shuffle, with large hosts broadcast.
 MAX_HOSTS, LARGE = 100_000, 1000
 
+#: Fixed by ISO 639: undetermined, several, none, not coded.
+NO_LANGUAGE = ["und", "mul", "zxx", "mis"]
+
 #: Country suffixes and the language that they speak for.
 SUFFIXES = {"de": "de", "at": "de", "fr": "fr", "es": "es", "mx": "es", "uk": "en", "us": "en", "au": "en", "it": "it", "pt": "pt", "nl": "nl", "pl": "pl"}
 
@@ -55,11 +60,16 @@ def trigrams(text: bytes) -> np.ndarray:
     return ((code * np.uint32(2654435761)) >> np.uint32(32 - BITS)).astype(np.int64)
 
 
-def languages_of(docs: DataFrame, declared: str) -> dict[str, int]:
-    rows = docs.where(F.trim(declared) != "").groupBy(declared).count().limit(MAX_LANGUAGES + 1).collect()
-    if len(rows) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} declared languages")
-    return {r[0]: r["count"] for r in sorted(rows, key=lambda r: r[0])}
+def code_of(declared: Column) -> Column:
+    """The language of a tag, in lower case; null where it names none."""
+    code = F.regexp_extract(F.lower(declared.cast("string")), r"^\s*([a-z]{2,3})\s*(?:[-_][\s\S]*)?$", 1)
+    return F.when((code != "") & ~code.isin(NO_LANGUAGE), code)
+
+
+def languages_of(docs: DataFrame, said: Column) -> dict[str, int]:
+    """Rows by language; as many entries as there are codes."""
+    rows = docs.select(said.alias("said")).where("said IS NOT NULL").groupBy("said").count().collect()
+    return {r["said"]: r["count"] for r in sorted(rows)}
 
 
 def numbered(said: Column, values) -> Column:
@@ -67,14 +77,15 @@ def numbered(said: Column, values) -> Column:
     return F.try_element_at(F.create_map(*[F.lit(x) for pair in values.items() for x in pair]), said)
 
 
-def fit(docs: DataFrame, text: str, declared: str, key: str, sample: int = SAMPLE) -> tuple[list[str], np.ndarray]:
+def fit(docs: DataFrame, text: str, declared: str, key: str, sample: int = SAMPLE, code: Callable[[Column], Column] = code_of) -> tuple[list[str], np.ndarray]:
     """Languages, and log-likelihood of each bucket by language; the last column is the model without a language."""
-    counts = languages_of(docs, declared)
+    said = code(F.col(f"`{declared}`"))
+    counts = languages_of(docs, said)
     languages = list(counts)
     if not languages:
         return [], np.zeros((1 << BITS, 1), dtype=np.float32)
-    share = numbered(F.col(declared), {x: min(1.0, sample / n) for x, n in counts.items()})
-    chosen = docs.where(F.pmod(F.xxhash64(key), F.lit(1 << 30)) < share * (1 << 30)).select(F.col(declared).alias("lang"), F.col(text).alias("text"))
+    share = numbered(said, {x: min(1.0, sample / n) for x, n in counts.items()})
+    chosen = docs.where(F.pmod(F.xxhash64(key), F.lit(1 << 30)) < share * (1 << 30)).select(said.alias("lang"), F.col(text).alias("text"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
@@ -164,24 +175,24 @@ def join_priors(judged: DataFrame, priors: DataFrame, languages: int) -> DataFra
     return judged.join(small, "_key", "left").withColumn("_prior", F.coalesce("_large", "_prior")).drop("_key", "_large")
 
 
-def identify(docs: DataFrame, text: str = "text", declared: str = "lang", host: str = "source", key: str = "doc_id") -> DataFrame:
-    """Add language, confidence and kept."""
+def identify(docs: DataFrame, text: str = "text", declared: str = "lang", host: str = "source", key: str = "doc_id", code: Callable[[Column], Column] = code_of) -> DataFrame:
+    """Add language, confidence and kept; ``code`` gives the language of a declared value, or null."""
     small_batches(docs.sparkSession)
     result = ["language", "confidence", "kept"]
     columns = [F.col(f"_row.`{c}`").alias(c) for c in docs.columns if c not in result]
-    languages, model = fit(docs, text, declared, key)
+    languages, model = fit(docs, text, declared, key, code=code)
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))  # so that no column clashes with those below
     if not languages:
         return rows.select(*columns, F.lit("und").alias("language"), F.lit(0.0).alias("confidence"), F.lit(False).alias("kept"))
     n = len(languages)
-    rows = rows.select("_row", F.col(f"_row.`{text}`").alias("_t"), F.col(f"_row.`{declared}`").alias("_declared"), F.lower(F.coalesce(F.col(f"_row.`{host}`").cast("string"), F.lit(""))).alias("_host"))
+    rows = rows.select("_row", F.col(f"_row.`{text}`").alias("_t"), code(F.col(f"_row.`{declared}`")).alias("_declared"), F.lower(F.coalesce(F.col(f"_row.`{host}`").cast("string"), F.lit(""))).alias("_host"))
     judged = rows.withColumn("_text", text_evidence(rows, "_t", model)).drop("_t")
     spoken = F.slice("_text", 1, n)
     knows = F.col("_text").isNotNull() & (F.array_max(spoken) > F.element_at("_text", n + 1))
     counted = judged.select("_host", F.when(knows, best(spoken)).alias("_said"))
     judged = join_priors(judged, host_priors(counted, languages), n)
 
-    zero = F.array(*[F.lit(0.0)] * n)
+    zero = F.array_repeat(F.lit(0.0), n)
 
     def speaks(said: Column, right: float) -> Column:
         own, other = numbered(said, {x: i for i, x in enumerate(languages)}), F.lit(float(np.log((1 - right) / max(1, n - 1))))
@@ -191,7 +202,7 @@ def identify(docs: DataFrame, text: str = "text", declared: str = "lang", host:
     suffix = F.create_map(*[F.lit(x) for pair in SUFFIXES.items() for x in pair])
     add = lambda a, b: F.zip_with(a, b, lambda x, y: x + y)
     scores = add(add(F.when(knows, spoken).otherwise(zero), F.coalesce("_prior", zero)), add(speaks(F.col("_declared"), DECLARED), speaks(F.try_element_at(suffix, F.substring_index("_host", ".", -1)), SUFFIX)))
-    rejected = F.when(F.col("_text").isNotNull(), ~knows).otherwise(~F.coalesce(F.col("_declared").isin(languages), F.lit(False)))
+    rejected = F.when(F.col("_text").isNotNull(), ~knows).otherwise(F.col("_declared").isNull())
     judged = judged.withColumn("_scores", scores).withColumn("_rejected", rejected)
     top = F.array_max("_scores")
     sure = F.aggregate("_scores", F.lit(0.0), lambda a, x: a + F.exp(x - top), lambda a: 1 / a)

@@ -4,6 +4,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from lectern.llm import decontaminate, language_id, license_scan, line_dedup, suffix_dedup
 
@@ -107,17 +108,49 @@ def test_short_lines_that_repeat_go(spark):
     assert found == {1: (rows[0][1], 0), 2: ("\nend of it\n\r\n \t\nAll rights", 2), 3: ("***", 2), None: ("end", 0)}
 
 
-def test_every_declared_language_counts(spark, monkeypatch):
+def test_every_declared_language_counts(spark):
     rnd = random.Random(12)
     alphabets = [[chr(0x4E00 + 40 * i + k) for k in range(40)] for i in range(150)]
     text = lambda i: " ".join("".join(rnd.choices(alphabets[i], k=4)) for _ in range(40))
-    rows = [(1000 * k + i, text(i), f"l{i:03}" if k < 4 + (i < 70) else None, f"h{i % 7}.site{i}.org") for i in range(150) for k in range(6)]
+    code = lambda i: f"q{chr(97 + i // 26)}{chr(97 + i % 26)}"
+    rows = [(1000 * k + i, text(i), code(i) if k < 4 + (i < 70) else None, f"h{i % 7}.site{i}.org") for i in range(150) for k in range(6)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
     found = language_id.identify(docs).collect()
-    assert len(found) == len(rows) and all(r.kept and r.language == f"l{r.doc_id % 1000:03}" for r in found)
-    monkeypatch.setattr(language_id, "MAX_LANGUAGES", 149)
-    with pytest.raises(ValueError):
-        language_id.identify(docs)
+    assert len(found) == len(rows) and all(r.kept and r.language == code(r.doc_id % 1000) for r in found)
+    numbers = language_id.identify(docs.withColumn("lang", F.expr("CAST(doc_id % 1000 AS STRING)")), code=lambda c: F.concat(F.lit("number "), c)).collect()
+    assert all(r.kept and r.language == f"number {r.doc_id % 1000}" for r in numbers)
+
+
+def test_declared_tags(spark):
+    tags = {"en": "en", "en-US": "en", " EN_us ": "en", "deu": "deu", "zh-Hant-TW": "zh", "fr-": "fr", "": None, "-": None, "e": None, "english": None, "en us": None, "en;q=0.8": None, "12": None, "und": None, "mul-Latn": None, None: None}
+    found = spark.createDataFrame([(t,) for t in tags], "tag string").select("tag", language_id.code_of(F.col("tag")).alias("code")).collect()
+    assert {r.tag: r.code for r in found} == tags
+
+
+def test_spellings_of_a_language_are_one_and_junk_declares_nothing(spark):
+    """More declared values than any table of models could hold."""
+    words = {"en": "the quick brown foxes jump over lazy dogs while children watch", "de": "der schnelle braune fuchs springt hastig ueber faule hunde hinweg"}
+    tags = {"en": ["en", "en-US", "EN_gb"], "de": ["de", "de-AT", "DE"]}
+    rows = [(2 * i + k, words[x], tags[x][i % 3] if i < 30 else f"junk{i}", "h.org") for i in range(1500) for k, x in enumerate(words)]
+    found = language_id.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()
+    assert len(found) == len(rows) and all(r.kept and r.language == ("en", "de")[r.doc_id % 2] for r in found)
+
+
+def test_a_benchmark_in_blocks(spark, monkeypatch):
+    """Blocks of a few items find what one block of all items finds."""
+    rnd = random.Random(21)
+    words = [f"{a}{b}{c}" for a in "bcdfghjklmnprst" for b in ("alo", "eri", "omu", "ise") for c in ("nt", "st", "rm", "lk")]
+    items = [(i, " ".join(rnd.sample(words, 30))) for i in range(24)] + [(3, " ".join(rnd.sample(words, 26))), (None, "x"), (50, None), (51, "")]
+    docs = [(i, " ".join(rnd.choices(words, k=60)) + " " + items[i % 25][1] + " " + " ".join(rnd.choices(words, k=60))) for i in range(60)]
+    docs += [(100 + i, " ".join(rnd.choices(words, k=150))) for i in range(40)] + [(200, items[2][1] + " " + items[20][1]), (201, None)]
+    docs, bench = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    pairs = lambda: sorted((r.doc_id, r.item_id, r.share, r.answer_share) for r in decontaminate.contaminated(docs, bench).collect())
+    whole = pairs()
+    assert {d for d, *_ in whole} == {*range(60), 200} and {i for d, i, *_ in whole if d == 200} == {2, 20}
+    monkeypatch.setattr(decontaminate, "BLOCK", 1000)
+    assert sum(1 for _ in decontaminate.blocks_of(bench)) > 4 and pairs() == whole
+    monkeypatch.setattr(decontaminate, "BLOCK", 1)
+    assert decontaminate.contaminated(docs, bench.where("item_id > 50")).count() == 0 and decontaminate.contaminated(docs, bench.limit(0)).count() == 0
 
 
 @pytest.mark.parametrize("copies", [20, 60, 180])
