@@ -38,7 +38,9 @@ LENGTH, GRAM = 200, 64
 #: Anchors are chosen in stretches of so many bytes, so that a position fits beside its hash.
 STRETCH = 1 << 20
 #: Windows that one block holds; different windows of one gram beyond which it is split, and starts in a slice.
-IN_BLOCK, MANY, SLICE = 250, 500, 9
+IN_BLOCK, MANY, SLICE = 100, 500, 9
+#: Rounds of extension after which closed rows are left out; closing one again changes nothing.
+COMPACT = 8
 
 
 def anchors(buf: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -115,24 +117,31 @@ def windows(placed: DataFrame, with_data: bool) -> DataFrame:
 
 
 def suffix_array(text: np.ndarray) -> np.ndarray:
-    """By prefix doubling on ranks; text holds small positive numbers and 0 at its end."""
+    """By prefix doubling on ranks, of the suffixes that still tie; text holds small numbers and 0 at its end."""
     n = len(text)
+    occurs = np.zeros(int(text.max()) + 1, dtype=np.uint64)
+    occurs[text] = 1
+    code = np.cumsum(occurs)[text]  # from 1, in as few bits as the symbols need
+    bits = int(code.max()).bit_length()
+    depth = 64 // bits
     key = np.zeros(n, dtype=np.uint64)
-    for i in range(7):  # seven symbols at once
-        key[: n - i] |= text[i:].astype(np.uint64) << np.uint64(9 * (6 - i))
-    depth = 7
-    while True:
-        order = np.argsort(key)
-        ranked = key[order]
-        rank = np.zeros(n, dtype=np.uint64)
-        rank[order] = np.concatenate([[0], np.cumsum(ranked[1:] != ranked[:-1])]).astype(np.uint64)
-        if int(rank[order[-1]]) == n - 1:
-            return order
-        after = np.zeros(n, dtype=np.uint64)
-        if depth < n:
-            after[: n - depth] = rank[depth:] + np.uint64(1)
-        key = rank << np.uint64(32) | after
+    for i in range(min(n, depth)):
+        key[: n - i] |= code[i:] << np.uint64(bits * (depth - 1 - i))
+    order = np.argsort(key)
+    key = key[order]
+    new = np.concatenate([[True], key[1:] != key[:-1], [True]])
+    rank = np.full(n + 1, -1, dtype=np.int64)  # the first row of those that tie; what lies beyond the end is least
+    rank[order] = np.maximum.accumulate(np.where(new[:-1], np.arange(n), 0))
+    while len(tied := np.flatnonzero(~(new[:-1] & new[1:]))):
+        own = order[tied]
+        key = rank[own] << 32 | rank[np.minimum(own + depth, n)] + 1
+        by = np.argsort(key)
+        own, key = own[by], key[by]
+        order[tied] = own
+        new[tied] = first = np.concatenate([[True], key[1:] != key[:-1]])
+        rank[own] = np.maximum.accumulate(np.where(first, tied, 0))
         depth *= 2
+    return order
 
 
 def long_common_prefixes(text: np.ndarray, order: np.ndarray, least: int) -> np.ndarray:
@@ -144,19 +153,23 @@ def long_common_prefixes(text: np.ndarray, order: np.ndarray, least: int) -> np.
     """
     n = len(text)
     bwt = text[order - 1]
-    extended = np.argsort(bwt, kind="stable").astype(np.int32)
+    extended = np.argsort(bwt, kind="stable")
     symbol = bwt[extended]
     closed = np.ones(n, dtype=bool)  # value 0: rows whose first symbol differs from the row before
-    row = (np.flatnonzero(symbol[1:] == symbol[:-1]) + 1).astype(np.int32)
+    row = np.flatnonzero(symbol[1:] == symbol[:-1]) + 1
     closed[row] = False
     low, high = extended[row - 1], extended[row]
-    for _ in range(least - 1):
-        count = np.cumsum(closed, dtype=np.int32)
-        hit = count[high] > count[low]
-        if not hit.any():
+    count, before = np.empty(n, dtype=np.int32), -1
+    for value in range(least - 1):
+        np.cumsum(closed, dtype=np.int32, out=count)
+        if count[-1] == before:
             break
-        closed[row[hit]] = True
-        row, low, high = row[~hit], low[~hit], high[~hit]
+        before = int(count[-1])
+        hit = count.take(high) > count.take(low)
+        closed[row[np.flatnonzero(hit)]] = True
+        if value % COMPACT == 0:
+            left = np.flatnonzero(~hit)
+            row, low, high = row.take(left), low.take(left), high.take(left)
     return ~closed
 
 

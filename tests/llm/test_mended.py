@@ -2,10 +2,11 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lectern.llm import decontaminate, line_dedup, near_dup, pii, topk_search
+from lectern.llm import decontaminate, line_dedup, near_dup, pii, suffix_dedup, topk_search
 
 BASE = " ".join(f"word{i}" for i in range(40))
 UNIQUE = " ".join(f"other{i}" for i in range(40))
@@ -57,3 +58,16 @@ def test_products_beyond_64_bits_are_refused(spark):
     rows = spark.createDataFrame([(0, [4e8, 4e8]), (20, [4e8, 1.0])], "vec_id long, embedding array<double>")
     with pytest.raises(ValueError):
         topk_search.search(rows, F.col("vec_id") % 20 == 0)
+
+
+def test_suffix_order_and_long_common_prefixes():
+    rnd = random.Random(3)
+    for trial in range(120):
+        n, most = rnd.choice([0, 1, 2, 30, 80, 300]), rnd.choice([1, 2, 3, 200])
+        text = [rnd.randint(trial % 2, most) for _ in range(n)]
+        text = (text[:50] * (n // 50) if n > 60 and trial % 3 else text) + [0]
+        order = suffix_dedup.suffix_array(np.array(text, dtype=np.int16))
+        assert order.tolist() == sorted(range(len(text)), key=lambda i: text[i:])
+        for least in (2, 5, 20) if trial % 2 else ():
+            found = suffix_dedup.long_common_prefixes(np.array(text, dtype=np.int16), order, least)
+            assert found.tolist() == [False] + [text[a : a + least] == text[b : b + least] and max(a, b) + least <= len(text) for a, b in zip(order, order[1:], strict=False)]
