@@ -22,12 +22,14 @@ NAMED = {
     "ldquo": "“", "rdquo": "”", "laquo": "«", "raquo": "»", "euro": "€", "deg": "°", "times": "×", "middot": "·",
 }
 _REFERENCE = r"&(?:#[xX][0-9A-Fa-f]{1,6};?|#[0-9]{1,7};?|[A-Za-z]+;?)|[^&]++|&"
+#: References that end with a semicolon only.
+_CLOSED = r"&(?:#[xX][0-9A-Fa-f]{1,6}|#[0-9]{1,7}|[A-Za-z]+);|[^&]++|&"
 #: Between the texts of different elements.
 BREAK = "\x00"
 
 
-def unescape(text: Column) -> Column:
-    """Character references as their characters; unknown names stay, numbers of no character become U+FFFD."""
+def unescape(text: Column, open_ended: bool = True) -> Column:
+    """Character references as their characters; unknown names stay, numbers of no character become U+FFFD. open_ended: they may lack their semicolon, as browsers have it."""
     names = F.create_map(*[F.lit(x) for pair in NAMED.items() for x in pair])
 
     def one(piece: Column) -> Column:
@@ -39,7 +41,7 @@ def unescape(text: Column) -> Column:
         named = F.try_element_at(names, F.regexp_extract(piece, "^&([A-Za-z]+)", 1))
         return F.when(piece.rlike("^&#[xX]?[0-9A-Fa-f]"), F.when(good, char).otherwise("�")).otherwise(F.coalesce(F.when(piece.startswith("&"), named), piece))
 
-    pieces = F.regexp_extract_all(text, F.lit(_REFERENCE), F.lit(0))
+    pieces = F.regexp_extract_all(text, F.lit(_REFERENCE if open_ended else _CLOSED), F.lit(0))
     return F.when(text.contains("&"), F.array_join(F.transform(pieces, one), "")).otherwise(text)
 
 
@@ -48,11 +50,12 @@ def squeezed(text: Column) -> Column:
     return F.trim(F.regexp_replace(text, r"[\s \x1c-\x1f\x85  -     　]+", " "))
 
 
-def strip_html(markup: Column, raw: bool = True) -> Column:
+def strip_html(markup: Column, raw: bool = True, open_ended: bool = True) -> Column:
     """The texts of markup in their order, joined by one space, white space in them as one space; null for null.
 
     Comments, declarations and tags are no text. Scripts, styles and the like hold text to the letter, or none on request (raw). What is
     never closed reaches to the end, as a browser has it. The order is that of the markup: nothing is moved out of tables.
+    open_ended: references may lack their semicolon.
     """
     tokens = F.regexp_extract_all(F.replace(markup, F.lit(BREAK), F.lit("�")), F.lit(TOKEN), F.lit(0))
     whole = lambda names: rf"(?is)^<({'|'.join(names)}){_NAME_ENDS}{_INSIDE}(.*?)(?:</\1{_NAME_ENDS}{_INSIDE})?\z"
@@ -61,8 +64,8 @@ def strip_html(markup: Column, raw: bool = True) -> Column:
     def said(token: Column) -> Column:
         apart = lambda text: F.concat(F.lit(BREAK), text, F.lit(BREAK))
         inside = apart(held(token, RAW)) if raw else F.lit(BREAK)
-        element = F.when(token.rlike(rf"(?i)^<(?:{'|'.join(RAW)}){_NAME_ENDS}"), inside).when(token.rlike(rf"(?i)^<(?:{'|'.join(LITERAL)}){_NAME_ENDS}"), apart(unescape(held(token, LITERAL))))
-        return F.when(~token.startswith("<") | (token == "<"), unescape(token)).otherwise(F.coalesce(element, F.lit(BREAK)))
+        element = F.when(token.rlike(rf"(?i)^<(?:{'|'.join(RAW)}){_NAME_ENDS}"), inside).when(token.rlike(rf"(?i)^<(?:{'|'.join(LITERAL)}){_NAME_ENDS}"), apart(unescape(held(token, LITERAL), open_ended)))
+        return F.when(~token.startswith("<") | (token == "<"), unescape(token, open_ended)).otherwise(F.coalesce(element, F.lit(BREAK)))
 
     texts = F.array_join(F.transform(tokens, said), "")
     return F.when(markup.isNotNull(), squeezed(F.replace(texts, F.lit(BREAK), F.lit(" "))))

@@ -58,3 +58,21 @@ def test_odd_pieces(spark):
     assert stripped(spark, [long]) == [("word " * 100_000 + "x<y " * 50_000).strip()]
     df = spark.createDataFrame([(["<b>a</b>b", " c "],)], "x array<string>")
     assert tuple(df.select(stringify(F.col("x"), True), stringify(F.col("x")), unescape(F.lit("&#65;&gt;"))).first()) == ("[a b|c]", "[<b>a</b>b|c]", "A>")
+
+
+def test_references_that_must_end(spark):
+    texts = {"a&amp</h1>b&amp;": "a&amp b&", "&#65&#65;&quot": "&#65A&quot", "<title>x&lt;&lt</title>": "x<&lt"}
+    assert dict(zip(texts, stripped(spark, list(texts), open_ended=False), strict=True)) == texts
+    assert stripped(spark, ["a&amp</h1>b&amp;"]) == ["a& b&"]
+
+
+def test_cut_references_of_pages_against_sql(spark, tmp_path):
+    import duckdb
+
+    from lectern.plans import text
+
+    pages = [(1, "<title>a &quot;b&amp;&amp</title><h1>a &quot;b&amp;&amp</h1>", ""), (2, "<title>t &quot;x</title>c &amp", "")]
+    spark.createDataFrame(pages, "page_id long, html string, url string").coalesce(1).write.parquet(str(tmp_path / "pages.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    assert sorted(map(tuple, text.QUERIES["strip_html"](spark, str(tmp_path)).collect())) == sorted(con.execute(text.ORACLES["strip_html"]).fetchall())
