@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .text import backslash_encode
+from .text import backslash_encode, once
 
 SQL_TYPES = {"string": "string", "integer": "int", "boolean": "boolean", "float": "double", "date": "date", "timestamp": "timestamp"}
 #: Times before this year are refused, as their texts can't be written alike everywhere.
@@ -120,15 +120,31 @@ def strict_rows(checked: DataFrame) -> DataFrame:
     return checked.where(good).select("record.*")
 
 
-def _member(tree: Column, name: str) -> Column:
-    """The value of an object's key, whatever the case of its letters."""
-    members = F.map_entries(F.try_variant_get(tree, "$", "map<string,variant>"))
+def _member(members: Column, name: str) -> Column:
+    """The value of an object's key, whatever the case of its letters. members: the object's entries."""
     return F.try_element_at(F.filter(members, lambda e: F.lower(e["key"]) == name), F.lit(-1))["value"]
 
 
-def _flat(field: Field, leaf: Column) -> tuple[Column, Column]:
-    """The leaf as the field's type, and whether it can't be read as such."""
-    kind, text = F.schema_of_variant(leaf), F.try_variant_get(leaf, "$", "string")
+def _leaves(df: DataFrame, tree: str, paths: list[list[str]]) -> tuple[DataFrame, dict[tuple[str, ...], str]]:
+    """The rows with a column for the value at each path (keys in small letters), and the columns' names.
+
+    Trees are opened level by level: each object on a path is read into its entries once, whatever number of paths lead through it.
+    """
+    names, prefix = {(): tree}, "_tree"
+    while any(c.startswith(prefix) for c in df.columns):
+        prefix += "_"
+    for depth in range(max(map(len, paths), default=0)):
+        wanted = sorted({tuple(p[: depth + 1]) for p in paths if len(p) > depth})
+        opened = {p: f"{prefix}{depth}_{i}" for i, p in enumerate(sorted({p[:-1] for p in wanted}))}
+        df = once(df.select("*", *[F.map_entries(F.try_variant_get(F.col(f"`{names[p]}`"), "$", "map<string,variant>")).alias(c) for p, c in opened.items()]))
+        found = {p: f"{prefix}{depth}_{i}_value" for i, p in enumerate(wanted)}
+        df = once(df.select(*[F.col(f"`{c}`") for c in df.columns if c not in opened.values()], *[_member(F.col(opened[p[:-1]]), p[-1]).alias(c) for p, c in found.items()]))
+        names |= found
+    return df, names
+
+
+def _flat(field: Field, leaf: Column, kind: Column, text: Column) -> tuple[Column, Column]:
+    """The leaf, of a kind and with a text, as the field's type, and whether it can't be read as such."""
     single = leaf.isNotNull() & ~kind.startswith("OBJECT") & ~kind.startswith("ARRAY") & (kind != "VOID")
     truth = kind == "BOOLEAN"
     if field.kind == "string":
@@ -160,26 +176,27 @@ def flatten_by_mapping(df: DataFrame, tree: str, schema: list[Field], keep: tupl
     give none. Texts are escaped, and longer ones cut and marked. A value that the field's type can't hold is rejected:
     the field is null, and the value stands in ``rejected``. calculated: further fields from columns, held to the same types.
     """
-    record, rejected = [], []
+    fields, paths = {f.name: f for f in schema}, {}
     for f in schema:
-        if f.path is None:
-            continue
-        steps = f.path.lower().split(".")
-        if steps[0] != "root" or len(steps) < 2:
-            raise ValueError(f"{f.name}: a path goes from root to a key")
-        leaf = F.col(f"`{tree}`")
-        for step in steps[1:]:
-            leaf = _member(leaf, step)
-        value, bad = _flat(f, leaf)
-        record.append(value.alias(f.name))
-        rejected.append(F.when(bad, F.struct(F.lit(f.name).alias("field"), F.lit(f.path).alias("path"), F.to_json(leaf).alias("value"))))
-    fields = {f.name: f for f in schema}
-    for name, column in (calculated or {}).items():
-        leaf = F.try_variant_get(F.to_variant_object(F.struct(column.alias("x"))), "$.x", "variant")
-        value, bad = _flat(fields[name], leaf)
-        record.append(value.alias(name))
-        rejected.append(F.when(bad, F.struct(F.lit(name).alias("field"), F.lit(name).alias("path"), F.to_json(leaf).alias("value"))))
-    return df.select(*[F.col(f"`{c}`") for c in keep], F.struct(*record).alias("record"), F.array_compact(F.array(*rejected)).alias("rejected"))
+        if f.path is not None:
+            steps = f.path.lower().split(".")
+            if steps[0] != "root" or len(steps) < 2:
+                raise ValueError(f"{f.name}: a path goes from root to a key")
+            paths[f.name] = steps[1:]
+    calculated = calculated or {}
+    given = [F.try_variant_get(F.to_variant_object(F.struct(c.alias("x"))), "$.x", "variant").alias(f"_given_{name}") for name, c in calculated.items()]
+    df, at = _leaves(df.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*keep, tree])], *given), tree, list(paths.values()))
+    leaves = [(fields[n], fields[n].path, F.col(at[tuple(p)])) for n, p in paths.items()] + [(fields[n], n, F.col(f"`_given_{n}`")) for n in calculated]
+    kept = [F.col(f"`{c}`") for c in keep]
+    read = once(df.select(*kept, *[F.struct(leaf.alias("leaf"), F.schema_of_variant(leaf).alias("kind"), F.try_variant_get(leaf, "$", "string").alias("text")).alias(f"_leaf{i}") for i, (_, _, leaf) in enumerate(leaves)]))
+    typed = []
+    for i, (f, _, _) in enumerate(leaves):
+        value, bad = _flat(f, *[F.col(f"_leaf{i}.{c}") for c in ("leaf", "kind", "text")])
+        typed.append(F.struct(value.alias("value"), bad.alias("bad"), F.col(f"_leaf{i}.leaf").alias("leaf")).alias(f"_typed{i}"))
+    flat = once(read.select(*kept, *typed))
+    record = [F.col(f"_typed{i}.value").alias(f.name) for i, (f, _, _) in enumerate(leaves)]
+    rejected = [F.when(F.col(f"_typed{i}.bad"), F.struct(F.lit(f.name).alias("field"), F.lit(path).alias("path"), F.to_json(F.col(f"_typed{i}.leaf")).alias("value"))) for i, (f, path, _) in enumerate(leaves)]
+    return flat.select(*kept, F.struct(*record).alias("record"), F.array_compact(F.array(*rejected)).alias("rejected"))
 
 
 def rejected_values(flat: DataFrame, *keep: str) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.keys import course_key_from_url, normalize_course_id, org_of_course
-from ..functions.text import event_time_string, event_username
+from ..functions.text import event_time_string, event_username, once
 
 ENROLLMENT = {"edx.course.enrollment.activated": "activated", "edx.course.enrollment.deactivated": "deactivated", "edx.course.enrollment.mode_changed": "mode_changed"}
 
@@ -15,11 +15,6 @@ def field(path: str, kind: str = "string", event: str = "event") -> Column:
     return F.try_variant_get(event, f"$.{path}", kind)
 
 
-def once(df: DataFrame) -> DataFrame:
-    """The same rows; what comes after reads their columns and doesn't compute them again, as it may where it is laid over what makes them."""
-    return df.select(F.inline(F.array(F.struct(*df.columns))))
-
-
 def payload() -> Column:
     """The payload as an object: parsed if it is text, empty if it is '', null if it is cut, key=value text or a list."""
     raw = F.try_variant_get("event", "$.event", "variant")

@@ -6,13 +6,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.text import backslash_decode, once
+
 
 def parse_lines(lines: DataFrame, column: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
     """Event lines as VARIANT: the line itself, else its text from the first to the last brace; others are dropped. Named columns stay."""
     raw = F.col(column)
     inner = F.regexp_extract(raw, r"(?s)^.*?(\{.*\})\s*$", 1)
     parsed = F.coalesce(F.when(raw.rlike(r"^\s*\{"), F.try_parse_json(raw)), F.try_parse_json(F.nullif(inner, F.lit(""))))
-    return lines.select(*keep, parsed.alias("event")).where(F.col("event").isNotNull() & F.startswith(F.schema_of_variant("event"), F.lit("OBJECT")))
+    return once(lines.select(*keep, parsed.alias("event"))).where("event IS NOT NULL")  # both begin with a brace, so what can be read is an object
 
 
 def read_events(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -32,8 +34,6 @@ def read_mysql_tsv(spark: SparkSession, path: str, schema: str, escaped: bool) -
     df = spark.read.schema(schema).csv(path, sep="\t", quote="")
     if not escaped:
         return df
-    from ..functions.text import backslash_decode
-
     return df.select(*[backslash_decode(F.col(c)).alias(c) if kind == "string" else F.col(c) for c, kind in df.dtypes])
 
 

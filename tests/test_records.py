@@ -136,3 +136,13 @@ def test_forum_posts(spark, tmp_path):
     post = {"_id": {"$oid": "5"}, "_type": "Comment", "author_id": "7", "body": "b", "votes": {"up": ["8"], "down": [], "count": 1}, "other": 1}
     (tmp_path / "posts.mongo").write_text(json.dumps(post) + "\n{broken\n\n")
     assert [(r._id[0], r.author_id, r.votes.up, r.title) for r in readers.read_forum_posts(spark, str(tmp_path)).collect()] == [("5", "7", ["8"], None)]
+
+
+def test_objects_of_a_tree_are_read_once(spark):
+    """Rejected values come from explode, under which every column would be computed anew."""
+    df = spark.createDataFrame([('{"A":{"b":"x","C":2},"d":"z"}',)], "j string").select(F.parse_json("j").alias("t"))
+    fields = [Field("b", "integer", path="root.a.b"), Field("c", "integer", path="root.a.c"), Field("d", "integer", path="root.d"), Field("e", "integer", path="root.d.e")]
+    rejected = R.rejected_values(R.flatten_by_mapping(df, "t", fields))
+    assert sorted(map(tuple, rejected.collect())) == [("b", "root.a.b", '"x"'), ("d", "root.d", '"z"')]
+    plan = rejected._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("map_entries") == 3
