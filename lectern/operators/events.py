@@ -15,16 +15,19 @@ def field(path: str, kind: str = "string", event: str = "event") -> Column:
     return F.try_variant_get(event, f"$.{path}", kind)
 
 
+def is_object(tree: Column, path: str = "$") -> Column:
+    """Whether the value there is an object; told by a cast, as its schema costs a walk through all of it."""
+    return F.try_variant_get(tree, path, "struct<>").isNotNull()
+
+
 def payload() -> Column:
     """The payload as an object: parsed if it is text, empty if it is '', null if it is cut, key=value text or a list."""
     raw = F.try_variant_get("event", "$.event", "variant")
     text = F.try_variant_get("event", "$.event", "string")
-    kind = F.schema_of_variant(raw)
-    parsed = F.try_parse_json(text)
     cut = (F.length(text) == 512) & text.contains("POST")
     pairs = text.contains("=") & ~text.contains("{")
-    from_text = F.when(text == "", F.parse_json(F.lit("{}"))).when(cut | pairs, None).otherwise(F.when(F.schema_of_variant(parsed).startswith("OBJECT"), parsed))
-    return F.when(kind.startswith("OBJECT"), raw).when(kind == "STRING", from_text)
+    from_text = F.when(text == "", F.parse_json(F.lit("{}"))).when(cut | pairs, None).when(text.rlike(r"^\s*\{"), F.try_parse_json(text))  # numbers, lists and the like don't begin so
+    return F.when(is_object(F.col("event"), "$.event"), raw).otherwise(from_text)
 
 
 def course_id(from_url: bool = False) -> Column:

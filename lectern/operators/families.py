@@ -132,8 +132,13 @@ def deal(lines: DataFrame, families: Iterable[str] = FAMILIES, start: str | None
     if end:
         decoded = decoded.where(F.col("date") < end)
     make = {"enrollment": _enrollment, "activity": _activity, "video": _video, "engagement": lambda: _engagement(anonymous), "report": _report, "address": _address, "problem": _problem}
-    held = F.filter(F.array(F.struct(*[make[f]().alias(f) for f in families])), lambda x: _some(x, families))
-    return decoded.select(F.col("date").try_cast("date").alias("date"), F.inline(held))
+    rows = decoded
+    for f in families:  # a step for each, so that its code stays small
+        rows = X.once(rows.select(*rows.columns, make[f]().alias(f)))
+    some = F.lit(False)
+    for f in families:
+        some = some | F.col(f).isNotNull()
+    return rows.where(some).select(F.col("date").try_cast("date").alias("date"), *families)
 
 
 def decode(lines: DataFrame) -> DataFrame:
@@ -152,13 +157,6 @@ def decode(lines: DataFrame) -> DataFrame:
     return X.once(told.select("event", "payload", "source", "type", "time", event_time(F.col("time")).alias("ts"), datestamp(F.col("time")).alias("date"), "username", "user_id", "course_id", F.coalesce("course_id", "url_course").alias("any_course")))
 
 
-def _some(event: Column, families: tuple[str, ...]) -> Column:
-    any_ = F.lit(False)
-    for f in families:
-        any_ = any_ | event[f].isNotNull()
-    return any_
-
-
 def family(dealt: DataFrame, name: str) -> DataFrame:
     """The rows of one family, with their date."""
     return dealt.where(F.col(name).isNotNull()).select("date", f"{name}.*")
