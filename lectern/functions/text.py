@@ -19,6 +19,11 @@ def once(df: DataFrame) -> DataFrame:
     return df.select(F.inline(F.array(F.struct(*df.columns))))
 
 
+def bound(value: Column, of) -> Column:
+    """``of`` the value, which is computed once however often it stands there; for use within lambdas, where nothing else saves that."""
+    return F.get(F.transform(F.array(value), of), F.lit(0))
+
+
 def event_time_string(time: Column) -> Column:
     """Time without its zone, with microseconds."""
     t = F.split_part(time, F.lit("+"), F.lit(1))
@@ -90,19 +95,16 @@ def mysql_datetime_to_iso(text: Column) -> Column:
     return F.date_format(F.try_to_timestamp(text, F.lit("yyyy-MM-dd HH:mm:ss")), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
 
 
-def _group(hex_digits: Column, i: Column) -> Column:
-    """Five bytes as a number."""
-    return F.conv(F.substring(hex_digits, i * 10 + 1, F.lit(10)), 16, 10).cast("long")
+#: The symbols that stand for the same numbers where a number is written to the base of 32.
+_DIGITS = "0123456789ABCDEFGHIJKLMNOPQRSTUV"
 
 
 def base32(data: Column) -> Column:
     """Bytes as symbols of five bits, five bytes at a time, filled up with equals signs."""
     symbols = F.ceil(F.length(data) * 8 / 5).cast("int")
     groups = F.ceil(F.length(data) / 5).cast("int")
-    digits = F.rpad(F.hex(data), groups * 10, F.lit("0"))
-    symbol = lambda value, j: F.substring(F.lit(BASE32), F.call_function("shiftright", value, 35 - 5 * j).bitwiseAND(F.lit(31).cast("long")).cast("int") + 1, F.lit(1))
-    eight = lambda i: F.array_join(F.transform(F.sequence(F.lit(0), F.lit(7)), lambda j: symbol(_group(digits, i), j)), "")
-    text = F.array_join(F.transform(F.sequence(F.lit(0), groups - 1), eight), "")
+    fives = F.regexp_extract_all(F.rpad(F.hex(data), groups * 10, F.lit("0")), F.lit(".{10}"), F.lit(0))
+    text = F.translate(F.array_join(F.transform(fives, lambda five: F.lpad(F.conv(five, 16, 32), 8, "0")), ""), _DIGITS, BASE32)
     return F.when(F.length(data) == 0, "").otherwise(F.rpad(F.substring(text, F.lit(1), symbols), groups * 8, F.lit("=")))
 
 
@@ -110,10 +112,8 @@ def unbase32(code: Column) -> Column:
     """The bytes of such symbols; null where the text is none."""
     bare = F.rtrim(code, F.lit("="))
     groups = F.ceil(F.length(bare) / 8).cast("int")
-    padded = F.rpad(bare, groups * 8, F.lit("A"))
-    value = lambda i, j: F.call_function("shiftleft", (F.instr(F.lit(BASE32), F.substring(padded, i * 8 + j + 1, F.lit(1))) - 1).cast("long"), 35 - 5 * j)
-    five = lambda i: F.lpad(F.hex(F.aggregate(F.sequence(F.lit(0), F.lit(7)), F.lit(0).cast("long"), lambda total, j: total + value(i, j))), 10, "0")
-    digits = F.array_join(F.transform(F.sequence(F.lit(0), groups - 1), five), "")
+    eights = F.regexp_extract_all(F.translate(F.rpad(bare, groups * 8, F.lit("A")), BASE32, _DIGITS), F.lit(".{8}"), F.lit(0))
+    digits = F.array_join(F.transform(eights, lambda eight: F.lpad(F.conv(eight, 32, 16), 10, "0")), "")
     data = F.unhex(F.substring(digits, F.lit(1), F.floor(F.length(bare) * 5 / 8).cast("int") * 2))
     return F.when(~bare.rlike("^[A-Z2-7]*\\z"), None).when(F.length(bare) == 0, F.lit(b"")).otherwise(data)
 

@@ -175,3 +175,17 @@ def test_files(spark, tmp_path):
     sinks.write_answer_csv(df, str(tmp_path / "out"))
     back = spark.read.csv(str(tmp_path / "out"), header=True)
     assert back.count() == 3 and len(list((tmp_path / "out").glob("*/*.csv"))) == 2
+
+
+def test_ids_are_encoded_from_their_bytes_once(spark):
+    """Bytes of a row are written as digits once, not for every symbol."""
+    import base64
+
+    from lectern.functions import text as H
+
+    texts = ["", "a", "ab", "abc", "abcd", "abcde", "course|x|123456789", "é" * 40]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    coded = df.select("t", H.base32(F.col("t").cast("binary")).alias("c"))
+    assert {r.t: r.c for r in coded.collect()} == {t: base64.b32encode(t.encode()).decode() for t in texts}
+    assert [r.d for r in coded.select(H.unbase32(F.col("c")).cast("string").alias("d")).collect()] == texts
+    assert coded._jdf.queryExecution().optimizedPlan().toString().count("hex(") == 1
