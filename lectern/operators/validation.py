@@ -13,7 +13,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.keys import normalize_course_id
-from ..functions.text import datestamp, event_time
+from ..functions.text import datestamp, event_time, once
 from ..sources.readers import parse_lines
 from . import events as X
 
@@ -122,7 +122,9 @@ def missing_enrollment_events(events: DataFrame, start: str, nonstate: bool = Fa
     begun = begun.when(is_("_first", "deactivated") & F.lit(before_start), F.array(head(_moment(F.col("_first.ts"), -1), "activated", unknown)))
     begun = begun.when(is_("_first", "validated", True) & within, F.array(head(at, "activated")))
     begun = begun.when(is_("_first", "validated", False) & within & extra, F.array(head(at, "activated"), head(_moment(at, 1), "deactivated")))
-    made = F.concat(F.array(change, mode), F.when(F.col("_oldest") & begun.isNotNull(), begun).otherwise(F.array()))
+    # In a step of its own: what stands below a filter of a list isn't compiled.
+    df = once(df.select(*KEY, change.alias("_change"), mode.alias("_mode"), F.when(F.col("_oldest"), begun).alias("_begun")))
+    made = F.concat(F.array("_change", "_mode"), F.coalesce("_begun", F.array()))
     return df.select(*KEY, F.explode(F.array_compact(made)).alias("_made")).select(*KEY, "_made.*")
 
 

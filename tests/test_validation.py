@@ -96,3 +96,12 @@ def test_lines_that_are_no_enrollment(spark):
     made = V.validate_enrollments(spark.createDataFrame([(x,) for x in lines], "value string"), dumps, "2013-01-01", "2014-01-01", before_start=True)
     get = lambda p: F.get_json_object("event", f"$.{p}")
     assert [tuple(r) for r in made.select(get("time"), get("event.user_id"), get("event_type"), get("synthesized.before_time"), get("synthesized.after_time")).collect()] == [("2013-05-01T00:00:00.999999", "7", V.PREFIX + A, "2013-05-01T00:00:01.000000", None)]
+
+
+def test_missing_events_are_computed_before_they_are_listed(spark):
+    """Events of a row stand in columns of their own before a filter of their list, below which nothing is compiled."""
+    row = ("c", 1, "2024-01-02 00:00:00", "activated", "honor", None, None)
+    df = spark.createDataFrame([row, (*row[:2], "2024-01-03 00:00:00", *row[3:])], "course_id string, user_id long, ts string, type string, mode string, is_active boolean, created timestamp").withColumn("ts", F.col("ts").cast("timestamp"))
+    missing = V.missing_enrollment_events(df, "2024-01-01", nonstate=True)
+    assert [(r.type, r.reason) for r in missing.collect()] == [("deactivated", "activate => activate")]
+    assert missing._jdf.queryExecution().optimizedPlan().toString().count("Generate") == 2
