@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import datestamp, masked_username, remap_id
+from ..functions.text import bound, datestamp, masked_username, once, remap_id
 from ..sources.readers import parse_lines
 from . import events as X
 from . import privacy as M
@@ -48,7 +48,7 @@ def rewrite(tree: Column, rules: Rules) -> Column:
 
 
 def is_object(tree: Column) -> Column:
-    return F.coalesce(F.schema_of_variant(tree).startswith("OBJECT"), F.lit(False))
+    return X.is_object(tree)
 
 
 def variant(value: Column) -> Column:
@@ -92,8 +92,8 @@ def masked_events(lines: DataFrame, directory: DataFrame, whitelist: DataFrame,
     beside = [c for c in lines.columns if c != "value"]
     kept = F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in beside]).alias("beside")
     events = parse_lines(lines.select("value", kept).withColumn("line", F.trim("value")), "value", ("beside", "line"))
-    events = X.releasable(events, whitelist).withColumn("payload", X.payload())
-    events = with_people(events, directory)
+    events = once(X.releasable(events, whitelist).withColumn("payload", X.payload()))
+    events = once(with_people(events, directory))
     persons = F.map_values("people")
     get = lambda field: F.array_distinct(F.filter(F.transform(persons, lambda p: p[field]), lambda x: F.coalesce(x != "", F.lit(False))))
     address = X.field("ip")
@@ -104,21 +104,22 @@ def masked_events(lines: DataFrame, directory: DataFrame, whitelist: DataFrame,
     events = locate(events, ranges, "_address").drop("country_name")
 
     def named(value: Column) -> Column:
-        name = F.nullif(F.trim(F.try_variant_get(value, "$", "string")), F.lit(""))
-        found = F.try_element_at(F.col("people"), F.concat(F.lit("n:"), name))["user_id"]
-        return F.when(name.isNull(), value).otherwise(variant(F.coalesce(masked_username(found, seed), F.lit(REDACTED))))
+        said = F.nullif(F.trim(F.try_variant_get(value, "$", "string")), F.lit(""))
+        found = lambda name: F.try_element_at(F.col("masked"), F.concat(F.lit("n:"), name))
+        return bound(said, lambda name: F.when(name.isNull(), value).otherwise(variant(F.coalesce(found(name), F.lit(REDACTED)))))
 
     def remapped(value: Column) -> Column:
-        text = F.trim(F.try_variant_get(value, "$", "string"))
-        return F.when(text == "", value).otherwise(variant(remap_id(text.try_cast("long"), seed)))
+        said = F.struct(F.trim(F.try_variant_get(value, "$", "string")).alias("text"), F.trim(F.try_variant_get(value, "$", "string")).try_cast("long").alias("number"))
+        return bound(said, lambda x: F.when(x["text"] == "", value).otherwise(variant(remap_id(x["number"], seed))))
 
     drop = dict.fromkeys
     body_rules = drop(PAYLOAD) | {k: {"file_upload_key": None} for k in UPLOADS} | dict.fromkeys(NAMES, named) | {"user_id": remapped}
-    body = F.to_json(rewrite(F.col("payload"), body_rules))
-    body = M.mask_leaves(body, lambda text: M.mask_known(text, F.col("usernames"), F.col("user_ids"), F.col("names")))
-    filled = is_object(F.col("payload")) & (F.to_json("payload") != "{}")
-    events = events.withColumn("body", F.when(filled, body))
-    was_text = F.schema_of_variant(F.try_variant_get("event", "$.event", "variant")) == "STRING"
+    masked = F.transform_values("people", lambda _, p: masked_username(p["user_id"], seed))
+    events = once(events.withColumns({"masked": masked, "patterns": M.known_patterns(F.col("usernames"), F.col("user_ids"), F.col("names"))}).drop("people", "usernames", "user_ids", "names", "ids"))
+    filled = F.col("payload").isNotNull() & (F.to_json("payload") != "{}")  # an object, or null
+    events = once(events.withColumn("body", F.when(filled, F.to_json(rewrite(F.col("payload"), body_rules)))))
+    events = once(events.withColumn("body", F.when(F.col("body").isNotNull(), M.mask_leaves(F.col("body"), lambda text: M.mask_known(text, F.col("patterns"))))))
+    was_text = ~X.is_object(F.col("event"), "$.event")
     new_body = lambda old: F.when(F.col("body").isNull(), old).when(was_text, variant(F.col("body"))).otherwise(F.try_parse_json("body"))
     rules = drop(ENVELOPE) | {"username": named, "event": new_body, "context": drop(CONTEXT) | {"client": drop(CLIENT), "user_id": remapped, "username": named}}
     # An event with an address says its country in its place; others keep what they had.

@@ -92,3 +92,13 @@ def test_tables_of_a_course(spark, sides):
 def test_lines_keep_what_is_beside_them(spark):
     df = readers.parse_lines(spark.createDataFrame([('{"a": 1}', "x"), ("none", "y")], "value string, k string"), keep=("k",))
     assert [(r.k, r.e) for r in df.select("k", F.to_json("event").alias("e")).collect()] == [("x", '{"a":1}')]
+
+
+def test_leaves_are_masked_once(spark):
+    """What masks a text stands once in the plan, as nothing within a lambda is shared."""
+    from lectern.operators import privacy as P
+
+    df = spark.createDataFrame([('{"a":"x a@b.org","b":["Lee1"]}', ["user1"], ["Lee1"], [1])], "j string, u array<string>, n array<string>, i array<long>")
+    masked = df.select(P.mask_leaves(F.col("j"), lambda text: P.mask_known(text, P.known_patterns(F.col("u"), F.col("i"), F.col("n")))).alias("m"))
+    assert masked.first().m == '{"a":"x <<EMAIL>>","b":["<<FULLNAME>>"]}'
+    assert masked._jdf.queryExecution().optimizedPlan().toString().count("<<EMAIL>>") == 1
