@@ -58,7 +58,7 @@ def enrollment_events(df: DataFrame) -> DataFrame:
     """course_id, user_id, time, type, mode of valid enrollment events among decoded ones."""
     kind = F.create_map(*[F.lit(x) for p in ENROLLMENT.items() for x in p])
     get = lambda p, k="string": F.try_variant_get("payload", f"$.{p}", k)
-    df = df.where(F.col("type").isin(*ENROLLMENT)).select(normalize_course_id(get("course_id")).alias("course_id"), get("user_id").try_cast("long").alias("user_id"), "time", F.try_element_at(kind, F.col("type")).alias("type"), get("mode").alias("mode"))
+    df = once(df.where(F.col("type").isin(*ENROLLMENT)).select(normalize_course_id(get("course_id")).alias("course_id"), get("user_id").try_cast("long").alias("user_id"), "time", F.try_element_at(kind, F.col("type")).alias("type"), get("mode").alias("mode")))
     return df.dropna()
 
 
@@ -66,10 +66,10 @@ def problem_check_events(df: DataFrame) -> DataFrame:
     """course_id, username, time, problem_id, success, answers and submission of explicit server checks with answers."""
     get = lambda p, k="string": F.try_variant_get("payload", f"$.{p}", k)
     answers = F.from_json(get("answers"), "map<string, string>")
-    df = df.where("type = 'problem_check' AND source = 'server'").select(
+    df = once(df.where("type = 'problem_check' AND source = 'server'").select(
         "course_id", "username", "time", get("problem_id").alias("problem_id"), get("success").alias("success"), answers.alias("answers"),
         F.from_json(get("submission"), "map<string, struct<answer: string, input_type: string, response_type: string, question: string, variant: string, correct: boolean>>").alias("submission"),
-    )
+    ))
     plain = F.forall(F.map_keys("answers"), lambda k: k.rlike(r"^[\x20-\x7e]+$"))
     return df.where(F.col("course_id").isNotNull() & F.col("problem_id").isNotNull() & (F.cardinality("answers") > 0) & plain)
 

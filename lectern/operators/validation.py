@@ -26,10 +26,10 @@ def validation_history(decoded: DataFrame) -> DataFrame:
     get = lambda p, k="string": F.try_variant_get("payload", f"$.{p}", k)
     dumped = get("dump_start").isNotNull()
     of_dump = {c: F.when(dumped, event_time(get(c))) for c in ("created", "dump_start", "dump_end")}
-    df = decoded.where(F.col("type").isin(*(PREFIX + t for t in ("activated", "deactivated", "mode_changed", "validated")))).select(
+    df = once(decoded.where(F.col("type").isin(*(PREFIX + t for t in ("activated", "deactivated", "mode_changed", "validated")))).select(
         normalize_course_id(get("course_id")).alias("course_id"), get("user_id").try_cast("long").alias("user_id"), event_time(F.col("time")).alias("ts"), F.replace("type", F.lit(PREFIX), F.lit("")).alias("type"), get("mode").alias("mode"),
         F.when(dumped, get("is_active", "boolean")).alias("is_active"), *[c.alias(n) for n, c in of_dump.items()],
-    )
+    ))
     return df.dropna(subset=["course_id", "user_id", "ts", "mode"])
 
 
