@@ -185,12 +185,15 @@ def augment_payload(decoded: DataFrame, fields: Iterable[str]) -> DataFrame:
         raise ValueError(f"unknown facts: {sorted(unknown)}")
     time, context = event_time(F.col("time")), F.try_variant_get("event", "$.context", "variant")
     facts = {"timestamp": F.unix_micros(time) / 1e6, "context": F.when(~F.is_variant_null(context), context), "username": X.field("username")}
-    good = F.col("payload").isNotNull()
+    given = {f: F.try_variant_get(F.to_variant_object(F.struct(facts[f].alias("x"))), "$.x", "variant").alias(f"_{f}") for f in fields}
+    names = [c for c in decoded.columns if c != "payload"]
+    own = F.try_variant_get("payload", "$", "map<string,variant>").alias("_own")
+    read = X.once(decoded.where("payload IS NOT NULL").select("*", own, *[facts[f].isNotNull().alias(f"_has_{f}") for f in fields], *given.values()))
     for f in fields:
-        good = good & facts[f].isNotNull()
-    added = F.map_from_arrays(F.array(*map(F.lit, fields)), F.array(*[F.try_variant_get(F.to_variant_object(F.struct(facts[f].alias("x"))), "$.x", "variant") for f in fields]))
-    own = F.map_filter(F.try_variant_get("payload", "$", "map<string,variant>"), lambda k, _: ~k.isin(*fields))
-    return decoded.where(good).withColumn("payload", F.to_variant_object(F.map_concat(own, added)))
+        read = read.where(f"_has_{f}")
+    added = F.map_from_arrays(F.array(*map(F.lit, fields)), F.array(*[F.col(f"_{f}") for f in fields]))
+    payload = F.to_variant_object(F.map_concat(F.map_filter("_own", lambda k, _: ~k.isin(*fields)), added))
+    return X.once(read.select(*names, payload.alias("payload"))).select(*decoded.columns)
 
 
 def parse_only(lines: DataFrame, start: str, end: str) -> DataFrame:
