@@ -137,9 +137,9 @@ def _by_course(s, d):
     """Events as compressed files by course and day, read back; the course is told by the address where the context has none."""
     path = S.shared_path(s)
     decoded = R.parse_lines(exports._lines(s, d).select(F.col("event").alias("value")), keep=("value",))
-    from ..operators.events import course_id, field
+    from ..operators.events import course_id, field, once
 
-    rows = decoded.select(course_id(True).alias("course"), F.substring(field("time"), 1, 10).alias("date"), F.col("value").alias("line")).where("course IS NOT NULL")
+    rows = once(decoded.select(course_id(True).alias("course"), F.substring(field("time"), 1, 10).alias("date"), F.col("value").alias("line"))).where("course IS NOT NULL")
     S.export_events_by_course(rows, path)
     back = s.read.text(path).select("course", F.col("date").cast("string").alias("date"), F.input_file_name().alias("file"))
     return back.groupBy("course", "date").agg(F.count("*").alias("n_events"), F.count_distinct("file").alias("n_files"))
@@ -147,10 +147,10 @@ def _by_course(s, d):
 
 def _by_org(s, d):
     path = S.shared_path(s)
-    from ..operators.events import event_org, field
+    from ..operators.events import event_org, field, once
 
     decoded = R.parse_lines(exports._lines(s, d).select(F.col("event").alias("value")), keep=("value",))
-    rows = decoded.select(event_org().alias("org"), F.substring(field("time"), 1, 10).alias("date"), F.col("value").alias("line")).where("org IS NOT NULL")
+    rows = once(decoded.select(event_org().alias("org"), F.substring(field("time"), 1, 10).alias("date"), F.col("value").alias("line"))).where("org IS NOT NULL")
     S.export_events_by_org(rows, path)
     return s.read.text(path).groupBy("org", F.col("year").cast("string").alias("year"), F.col("date").cast("string").alias("date")).agg(F.count("*").alias("n_events"))
 
