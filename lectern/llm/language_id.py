@@ -46,6 +46,8 @@ NO_LANGUAGE = ["und", "mul", "zxx", "mis"]
 SUFFIXES = {"de": "de", "at": "de", "fr": "fr", "es": "es", "mx": "es", "uk": "en", "us": "en", "au": "en", "it": "it", "pt": "pt", "nl": "nl", "pl": "pl"}
 
 BITS = 14
+#: The driver reads the languages' counts in so many parts, one after the other.
+MODEL_PARTS = 8
 #: Letters in lower case, all bytes of other scripts as they are, anything else a space.
 LETTERS = bytes(c if c >= 128 or chr(c).islower() else c + 32 if chr(c).isupper() else 32 for c in range(256))
 
@@ -102,7 +104,8 @@ def fit(docs: DataFrame, text: str, declared: str, key: str, sample: int = SAMPL
     model = np.full((1 << BITS, len(languages) + 1), np.log(1.0 / (1 << BITS)), dtype=np.float32)
     model[:, :-1] = np.log(0.05 / (0.05 * (1 << BITS)))  # a language of which no trigram was sampled
     place = {x: i for i, x in enumerate(languages)}
-    for r in sums.groupBy("lang").agg(F.collect_list("bucket").alias("at"), F.collect_list("n").alias("n")).toLocalIterator():  # at most 2 ** BITS
+    listed = sums.groupBy("lang").agg(F.collect_list("bucket").alias("at"), F.collect_list("n").alias("n"))
+    for r in listed.coalesce(MODEL_PARTS).toLocalIterator():  # a job for each part; a row is of at most 2 ** BITS numbers
         seen = np.full(1 << BITS, 0.05)
         seen[r["at"]] += r["n"]
         model[:, place[r["lang"]]] = np.log(seen / seen.sum())

@@ -75,15 +75,15 @@ def parity(ids: Column, mask: int) -> Column:
     return F.aggregate(ids, F.lit(0).cast("long"), lambda acc, x: acc.bitwiseXOR(held(x)))
 
 
-def tiers_of(sets: DataFrame) -> list[int]:
-    """For each counter, twice the logarithm of how many lines its tokens stand in."""
-    slot = F.col("id").bitwiseAND(F.lit(COUNTERS - 1).cast("long")).cast("int")
-    counted = sets.select(F.explode("ids").alias("id")).groupBy(slot.alias("slot")).count()
-    rows = counted.select("slot", (F.log2(F.col("count")) * 2).cast("int").alias("tier")).toPandas()  # at most COUNTERS rows
-    tiers = [0] * COUNTERS
-    for slot, tier in zip(rows["slot"].tolist(), rows["tier"].tolist(), strict=True):
-        tiers[slot] = min(63, tier)
-    return tiers
+def tiers_of(sets: DataFrame) -> str:
+    """For each counter, twice the logarithm of how many lines its tokens stand in; executors make one text of fixed size of it, so that the driver gets no rows."""
+    slot = F.col("id").bitwiseAND(F.lit(COUNTERS - 1).cast("long")).alias("slot")
+    stand = sets.select(F.explode("ids").alias("id")).select(slot, F.lit(1).alias("n"))
+    every = sets.sparkSession.range(COUNTERS).select(F.col("id").alias("slot"), F.lit(0).alias("n"))
+    tier = F.least(F.coalesce(F.log2(F.sum("n")) * 2, F.lit(0)).cast("int"), F.lit(63))
+    counted = stand.union(every).groupBy("slot").agg(tier.alias("tier"))
+    listed = counted.agg(F.sort_array(F.collect_list(F.struct("slot", "tier"))).alias("x"))
+    return listed.select(F.array_join(F.col("x.tier").cast("array<string>"), ",")).collect()[0][0]
 
 
 SET = ["doc_id", "line", "n", "p0", "p1", "p2", "p3"]
@@ -114,7 +114,7 @@ def first_lines(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame
     judged = F.count_distinct(F.when(F.size("ids") > 0, F.col("line")))
     counts = scratch.write(sets.groupBy("doc_id").agg(F.max("n_lines").cast("long").alias("n_lines"), judged.alias("judged")))
     # One literal of fixed size, made by the optimizer from its text; short, as each description of the plan has it.
-    tiers = F.split(F.lit(",".join(map(str, tiers_of(sets)))), ",").cast("array<int>")
+    tiers = F.split(F.lit(tiers_of(sets)), ",").cast("array<int>")
 
     def rank(x: Column) -> Column:
         tier = F.get(tiers, x.bitwiseAND(F.lit(COUNTERS - 1).cast("long")).cast("int")).cast("long")
@@ -196,8 +196,9 @@ def removed_lines(docs: DataFrame) -> DataFrame:
 
 def lines_at(docs: DataFrame, places: DataFrame) -> DataFrame:
     """doc_id, line, text of the lines at these distinct places, plain."""
-    near = docs.join(checked(places.select("doc_id").distinct()), "doc_id", "left_semi")
-    found = lines_of(near).join(checked(places), ["doc_id", "line"], "left_semi")
+    sent = F.broadcast if places.count() <= BROADCAST_ROWS else lambda rows: rows  # there are no more documents than places
+    near = docs.join(sent(places.select("doc_id").distinct()), "doc_id", "left_semi")
+    found = lines_of(near).join(sent(places), ["doc_id", "line"], "left_semi")
     return found.groupBy("doc_id", "line").agg(F.min(plain(F.col("text"))).alias("text"))
 
 

@@ -71,3 +71,10 @@ def test_suffix_order_and_long_common_prefixes():
         for least in (2, 5, 20) if trial % 2 else ():
             found = suffix_dedup.long_common_prefixes(np.array(text, dtype=np.int16), order, least)
             assert found.tolist() == [False] + [text[a : a + least] == text[b : b + least] and max(a, b) + least <= len(text) for a, b in zip(order, order[1:], strict=False)]
+
+
+def test_counters_reach_the_driver_as_one_text(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "COUNTERS", 8)
+    sets = spark.createDataFrame([([1, 2, 9],), ([1, 3],), ([],), ([-1, 1],)], "ids array<long>")
+    assert line_dedup.tiers_of(sets) == "0,4,0,0,0,0,0,0"  # four tokens in counter 1
+    assert line_dedup.tiers_of(sets.limit(0)) == ",".join("0" * 8)
