@@ -45,17 +45,22 @@ def course_orders(t: dict[str, DataFrame]) -> DataFrame:
     is the price paid if the line is its only one.
     """
     products = product_uuids(t["products"].withColumnRenamed("id", "product_id"), t["attributes"], t["attribute_values"])
-    orders = t["shop_orders"].select(F.col("id").alias("order_id"), "number", "user_id", "total")
-    lines = standing_lines(t["order_lines"], t["refunds"]).join(products, "product_id").join(orders, "order_id")
+    orders = t["shop_orders"].where("user_id IS NOT NULL").select(F.col("id").alias("order_id"), "number", "user_id", "total")
+    # A line without a price is no best line, nor does it cost what one did. Both readers of the lines need the same rows and columns, so that one set of exchanges serves them.
+    lines = standing_lines(t["order_lines"].where("price IS NOT NULL"), t["refunds"]).join(products, "product_id").join(orders.select("order_id", "user_id"), "order_id")
     best = lines.groupBy("user_id", F.col("course_id").alias("best_course"), F.col("uuid").alias("best_uuid")).agg(F.max("price").alias("price"))
     chosen = lines.join(best, ["user_id", "price"]).where((F.col("course_id") == F.col("best_course")) | (F.col("uuid") == F.col("best_uuid")))
-    chosen = chosen.select("order_id", "number", "user_id", "course_id", "best_uuid", "price", "total").distinct()
+    # Dealt by order once: rows become distinct there, and meet what is known of the order.
+    chosen = chosen.select("order_id", "user_id", "course_id", "best_uuid", "price").repartition("order_id").distinct()
     counts = t["order_lines"].groupBy("order_id").agg(F.count("*").alias("n_lines"))
     used = t["entitlements"].where("enrollment_id IS NOT NULL").select("enrollment_id", F.col("course_uuid").alias("bare_uuid"), F.col("order_number").alias("number"))
-    used = used.join(t["enrollments"].select(F.col("id").alias("enrollment_id"), F.col("course_id").alias("used_course")), "enrollment_id").select("bare_uuid", "number", "used_course").distinct()
-    df = chosen.withColumn("bare_uuid", F.replace("best_uuid", F.lit("-"), F.lit(""))).join(used, ["bare_uuid", "number"], "left").join(counts, "order_id", "left")
+    used = used.join(t["enrollments"].select(F.col("id").alias("enrollment_id"), F.col("course_id").alias("used_course")), "enrollment_id")
+    used = used.groupBy("number").agg(F.collect_set(F.struct("bare_uuid", "used_course")).alias("used"))  # at most the order's entitlements
+    known = orders.join(t["shop_users"].select(F.col("id").alias("user_id"), "username"), "user_id").join(used, "number", "left").withColumnRenamed("user_id", "buyer").drop("number")
+    df = chosen.join(known, "order_id").where("user_id = buyer").join(counts, "order_id", "left")
     df = df.join(order_discounts(t["discounts"], t["vouchers"], t["offers"], t["benefits"]), "order_id", "left")
-    df = df.join(t["shop_users"].select(F.col("id").alias("user_id"), "username"), "user_id")
+    bare = F.replace("best_uuid", F.lit("-"), F.lit(""))
+    df = df.withColumn("used_course", F.explode_outer(F.transform(F.filter("used", lambda x: x["bare_uuid"] == bare), lambda x: x["used_course"])))
     paid = F.when(F.coalesce(F.col("n_lines") > 1, F.lit(False)), None).otherwise(F.col("total"))
     return df.select("username", F.coalesce("course_id", "used_course").alias("course_id"), F.col("price").alias("course_price"), paid.alias("discount_price"), "offer", "coupon_name", "coupon_code").where("course_id IS NOT NULL").distinct()
 
