@@ -44,8 +44,8 @@ def _published(s, d):
     """Three results published together; then one more with a key twice, which changes none of them."""
     path = S.shared_path(s)
     days = S.written(E.days_enrolled(enrollment_events(s, d), END))
-    daily, mode = E.enrollment_daily(days), E.enrollment_by_mode(days)
-    timeline = V.video_timeline(V.video_usage(V.video_viewings(V.clean_events(video.video_events(s, d)))))
+    daily, mode = S.written(E.enrollment_daily(days)), E.enrollment_by_mode(days)
+    timeline = S.written(V.video_timeline(V.video_usage(V.video_viewings(V.clean_events(video.video_events(s, d))))))  # published more than once
     P.publish({"course_enrollment_daily": daily.limit(1), "video_timeline": timeline.limit(1)}, path)
     P.publish({"course_enrollment_daily": daily, "course_enrollment_mode_daily": mode, "video_timeline": timeline}, path)
     try:
