@@ -75,15 +75,20 @@ def parity(ids: Column, mask: int) -> Column:
     return F.aggregate(ids, F.lit(0).cast("long"), lambda acc, x: acc.bitwiseXOR(held(x)))
 
 
-def tiers_of(sets: DataFrame) -> str:
-    """For each counter, twice the logarithm of how many lines its tokens stand in; executors make one text of fixed size of it, so that the driver gets no rows."""
+def tiers(sets: DataFrame) -> DataFrame:
+    """One row of fixed size: for each counter, twice the logarithm of how many lines its tokens stand in."""
     slot = F.col("id").bitwiseAND(F.lit(COUNTERS - 1).cast("long")).alias("slot")
     stand = sets.select(F.explode("ids").alias("id")).select(slot, F.lit(1).alias("n"))
     every = sets.sparkSession.range(COUNTERS).select(F.col("id").alias("slot"), F.lit(0).alias("n"))
     tier = F.least(F.coalesce(F.log2(F.sum("n")) * 2, F.lit(0)).cast("int"), F.lit(63))
     counted = stand.union(every).groupBy("slot").agg(tier.alias("tier"))
     listed = counted.agg(F.sort_array(F.collect_list(F.struct("slot", "tier"))).alias("x"))
-    return listed.select(F.array_join(F.col("x.tier").cast("array<string>"), ",")).collect()[0][0]
+    return listed.select(F.col("x.tier").cast("array<tinyint>").alias("tiers"))
+
+
+def tiers_of(sets: DataFrame) -> str:
+    """The tiers as one text, to look at."""
+    return tiers(sets).select(F.array_join(F.col("tiers").cast("array<string>"), ",")).collect()[0][0]
 
 
 SET = ["doc_id", "line", "n", "p0", "p1", "p2", "p3"]
@@ -113,18 +118,18 @@ def first_lines(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame
     sets = scratch.write(lines.select("doc_id", "n_lines", "line", F.xxhash64("text").alias("h0"), F.xxhash64(F.lit(1), "text").alias("h1"), ids.alias("ids")))
     judged = F.count_distinct(F.when(F.size("ids") > 0, F.col("line")))
     counts = scratch.write(sets.groupBy("doc_id").agg(F.max("n_lines").cast("long").alias("n_lines"), judged.alias("judged")))
-    # One literal of fixed size, made by the optimizer from its text; short, as each description of the plan has it.
-    tiers = F.split(F.lit(tiers_of(sets)), ",").cast("array<int>")
+    # A subquery, as the driver would write a literal of this size into each description of the plan, many times over.
+    ranked = sets.select("*", scratch.write(tiers(sets)).scalar().alias("tiers"))
 
     def rank(x: Column) -> Column:
-        tier = F.get(tiers, x.bitwiseAND(F.lit(COUNTERS - 1).cast("long")).cast("int")).cast("long")
+        tier = F.get("tiers", x.bitwiseAND(F.lit(COUNTERS - 1).cast("long")).cast("int")).cast("long")
         return F.call_function("shiftleft", tier, F.lit(SHIFT)).bitwiseOR(F.shiftrightunsigned(x, 64 - SHIFT))
 
     zero = F.lit(0).cast("long")
     n = F.size("ids")
     prefix = F.slice(F.sort_array(F.transform("ids", lambda x: F.coalesce(rank(x), zero))), F.lit(1), F.expr(f"size(ids) - ({NUM} * size(ids) + {DEN - 1}) div {DEN} + 1"))
     bits = [F.when(n > least, parity(F.col("ids"), mask)).otherwise(zero).alias(f"p{mask}") for mask, least in enumerate((0, NARROW, WIDE, WIDE))]
-    rows = sets.where(n > 0).select("h0", "h1", "doc_id", "line", n.alias("n"), *bits, prefix.alias("prefix"))
+    rows = ranked.where(n > 0).select("h0", "h1", "doc_id", "line", n.alias("n"), *bits, prefix.alias("prefix"))
     firsts = rows.groupBy("h0", "h1").agg(F.min(F.struct(*SET, "prefix")).alias("x"))
     distinct = scratch.write(firsts.select("x.*"))
     scratch.drop(sets)

@@ -78,3 +78,10 @@ def test_counters_reach_the_driver_as_one_text(spark, monkeypatch):
     sets = spark.createDataFrame([([1, 2, 9],), ([1, 3],), ([],), ([-1, 1],)], "ids array<long>")
     assert line_dedup.tiers_of(sets) == "0,4,0,0,0,0,0,0"  # four tokens in counter 1
     assert line_dedup.tiers_of(sets.limit(0)) == ",".join("0" * 8)
+
+
+def test_counters_stay_out_of_the_descriptions_of_plans(spark, sf, monkeypatch):
+    write, told = line_dedup.Scratch.write, []
+    monkeypatch.setattr(line_dedup.Scratch, "write", lambda self, df: told.append(len(df._jdf.queryExecution().toString())) or write(self, df))
+    line_dedup.removed_lines(spark.read.parquet(f"{sf}/documents.parquet").limit(20)).collect()
+    assert len(told) > 5 and max(told) < 200_000
