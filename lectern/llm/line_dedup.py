@@ -3,17 +3,19 @@
 A line's tokens are its distinct words, in lower case. A line is removed if an earlier line, by document id and line
 number, has Jaccard similarity 0.8 or more with it, be that line removed itself or not.
 
-1. One scan turns each line into 64-bit ids of its words, written once. They choose candidates only.
-2. All tokens are counted in a table of fixed size, which orders them by rarity. The order decides the cost only,
-   never the result.
-3. Equal lines become one set that stands at its first line; only that line can stay.
-4. Each set goes to the tokens of its prefix, the ``n - ceil(0.8 n) + 1`` rarest, so similar sets share one. There it
-   looks at the earliest set of that token and the two just before it; where none of them is likely, it meets all the
-   earlier ones. Every meeting passes the length and positional filters and a bound by bitmaps inside the join: the
-   parity bits of two sets differ in no more places than the sets in words. Long lists are salted.
-5. The likeliest candidate of each line is verified by Jaccard on the words themselves, then the other candidates of
-   lines still open. What is open then meets, with more parity bits, the lists in which it has met only some sets, so
-   nothing is lost, yet a group of near copies is not expanded into pairs.
+1. One scan turns each line into 64-bit ids of its words, ordered by length, as long words are rare, then by hash. The
+   ids choose candidates only, and their order decides the cost only, never the result.
+2. Equal lines become one set that stands at its first line; only that line can stay.
+3. Each set goes to the neighbouring pairs of its prefix: the first word alone, and each of the next ``0.4 n`` words
+   with the one before it. Similar sets share such a pair: each word that only one of them has parts one pair of
+   neighbours among their common words, and where there are x such words in a and y in b, one of the first x + y + 1
+   pairs is whole; it ends at a's word 2 x + y at most (from 0), which is ``2 a + b - 3 * overlap <= 0.4 a``. Few sets
+   that are not similar share one, so lists stay short while single words would have lists that grow with the input.
+4. In a list a set meets all earlier ones under the length and positional filters and 64 parity bits (the parity bits of
+   two sets differ in no more places than the sets in words); in a long list it looks at the earliest and the two just before.
+5. The likeliest candidate of each line, the one met in most lists, is verified by Jaccard on the words themselves, then
+   the other candidates of lines still open. What is open then meets, in blocks and with more parity bits, the long lists
+   in which it has met only some sets, so nothing is lost, yet a group of near copies is not expanded into pairs.
 
 Defined results: null text has no lines. Lines without words are not judged and stay. Equal rows count as one
 document; rows that share an id but not the text are documents of their own in ``dedup_lines``, the later ones after all
@@ -22,6 +24,9 @@ other ids (the query, which reports by id, expects distinct ids); rows without a
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -31,25 +36,31 @@ from .common import Scratch, own_ids, table
 BLANKS = " \t\r\f\x0B"
 #: The threshold as a fraction.
 NUM, DEN = 4, 5
-#: Counters of the tokens; a token's rank has twice the logarithm of its counter above SHIFT bits of its 64-bit id.
-COUNTERS, SHIFT = 1 << 18, 57
-#: Lists of tokens of this tier (1,024 lines) and above are salted and met in full only by lines that stay open.
-LONG_LIST = 20
-#: Words of a line beyond which its parity bits are 128 instead of 64, and 256 instead of 128.
-NARROW, WIDE = 64, 128
-#: Places before a set, in the order of a token's sets, whose sets it looks at besides the earliest.
+#: Counters of ``tiers``.
+COUNTERS = 1 << 18
+#: Lists of more sets are met in full only by lines that stay open, in blocks of so many sets.
+LONG_LIST, BLOCK = 64, 1024
+#: Words of a line beyond which its parity bits are 128 instead of 64.
+NARROW = 64
+#: Places before a set, in the order of a list, whose sets it looks at besides the earliest.
 NEIGHBOURS = (1, 2)
-#: Lines to verify, and tokens to meet in full, are looked up by a broadcast up to so many, by a shuffle beyond.
+#: Lines to verify, and lists to meet in full, are looked up by a broadcast up to so many, by a shuffle beyond.
 BROADCAST_ROWS = 500_000
 
 
-def plain(line: Column) -> Column:
-    return F.btrim(F.lower(line), F.lit(BLANKS))
+def any_of(tests: Iterable[Column]) -> Column:
+    return reduce(Column.__or__, tests)
+
+
+def trimmed(line: Column) -> Column:
+    """The line without blanks at its ends; most have none, which is told faster than they are trimmed."""
+    return F.when(any_of(end(F.lit(x)) for x in BLANKS for end in (line.startswith, line.endswith)), F.btrim(line, F.lit(BLANKS))).otherwise(line)
 
 
 def words_of(line: Column) -> Column:
     """Words of a plain line; where single spaces alone part them, by the faster of two ways."""
-    return F.when(line.rlike(r"[\t\r\f\x0B]|  "), F.split(line, r"[ \t\r\f\x0B]+")).otherwise(F.split(line, " "))
+    others = any_of(line.contains(F.lit(x)) for x in (*BLANKS[1:], "  "))
+    return F.when(others, F.split(line, r"[ \t\r\f\x0B]+")).otherwise(F.split(line, " "))
 
 
 def once(value: Column, use) -> Column:
@@ -58,21 +69,23 @@ def once(value: Column, use) -> Column:
 
 
 def has_words(line: Column) -> Column:
-    return F.btrim(line, F.lit(BLANKS)) != ""
+    return (line != "") & (~any_of(line.startswith(F.lit(x)) for x in BLANKS) | (F.btrim(line, F.lit(BLANKS)) != ""))
 
 
 def lines_of(docs: DataFrame) -> DataFrame:
-    """doc_id, n_lines, line (from 0), text of each line with words, and of the first line of any text."""
-    rows = docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select("doc_id", F.split("text", "\n").alias("pieces"))
-    lines = rows.select("doc_id", F.size("pieces").alias("n_lines"), F.posexplode("pieces").alias("line", "text"))
-    return lines.where((F.col("line") == 0) | has_words(F.col("text")))
+    """doc_id, line (from 0), text of each line with words, in lower case and without blanks at its ends."""
+    rows = docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
+    # The generator reads no column, or Spark would add a filter that splits all texts twice more.
+    lines = rows.select("doc_id", F.posexplode(F.split(F.lower("text"), "\n")).alias("line", "text")).where(has_words(F.col("text")))
+    return lines.select("doc_id", "line", trimmed(F.col("text")).alias("text"))
 
 
 def parity(ids: Column, mask: int) -> Column:
-    """64 parity bits of the ids in which all bits of the mask are set."""
-    bit = lambda x: F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(x, 58).cast("int"))
-    held = lambda x: bit(x) if not mask else F.when(x.bitwiseAND(F.lit(mask).cast("long")) == mask, bit(x)).otherwise(F.lit(0).cast("long"))
-    return F.aggregate(ids, F.lit(0).cast("long"), lambda acc, x: acc.bitwiseXOR(held(x)))
+    """64 parity bits of the ids in which all bits of the mask, none of the lowest six, are set."""
+    one, zero = F.lit(1).cast("long"), F.lit(0).cast("long")
+    bit = lambda x: F.call_function("shiftleft", one, x.bitwiseAND(F.lit(63).cast("long")).cast("int"))
+    held = lambda x: bit(x) if not mask else F.when(x.bitwiseAND(F.lit(mask).cast("long")) == mask, bit(x)).otherwise(zero)
+    return F.aggregate(ids, zero, lambda acc, x: acc.bitwiseXOR(held(x)))
 
 
 def tiers(sets: DataFrame) -> DataFrame:
@@ -91,16 +104,14 @@ def tiers_of(sets: DataFrame) -> str:
     return tiers(sets).select(F.array_join(F.col("tiers").cast("array<string>"), ",")).collect()[0][0]
 
 
-SET = ["doc_id", "line", "n", "p0", "p1", "p2", "p3"]
-#: Conditions on two sets of a token: a comes later than b and they may be similar. needed is the least overlap.
+SET = ["doc_id", "line", "n", "p0"]
+#: Conditions on two sets of a list: a comes later than b and they may be similar. _NEEDED is the least overlap; pos
+#: words of the prefix come before a pair's second word, so no more common ones.
 _NEEDED = f"(({NUM} * (a.n + b.n) + {NUM + DEN - 1}) div {NUM + DEN})"
-_P = "(a.p{0} ^ b.p{0})".format
-_DIFFER = f"if(least(a.n, b.n) <= {NARROW}, bit_count({_P(0)}), bit_count({_P(1)}) + bit_count({_P(0)} ^ {_P(1)}))"
-_DIFFER_WIDE = f"(bit_count({_P(3)}) + bit_count({_P(2)} ^ {_P(3)}) + bit_count({_P(1)} ^ {_P(3)}) + bit_count({_P(0)} ^ {_P(1)} ^ {_P(2)} ^ {_P(3)}))"
 EARLIER = "(b.doc_id < a.doc_id OR b.doc_id = a.doc_id AND b.line < a.line)"
 LIKELY = (
-    f"a.n * {DEN} >= b.n * {NUM} AND b.n * {DEN} >= a.n * {NUM} AND least(a.n - a.pos, b.n - b.pos) >= {_NEEDED} "
-    f"AND {_DIFFER} <= a.n + b.n - 2 * {_NEEDED} AND (a.n <= {WIDE} OR b.n <= {WIDE} OR {_DIFFER_WIDE} <= a.n + b.n - 2 * {_NEEDED})"
+    f"a.n * {DEN} >= b.n * {NUM} AND b.n * {DEN} >= a.n * {NUM} "
+    f"AND least(a.pos, b.pos) + least(a.n - a.pos, b.n - b.pos) >= {_NEEDED} AND bit_count(a.p0 ^ b.p0) <= a.n + b.n - 2 * {_NEEDED}"
 )
 
 
@@ -109,89 +120,118 @@ def checked(rows: DataFrame) -> DataFrame:
     return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
 
 
+def word_id(word: Column) -> Column:
+    """A 63-bit id, smaller for longer words, of which the upper 31 bits are a shorter one in the same order."""
+    short = (F.lit(31) - F.least(F.octet_length(word), F.lit(31))).cast("long")
+    return F.call_function("shiftleft", short, F.lit(58)).bitwiseOR(F.shiftrightunsigned(F.xxhash64(word), 6))
+
+
 def first_lines(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
-    """Distinct lines, each at its first place: the fields of SET and its prefix of token ranks. And doc_id, n_lines,
-    judged (how many lines have words)."""
-    lines = lines_of(docs).select("doc_id", "n_lines", "line", plain(F.col("text")).alias("text"))
-    ids = F.array_distinct(F.transform(words_of(F.col("text")), lambda w: F.xxhash64(w)))
-    ids = F.when(F.col("text") == "", F.array().cast("array<bigint>")).otherwise(ids)
-    sets = scratch.write(lines.select("doc_id", "n_lines", "line", F.xxhash64("text").alias("h0"), F.xxhash64(F.lit(1), "text").alias("h1"), ids.alias("ids")))
-    judged = F.count_distinct(F.when(F.size("ids") > 0, F.col("line")))
-    counts = scratch.write(sets.groupBy("doc_id").agg(F.max("n_lines").cast("long").alias("n_lines"), judged.alias("judged")))
-    # A subquery, as the driver would write a literal of this size into each description of the plan, many times over.
-    ranked = sets.select("*", scratch.write(tiers(sets)).scalar().alias("tiers"))
-
-    def rank(x: Column) -> Column:
-        tier = F.get("tiers", x.bitwiseAND(F.lit(COUNTERS - 1).cast("long")).cast("int")).cast("long")
-        return F.call_function("shiftleft", tier, F.lit(SHIFT)).bitwiseOR(F.shiftrightunsigned(x, 64 - SHIFT))
-
-    zero = F.lit(0).cast("long")
+    """Distinct lines, each at its first place: the fields of SET and the short ids of its prefix in order (where two
+    words share one, it stands twice). And doc_id, n_lines, judged (how many lines have words)."""
+    rows = docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select("doc_id", F.split("text", "\n").alias("pieces"))
+    at = F.filter(F.transform("pieces", lambda x, i: F.when(has_words(x), i)), lambda i: i.isNotNull())
+    counts = rows.select("doc_id", F.size("pieces").alias("n_lines"), at.alias("at")).groupBy("doc_id")
+    counts = counts.agg(F.max("n_lines").cast("long").alias("n_lines"), F.size(F.array_distinct(F.flatten(F.collect_list("at")))).cast("long").alias("judged"))
+    lines = lines_of(docs)
+    ids = F.sort_array(F.array_distinct(F.transform(words_of(F.col("text")), word_id)))
+    sets = lines.select("doc_id", "line", F.xxhash64("text").alias("h0"), F.xxhash64(F.lit(1), "text").alias("h1"), ids.alias("ids"))
+    # 2 a + b - 3 * overlap is 2 / 5 of a at most, for b of 4 / 5 of it
+    prefix = F.transform(F.slice("ids", F.lit(1), F.expr(f"size(ids) * {2 * (DEN - NUM)} div {DEN} + 1")), lambda x: F.shiftrightunsigned(x, 32).cast("int"))
     n = F.size("ids")
-    prefix = F.slice(F.sort_array(F.transform("ids", lambda x: F.coalesce(rank(x), zero))), F.lit(1), F.expr(f"size(ids) - ({NUM} * size(ids) + {DEN - 1}) div {DEN} + 1"))
-    bits = [F.when(n > least, parity(F.col("ids"), mask)).otherwise(zero).alias(f"p{mask}") for mask, least in enumerate((0, NARROW, WIDE, WIDE))]
-    rows = ranked.where(n > 0).select("h0", "h1", "doc_id", "line", n.alias("n"), *bits, prefix.alias("prefix"))
-    firsts = rows.groupBy("h0", "h1").agg(F.min(F.struct(*SET, "prefix")).alias("x"))
-    distinct = scratch.write(firsts.select("x.*"))
-    scratch.drop(sets)
-    return distinct, counts
-
-
-def meetings(posted: DataFrame) -> DataFrame:
-    """doc_id, line, o_doc_id, o_line, token, differ, more: each set of a token beside likely earlier ones; more where it did not meet the whole list.
-
-    o_doc_id is null where a set has looked at some of a long list and found none likely.
-    """
-    by = W.partitionBy("token", "salt").orderBy("doc_id", "line")
-    tier = F.call_function("shiftright", F.col("token"), F.lit(SHIFT))
-    salts = F.call_function("shiftleft", F.lit(1), (F.greatest(tier - LONG_LIST, F.lit(0)) / 2).cast("int") + 1)  # grow with the list
-    salt = F.when(tier >= LONG_LIST, F.pmod(F.hash("doc_id", "line"), salts)).otherwise(F.lit(0))
-    # No column can be null, so neither side of the join adds a filter, and both read one exchange.
-    whole = [F.coalesce(c, F.lit(0).cast(kind)).alias(c) for c, kind in posted.select(*SET, "pos", "token").dtypes]
-    posted = posted.select(*whole, F.coalesce(salt, F.lit(0)).alias("salt")).repartition("token", "salt")
+    bits = [parity(F.col("ids"), 0).alias("p0"), F.when(n > NARROW, parity(F.col("ids"), 64)).otherwise(F.lit(0).cast("long")).alias("p1")]
+    sets = sets.select("h0", "h1", "doc_id", "line", n.alias("n"), *bits, prefix.alias("prefix"))
+    firsts = sets.groupBy("h0", "h1").agg(F.min(F.struct(*SET, "p1", "prefix")).alias("x"))
+    return scratch.write(firsts.select("x.*")), counts
+
+
+def posted_in(distinct: DataFrame) -> DataFrame:
+    """pair, doc_id, line, p0, and n and pos in one number: each set in the list of each pair of its prefix, by pair."""
+    rows = distinct.select(*SET, "prefix", F.posexplode("prefix").alias("pos", "id"))
+    before = F.when(F.col("pos") == 0, F.lit(-1)).otherwise(F.get("prefix", F.col("pos") - 1)).cast("long")
+    pair = F.call_function("shiftleft", before, F.lit(32)).bitwiseOR(F.col("id").cast("long"))
+    sizes = F.call_function("shiftleft", F.col("n").cast("long"), F.lit(32)).bitwiseOR(F.col("pos").cast("long"))
+    rows = rows.select(pair.alias("pair"), "doc_id", "line", "p0", sizes.alias("sizes"))
+    return rows.select(*[F.coalesce(c, F.lit(0).cast(kind)).alias(c) for c, kind in rows.dtypes]).repartition("pair")
+
+
+def lists(posted: DataFrame) -> DataFrame:
+    """doc_id, line, o_doc_id, o_line: each set of a list of up to LONG_LIST sets beside all likely earlier ones; and the
+    rows of longer lists, with their pair, n, pos and p0. Most lists have one set and give nothing."""
+    # No column can be null and sizes are counted from all of them, so no reader adds a filter or drops a column, and all read one exchange.
+    size = posted.groupBy("pair").agg(F.count("*").alias("size"), F.bit_xor(F.expr("doc_id ^ line ^ p0 ^ sizes")).alias("all")).where("all IS NOT NULL")
+    rows = posted.select("pair", "doc_id", "line", "p0", F.expr("int(shiftright(sizes, 32))").alias("n"), F.expr("int(sizes & 2147483647)").alias("pos"))
+    of = lambda sizes: rows.join(size.where(sizes).select("pair").hint("shuffle_hash"), "pair", "left_semi")
+    short = rows.alias("a").join(of(F.col("size").between(2, LONG_LIST)).alias("b").hint("shuffle_hash"), F.expr(f"a.pair = b.pair AND {EARLIER} AND {LIKELY}"))
+    short = short.select("a.doc_id", "a.line", F.col("b.doc_id").alias("o_doc_id"), F.col("b.line").alias("o_line"))
+    return short.unionByName(of(F.col("size") > LONG_LIST), allowMissingColumns=True)
+
+
+def meetings(listed: DataFrame) -> DataFrame:
+    """doc_id, line, pair, place (of the set in the list, from 0), o_doc_id, o_line (a likely earlier set or null), more
+    (whether there are earlier sets in the list that were not looked at)."""
+    by = W.partitionBy("pair").orderBy("doc_id", "line")
     own = F.struct(*SET, "pos")
     seen = {"first": F.first(own).over(by.rowsBetween(W.unboundedPreceding, W.currentRow))} | {f"near{k}": F.lag(own, k).over(by) for k in NEIGHBOURS}
-    rows = posted.select("*", *[c.alias(name) for name, c in seen.items()])
+    rows = listed.select("*", (F.row_number().over(by) - 1).alias("place"), *[c.alias(name) for name, c in seen.items()]).where("place > 0")
 
     def likely(name: str) -> Column:
         good = F.expr(f"{EARLIER} AND {LIKELY}".replace("a.", "").replace("b.", f"{name}."))
-        differ = F.expr(_DIFFER.replace("a.", "").replace("b.", f"{name}."))
-        return F.when(good, F.struct(differ.alias("differ"), F.col(f"{name}.doc_id").alias("doc_id"), F.col(f"{name}.line").alias("line")))
-
-    rows = rows.withColumn("near", F.least(*[likely(name) for name in seen])).drop(*seen)
-    rows = rows.withColumn("alone", F.col("near").isNull() & (tier < LONG_LIST))
-    a, b = rows.alias("a"), posted.alias("b")
-    met = a.join(b, F.expr(f"a.token = b.token AND a.salt = b.salt AND a.alone AND {EARLIER} AND {LIKELY}"), "left")
-    met = met.select(
-        "a.doc_id", "a.line", F.coalesce("near.doc_id", "b.doc_id").alias("o_doc_id"), F.coalesce("near.line", "b.line").alias("o_line"),
-        "a.token", F.when(F.col("near").isNull(), F.expr(_DIFFER)).otherwise(F.col("near.differ")).alias("differ"), (~F.col("alone")).alias("more"),
-    )
+        return F.when(good, F.struct(F.col(f"{name}.doc_id").alias("doc_id"), F.col(f"{name}.line").alias("line")))
+
+    rows = rows.withColumn("near", F.least(*[likely(name) for name in seen]))
+    more = F.col("place") > F.when(F.col("near").isNull(), len(seen)).otherwise(1)
+    met = rows.select("doc_id", "line", "pair", "place", F.col("near.doc_id").alias("o_doc_id"), F.col("near.line").alias("o_line"), more.alias("more"))
     return met.where("more OR o_doc_id IS NOT NULL")
 
 
+def in_full(scratch: Scratch, docs: DataFrame, long: DataFrame, still: DataFrame) -> DataFrame:
+    """doc_id, line, o_doc_id, o_line: open sets (doc_id, line, pair, place) beside all earlier ones of their lists that
+    may be similar. A list is met in blocks, so no task has a whole long one."""
+    size = F.lit(BLOCK)
+    by = W.partitionBy("pair").orderBy("doc_id", "line")
+    listed = long.join(checked(still.select("pair").distinct()), "pair", "left_semi")
+    listed = scratch.write(listed.withColumn("block", F.floor((F.row_number().over(by) - 1) / size).cast("int")))
+    listed = scratch.write(with_more_bits(scratch, docs, listed))
+    open_ = still.join(listed.drop("block"), ["doc_id", "line", "pair"])
+    open_ = open_.withColumn("block", F.explode(F.sequence(F.lit(0), F.floor(F.col("place") / size).cast("int"))))
+    differ = " + ".join(f"bit_count(a.q{k} ^ b.q{k})" for k in range(4))
+    met = open_.alias("a").join(listed.alias("b"), F.expr(f"a.pair = b.pair AND a.block = b.block AND {EARLIER} AND {LIKELY} AND {differ} <= a.n + b.n - 2 * {_NEEDED}"))
+    return met.select("a.doc_id", "a.line", F.col("b.doc_id").alias("o_doc_id"), F.col("b.line").alias("o_line")).distinct()
+
+
+def likelier(pairs: DataFrame, distinct: DataFrame) -> DataFrame:
+    """The pairs that may be similar by 128 parity bits, where both lines have more than NARROW words."""
+    bits = distinct.select("doc_id", "line", "n", "p0", "p1")
+    both = pairs.join(bits.withColumnsRenamed({"n": "a_n", "p0": "a0", "p1": "a1"}), ["doc_id", "line"])
+    both = both.join(bits.withColumnsRenamed({"doc_id": "o_doc_id", "line": "o_line", "n": "b_n", "p0": "b0", "p1": "b1"}), ["o_doc_id", "o_line"])
+    least = _NEEDED.replace("a.", "a_").replace("b.", "b_")
+    fits = f"least(a_n, b_n) <= {NARROW} OR bit_count(a1 ^ b1) + bit_count(a0 ^ b0 ^ a1 ^ b1) <= a_n + b_n - 2 * {least}"
+    return both.where(fits).select(*pairs.columns)
+
+
 def removed_lines(docs: DataFrame) -> DataFrame:
     """doc_id, n_lines, judged (lines with words), kept (numbers of the judged lines that stay)."""
     scratch = Scratch(docs.sparkSession, "lines")
     distinct, counts = first_lines(docs, scratch)
-    posted = distinct.select(*SET, F.posexplode("prefix").alias("pos", "token"))
-    met = scratch.write(meetings(posted))
-    found = met.where("o_doc_id IS NOT NULL")
-    place = ["doc_id", "line"]
-
-    best = found.groupBy(*place).agg(F.min(F.struct("differ", "o_doc_id", "o_line")).alias("x")).select(*place, "x.o_doc_id", "x.o_line")
+    listed = scratch.write(lists(posted_in(distinct)))
+    short, long = listed.where("pair IS NULL"), listed.where("pair IS NOT NULL").select("pair", *SET, "pos")
+    met = scratch.write(meetings(long))
+    place, pair = ["doc_id", "line"], ["doc_id", "line", "o_doc_id", "o_line"]
+    found = short.select(*pair).union(met.where("o_doc_id IS NOT NULL").select(*pair))
+    found = scratch.write(found.groupBy(*pair).agg(F.count("*").alias("lists")))
+    found = scratch.write(likelier(found, distinct))
+
+    texts = texts_of(scratch, docs, found)
+    best = found.groupBy(*place).agg(F.max(F.struct("lists", "o_doc_id", "o_line")).alias("x")).select(*place, "x.o_doc_id", "x.o_line")
     best = scratch.write(best)
-    matched = scratch.write(verified(scratch, docs, best))
-    pair = [*place, "o_doc_id", "o_line"]
-    others = found.select(*pair).join(matched, place, "left_anti").distinct().join(best, pair, "left_anti")
-    matched = matched.unionByName(verified(scratch, docs, scratch.write(others)))
-    still = scratch.write(met.where("more").select(*place, "token").distinct().join(matched, place, "left_anti"))
-    listed = scratch.write(posted.join(checked(still.select("token").distinct()), "token", "left_semi"))
-    listed = scratch.write(with_more_bits(scratch, docs, listed))
-    open_ = listed.join(still, [*place, "token"], "left_semi")
-    differ = " + ".join(f"bit_count(a.q{k} ^ b.q{k})" for k in range(4))
-    rest = open_.alias("a").join(listed.alias("b"), F.expr(f"a.token = b.token AND {EARLIER} AND {LIKELY} AND {differ} <= a.n + b.n - 2 * {_NEEDED}"))
-    rest = rest.select("a.doc_id", "a.line", F.col("b.doc_id").alias("o_doc_id"), F.col("b.line").alias("o_line")).distinct()
+    matched = scratch.write(verified(texts, best))
+    others = scratch.write(found.select(*pair).join(checked(matched), place, "left_anti").join(best, pair, "left_anti"))
+    matched = scratch.write(matched.unionByName(verified(texts, others)).distinct())
+    still = scratch.write(met.where("more").select(*place, "pair", "place").join(checked(matched), place, "left_anti"))
+    rest = in_full(scratch, docs, long, still)
     rest = scratch.write(rest.join(found.select(*pair), pair, "left_anti"))
-    matched = matched.unionByName(verified(scratch, docs, rest)).distinct()
+    matched = matched.unionByName(verified(texts_of(scratch, docs, rest), rest)).distinct()
 
     stay = distinct.select(*place).join(matched, place, "left_anti")
     kept = stay.groupBy("doc_id").agg(F.sort_array(F.collect_list("line")).alias("kept"))  # at most the document's lines
@@ -204,7 +244,7 @@ def lines_at(docs: DataFrame, places: DataFrame) -> DataFrame:
     sent = F.broadcast if places.count() <= BROADCAST_ROWS else lambda rows: rows  # there are no more documents than places
     near = docs.join(sent(places.select("doc_id").distinct()), "doc_id", "left_semi")
     found = lines_of(near).join(sent(places), ["doc_id", "line"], "left_semi")
-    return found.groupBy("doc_id", "line").agg(F.min(plain(F.col("text"))).alias("text"))
+    return found.groupBy("doc_id", "line").agg(F.min("text").alias("text"))
 
 
 def with_more_bits(scratch: Scratch, docs: DataFrame, listed: DataFrame) -> DataFrame:
@@ -213,19 +253,21 @@ def with_more_bits(scratch: Scratch, docs: DataFrame, listed: DataFrame) -> Data
     ids = scratch.write(lines.select("doc_id", "line", F.array_distinct(F.transform(words_of(F.col("text")), lambda w: F.xxhash64(F.lit(2), w))).alias("ids")))
 
     def quarter(k: int) -> Column:
-        return F.filter("ids", lambda x: x.bitwiseAND(F.lit(3).cast("long")) == k)
+        return F.filter("ids", lambda x: x.bitwiseAND(F.lit(192).cast("long")) == 64 * k)
 
     return listed.join(ids.select("doc_id", "line", *[parity(quarter(k), 0).alias(f"q{k}") for k in range(4)]), ["doc_id", "line"])
 
 
-def verified(scratch: Scratch, docs: DataFrame, pairs: DataFrame) -> DataFrame:
+def texts_of(scratch: Scratch, docs: DataFrame, pairs: DataFrame) -> DataFrame:
+    """doc_id, line, text of all lines of the pairs."""
+    return scratch.write(lines_at(docs, scratch.write(pairs.select("doc_id", "line").union(pairs.select("o_doc_id", "o_line")).distinct())))
+
+
+def verified(texts: DataFrame, pairs: DataFrame) -> DataFrame:
     """doc_id, line of the pairs whose Jaccard similarity, on the words themselves, reaches the threshold."""
     place = ["doc_id", "line"]
-    if pairs.isEmpty():
-        return pairs.select(*place)
-    lines = scratch.write(lines_at(docs, scratch.write(pairs.select(*place).union(pairs.select("o_doc_id", "o_line")).distinct())))
-    both = pairs.join(lines.withColumnRenamed("text", "a"), place)
-    both = both.join(lines.select(F.col("doc_id").alias("o_doc_id"), F.col("line").alias("o_line"), F.col("text").alias("b")), ["o_doc_id", "o_line"])
+    both = pairs.join(texts.withColumnRenamed("text", "a"), place)
+    both = both.join(texts.select(F.col("doc_id").alias("o_doc_id"), F.col("line").alias("o_line"), F.col("text").alias("b")), ["o_doc_id", "o_line"])
 
     def similar(a: Column, b: Column) -> Column:
         common = F.size(F.array_intersect(a, b))

@@ -85,3 +85,11 @@ def test_counters_stay_out_of_the_descriptions_of_plans(spark, sf, monkeypatch):
     monkeypatch.setattr(line_dedup.Scratch, "write", lambda self, df: told.append(len(df._jdf.queryExecution().toString())) or write(self, df))
     line_dedup.removed_lines(spark.read.parquet(f"{sf}/documents.parquet").limit(20)).collect()
     assert len(told) > 5 and max(told) < 200_000
+
+
+def test_lists_of_lines_grow_with_neighbouring_pairs_only(spark):
+    """Lines that share one frequent word but no pair of neighbours meet nowhere."""
+    rows = [(i, 0, 5, 0, 0, [7, 100 + i, 200 + i]) for i in range(200)]
+    posted = line_dedup.posted_in(spark.createDataFrame(rows, "doc_id long, line int, n int, p0 long, p1 long, prefix array<int>"))
+    sizes = sorted(r["count"] for r in posted.groupBy("pair").count().collect())
+    assert sizes == [1] * 400 + [200]  # the rarest word alone, and two pairs of each line
